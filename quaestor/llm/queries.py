@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import outliers
+from . import outliers, simhash
 from .common import table
 
 
+def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, links at 4 or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word statistics, base rules and MCD verdict of every document."""
     out = outliers.judge(table(spark, sf_dir, "documents"))
@@ -18,7 +23,7 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_quality_outliers": op7_quality_outliers}
+    return {"op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers}
 
 
 def oracle_sql() -> dict[str, str]:
