@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def byte_batches(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
 
     Yields (first row, one past the last row).
     """
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     start, held = 0, 0
     for i, n in enumerate(lengths.tolist()):
         if held and held + n > most:
@@ -66,7 +67,7 @@ def byte_batches(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
 
 def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null counts as empty."""
-    column = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     off = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import outliers, simhash
+from . import outliers, repeats, simhash
 from .common import table
 
 
+def op3_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 400-byte string standing elsewhere covers, and a digest of the rest."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -23,7 +28,7 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers}
+    return {"op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers}
 
 
 def oracle_sql() -> dict[str, str]:
