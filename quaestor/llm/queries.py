@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import outliers, repeats, simhash
+from . import outliers, repeats, simhash, urlfilter, warc
 from .common import table
 
 
+def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back, segments reassembled."""
+    return warc.roundtrip(table(spark, sf_dir, "pages"), min_revisit=0)
+
+
 def op3_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 400-byte string standing elsewhere covers, and a digest of the rest."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
@@ -27,9 +32,14 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; hosts without a rule are judged by the cascade of listed names."""
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.listed_keys(spark), urlfilter.RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers}
+    return {"op1_warc_segments": op1_warc_segments, "op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op10_bloom_cascade": op10_bloom_cascade}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_segments": warc.oracle(), "op10_bloom_cascade": urlfilter.oracle()}
