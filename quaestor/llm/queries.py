@@ -7,15 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import outliers, repeats, simhash, urlfilter, warc
+from . import outliers, pieces, repeats, simhash, urlfilter, warc
 from .common import table
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back, segments reassembled."""
     return warc.roundtrip(table(spark, sf_dir, "pages"), min_revisit=0)
 
 
+def op2_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text with begin and end ids, and the text decoded from them, as digests."""
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), outputs=False)
+
+
 def op3_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 400-byte string standing elsewhere covers, and a digest of the rest."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
@@ -38,7 +49,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc_segments": op1_warc_segments, "op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op10_bloom_cascade": op10_bloom_cascade}
+    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op10_bloom_cascade": op10_bloom_cascade}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -258,8 +258,8 @@ def oracle() -> str:
 with p as (select page_id, encode(coalesce(html, '')) as h from pages),
      d as (select page_id, octet_length(h) as n, sha1(h) as x from p),
      f as (select x, n, min(page_id) as first from d group by x, n),
-     bits as (select x, list_aggregate(list_transform(string_split(x, ''), c -> lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), 'string_agg', '') as b from (select distinct x from d)),
-     spelt as (select x, list_aggregate(list_transform(range(32), i ->
+     bits as (select x, list_aggregate(list_transform(string_split(x, ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), 'string_agg', '') as b from (select distinct x from d)),
+     spelt as (select x, list_aggregate(list_transform(range(32), lambda i:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 1 + 16 * cast(substr(b, 5 * i + 1, 1) as int) + 8 * cast(substr(b, 5 * i + 2, 1) as int) + 4 * cast(substr(b, 5 * i + 3, 1) as int)
                   + 2 * cast(substr(b, 5 * i + 4, 1) as int) + cast(substr(b, 5 * i + 5, 1) as int), 1)), 'string_agg', '') as payload_digest from bits)
