@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, outliers, pieces, repeats, simhash, urlfilter, warc
+from . import langid, leaks, outliers, pieces, repeats, simhash, urlfilter, warc
 from .common import table
 
 
@@ -43,6 +43,11 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op8_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, or a close paraphrase of one: a row per document and item."""
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document from text, declaration and host evidence; kept false where none is clear."""
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -54,7 +59,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade}
+    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op8_latent_leaks": op8_latent_leaks, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade}
 
 
 def oracle_sql() -> dict[str, str]:
