@@ -288,6 +288,9 @@ def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 2
     marks = []
     cell = F.struct("key", "start", "len", "anchor")
     for width in (NARROW, 1, 0):
+        # grams that stand once are most of all; joins by sort and merge at every size, so that the plan doesn't change with it
+        twice = now.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        now = written(now.join(twice.hint("merge"), "key", "left_semi"), "live")
         contexts = now.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len", "anchor")).alias("rep"))
         contexts = written(contexts, "contexts")
         per_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -299,7 +302,7 @@ def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 2
         # several contexts of one gram: one copy of each goes to the index
         few = contexts.join(per_key.where(F.col("m") <= hot).select("key"), "key").select("key", "rep.*")
         lists = few.groupBy("id").agg(F.collect_list(cell).alias("cells"))
-        bodies = texts.join(lists, "id").select("id", "text", "cells").mapInArrow(_fetch, "key bigint, id bigint, start bigint, body binary")
+        bodies = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch, "key bigint, id bigint, start bigint, body binary")
         found = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "id bigint, a bigint, b bigint")
         marks.append(written(found, "marks"))
         many = per_key.where(F.col("m") > hot).select("key")
@@ -348,7 +351,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a)] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = texts.join(found, F.col("id") == F.col("_id"), "left").select("id", "text", "spans")
+    joined = texts.join(found.hint("merge"), F.col("id") == F.col("_id"), "left").select("id", "text", "spans")
     kind = docs.schema[id_col].dataType.simpleString()
     out = joined.mapInArrow(run, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     return out.withColumnRenamed("id", id_col)
