@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import string
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from .common import spread, written
 
 WORDS = 1 << 16
 META = 1 << 12
-SHAPE = 6
+SHAPE = 8
 _PUNCT = string.punctuation.encode()
 _UPPER = string.ascii_uppercase.encode()
 _DIGITS = string.digits.encode()
@@ -51,11 +52,12 @@ def text_features(text: str, buckets: _Buckets) -> tuple[np.ndarray, list[float]
     """(sorted distinct buckets, shape statistics)."""
     raw = text.encode()
     words = text.lower().encode().translate(_ONLY_WORDS).split()
-    different = set(words)
+    different = Counter(words)
+    lone = different.most_common(1)[0][1] if words else 0
     runs = {b"!" + x for x in raw.translate(_ONLY_PUNCT).split()}
-    idx = np.unique(np.fromiter(map(buckets.__getitem__, different | runs), dtype=np.int32))
+    idx = np.unique(np.fromiter(map(buckets.__getitem__, different.keys() | runs), dtype=np.int32))
     n, size = max(1, len(words)), max(1, len(raw))
-    shape = [(len(raw) - len(raw.translate(None, _UPPER))) / size, (len(raw) - len(raw.translate(None, _PUNCT))) / size, (len(raw) - len(raw.translate(None, _DIGITS))) / size, len(different) / n, np.log1p(len(words)) / 10, sum(map(len, different)) / max(1, len(different)) / 10]
+    shape = [(len(raw) - len(raw.translate(None, _UPPER))) / size, (len(raw) - len(raw.translate(None, _PUNCT))) / size, (len(raw) - len(raw.translate(None, _DIGITS))) / size, len(different) / n, np.log1p(len(words)) / 10, sum(map(len, different)) / max(1, len(different)) / 10, lone / n, raw.count(b" | ") / n]
     return idx, shape
 
 
@@ -95,7 +97,7 @@ class Linear:
         own = np.repeat(np.arange(len(n)), n)
         return np.bincount(own, weights=self.w[flat], minlength=len(n)) / np.sqrt(np.maximum(n, 1)) + dense @ self.v + self.b
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, steps: int = 200, ridge: float = 1e-3) -> Linear:
+    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, steps: int = 200, ridge: float = 1e-5) -> Linear:
         n = np.array([len(r[0]) for r in rows])
         off, flat = np.r_[0, np.cumsum(n)], np.concatenate([r[0] for r in rows])
         own = np.repeat(np.arange(len(n)), n)
@@ -106,8 +108,8 @@ class Linear:
         for _ in range(steps):  # Adagrad on the whole set
             p = 1 / (1 + np.exp(-np.clip(self.score(flat, off, dense), -30, 30)))
             err = (p - labels) * weights
-            dw = np.bincount(flat, weights=(err * scale)[own], minlength=len(self.w)) + ridge * self.w / len(rows)
-            dv, db = err @ dense, err.sum()
+            dw = np.bincount(flat, weights=(err * scale)[own], minlength=len(self.w)) + ridge * self.w
+            dv, db = err @ dense + ridge * self.v, err.sum()
             gw, gv, gb = gw + dw * dw, gv + dv * dv, gb + db * db
             self.w, self.v, self.b = self.w - 0.5 * dw / np.sqrt(gw), self.v - 0.5 * dv / np.sqrt(gv), self.b - 0.5 * db / np.sqrt(gb)
         return self
@@ -120,11 +122,10 @@ def _platt(score: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     x, theta = np.stack([score, np.ones_like(score)], axis=1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, x.T @ (p - target) + 1e-3 * (theta - [1.0, 0.0]))
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1.0, 1e-3])
+        step = np.linalg.solve(hess, x.T @ (p - target) + [theta[0] - 0.5, 1e-3 * theta[1]])
         theta = theta - step
-        if abs(step).max() < 1e-8:
-            break
+        theta[0] = min(max(theta[0], 0.0), 5.0)  # a view's score never counts against itself
     return float(theta[0]), float(theta[1])
 
 
@@ -148,7 +149,7 @@ def _scores(found: DataFrame, text: Linear, meta: Linear) -> DataFrame:
     return found.select("id", "words", "shape", "meta").mapInArrow(run, f"id {kind}, text_score double, meta_score double")
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", sample: int = 4000, grow: int = 150, rounds: int = 3, sure: float = 0.9, threshold: float = 0.3) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", sample: int = 6000, grow: int = 150, rounds: int = 3, sure: float = 0.9, threshold: float = 0.2) -> DataFrame:
     """One row per document: id, text_prob, meta_prob, prob (of being good), kept."""
     found = written(features(docs, id_col, text_col, lang_col, source_col), "features")
     good = F.when(F.col("quality").isNotNull(), ((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1)).cast("int"))
@@ -169,8 +170,8 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     def fitted() -> list[Linear]:
         out = []
-        for v, (size, dense) in enumerate(((WORDS, SHAPE), (META, 0))):
-            out.append(Linear(size, dense).fit([x[0] for x in sets[v]], np.array([x[1] for x in sets[v]], float), np.array([x[2] for x in sets[v]])))
+        for v, (size, dense, ridge) in enumerate(((WORDS, SHAPE, 1e-5), (META, 0, 1e-2))):  # a few metadata values are learned by heart otherwise
+            out.append(Linear(size, dense).fit([x[0] for x in sets[v]], np.array([x[1] for x in sets[v]], float), np.array([x[2] for x in sets[v]]), ridge=ridge))
         return out
 
     def held_scores(models: list[Linear]) -> tuple[list[np.ndarray], np.ndarray]:
