@@ -36,40 +36,63 @@ from .common import work_path, written
 from .warc import _opened
 
 BLOCK = 4096
-FRAME = 1 << 22
+FRAME = 1 << 23
 SLOTS = 11  # bits of a context table
 TOTAL0 = 18  # bits of order-0 frequencies
 MAGIC = b"IDCM0001"
-_SAFE = re.compile("[^\t\n\r\x0b\x0c -~¡-¬®-įı-ɏ]|<\\|")
-_LOW = np.uint64((1 << 24) - 1)
-_24 = np.uint64(24)
-_EDGE = np.uint64(1 << 24)
+_SAFE = re.compile("[^\t\n\r\x0b\x0c -~¡-¬®-±´-¸º»¿-įı-ɏ]|<\\|")
+#: The tokenizer's split, for the characters that _SAFE lets through.
+_PARTS = re.compile(r"[^\W\d_]+|\d|'s|'t|'re|'ve|'m|'ll|'d|(?:[^\w\s]|_)+")
+_LOW = (1 << 24) - 1
+_EDGE = 1 << 24
 
 
 class WordIds:
-    """Ids of a text by a table of its white-space separated words, as little-endian uint16."""
+    """Ids of a text by tables of its white-space separated words and of their parts, as little-endian uint16.
 
-    def __init__(self, path: str, most: int = 300_000):
+    The library splits a word into runs of letters, single digits and runs of other signs, and codes each by itself with a
+    token that ends a word last. New parts go to the library in one line; the ending tokens tell them apart.
+    """
+
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        if self.lib.get_vocab_size() > 1 << 16:
+        size = self.lib.get_vocab_size()
+        if size > 1 << 16:
             raise ValueError("ids beyond 16 bits")
-        self.table: dict[str, bytes] = {}
+        self.ends = np.array([(self.lib.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.most = most
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u2")
+
+    def _learn(self, new: list[str]) -> None:
+        split = [_PARTS.findall(w) for w in new]
+        parts = list({p for own in split for p in own if p not in self.parts})
+        for a in range(0, len(parts), 2000):
+            some = parts[a : a + 2000]
+            ids = self._ids(" ".join(some))
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(some):
+                raise ValueError("a part of a word without its ending token")
+            raw = ids.tobytes()
+            self.parts.update((p, raw[2 * s : 2 * e]) for p, s, e in zip(some, [0, *cut[:-1].tolist()], cut.tolist(), strict=True))
+        known = self.parts
+        self.words.update((w, b"".join([known[p] for p in own])) for w, own in zip(new, split, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.table) > self.most:
-            self.table.clear()
-        table = self.table
+        if len(self.words) > self.most:
+            self.words.clear()
+            self.parts.clear()
+        words = self.words
         split = [None if _SAFE.search(t) else t.lower().split() for t in texts]
-        new = list({w for own in split if own for w in own if w not in table})
+        new = list({w for own in split if own for w in own if w not in words})
         if new:
-            table.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(new, self.lib.encode_batch(new, add_special_tokens=False), strict=True))
-        return [self._ids(t) if own is None else b"".join([table[w] for w in own]) for t, own in zip(texts, split, strict=True)]
+            self._learn(new)
+        return [self._ids(t).tobytes() if own is None else b"".join([words[w] for w in own]) for t, own in zip(texts, split, strict=True)]
 
 
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,43 +106,46 @@ def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Model:
-    """Adaptive state of many blocks side by side."""
+    """Adaptive state of many blocks side by side; 64-bit integers throughout, so that nothing is converted a step."""
 
     def __init__(self, lanes: int):
         self.one = np.zeros(lanes << SLOTS, np.uint16)  # id + 1 that last followed, 0 for none; ids reach 65534
         self.two = np.zeros(lanes << SLOTS, np.uint16)
-        self.hit = np.full(lanes << 4, 1 << 14, np.int32)
-        self.second = np.full(lanes, 1 << 13, np.int32)
-        self.base = np.arange(lanes, dtype=np.int32) << SLOTS
-        self.base4 = np.arange(lanes, dtype=np.int32) << 4
-        self.before = np.zeros(lanes, np.int32)
-        self.last = np.zeros(lanes, np.int32)
-        self.was = np.zeros(lanes, np.int32)
+        self.hit = np.full(lanes << 4, 1 << 14, np.int64)
+        self.second = np.full(lanes, 1 << 13, np.int64)
+        self.base = np.arange(lanes, dtype=np.int64) << SLOTS
+        self.base4 = np.arange(lanes, dtype=np.int64) << 4
+        self.before = np.zeros(lanes, np.int64)
+        self.last = np.zeros(lanes, np.int64)
+        self.was = np.zeros(lanes, np.int64)
 
     def predict(self, n: int):
-        """For the first n lanes: first choice, second choice (0: none) and their shares of 2^16."""
+        """For the first n lanes: first choice, second choice (0: none) and their shares of 2^16.
+
+        Shares move a sixteenth of the way to a bound within (0, 2^16) each time, so each of the three stays above 0.
+        """
         mask = (1 << SLOTS) - 1
-        self.at1 = self.base[:n] + ((self.last[:n] * 40503 >> 3) & mask)
-        self.at2 = self.base[:n] + (((self.last[:n] * 40503 >> 2) ^ (self.before[:n] * 30011 >> 4)) & mask)
-        p1, p2 = self.one[self.at1], self.two[self.at2]
-        has2, has1, same = p2 > 0, p1 > 0, p1 == p2
+        mixed = self.last[:n] * 40503
+        self.at1 = self.base[:n] + (mixed >> 3 & mask)
+        self.at2 = self.base[:n] + ((mixed >> 2 ^ self.before[:n] * 30011 >> 4) & mask)
+        p1, p2 = self.one[self.at1].astype(np.int64), self.two[self.at2].astype(np.int64)
+        has2, same = p2 > 0, p1 == p2
         first = np.where(has2, p2, p1)
-        second = np.where(has2 & ~same, p1, 0)
-        self.at3 = self.base4[:n] + (has2 + 2 * has1 + 4 * same + self.was[:n])
-        self.share = self.hit[self.at3]
-        f1 = np.clip(self.share, 32, 65536 - 128)
-        f2 = np.where(second > 0, np.maximum((65536 - f1) * (self.second[:n] >> 1) >> 15, 1), 0)
+        second = p1 * (has2 & ~same)
+        self.at3 = self.base4[:n] + self.was[:n] + has2 + ((p1 > 0) * 2 + same * 4)
+        f1 = self.hit[self.at3]
+        f2 = (second > 0) * (1 + ((65536 - f1) * self.second[:n] >> 16))
+        self.share = f1
         return first, second, f1, f2
 
     def update(self, n: int, value: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, second: np.ndarray) -> None:
         """value: id + 1."""
-        self.hit[self.at3] = self.share + (((hit1.astype(np.int32) << 16) - self.share) >> 4)
+        self.hit[self.at3] = self.share + (hit1 * 64952 + 48 - self.share >> 4)
         old = self.second[:n]
-        tried = (second > 0) & ~hit1
-        self.second[:n] = np.where(tried, old + (((hit2.astype(np.int32) * 60000) - old) >> 4), old)
+        old += ((second > 0) & ~hit1) * (hit2 * 59952 + 48 - old >> 4)
         self.one[self.at1] = value
         self.two[self.at2] = value
-        self.was[:n] = hit1.astype(np.int32) << 3
+        self.was[:n] = hit1 * 8
         self.before[:n] = self.last[:n]
         self.last[:n] = value
 
@@ -129,12 +155,12 @@ def encode_blocks(ids: np.ndarray, freq_of: np.ndarray, cum_of: np.ndarray) -> l
     lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
-    grid = np.zeros((lanes, BLOCK), np.int32)
+    grid = np.zeros((lanes, BLOCK), np.int64)
     grid.ravel()[: len(ids)] = ids + 1
     grid = np.ascontiguousarray(grid.T)
     tail = len(ids) - (lanes - 1) * BLOCK
     model = _Model(lanes)
-    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
+    low, rng = np.zeros(lanes, np.int64), np.full(lanes, (1 << 48) - 1, np.int64)
     out = np.zeros((lanes, BLOCK * 3 // 2 + 8), np.uint32)
     flat, width = out.ravel(), out.shape[1]
     put = np.arange(lanes, dtype=np.int64) * width
@@ -144,10 +170,10 @@ def encode_blocks(ids: np.ndarray, freq_of: np.ndarray, cum_of: np.ndarray) -> l
         at = np.flatnonzero(rng < _EDGE)
         if len(at):
             lane = at if which is None else which[at]
-            flat[put[lane]] = low[at] >> _24
+            flat[put[lane]] = low[at] >> 24
             put[lane] += 1
-            low[at] = (low[at] & _LOW) << _24
-            rng[at] <<= _24
+            low[at] = (low[at] & _LOW) << 24
+            rng[at] <<= 24
 
     for step in range(BLOCK):
         n = lanes if step < tail else lanes - 1
@@ -158,23 +184,24 @@ def encode_blocks(ids: np.ndarray, freq_of: np.ndarray, cum_of: np.ndarray) -> l
         hit1 = first == value
         hit2 = (second == value) & ~hit1
         lo, rg = low[:n], rng[:n]
-        r = rg >> np.uint64(16)
-        lo += r * np.where(hit1, 0, np.where(hit2, f1, f1 + f2)).astype(np.uint64)
-        rg[:] = r * np.where(hit1, f1, np.where(hit2, f2, 65536 - f1 - f2)).astype(np.uint64)
+        miss = ~(hit1 | hit2)
+        r = rg >> 16
+        lo += r * (f1 * ~hit1 + f2 * miss)
+        rg[:] = r * (f1 * hit1 + f2 * hit2 + (65536 - f1 - f2) * miss)
         shift(lo, rg, None)
-        other = np.flatnonzero(~(hit1 | hit2))
+        other = np.flatnonzero(miss)
         if len(other):
             v = value[other] - 1
-            lo2, r = lo[other], rg[other] >> np.uint64(TOTAL0)
+            lo2, r = lo[other], rg[other] >> TOTAL0
             lo2 += r * cum_of[v]
             rg2 = r * freq_of[v]
             shift(lo2, rg2, other)
             lo[other], rg[other] = lo2, rg2
         model.update(n, value, hit1, hit2, second)
     for _ in range(2):
-        flat[put] = low >> _24
+        flat[put] = low >> 24
         put += 1
-        low = (low & _LOW) << _24
+        low = (low & _LOW) << 24
     used = put - np.arange(lanes) * width
     carry = np.zeros(lanes, np.uint32)
     for k in range(int(used.max()) - 1, -1, -1):
@@ -190,15 +217,15 @@ def decode_blocks(blocks: list[bytes], total: int, freq_of: np.ndarray, cum_of:
     if not lanes:
         return np.zeros(0, np.int32)
     width = max(map(len, blocks)) // 3 + 4
-    digits = np.zeros((lanes, width), np.uint64)
+    digits = np.zeros((lanes, width), np.int64)
     for i, b in enumerate(blocks):
-        d = np.frombuffer(b, np.uint8).reshape(-1, 3).astype(np.uint64)
-        digits[i, : len(d)] = d[:, 0] << np.uint64(16) | d[:, 1] << np.uint64(8) | d[:, 2]
+        d = np.frombuffer(b, np.uint8).reshape(-1, 3).astype(np.int64)
+        digits[i, : len(d)] = d[:, 0] << 16 | d[:, 1] << 8 | d[:, 2]
     flat = digits.ravel()
     take = np.arange(lanes, dtype=np.int64) * width
-    x = flat[take] << _24 | flat[take + 1]
+    x = flat[take] << 24 | flat[take + 1]
     take += 2
-    rng = np.full(lanes, (1 << 48) - 1, np.uint64)
+    rng = np.full(lanes, (1 << 48) - 1, np.int64)
     grid = np.zeros((BLOCK, lanes), np.int32)
     tail = total - (lanes - 1) * BLOCK
     model = _Model(lanes)
@@ -207,9 +234,9 @@ def decode_blocks(blocks: list[bytes], total: int, freq_of: np.ndarray, cum_of:
         at = np.flatnonzero(rng < _EDGE)
         if len(at):
             lane = at if which is None else which[at]
-            x[at] = x[at] << _24 | flat[take[lane]]
+            x[at] = x[at] << 24 | flat[take[lane]]
             take[lane] += 1
-            rng[at] <<= _24
+            rng[at] <<= 24
 
     for step in range(BLOCK):
         n = lanes if step < tail else lanes - 1
@@ -217,18 +244,19 @@ def decode_blocks(blocks: list[bytes], total: int, freq_of: np.ndarray, cum_of:
             break
         first, second, f1, f2 = model.predict(n)
         xs, rg = x[:n], rng[:n]
-        r = rg >> np.uint64(16)
-        v = (xs.astype(np.float64) / r.astype(np.float64)).astype(np.int32)  # under 2^17: the quotient's floor is exact
+        r = rg >> 16
+        v = (xs / r).astype(np.int64)  # a quotient under 2^17 of numbers under 2^48: its floor is exact in double precision
         hit1 = v < f1
-        hit2 = ~hit1 & (v < f1 + f2)
-        xs -= r * np.where(hit1, 0, np.where(hit2, f1, f1 + f2)).astype(np.uint64)
-        rg[:] = r * np.where(hit1, f1, np.where(hit2, f2, 65536 - f1 - f2)).astype(np.uint64)
+        miss = v >= f1 + f2
+        hit2 = ~(hit1 | miss)
+        xs -= r * (f1 * ~hit1 + f2 * miss)
+        rg[:] = r * (f1 * hit1 + f2 * hit2 + (65536 - f1 - f2) * miss)
         shift(xs, rg, None)
-        value = np.where(hit1, first, second).astype(np.int32)
-        other = np.flatnonzero(~(hit1 | hit2))
+        value = np.where(hit1, first, second)
+        other = np.flatnonzero(miss)
         if len(other):
-            x2, r = xs[other], rg[other] >> np.uint64(TOTAL0)
-            q = np.minimum((x2.astype(np.float64) / r.astype(np.float64)).astype(np.int64), (1 << TOTAL0) - 1)
+            x2, r = xs[other], rg[other] >> TOTAL0
+            q = np.minimum((x2 / r).astype(np.int64), (1 << TOTAL0) - 1)
             got = id_at[q]
             x2 -= r * cum_of[got]
             rg2 = r * freq_of[got]
@@ -242,10 +270,10 @@ def decode_blocks(blocks: list[bytes], total: int, freq_of: np.ndarray, cum_of:
 
 def _tables(present: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = int(present.max(initial=0)) + 1
-    freq_of, cum_of = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+    freq_of, cum_of = np.zeros(size, np.int64), np.zeros(size, np.int64)
     freq_of[present] = freq
     cum_of[present] = np.cumsum(freq) - freq
-    return freq_of, cum_of, np.repeat(present, freq).astype(np.int32)
+    return freq_of, cum_of, np.repeat(present, freq)
 
 
 def pack_frame(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> bytes:

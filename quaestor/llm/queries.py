@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, langid, leaks, outliers, pieces, repeats, simhash, urlfilter, warc
+from . import cotrain, idcoder, langid, leaks, outliers, pieces, repeats, simhash, urlfilter, warc
 from .common import table
 
 
@@ -29,7 +29,7 @@ def op2_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 400-byte string standing elsewhere covers, and a digest of the rest."""
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept_text")
 
 
 def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text written to range-coded files and read back: place, count and checksum of each document's."""
+    return idcoder.roundtrip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+
+
 def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -64,7 +69,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op4_cotrained_quality": op4_cotrained_quality, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op8_latent_leaks": op8_latent_leaks, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade}
+    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op4_cotrained_quality": op4_cotrained_quality, "op5_context_mixing_coder": op5_context_mixing_coder, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op8_latent_leaks": op8_latent_leaks, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -333,10 +333,17 @@ def cut(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 2000) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 2000, carry: list[str] | None = None) -> DataFrame:
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns ``carry``.
+
+    kept_text is the remaining bytes as text; a character that was cut into is left out.
+    """
+    carry = [c for c in (carry or []) if c != id_col]
     found = spans(docs, id_col, text_col, length, hot).select(F.col("id").alias("_id"), "spans")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    told = [F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)]
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *told)
+    keep = ["id", *[f"_c{k}" for k in range(len(carry))]]
+    names = [*keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,12 +353,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     raw = (t.as_py() or "").encode()
                     runs = merged([(x["a"], x["b"]) for x in s.as_py() or []])
                     kept = cut(raw, runs) if runs else raw
-                    rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
+                    rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a)] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                kinds = [pa.int64()] * 3 + [pa.string()] * 2
+                yield pa.RecordBatch.from_arrays([batch.column(k).slice(a, b - a) for k in keep] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    joined = texts.join(found.hint("merge"), F.col("id") == F.col("_id"), "left").select("id", "text", "spans")
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = joined.mapInArrow(run, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
-    return out.withColumnRenamed("id", id_col)
+    joined = texts.join(found.hint("merge"), F.col("id") == F.col("_id"), "left").select(*keep, *(["text"] if "text" not in keep else []), "spans")
+    own = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keep)
+    out = joined.mapInArrow(run, f"{own}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    return out.select(F.col("id").alias(id_col), *[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *names[len(keep) :])

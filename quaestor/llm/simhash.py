@@ -186,10 +186,11 @@ def _linker(words: int, limit: int):
 def links(classes: DataFrame, words: int = 1, limit: int = 4, block_limit: int = 2, hot: int = 50_000) -> DataFrame:
     """Links (a, b) between the different fingerprints ``fp`` of classes that differ in at most ``limit`` bits.
 
-    Complete if limit <= (block_limit + 1) * 2 * words - 1; the links form a spanning forest per anchor.
+    Complete if limit <= (block_limit + 1) * 2 * words - 1; the links form a spanning forest per anchor. Beyond, a pair is
+    found if any of its 2 * words blocks differs in at most block_limit bits (or happens to share an anchor).
     """
     near = flip_table(1 + (block_limit + 1) // 2)
-    wide = flip_table(1 + (limit + 1) // 2) if limit <= 6 else flip_table(4)
+    wide = flip_table(1 + (limit + 1) // 2) if words == 1 else near
     cols = [f"w{i}" for i in range(words)]
     kinds = "k0 bigint, k1 bigint, " + ", ".join(f"{c} bigint" for c in cols)
 
@@ -254,6 +255,24 @@ def components(edges: DataFrame) -> DataFrame:
         now = written(smaller(larger(now)), "stars")
 
 
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, words: int = 4, limit: int = 42, hot: int = 50_000) -> DataFrame:
+    """(id, component_id) for near-duplicates by similarity, not by a contract's bit count: long fingerprints.
+
+    With p = limit / (64 * words), linked texts have shingle multisets at cosine cos(pi * p) or more, estimated; the default
+    42 of 256 bits is cosine 0.87, a Jaccard similarity of about 0.8. Wordless texts are linked to each other only.
+    """
+    few = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body"))
+    marked = written(fingerprints(few, ["_id"], "_body", width, words), "fingerprints")
+    classes = written(marked.groupBy("fp").agg(F.min("_id").alias("first_id")), "classes")
+    edges = written(links(classes.select("fp"), words, limit, 2, hot).distinct(), "links")
+    roots = components(edges)
+    tree = roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
+    placed = classes.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = written(placed.join(least, "root").select("fp", "component_id"), "named")
+    return marked.join(named, "fp").select(F.col("_id").alias(id_col), "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, limit: int = 4, hot: int = 50_000) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id (least id reachable by links of at most ``limit`` bits)."""
     few = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body"))
