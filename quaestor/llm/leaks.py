@@ -1,11 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval (operator 8).
 
 The terms are the words of the benchmark: no other term can add to the inner product of a passage with an item. Passages
-of PASSAGE words of all documents give document frequencies; words in over a tenth of the passages are stop words.
+of PASSAGE words of all documents give document frequencies; words in over ``stop_share`` of the passages are stop words.
 
 1. Randomised SVD: the unit TF-IDF rows A of all passages, and the items' rows weighted to the same total energy, are
-   never gathered. Z = A'(A Omega) is summed per task, then per term; two rounds and a QR give the latent axes. The driver
-   holds terms x axes numbers, bounded by ``block`` items at a time, whatever the corpus.
+   never gathered. Z = A'(A Omega) is summed per task, then per term; its QR gives the latent axes. The driver holds terms x axes numbers, bounded by ``block`` items at a time, whatever the corpus.
 2. Cosine candidates: windows of 2 x STEP words, every STEP words, of every document against all items of the block, a
    matrix product in each task; the window's length along the item must also reach ``along`` of the item's. No cap on the candidates of a document or an item.
 3. Checks on the whole words of candidate documents around the window: longest common subsequence with the item at least
@@ -206,7 +205,7 @@ def _vectors(terms: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
 
 
 def latent_axes(found: DataFrame, block: Block, weight: np.ndarray, passages: int, axes: int) -> np.ndarray:
-    """terms x axes: right singular vectors of the passages and items, by randomised subspace iteration."""
+    """terms x axes: right singular vectors of the passages and items, from the range of A'A on random vectors."""
     n = len(weight)
     axes = min(axes, n)
     own = np.concatenate([np.full(len(ws), k) for k, (_, ws) in enumerate(block.items)])
@@ -215,12 +214,10 @@ def latent_axes(found: DataFrame, block: Block, weight: np.ndarray, passages: in
     row, term, value = _unit_rows(own[used], term[used], weight)
     share = passages / max(1, int(row.max(initial=0)) + 1)
     basis = np.random.default_rng(8).standard_normal((n, axes)).astype(np.float32)
-    for _ in range(2):
-        image = _normal_product(found, weight, basis)
-        terms, rows = _gram(row, term, value, basis)
-        image[terms] += share * rows
-        basis = np.linalg.qr(image)[0].astype(np.float32)
-    return basis
+    image = _normal_product(found, weight, basis)
+    terms, rows = _gram(row, term, value, basis)
+    image[terms] += share * rows
+    return np.linalg.qr(image)[0].astype(np.float32)
 
 
 def _candidates(found: DataFrame, image: np.ndarray, items: np.ndarray, least: np.ndarray, cosine: float) -> DataFrame:
@@ -232,12 +229,15 @@ def _candidates(found: DataFrame, image: np.ndarray, items: np.ndarray, least: n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, place, term, ids in _flat_lists(batch):
-                span = int(place.max()) // STEP + 2
-                window = own * span + place // STEP + 1
-                window = np.r_[window, window - 1]  # the window that begins a step earlier holds the word too
-                order = np.argsort(window, kind="stable")
-                keys, first = np.unique(window[order], return_index=True)
-                vectors = np.add.reduceat(image[np.r_[term, term][order]], first, axis=0)
+                span = int(place.max()) // STEP + 3
+                step = own * span + place // STEP + 1  # from 1, so that the window that begins a step earlier has a key
+                order = np.argsort(step, kind="stable")
+                steps, first = np.unique(step[order], return_index=True)
+                sums = np.add.reduceat(image[term[order]], first, axis=0)
+                keys = np.union1d(steps, steps - 1)
+                vectors = np.zeros((len(keys), sums.shape[1]), np.float32)
+                vectors[np.searchsorted(keys, steps)] = sums
+                vectors[np.searchsorted(keys, steps - 1)] += sums
                 size = np.sqrt((vectors * vectors).sum(axis=1))
                 for a in range(0, len(keys), 4096):
                     along = vectors[a : a + 4096] @ items.T
@@ -275,10 +275,10 @@ def _checked(docs: DataFrame, candidates: DataFrame, block: Block, lcs: float, l
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "item_id", "lcs", "answer", "at_word"])
 
     lists = candidates.distinct().groupBy("id").agg(F.collect_list(F.struct("item", "at")).alias("found"))
-    return docs.join(lists, "id").select("id", "text", "found").mapInArrow(run, "id bigint, item_id bigint, lcs double, answer double, at_word int")
+    return docs.join(lists.hint("merge"), "id").select("id", "text", "found").mapInArrow(run, "id bigint, item_id bigint, lcs double, answer double, at_word int")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", axes: int = 160, cosine: float = 0.5, along: float = 0.4, lcs: float = 0.8, loose: float = 0.6, least_words: int = 5, block: int = 512, stop_share: float = 0.1) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", axes: int = 128, cosine: float = 0.5, along: float = 0.4, lcs: float = 0.8, loose: float = 0.6, least_words: int = 5, block: int = 512, stop_share: float = 0.03) -> DataFrame:
     """One row per contaminated document and item: id, item_id, lcs, answer, at_word."""
     spark = docs.sparkSession
     texts = spread(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")))
