@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+_BEFORE: list[Callable[[], None]] = []
+
+
+def before(f: Callable[[], None]) -> Callable[[], None]:
+    """Register what is to run before a query: column expressions need a session, names and SQL don't."""
+    _BEFORE.append(f)
+    return f
 
 
 class Tables:
@@ -24,7 +31,12 @@ def query(name: str, sql: str | None = None):
     """Register a function of Tables under a name."""
 
     def keep(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            for make in _BEFORE:
+                make()
+            return f(Tables(spark, folder))
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return f

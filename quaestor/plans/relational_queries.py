@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import relational as R
-from .registry import Tables, query
+from .registry import Tables, before, query
 
 
 def paragraphs(t: Tables) -> DataFrame:
@@ -49,8 +49,13 @@ query("flt_judges_or", "select doc_id from documents where source in (select dis
     lambda t: t.documents.join(t.documents.where(F.col("source").endswith("1")).select("source").distinct(), "source", "left_semi").select("doc_id")
 )
 query("flt_flags", "select doc_id from labels where quality = 1 and toxic = 0")(lambda t: t.labels.where("quality = 1 and toxic = 0").select("doc_id"))
-ORGAN = "concat(1 + doc_id % 12, 'ª CJM')"
-organ = F.concat((1 + F.col("doc_id") % 12).cast("string"), F.lit("ª CJM"))
+@before
+def columns() -> None:
+    """Stand-in inputs of the queries below, made anew for each session."""
+    global organ
+    organ = F.concat((1 + F.col("doc_id") % 12).cast("string"), F.lit("ª CJM"))
+
+
 query("flt_organ_prefix_boundary", "select doc_id from documents where 1 + doc_id % 12 = 1")(lambda t: t.documents.where(T.fold_ordinal(organ).rlike(r"(?<![0-9a-z])1a cjm")).select("doc_id"))
 query("flt_verify_pushdown", "select count(*) as rows, count(*) filter (where lang <> 'fr') as wrong from documents where lang = 'fr'")(
     lambda t: t.documents.where("lang = 'fr'").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lang") != "fr").alias("wrong"))

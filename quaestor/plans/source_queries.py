@@ -10,7 +10,7 @@ from ..operators import segment as G
 from ..sources import files as S
 from ..sources import html as H
 from ..streaming import logs as L
-from .registry import Tables, query
+from .registry import Tables, before, query
 
 
 def _docx(t: Tables, tables: bool) -> DataFrame:
@@ -18,6 +18,20 @@ def _docx(t: Tables, tables: bool) -> DataFrame:
     return t.nation.select(F.concat(F.col("n_nationkey"), F.lit(".docx")).alias("path"), make("n_name", F.lit("corpo")).alias("content"))
 
 
+@before
+def columns() -> None:
+    """Stand-in inputs of the queries below, made anew for each session."""
+    global MAGIC, BLOCKS, FORM, CARD, JSF, ELASTIC, LIST, NUMBERED
+    MAGIC = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("D0CF11E0A1B11AE10000"))).when(F.col("doc_id") % 3 == 1, F.encode(F.lit("{\\rtf1 x"), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
+    BLOCKS = F.concat(F.lit("[titulo removido] CAP I\n1. Primeiro\nsegue\n\n2. "), F.replace("text", F.lit("\n"), F.lit(" ")))
+    FORM = F.concat(F.lit('<input name="q" value="'), "page_id", F.lit('"/><input name="s" value="x"/><input name="q" value="last"/>'))
+    CARD = F.concat(F.lit("<dl><dt>Relatora:</dt><dd>Ana "), "page_id", F.lit("</dd><dt>Órgão julgador</dt><dd>1&amp;2</dd></dl>"))
+    JSF = F.concat(F.lit('<td id="tabelaDocumentos:0:numero">A'), "page_id", F.lit('</td><td id="tabelaDocumentos:1:ementa"> b  c </td>'))
+    ELASTIC = F.to_json(F.struct(F.col("doc_id").alias("_id"), F.struct(F.col("lang").alias("CLASSE"), F.lit("").alias("RELATOR"), F.col("source").alias("TRIBUNAL")).alias("_source")))
+    LIST = F.concat(F.lit("PODER\n1 - 0800307-06.2025.4.05.8103 - APELAÇÃO CÍVEL\nAPELANTE: A\nEMENTA\nTexto um "), "doc_id", F.lit("\n\n segue\n2 - 0007508-25.2015.4.05.8300 - REMESSA\nEMENTA\nTexto dois\n"))
+    NUMBERED = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n\n")
+
+
 query("src_docx_paragraphs", "select n_nationkey || '.docx' as path, 0 as part, n_name as body from nation union all select n_nationkey || '.docx', 1, 'corpo' from nation")(lambda t: S.binary_texts(_docx(t, False), "docx"))
 query("src_docx_with_tables", "select n_nationkey || '.docx' as path, unnest([0, 1, 2, 3]) as part, unnest([n_name, 'corpo', n_name, 'corpo']) as body from nation")(lambda t: S.binary_texts(_docx(t, True), "docx_tables"))
 
@@ -29,7 +43,6 @@ def _texts(t: Tables) -> str:
 
 
 query("src_text_dispatch", "select 'doc ' || doc_id || ' ' || sha256(text) as line from documents")(lambda t: S.whole_texts(t.spark, _texts(t)).select(F.explode(F.filter(F.split("body", "\n"), lambda x: x != "")).alias("line")))
-MAGIC = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("D0CF11E0A1B11AE10000"))).when(F.col("doc_id") % 3 == 1, F.encode(F.lit("{\\rtf1 x"), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
 query("src_doc_dispatch", "select doc_id, case doc_id % 3 when 0 then 'word97' when 1 then 'rtf' else 'text' end as kind from documents")(lambda t: t.documents.select("doc_id", S.doc_kind(MAGIC).alias("kind")))
 query("src_multipart_pdf", "select doc_id, '%PDF-1.4 ' || doc_id || ' %%EOF' as body from documents")(
     lambda t: t.documents.select("doc_id", F.decode(F.unhex(S.cut_pdf(F.encode(F.concat(F.lit("--b\r\nx\r\n%PDF-1.4 "), "doc_id", F.lit(" %%EOF\r\n--b--")), "UTF-8"))), "UTF-8").alias("body"))
@@ -76,7 +89,6 @@ def _metadata(t: Tables) -> dict[str, DataFrame]:
 
 query("src_metadata_jsonl", "select n_nationkey as id, n_name as name from nation union all select r_regionkey, r_name from region")(lambda t: (m := _metadata(t))["nation"].toDF("id", "name").unionByName(m["region"].toDF("id", "name")))
 query("snk_metadata_jsonl", "select n_nationkey, n_name from nation")(lambda t: _metadata(t)["nation"])
-BLOCKS = F.concat(F.lit("[titulo removido] CAP I\n1. Primeiro\nsegue\n\n2. "), F.replace("text", F.lit("\n"), F.lit(" ")))
 query("src_paragraph_txt", "select doc_id, unnest([1, 2]) as number, unnest(['Primeiro' || chr(10) || 'segue', replace(text, chr(10), ' ')]) as body, unnest(['CAP I', '']) as titles from documents")(
     lambda t: t.documents.select("doc_id", F.explode(S.paragraph_blocks(BLOCKS)).alias("b")).select("doc_id", "b.number", "b.body", F.array_join("b.titles", "|").alias("titles"))
 )
@@ -104,11 +116,8 @@ query("snk_purge_state", "select o_orderkey from orders where o_orderstatus <> '
 
 # --- result pages ----------------------------------------------------------------------------------------------------
 query("src_html_catalogue", r"""select page_id, unnest(regexp_extract_all(html, '(?is)<li[^>]*>\s*<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) as url from pages""")(lambda t: t.pages.select("page_id", F.explode(H.catalogue(F.col("html"))).alias("c")).select("page_id", "c.url"))
-FORM = F.concat(F.lit('<input name="q" value="'), "page_id", F.lit('"/><input name="s" value="x"/><input name="q" value="last"/>'))
 query("src_html_form", "select page_id, 'last' as q, 'x' as s from pages")(lambda t: t.pages.select("page_id", H.form_fields(FORM).alias("m")).select("page_id", F.col("m")["q"].alias("q"), F.col("m")["s"].alias("s")))
-CARD = F.concat(F.lit("<dl><dt>Relatora:</dt><dd>Ana "), "page_id", F.lit("</dd><dt>Órgão julgador</dt><dd>1&amp;2</dd></dl>"))
 query("src_html_cards_label", "select page_id, unnest(['relator', 'orgao_julgador']) as label, unnest(['Ana ' || page_id, '1&2']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.label_values(CARD)).alias("c")).select("page_id", "c.*"))
-JSF = F.concat(F.lit('<td id="tabelaDocumentos:0:numero">A'), "page_id", F.lit('</td><td id="tabelaDocumentos:1:ementa"> b  c </td>'))
 query("src_html_jsf_table", "select page_id, unnest([0, 1]) as pos, unnest(['numero', 'ementa']) as field, unnest(['A' || page_id, 'b c']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).select("page_id", "c.*"))
 query("src_html_jsf_regional", "select page_id, 'A' || page_id as numero from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).where("c.field = 'numero'").select("page_id", F.col("c.value").alias("numero")))
 query("src_html_panels")(lambda t: H.blocks(t.pages))
@@ -136,7 +145,6 @@ def _ordered():
 
 
 # --- nested JSON answers --------------------------------------------------------------------------------------------------
-ELASTIC = F.to_json(F.struct(F.col("doc_id").alias("_id"), F.struct(F.col("lang").alias("CLASSE"), F.lit("").alias("RELATOR"), F.col("source").alias("TRIBUNAL")).alias("_source")))
 query("src_elastic_json", "select doc_id, 2 as fields, source as tribunal from documents")(
     lambda t: t.documents.select("doc_id", F.map_filter(F.from_json(F.get_json_object(ELASTIC, "$._source"), "map<string,string>"), lambda k, v: F.coalesce(v, F.lit("")) != "").alias("m")).select("doc_id", F.size("m").alias("fields"), F.col("m")["TRIBUNAL"].alias("tribunal"))
 )
@@ -151,14 +159,12 @@ query("src_sentencas_json", "select event_id, event_type as kind, cast(json_extr
 query("src_julia_json", "select doc_id, coalesce(nullif(case when doc_id % 3 = 0 then '' else text end, ''), nullif(lang, ''), '') as body from documents")(lambda t: t.documents.select("doc_id", F.coalesce(F.nullif(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), F.lit("")), F.nullif("lang", F.lit("")), F.lit("")).alias("body")))
 
 # --- segmentation -------------------------------------------------------------------------------------------------------
-LIST = F.concat(F.lit("PODER\n1 - 0800307-06.2025.4.05.8103 - APELAÇÃO CÍVEL\nAPELANTE: A\nEMENTA\nTexto um "), "doc_id", F.lit("\n\n segue\n2 - 0007508-25.2015.4.05.8300 - REMESSA\nEMENTA\nTexto dois\n"))
 query("seg_list_strict", "select doc_id, unnest([1, 2]) as ordem, unnest(['0800307-06.2025.4.05.8103', '0007508-25.2015.4.05.8300']) as numero, unnest(['APELAÇÃO CÍVEL', 'REMESSA']) as tipo, unnest(['Texto um ' || doc_id || chr(10) || 'segue', 'Texto dois']) as ementa from documents")(
     lambda t: t.documents.select("doc_id", F.explode(G.cases_strict(LIST)).alias("c")).select("doc_id", "c.*")
 )
 query("seg_list_lenient", "select doc_id, unnest([1, 2]) as ordem, unnest(['0800307-06.2025.4.05.8103', '0007508-25.2015.4.05.8300']) as numero, unnest(['APELAÇÃO CÍVEL', 'REMESSA']) as tipo from documents")(
     lambda t: t.documents.select("doc_id", F.explode(G.cases_lenient(F.replace(LIST, F.lit("25.2015.4.05.8300 - "), F.lit("25.2015.4.05.8300 – ")))).alias("c")).select("doc_id", "c.ordem", "c.numero", "c.tipo")
 )
-NUMBERED = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n\n")
 query("win_monotone_segment")(lambda t: G.paragraphs(t.documents.select("doc_id", NUMBERED.alias("text"))).groupBy("id").agg(F.max("number").alias("paragraphs"), F.sum(F.length("body")).alias("chars")))
 
 # --- streams ---------------------------------------------------------------------------------------------------------------
