@@ -11,8 +11,8 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
    at a time: suffix order, run-length Burrows-Wheeler transform, the two text positions at each run's end as samples and
    their common length. Matching statistics are streamed over the text from the samples alone (a position that is no run
    end has its predecessor's match, one shorter), and windows whose statistic reaches ``length`` are marked.
-4. A gram with more than ``hot`` different contexts is not gathered: its cells are cut to ``NARROW`` starts, keyed by the
-   bytes all of their windows share, and where that is still too common to single windows, which step 2 decides.
+4. A gram with more than ``hot`` different contexts is not gathered: its different contexts are cut to windows, which are
+   counted by their 128-bit hashes, with the number of copies of each context as weights.
 
 Defined results: null text is empty; a text shorter than ``length`` keeps all; rows with equal ids are separate rows in
 step 1 but share their spans, so ids must be unique; a null id is its own document without partners to be cut.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,9 @@ from pyspark.sql import functions as F
 from .common import byte_batches, mix64, spread, utf8_parts, written
 
 GRAM = 32
-NARROW = 16
 PIECE = 1 << 22  # a longer text is cut into pieces of so many window starts
 INDEX_BYTES = 1 << 21
-CELL = "key bigint, c0 bigint, c1 bigint, id bigint, start bigint, len int, anchor int"
+CELL = "key bigint, c0 bigint, c1 bigint, id bigint, start bigint, len int"
 _U = np.uint64
 
 
@@ -88,10 +88,10 @@ def cells(data: np.ndarray, begins: np.ndarray, stops: np.ndarray, length: int)
     return hashes[at[first]], at[first], first, last
 
 
-def _cell_batch(key, ids, starts, lens, anchors, digests) -> pa.RecordBatch:
+def _cell_batch(key, ids, starts, lens, digests) -> pa.RecordBatch:
     halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-    cols = [pa.array(np.asarray(key).view(np.int64)), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids, pa.array(starts), pa.array(np.asarray(lens).astype(np.int32)), pa.array(np.asarray(anchors).astype(np.int32))]
-    return pa.RecordBatch.from_arrays(cols, names=["key", "c0", "c1", "id", "start", "len", "anchor"])
+    cols = [pa.array(np.asarray(key).view(np.int64)), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids, pa.array(starts), pa.array(np.asarray(lens).astype(np.int32))]
+    return pa.RecordBatch.from_arrays(cols, names=["key", "c0", "c1", "id", "start", "len"])
 
 
 def _pieces(batch: pa.RecordBatch, length: int):
@@ -110,7 +110,7 @@ def _deal(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, shift, data, begins, stops in _pieces(batch, length):
-                key, anchor, first, last = cells(data, begins, stops, length)
+                key, _, first, last = cells(data, begins, stops, length)
                 if not len(key):
                     continue
                 raw = data.tobytes()
@@ -119,34 +119,7 @@ def _deal(length: int):
                 own = np.searchsorted(begins, first, side="right") - 1
                 while (bad := stops[own] <= first).any():  # empty texts share a begin
                     own[bad] += 1
-                yield _cell_batch(key, batch.column("id").take(pa.array(rows[own])), first - begins[own] + shift[own], last - first + length, anchor - first, digests)
-
-    return run
-
-
-def _refine(length: int, width: int):
-    """Cells of hot grams, cut at multiples of ``width`` before the anchor; the new key is the hash of the shared bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                raw = batch.column("text")[i].as_py().encode()
-                key, start, lens, anchors, digests = [], [], [], [], []
-                for c in batch.column("cells")[i].as_py():
-                    gram = c["start"] + c["anchor"]
-                    first, last = c["start"], c["start"] + c["len"] - length
-                    far = (gram - first) // width  # blocks of starts, by distance before the anchor
-                    for q in range(far, (gram - last) // width - 1, -1):
-                        a, b = max(first, gram - q * width - width + 1), min(last, gram - q * width)
-                        shared = raw[gram - q * width : gram - q * width - width + 1 + length]
-                        key.append(xxhash.xxh64_intdigest(shared, q))
-                        start.append(a)
-                        lens.append(b - a + length)
-                        anchors.append(gram - a)
-                        digests.append(xxhash.xxh3_128_digest(raw[a : b + length]))
-                if key:
-                    ids = pa.array([batch.column("id")[i].as_py()] * len(key), pa.int64())
-                    yield _cell_batch(np.array(key, np.uint64), ids, np.array(start, np.int64), lens, anchors, digests)
+                yield _cell_batch(key, batch.column("id").take(pa.array(rows[own])), first - begins[own] + shift[own], last - first + length, digests)
 
     return run
 
@@ -248,15 +221,29 @@ def repeated_spans(contexts: list[bytes], length: int) -> list[list[tuple[int, i
     return out
 
 
-def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            raw = (batch.column("text")[i].as_py() or "").encode()
-            found = batch.column("cells")[i].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c["key"] for c in found]), pa.array([batch.column("id")[i].as_py()] * len(found), pa.int64()), pa.array([c["start"] for c in found]), pa.array([raw[c["start"] : c["start"] + c["len"]] for c in found], pa.binary())],
-                names=["key", "id", "start", "body"],
-            )
+def _fetch(length: int):
+    """Contexts of grams for the index as (key, id, start, body); those of hot grams as windows (id, start, c0, c1, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["key", "id", "start", "body", "c0", "c1", "n"]
+        for batch in batches:
+            for name, text, found in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("cells"), strict=True):
+                raw = (text.as_py() or "").encode()
+                rows = []
+                for c in found.as_py():
+                    start, stop = c["start"], c["start"] + c["len"]
+                    if not c["hot"]:
+                        rows.append((c["key"], name, start, raw[start:stop], None, None, c["n"]))
+                        continue
+                    for at in range(start, stop - length + 1):
+                        c0, c1 = struct.unpack("<qq", xxhash.xxh3_128_digest(raw[at : at + length]))
+                        rows.append((None, name, at, None, c0, c1, c["n"]))
+                for k in range(0, len(rows), 20_000):
+                    cols = list(zip(*rows[k : k + 20_000], strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+
+    return run
 
 
 def _index(length: int):
@@ -281,38 +268,29 @@ def _index(length: int):
     return run
 
 
-def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 2000) -> DataFrame:
+def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 250) -> DataFrame:
     """(id, spans): the repeated spans [a, b) in the UTF-8 bytes of each text that has any; they may overlap."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    now = written(spread(texts).mapInArrow(_deal(length), CELL), "cells")
-    marks = []
-    cell = F.struct("key", "start", "len", "anchor")
-    for width in (NARROW, 1, 0):
-        # grams that stand once are most of all; joins by sort and merge at every size, so that the plan doesn't change with it
-        twice = now.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-        now = written(now.join(twice.hint("merge"), "key", "left_semi"), "live")
-        contexts = now.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len", "anchor")).alias("rep"))
-        contexts = written(contexts, "contexts")
-        per_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        per_key = written(per_key, "grams")
-        # contexts that stand twice or more: every member is repeated as a whole
-        again = contexts.where("n > 1").select("key", "c0", "c1")
-        whole = now.join(again, ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b"))
-        marks.append(whole)
-        # several contexts of one gram: one copy of each goes to the index
-        few = contexts.join(per_key.where(F.col("m") <= hot).select("key"), "key").select("key", "rep.*")
-        lists = few.groupBy("id").agg(F.collect_list(cell).alias("cells"))
-        bodies = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch, "key bigint, id bigint, start bigint, body binary")
-        found = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "id bigint, a bigint, b bigint")
-        marks.append(written(found, "marks"))
-        many = per_key.where(F.col("m") > hot).select("key")
-        if not width or many.isEmpty():
-            break
-        lists = now.join(many, "key", "left_semi").groupBy("id").agg(F.collect_list(cell).alias("cells"))
-        now = written(texts.join(lists, "id").select("id", "text", "cells").mapInArrow(_refine(length, width), CELL), "cells")
-    every = marks[0]
-    for m in marks[1:]:
-        every = every.unionByName(m)
+    found = written(spread(texts).mapInArrow(_deal(length), CELL), "cells")
+    # grams that stand once are most of all; joins by sort and merge at every size, so that the plan doesn't change with it
+    twice = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    found = written(found.join(twice.hint("merge"), "key", "left_semi"), "live")
+    contexts = written(found.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len")).alias("rep")), "contexts")
+    # contexts that stand twice or more: every member is repeated as a whole
+    again = contexts.where("n > 1").select("key", "c0", "c1")
+    whole = found.join(again.hint("merge"), ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b"))
+    # several contexts of one gram: one copy of each goes to the index, or in windows to a count
+    per_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
+    few = contexts.join(per_key.hint("merge"), "key").select("key", "n", "hot", "rep.*")
+    lists = few.groupBy("id").agg(F.collect_list(F.struct("key", "start", "len", "n", "hot")).alias("cells"))
+    fetched = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch(length), "key bigint, id bigint, start bigint, body binary, c0 bigint, c1 bigint, n bigint")
+    fetched = written(fetched, "fetched")
+    bodies = fetched.where("body is not null").select("key", "id", "start", "body")
+    indexed = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "id bigint, a bigint, b bigint")
+    windows = fetched.where("body is null").select("id", "start", "c0", "c1", "n")
+    common = windows.groupBy("c0", "c1").agg(F.sum("n").alias("n")).where("n > 1").select("c0", "c1")
+    counted = windows.join(common.hint("merge"), ["c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
+    every = whole.unionByName(written(indexed, "marks")).unionByName(counted)
     return every.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
@@ -333,7 +311,7 @@ def cut(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 2000, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 250, carry: list[str] | None = None) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns ``carry``.
 
     kept_text is the remaining bytes as text; a character that was cut into is left out.
