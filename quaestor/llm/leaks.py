@@ -291,7 +291,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             continue
         seen, passages = _frequencies(texts, own)
         weight = np.log((passages + 1) / (np.minimum(seen, passages) + 0.5))
-        rare = seen <= stop_share * passages
+        rare = seen <= max(stop_share * passages, 100)  # in a small table no share tells a stop word
         for _, ws in own.items:  # an item of stop words only keeps them
             terms = np.array([own.terms[w] for w in ws])
             if len(np.unique(terms[rare[terms]])) < 4:

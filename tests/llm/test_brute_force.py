@@ -247,7 +247,7 @@ def test_language_of_undeclared_documents(spark, docs):
 
 
 def test_markup_and_suffix_evidence(spark):
-    rows = [(k, f"palabra casa {k} perro gato", "es", "a.example.es") for k in range(40)] + [(k, f"word house {k} dog cat", "en", "b.example.uk") for k in range(40, 80)]
+    rows = [(k, f"palabra casa {k} perro gato y una flor", "es", "a.example.es") for k in range(40)] + [(k, f"word house {k} dog cat and one flower", "en", "b.example.uk") for k in range(40, 80)]
     rows += [(100, "123", "en", "b.example.uk"), (101, "x", None, "new.example.es"), (102, "x", "es-MX", None)]
     got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"), min_docs=5).collect()}
     assert (got[100].lang, got[101].lang, got[102].lang) == ("en", "es", "es")
