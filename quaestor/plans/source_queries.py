@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import params as P
 from ..operators import segment as G
 from ..sources import files as S
 from ..sources import html as H
@@ -192,3 +193,40 @@ def _resumed(t: Tables) -> DataFrame:
 
 
 query("str_resumable_crawl", "select distinct event_id, event_type from events")(_resumed)
+
+# --- binary documents ---------------------------------------------------------------------------------------------------
+query("src_word97", "select n_nationkey, n_name || ' ação' as body from nation")(
+    lambda t: t.nation.select("n_nationkey", F.udf(lambda x: S.word97_text(S.make_word97(x + " ação", wide=len(x) % 2 == 0)), "string")("n_name").alias("body"))
+)
+
+
+def _pdfs(t: Tables) -> DataFrame:
+    make = F.udf(lambda a, k: S.make_pdf([a, "" if k % 2 else "dois", "três (x)"]), "binary")
+    return t.nation.select(F.concat(F.col("n_nationkey"), F.lit(".pdf")).alias("path"), make("n_name", "n_nationkey").alias("content"))
+
+
+query("src_pdf_text", "select n_nationkey || '.pdf' as path, n_name || chr(10) || case when n_nationkey % 2 = 0 then 'dois' || chr(10) else '' end || 'três (x)' as body from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", "body"))
+query("src_pdf_text_with_gaps", "select n_nationkey || '.pdf' as path, case when n_nationkey % 2 = 1 then '2' else '' end as gaps, cast(null as varchar) as error from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", F.array_join("gaps", ",").alias("gaps"), "error"))
+query("src_html_ejuris", "select page_id, coalesce(case when page_id % 3 = 0 then 'Câmara ' || page_id end, 'Câmara ' || (page_id - page_id % 3)) as organ from pages")(
+    lambda t: t.pages.select("page_id", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Câmara "), "page_id")).alias("o"), F.expr("page_id div 300").alias("batch")).select("page_id", F.last("o", ignorenulls=True).over(_pages()).alias("organ"))
+)
+
+
+def _pages():
+    from pyspark.sql import Window
+
+    return Window.partitionBy("batch").orderBy("page_id")
+
+
+# --- checked parameters ------------------------------------------------------------------------------------------------
+query("fn_normalise_params", "select n_nationkey from nation where n_nationkey in (1, 4)")(lambda t: t.nation.where(F.concat(F.lit("TRF"), "n_nationkey").isin(P.normalise("trf1, 4, 1ª REGIAO".replace("ª", "a"), P.COURTS))).select("n_nationkey"))
+query("flt_text_types_guard", "select doc_id from documents where lang = 'en'")(lambda t: t.documents.where(F.when(F.col("lang") == "en", "CC").otherwise("SS").isin(P.with_text(P.normalise("sentença", P.KINDS)))).select("doc_id"))
+query("chk_unknown_is_error", "select 'tjx' as asked, true as refused")(lambda t: t.spark.createDataFrame([("tjx", _refused("tjx"))], "asked string, refused boolean"))
+
+
+def _refused(value: str) -> bool:
+    try:
+        P.normalise(value, P.COURTS)
+    except ValueError:
+        return True
+    return False

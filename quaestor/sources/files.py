@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import re
 import struct
 import tempfile
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -220,3 +222,104 @@ def xml_results(total: Column, rows: Column, fields: list[str], root: str = "res
         return F.concat_ws("\n", F.concat(F.lit('  <resultado indice="'), (i + 1).cast("string"), F.lit('">')), *lines, F.lit("  </resultado>"))
 
     return F.concat_ws("\n", F.concat(F.lit(f'<{root} total="'), total.cast("string"), F.lit('">')), F.array_join(F.transform(rows, one), "\n"), F.lit(f"</{root}>"))
+
+
+def make_word97(text: str, wide: bool = False) -> bytes:
+    """A minimal OLE2 word-processor file of one piece, for round trips."""
+    body = text.encode("utf-16-le" if wide else "cp1252")
+    main = bytearray(0x200)
+    struct.pack_into("<H", main, 10, 0x0200)
+    place = len(main) if wide else len(main) * 2 | 0x40000000
+    main += body
+    pieces = struct.pack("<BI", 2, 16 + 4) + struct.pack("<II", 0, len(text)) + struct.pack("<HIH", 0, place, 0)
+    struct.pack_into("<II", main, 0x01A2, 0, len(pieces))
+    streams = [bytes(main).ljust(max(4096, -(-len(main) // 512) * 512), b"\0"), pieces.ljust(4096, b"\0")]
+    fat, data = [], b""
+    starts = []
+    for s in streams:
+        n = len(s) // 512
+        starts.append(len(fat))
+        fat += [len(fat) + k + 1 for k in range(n - 1)] + [0xFFFFFFFE]
+        data += s
+    directory_at = len(fat)
+    fat += [0xFFFFFFFE]
+
+    def entry(name: str, kind: int, start: int, size: int) -> bytes:
+        raw = name.encode("utf-16-le") + b"\0\0"
+        return raw.ljust(64, b"\0") + struct.pack("<HBB", len(raw), kind, 1) + b"\xff" * 12 + b"\0" * 36 + struct.pack("<IIi", start, size, 0)
+
+    data += entry("Root Entry", 5, 0xFFFFFFFE, 0) + entry("WordDocument", 2, starts[0], len(streams[0])) + entry("1Table", 2, starts[1], len(streams[1])) + b"\0" * 128
+    fat_sectors = -(-(len(fat) + 8) // 128)
+    fat_at = len(fat)
+    fat += [0xFFFFFFFD] * fat_sectors
+    fat += [0xFFFFFFFF] * (fat_sectors * 128 - len(fat))
+    head = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + b"\0" * 16 + struct.pack("<HHHHH", 62, 3, 0xFFFE, 9, 6) + b"\0" * 6
+    head += struct.pack("<IIIIIIIII", 0, fat_sectors, directory_at, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0)
+    head += struct.pack("<109I", *[fat_at + k if k < fat_sectors else 0xFFFFFFFF for k in range(109)])
+    return head + data + struct.pack(f"<{len(fat)}I", *fat)
+
+
+_OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj(.*?)endobj", re.S)
+_STREAM = re.compile(rb"(.*?)stream\r?\n(.*?)\r?\nendstream", re.S)
+_SHOWN = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\bT[*dD]\b|\bTm\b|'")
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+
+
+def pdf_pages(raw: bytes) -> list[str]:
+    """Text of each page: strings that plain or deflated content streams show. Files with other encodings, object streams
+    or fonts with maps of their own give empty pages. ValueError if it is no PDF."""
+    if not raw.startswith(b"%PDF-"):
+        raise ValueError("not a PDF")
+    objects = {int(n): body for n, body in _OBJECT.findall(raw)}
+
+    def text(n: int) -> str:
+        m = _STREAM.match(objects.get(n, b""))
+        if not m:
+            return ""
+        data = m[2]
+        if b"FlateDecode" in m[1]:
+            try:
+                data = zlib.decompress(data)
+            except zlib.error:
+                return ""
+        out = []
+        for token in _SHOWN.findall(data):
+            if token[:1] == b"(":
+                plain = re.sub(rb"\\([0-7]{1,3}|.)", lambda e: bytes([int(e[1], 8) & 255]) if e[1].isdigit() else _ESCAPES.get(e[1], e[1]), token[1:-1], flags=re.S)
+                out.append(plain.decode("cp1252", "replace"))
+            elif token[:1] == b"<":
+                out.append(bytes.fromhex(token[1:-1].decode()).decode("cp1252", "replace") if len(token.strip(b"<> \n")) % 2 == 0 else "")
+            elif out and not out[-1].endswith("\n"):
+                out.append("\n")
+        return "".join(out).strip()
+
+    pages = [body for _, body in sorted(objects.items()) if re.search(rb"/Type\s*/Page\b", body)]
+    return ["\n".join(filter(None, (text(int(n)) for n in re.findall(rb"(\d+)\s+\d+\s+R", (re.search(rb"/Contents\s*(\[[^\]]*\]|\d+\s+\d+\s+R)", page) or [b"", b""])[1])))) for page in pages]
+
+
+def make_pdf(pages: list[str]) -> bytes:
+    """A minimal file with deflated pages, for round trips; an empty text is a page without a text layer."""
+    out = [b"%PDF-1.4\n"]
+    for k, t in enumerate(pages):
+        out.append(b"%d 0 obj<</Type /Page /Contents %d 0 R>>endobj\n" % (2 * k + 1, 2 * k + 2))
+        show = b"BT (" + re.sub(rb"([\\()])", rb"\\\1", t.encode("cp1252", "replace")) + b") Tj ET" if t else b"q Q"
+        out.append(b"%d 0 obj<</Filter /FlateDecode>>stream\n%s\nendstream endobj\n" % (2 * k + 2, zlib.compress(show)))
+    return b"".join([*out, b"%%EOF"])
+
+
+def pages_with_gaps(files: DataFrame) -> DataFrame:
+    """(path, body, gaps, error): text of all pages, 1-based pages without text; an error if there is none at all."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    pages = pdf_pages(bytes(content))
+                    gaps = [k for k, t in enumerate(pages, 1) if not t]
+                    rows.append((path, "\n".join(filter(None, pages)), gaps, "no text layer" if len(gaps) == len(pages) else None))
+                except ValueError as e:
+                    rows.append((path, None, [], str(e)))
+            yield pd.DataFrame(rows, columns=["path", "body", "gaps", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, body string, gaps array<int>, error string")
