@@ -31,6 +31,8 @@ SYMBOLS = "#*$%&|<>"
 _HAS_WORD = re.compile(f"[^{SPACES}]")
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 DIMS = ["x0", "x1", "x2", "x3", "x4"]
+#: Groups up to which their estimates (some 400 bytes each) are broadcast.
+SMALL = 20_000
 #: Scatter below which a coordinate is not estimated (most texts have no symbol and no repeated line).
 FLOORS = np.array([0.6, 0.05, 0.8, 0.8, 0.6])
 
@@ -145,7 +147,9 @@ def mcd(points: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     medians = binned_quantile(wide.withColumn("bin", F.round(F.col("v") * grid).cast("int")), ["g", "dim"], "bin", 0.5, "med")
     medians = medians.groupBy("g").pivot("dim", list(range(len(DIMS)))).agg(F.first("med") / grid)
     medians = written(medians.select("g", *[F.col(str(i)).alias(f"m{i}") for i in range(len(DIMS))]), "medians")
-    away = points.join(medians, "g")
+    # a row per group: sent to all tasks where that is small, so that a hot group isn't dealt by its name
+    small = F.broadcast if medians.count() <= SMALL else (lambda df: df)
+    away = points.join(small(medians), "g")
     unit = [(F.col(d) - F.col(f"m{i}")) / F.lit(float(FLOORS[i])) for i, d in enumerate(DIMS)]
     length = F.sqrt(sum((u * u for u in unit[1:]), unit[0] * unit[0]))
     # start 0: nearest to the medians in units of the floors; start 1: drawn in to unit length first
@@ -153,13 +157,13 @@ def mcd(points: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     pull = F.when((F.col("start") == 1) & (F.col("_far") > 1), 1 / F.col("_far")).otherwise(F.lit(1.0))
     near = first.withColumn("bin", F.floor(F.least(F.col("_far"), F.lit(1e6)) * 64).cast("int"))
     half = binned_quantile(near.where("start = 0").withColumnRenamed("g", "hg"), ["hg"], "bin", 0.5, "cut")
-    kept = near.join(half, F.col("g") == F.col("hg")).where((F.col("start") == 1) | (F.col("bin") <= F.col("cut")))
+    kept = near.join(small(half), F.col("g") == F.col("hg")).where((F.col("start") == 1) | (F.col("bin") <= F.col("cut")))
     pulled = kept.select("g", "start", *[(F.col(f"m{i}") + (F.col(d) - F.col(f"m{i}")) * pull).alias(d) for i, d in enumerate(DIMS)])
     model = written(_fit(_moments(pulled, ["g", "start"]), ["g", "start"]), "mcd")
     for _ in range(steps):
-        far = points.join(model.select("g", "start", "centre", "inverse"), "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * 64).cast("int"))
+        far = points.join(small(model.select("g", "start", "centre", "inverse")), "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * 64).cast("int"))
         cut = binned_quantile(far, ["g", "start"], "bin", share, "cut")
-        kept = far.drop("centre", "inverse").join(cut, ["g", "start"]).where("bin <= cut")
+        kept = far.drop("centre", "inverse").join(small(cut), ["g", "start"]).where("bin <= cut")
         model = written(_fit(_moments(kept, ["g", "start"]), ["g", "start"]), "mcd")
     best = F.min_by(F.struct("centre", "inverse", "logdet", "n"), F.struct("logdet", "start")).alias("m")
     return model.groupBy("g").agg(best).select("g", "m.*")
