@@ -156,7 +156,7 @@ def _unit_rows(own: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[n
     key, times = np.unique(own * len(weight) + term, return_counts=True)
     row, term = key // len(weight), key % len(weight)
     value = times * weight[term]
-    _, row = np.unique(row, return_inverse=True)
+    row = np.cumsum(np.r_[False, row[1:] != row[:-1]])  # the keys are sorted
     return row, term, value / np.sqrt(np.bincount(row, weights=value * value))[row]
 
 
@@ -166,8 +166,9 @@ def _gram(row: np.ndarray, term: np.ndarray, value: np.ndarray, omega: np.ndarra
     first = np.flatnonzero(np.r_[True, np.diff(row) > 0])
     image = np.add.reduceat(value * omega[term], first, axis=0)
     order = np.argsort(term, kind="stable")
-    terms, at = np.unique(term[order], return_index=True)
-    return terms, np.add.reduceat(value[order] * image[row[order]], at, axis=0)
+    term = term[order]
+    at = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+    return term[at], np.add.reduceat(value[order] * image[row[order]], at, axis=0)
 
 
 def _normal_product(found: DataFrame, weight: np.ndarray, omega: np.ndarray) -> np.ndarray:
@@ -231,9 +232,9 @@ def _candidates(found: DataFrame, image: np.ndarray, items: np.ndarray, least: n
             for own, place, term, ids in _flat_lists(batch):
                 span = int(place.max()) // STEP + 3
                 step = own * span + place // STEP + 1  # from 1, so that the window that begins a step earlier has a key
-                order = np.argsort(step, kind="stable")
-                steps, first = np.unique(step[order], return_index=True)
-                sums = np.add.reduceat(image[term[order]], first, axis=0)
+                first = np.flatnonzero(np.r_[True, step[1:] != step[:-1]])  # occurrences come by document and place
+                steps = step[first]
+                sums = np.add.reduceat(image[term], first, axis=0)
                 keys = np.union1d(steps, steps - 1)
                 vectors = np.zeros((len(keys), sums.shape[1]), np.float32)
                 vectors[np.searchsorted(keys, steps)] = sums
