@@ -12,7 +12,7 @@ side by side, one id of each block a step; the work per id is a few dozen vector
 
 Files. Documents are sorted by id over range partitions; a task writes one file of frames in the shared folder, its name
 holding the attempt, and reports its frames. Readers are dealt frames, not files. Tokenising uses a bounded table of
-white-space separated words per task: this tokenizer's splits never cross white space; texts with characters for which the
+white-space separated words per Python worker: this tokenizer's splits never cross white space; texts with characters for which the
 library's lower-casing, composition or special tokens could act otherwise go to the library whole.
 
 Defined results: null text is empty; every document ends with ``end_id``; equal or null ids keep an unspecified order among
@@ -37,7 +37,7 @@ from .warc import _opened
 
 BLOCK = 4096
 FRAME = 1 << 23
-SLOTS = 11  # bits of a context table
+SLOTS = 8  # bits of a context table; small tables stay in the processor's caches
 TOTAL0 = 18  # bits of order-0 frequencies
 MAGIC = b"IDCM0001"
 _SAFE = re.compile("[^\t\n\r\x0b\x0c -~¡-¬®-±´-¸º»¿-įı-ɏ]|<\\|")
@@ -54,7 +54,7 @@ class WordIds:
     token that ends a word last. New parts go to the library in one line; the ending tokens tell them apart.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -64,6 +64,7 @@ class WordIds:
         self.ends = np.array([(self.lib.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words of the generation before; what is used again moves on
         self.most = most
 
     def _ids(self, text: str) -> np.ndarray:
@@ -85,16 +86,28 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.most:
-            self.words.clear()
-            self.parts.clear()
-        words = self.words
+            self.older, self.words, self.parts = self.words, {}, {}
+        words, older = self.words, self.older
         split = [None if _SAFE.search(t) else t.lower().split() for t in texts]
-        new = list({w for own in split if own for w in own if w not in words})
+        new = {w for own in split if own for w in own if w not in words}
+        if known := [w for w in new if w in older]:
+            words.update((w, older[w]) for w in known)
+            new.difference_update(known)
         if new:
-            self._learn(new)
+            self._learn(list(new))
         return [self._ids(t).tobytes() if own is None else b"".join([words[w] for w in own]) for t, own in zip(texts, split, strict=True)]
 
 
+_TABLES: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The table of this Python worker, which its later tasks go on using."""
+    if path not in _TABLES:
+        _TABLES[path] = WordIds(path)
+    return _TABLES[path]
+
+
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids present, frequencies of at least 1 that sum to 2^TOTAL0)."""
     count = np.bincount(ids, minlength=1)
@@ -155,7 +168,7 @@ def encode_blocks(ids: np.ndarray, freq_of: np.ndarray, cum_of: np.ndarray) -> l
     lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
-    grid = np.zeros((lanes, BLOCK), np.int64)
+    grid = np.zeros((lanes, BLOCK), np.int32)
     grid.ravel()[: len(ids)] = ids + 1
     grid = np.ascontiguousarray(grid.T)
     tail = len(ids) - (lanes - 1) * BLOCK
@@ -179,7 +192,7 @@ def encode_blocks(ids: np.ndarray, freq_of: np.ndarray, cum_of: np.ndarray) -> l
         n = lanes if step < tail else lanes - 1
         if not n:
             break
-        value = grid[step, :n]
+        value = grid[step, :n].astype(np.int64)
         first, second, f1, f2 = model.predict(n)
         hit1 = first == value
         hit2 = (second == value) & ~hit1
@@ -350,7 +363,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
             names, sizes, held, size = [], [], [], 0
 
         for batch in batches:
-            coder = coder or WordIds(path)
+            coder = coder or word_ids(path)
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 for name, raw in zip(part.column("id").to_pylist(), coder.encode(part.column("text").to_pylist()), strict=True):
