@@ -11,8 +11,9 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
    at a time: suffix order, run-length Burrows-Wheeler transform, the two text positions at each run's end as samples and
    their common length. Matching statistics are streamed over the text from the samples alone (a position that is no run
    end has its predecessor's match, one shorter), and windows whose statistic reaches ``length`` are marked.
-4. A gram with more than ``hot`` different contexts is not gathered: its different contexts are cut to windows, which are
-   counted by their 128-bit hashes, with the number of copies of each context as weights.
+4. A gram with more than ``hot`` different contexts is not gathered: its different contexts are cut to strips of STRIP
+   starts, counted like contexts in step 2; strips that share a key but differ are counted window by window. Counts are
+   weighted by the copies of each context.
 
 Defined results: null text is empty; a text shorter than ``length`` keeps all; rows with equal ids are separate rows in
 step 1 but share their spans, so ids must be unique; a null id is its own document without partners to be cut.
@@ -35,8 +36,9 @@ from .common import byte_batches, mix64, spread, utf8_parts, written
 
 GRAM = 32
 PIECE = 1 << 22  # a longer text is cut into pieces of so many window starts
+STRIP = 16
 INDEX_BYTES = 1 << 21
-CELL = "key bigint, c0 bigint, c1 bigint, id bigint, start bigint, len int"
+CELL = "key bigint, c0 bigint, c1 bigint, id bigint, start bigint, len int, anchor int"
 _U = np.uint64
 
 
@@ -88,10 +90,10 @@ def cells(data: np.ndarray, begins: np.ndarray, stops: np.ndarray, length: int)
     return hashes[at[first]], at[first], first, last
 
 
-def _cell_batch(key, ids, starts, lens, digests) -> pa.RecordBatch:
+def _cell_batch(key, ids, starts, lens, anchors, digests) -> pa.RecordBatch:
     halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-    cols = [pa.array(np.asarray(key).view(np.int64)), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids, pa.array(starts), pa.array(np.asarray(lens).astype(np.int32))]
-    return pa.RecordBatch.from_arrays(cols, names=["key", "c0", "c1", "id", "start", "len"])
+    cols = [pa.array(np.asarray(key).view(np.int64)), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids, pa.array(starts), pa.array(np.asarray(lens).astype(np.int32)), pa.array(np.asarray(anchors).astype(np.int32))]
+    return pa.RecordBatch.from_arrays(cols, names=["key", "c0", "c1", "id", "start", "len", "anchor"])
 
 
 def _pieces(batch: pa.RecordBatch, length: int):
@@ -110,7 +112,7 @@ def _deal(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, shift, data, begins, stops in _pieces(batch, length):
-                key, _, first, last = cells(data, begins, stops, length)
+                key, anchor, first, last = cells(data, begins, stops, length)
                 if not len(key):
                     continue
                 raw = data.tobytes()
@@ -119,7 +121,7 @@ def _deal(length: int):
                 own = np.searchsorted(begins, first, side="right") - 1
                 while (bad := stops[own] <= first).any():  # empty texts share a begin
                     own[bad] += 1
-                yield _cell_batch(key, batch.column("id").take(pa.array(rows[own])), first - begins[own] + shift[own], last - first + length, digests)
+                yield _cell_batch(key, batch.column("id").take(pa.array(rows[own])), first - begins[own] + shift[own], last - first + length, anchor - first, digests)
 
     return run
 
@@ -222,11 +224,16 @@ def repeated_spans(contexts: list[bytes], length: int) -> list[list[tuple[int, i
 
 
 def _fetch(length: int):
-    """Contexts of grams for the index as (key, id, start, body); those of hot grams as windows (id, start, c0, c1, n)."""
+    """Contexts of grams for the index as (key, id, start, body); those of hot grams cut to strips of STRIP window starts.
+
+    A strip is keyed by the bytes that all of its windows share; c0, c1 is the hash of its bytes, windows are the hashes
+    of its windows, 16 bytes each. Strips lie at fixed distances from the gram, so equal windows lie in strips of one key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        names = ["key", "id", "start", "body", "c0", "c1", "n"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["key", "id", "start", "body", "c0", "c1", "n", "windows"]
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
             for name, text, found in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("cells"), strict=True):
                 raw = (text.as_py() or "").encode()
@@ -234,13 +241,16 @@ def _fetch(length: int):
                 for c in found.as_py():
                     start, stop = c["start"], c["start"] + c["len"]
                     if not c["hot"]:
-                        rows.append((c["key"], name, start, raw[start:stop], None, None, c["n"]))
+                        rows.append((c["key"], name, start, raw[start:stop], None, None, c["n"], None))
                         continue
-                    for at in range(start, stop - length + 1):
-                        c0, c1 = struct.unpack("<qq", xxhash.xxh3_128_digest(raw[at : at + length]))
-                        rows.append((None, name, at, None, c0, c1, c["n"]))
-                for k in range(0, len(rows), 20_000):
-                    cols = list(zip(*rows[k : k + 20_000], strict=True))
+                    gram, first, last = start + c["anchor"], start, stop - length
+                    for q in range((gram - last) // STRIP, (gram - first) // STRIP + 1):
+                        a, b = max(first, gram - q * STRIP - STRIP + 1), min(last, gram - q * STRIP)
+                        shared = raw[gram - q * STRIP : gram - q * STRIP - STRIP + 1 + length]
+                        key = struct.unpack("<q", xxhash.xxh64_digest(shared, q))[0]
+                        rows.append((key, name, a, None, *struct.unpack("<qq", digest(raw[a : b + length])), c["n"], b"".join([digest(raw[w : w + length]) for w in range(a, b + 1)])))
+                for k in range(0, len(rows), 5_000):
+                    cols = list(zip(*rows[k : k + 5_000], strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
     return run
@@ -275,21 +285,30 @@ def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 2
     # grams that stand once are most of all; joins by sort and merge at every size, so that the plan doesn't change with it
     twice = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     found = written(found.join(twice.hint("merge"), "key", "left_semi"), "live")
-    contexts = written(found.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len")).alias("rep")), "contexts")
+    contexts = written(found.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len", "anchor")).alias("rep")), "contexts")
     # contexts that stand twice or more: every member is repeated as a whole
     again = contexts.where("n > 1").select("key", "c0", "c1")
     whole = found.join(again.hint("merge"), ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b"))
     # several contexts of one gram: one copy of each goes to the index, or in windows to a count
     per_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
     few = contexts.join(per_key.hint("merge"), "key").select("key", "n", "hot", "rep.*")
-    lists = few.groupBy("id").agg(F.collect_list(F.struct("key", "start", "len", "n", "hot")).alias("cells"))
-    fetched = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch(length), "key bigint, id bigint, start bigint, body binary, c0 bigint, c1 bigint, n bigint")
+    lists = few.groupBy("id").agg(F.collect_list(F.struct("key", "start", "len", "anchor", "n", "hot")).alias("cells"))
+    fetched = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch(length), "key bigint, id bigint, start bigint, body binary, c0 bigint, c1 bigint, n bigint, windows binary")
     fetched = written(fetched, "fetched")
     bodies = fetched.where("body is not null").select("key", "id", "start", "body")
     indexed = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "id bigint, a bigint, b bigint")
-    windows = fetched.where("body is null").select("id", "start", "c0", "c1", "n")
-    common = windows.groupBy("c0", "c1").agg(F.sum("n").alias("n")).where("n > 1").select("c0", "c1")
-    counted = windows.join(common.hint("merge"), ["c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
+    # hot grams: strips that stand twice or more as a whole; of strips that share a key but differ, their windows one by one
+    strips = fetched.where("body is null")
+    width = (F.octet_length("windows") / 16).cast("bigint")
+    kinds = written(strips.groupBy("key", "c0", "c1").agg(F.sum("n").alias("n")), "strips")
+    common = kinds.where("n > 1").select("key", "c0", "c1")
+    alike = strips.join(common.hint("merge"), ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + width - 1 + length).alias("b"))
+    mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    at = F.explode(F.sequence(F.lit(0), (width - 1).cast("int")))
+    windows = strips.join(mixed.hint("merge"), "key", "left_semi").select("id", "start", "windows", "n", at.alias("k"))
+    windows = windows.select("id", (F.col("start") + F.col("k")).alias("a"), F.substring("windows", F.col("k") * 16 + 1, F.lit(16)).alias("h"), "n")
+    twice = windows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    counted = alike.unionByName(windows.join(twice.hint("merge"), "h").select("id", "a", (F.col("a") + length).alias("b")))
     every = whole.unionByName(written(indexed, "marks")).unionByName(counted)
     return every.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 

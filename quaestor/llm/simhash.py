@@ -140,6 +140,24 @@ def forest(fps: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
+def joined(first: list[tuple[int, int]], more: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """The first forest's links, and those of the other that join two of its trees: a forest again."""
+    root = list(range(n))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for a, b in [*first, *more]:
+        x, y = top(a), top(b)
+        if x != y:
+            root[x] = y
+            out.append((a, b))
+    return out
+
+
 def _linker(words: int, limit: int, near: int | None = None):
     """mapInArrow function over rows (k0, k1, fp words) sorted by key: links between classes that share a key."""
     cols = [f"w{i}" for i in range(words)]
@@ -158,7 +176,7 @@ def _linker(words: int, limit: int, near: int | None = None):
         for s, n in zip(edge[:-1][size > 24], size[size > 24], strict=True):
             found = forest(fps[s : s + n], limit)
             if near is not None:  # close links first, for a check of each link that may follow
-                found += forest(fps[s : s + n], near)
+                found = joined(forest(fps[s : s + n], near), found, n)
             pairs = np.array(found, dtype=np.int64).reshape(-1, 2) + s
             a.append(fps[pairs[:, 0]])
             b.append(fps[pairs[:, 1]])
