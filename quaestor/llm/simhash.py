@@ -13,6 +13,8 @@ anchor, at most one link per class, never all pairs. Anchors with more than ``ho
 the other block, radius 1 + ceil(4/2); such a bucket can hold at most 529 x 5489 different fingerprints. Components
 come from alternating large-star and small-star rounds, each written to the shared folder.
 
+``duplicates``, the pipeline's route, finds all pairs of a Jaccard similarity by keys of shingle segments, not by anchors.
+
 Defined results: null or wordless text has fingerprint zero, and is linked like any other; ties in a bit's vote give 0.
 """
 
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread, written
+from .common import mix64, spread, written
 
 BLOCK = 32
 _U = np.uint64
@@ -276,23 +278,215 @@ def components(edges: DataFrame) -> DataFrame:
         now = written(smaller(larger(now)), "stars")
 
 
-def shingle_sets(docs: DataFrame, keep: list[str], text_col: str, width: int) -> DataFrame:
-    """``keep`` columns and shingles, the sorted different shingle hashes of each text as bytes."""
+def size_classes(least: float, top: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(largest set of each class, most differing shingles of a pair of the class or the one below, segments).
+
+    Sets with a Jaccard similarity of ``least`` lie in one class or in neighbouring ones, and differ in at most
+    (1 - least) / (1 + least) of their sizes' sum.
+    """
+    sizes = [1]
+    while sizes[-1] < top:
+        sizes.append(max(sizes[-1] + 1, int(sizes[-1] / least + 1e-9)))
+    sizes = np.array(sizes, np.int64)
+    differ = (2 * sizes * ((1 - least) / (1 + least)) + 1e-9).astype(np.int64)
+    return sizes, differ, differ + differ // 3 + 2
+
+
+def segment_keys(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) such that two sets of Jaccard similarity ``least`` or more share a key.
+
+    The hash space is cut into more segments than a pair can have differing shingles, so some segments hold the same
+    shingles in both; a key is a segment with its shingles. Each set is cut for its own class and for the next larger.
+    Equal segments may all be empty only where both sets have as many empty ones as there are segments to spare; such
+    sets also get the shingles of their prefix in hash order as keys.
+    """
+    top, differ, segments = size_classes(least)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets) if sets else np.zeros(0, _U)
+    own = np.repeat(np.arange(len(sets)), sizes)
+    place, value = mix64(flat ^ _U(0x5851F42D4C957F2D)), mix64(flat * _U(0x9E3779B97F4A7C15))
+    rows, keys, poor = [], [], np.zeros(len(sets), bool)
+    for up in (0, 1):
+        kind = np.searchsorted(top, sizes) + up
+        m = np.where(sizes > 0, segments[kind], 0)
+        first = np.cumsum(m) - m
+        at = first[own] + (place % m[own].astype(_U)).astype(np.int64)
+        held = np.bincount(at, minlength=int(m.sum()))
+        total = np.zeros(len(held), _U)
+        np.add.at(total, at, value)
+        row = np.repeat(np.arange(len(sets)), m)
+        name = (kind[row] << 40 | (np.arange(len(held)) - first[row])).astype(_U)
+        full = held > 0
+        rows.append(row[full])
+        keys.append(mix64(total[full] + mix64(name[full] + _U(1))))
+        poor |= np.bincount(row[~full], minlength=len(sets)) >= m - differ[kind]
+    for r in np.flatnonzero(poor & (sizes > 0)).tolist():
+        prefix = np.sort(place[own == r])[: sizes[r] - int(np.ceil(least * sizes[r] - 1e-9)) + 1]
+        rows.append(np.full(len(prefix), r))
+        keys.append(mix64(prefix ^ _U(0xD1342543DE82EF95)))
+    # 48 bits: sets that share a key by chance are told apart by the check
+    return np.concatenate(rows), np.concatenate(keys) >> _U(16)
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """256 bits, each flipped by the shingles that fall on it: sets differ in at least as many shingles as their bits."""
+    bits = np.bincount((mix64(shingles ^ _U(0x2545F4914F6CDD1D)) >> _U(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(_U)
+
+
+def set_name(shingles: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+
+
+def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
+    return [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column("_body")]
+
+
+def set_names(docs: DataFrame, width: int) -> DataFrame:
+    """(_id, c) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(map(set_name, _sets_of(batch, width)), pa.int64())], names=["_id", "c"])
+
+    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint")
+
+
+def dealt_sets(docs: DataFrame, width: int, least: float) -> DataFrame:
+    """(key, c, n) of the different sets of docs; a task deals a set once, however many copies it reads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                named = {set_name(x): x for x in _sets_of(batch.slice(a, 256), width) if len(x)}
+                new = {c: x for c, x in named.items() if c not in seen}
+                seen.update(new)
+                if new:
+                    sets = list(new.values())
+                    row, key = segment_keys(sets, least)
+                    sizes = np.array([len(x) for x in sets], np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.array(list(new), np.int64)[row]), pa.array(sizes[row])], names=["key", "c", "n"])
+
+    return docs.select("_body").mapInArrow(run, "key bigint, c bigint, n int")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """(columns, edges of the runs of equal keys) of batches sorted by key, c; a run is never divided, equal rows come once."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def whole(parts: list[dict[str, np.ndarray]]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        cols = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+        new = np.r_[True, (cols["key"][1:] != cols["key"][:-1]) | (cols["c"][1:] != cols["c"][:-1])]
+        cols = {k: v[new] for k, v in cols.items()}
+        return cols, np.flatnonzero(np.r_[True, cols["key"][1:] != cols["key"][:-1], True])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = {k: np.asarray(batch.column(k)) for k in batch.schema.names}
+        cut = int(np.searchsorted(cols["key"], cols["key"][-1]))  # the last run may go on in the next batch
+        if held and (cut or held[-1]["key"][-1] != cols["key"][0]):
+            yield whole([*held, {k: v[:cut] for k, v in cols.items()}])
+            held = []
+        elif cut:
+            yield whole([{k: v[:cut] for k, v in cols.items()}])
+        held.append({k: v[cut:] for k, v in cols.items()})
+    if held:
+        yield whole(held)
+
+
+def _proposer(least: float, hot: int):
+    """mapInArrow function over (key, c, n) by key, c: all pairs (a, b) of a key's sets up to ``hot``.
+
+    Of a larger key the pairs with its first and last set, and its rows (a = key, b = c, big).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols, edge in _runs(batches):
+            c, n, size = cols["c"], cols["n"], np.diff(edge)
+            a, b = [], []
+            for k in range(1, min(int(size.max(initial=0)), hot)):
+                run_size = np.repeat(np.where(size <= hot, size, 0), size)
+                at = np.flatnonzero(np.arange(len(c)) - np.repeat(edge[:-1], size) + k < run_size)
+                a.append(at)
+                b.append(at + k)
+            large = np.repeat(size > hot, size)
+            for end in (edge[:-1], edge[1:] - 1):
+                pivot = np.repeat(end, size)
+                at = np.flatnonzero(large & (pivot != np.arange(len(c))))
+                a.append(pivot[at])
+                b.append(at)
+            a, b = np.concatenate(a), np.concatenate(b)
+            fit = np.minimum(n[a], n[b]) >= least * np.maximum(n[a], n[b]) - 1e-9
+            one, two = c[a[fit]], c[b[fit]]
+            big = np.flatnonzero(large)
+            out = np.r_[np.minimum(one, two), cols["key"][big]], np.r_[np.maximum(one, two), c[big]]
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1]), pa.array(np.arange(len(out[0])) >= len(one))], names=["a", "b", "big"])
+
+    return run
+
+
+def _between(least: float):
+    """mapInArrow function over (key, c, root, n, s0..s3) by key, c: every pair of different roots that can be similar.
+
+    The parity bits of a pair differ in no more bits than the sets in shingles, so no similar pair is left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols, edge in _runs(batches):
+            bits = np.stack([cols[f"s{i}"].view(_U) for i in range(4)], axis=1)
+            a, b = [], []
+            for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                n, root, own = cols["n"][s:e].astype(np.int64), cols["root"][s:e], bits[s:e]
+                order = np.argsort(root, kind="stable")
+                n, root, own, c = n[order], root[order], own[order], cols["c"][s:e][order]
+                later = np.searchsorted(root, root, side="right")
+                for i in range(len(n)):
+                    j = int(later[i])
+                    if j == len(n):
+                        break
+                    near = np.bitwise_count(own[j:] ^ own[i]).sum(axis=1) <= (n[j:] + n[i]) * ((1 - least) / (1 + least)) + 1e-9
+                    got = c[j:][near & (np.minimum(n[j:], n[i]) >= least * np.maximum(n[j:], n[i]) - 1e-9)]
+                    a.append(np.minimum(c[i], got))
+                    b.append(np.maximum(c[i], got))
+            if a and sum(map(len, a)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return run
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(c, shingles, n, s0..s3) of docs (c, _body): the sorted different shingle hashes as bytes, their number, parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                sets = [np.unique(shingle_hashes(x.as_py(), width)).tobytes() for x in part.column("_text")]
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in keep] + [pa.array(sets, pa.binary())], names=[*keep, "shingles"])
+                sets = _sets_of(part, width)
+                own = [i for i, (c, x) in enumerate(zip(part.column("c").to_pylist(), sets, strict=True)) if set_name(x) == c]  # rows of an equal id may have other texts
+                if not own:
+                    continue
+                part, sets = part.take(pa.array(own)), [sets[i] for i in own]
+                bits = np.stack([parity(x) for x in sets]).view(np.int64)
+                cols = [part.column("c"), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)], names=["c", "shingles", "n", "s0", "s1", "s2", "s3"])
 
-    few = docs.select(*keep, F.col(text_col).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in few.schema.fields[:-1])
-    return few.mapInArrow(run, f"{kinds}, shingles binary")
+    return docs.select("c", "_body").mapInArrow(run, "c bigint, shingles binary, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+
+
+def possible(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The edges (a, b) that the parity bits allow to be similar: no similar one is left out, and sets needn't be moved for the others."""
+    bits = ["s0", "s1", "s2", "s3"]
+    ends = [sets.select(F.col("c").alias(e), *[F.col(x).alias(f"{e}_{x}") for x in ["n", *bits]]) for e in ("a", "b")]
+    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in bits[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    met = edges.join(ends[0], "a").join(ends[1], "b")
+    return met.where(differ <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9)).select("a", "b")
 
 
 def similar(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The edges (a, b) whose shingle sets, of sets (fp, shingles), have a Jaccard similarity of ``least`` or more."""
+    """The edges (a, b) whose shingle sets, of sets (c, shingles), have a Jaccard similarity of ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,33 +497,46 @@ def similar(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 good.append(both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    kind = edges.schema["a"].dataType.simpleString()
-    one = edges.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("sa")), "a")
-    two = one.join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("sb")), "b")
-    return two.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
+    one = edges.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("sa")), "a")
+    two = one.join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("sb")), "b")
+    return two.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+
+
+def _tree(edges: DataFrame) -> DataFrame:
+    """(c, root) of every set in edges."""
+    roots = components(edges)
+    return roots.select(F.col("node").alias("c"), "root").unionByName(roots.select(F.col("root").alias("c"), "root").distinct())
 
 
-def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, words: int = 4, limit: int = 46, least: float = 0.8, hot: int = 50_000) -> DataFrame:
-    """(id, component_id) for near-duplicates by similarity, not by a contract's bit count.
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 24) -> DataFrame:
+    """(id, component_id): components of the links between texts whose sets of shingles have a Jaccard similarity of ``least``.
 
-    Fingerprints of 64 * words bits propose links of at most ``limit`` bits; a link counts if the sets of shingles, one
-    text for each different fingerprint, have a Jaccard similarity of ``least``. Wordless texts are linked to each other
-    only. Of 1,844 pairs of 0.8 or more among 10,000 documents, 46 bits proposed all but 1 to 3.
+    Complete: every such pair shares a key (segment_keys). Keys of up to ``hot`` sets propose all their pairs. A larger key
+    first proposes two stars; once those links are checked, every pair of its sets that are not yet in one component and
+    that the parity bits allow is checked too. Wordless texts are linked to each other only.
     """
-    few = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body"))
-    marked = written(fingerprints(few, ["_id"], "_body", width, words), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("_id").alias("first_id")), "classes")
-    edges = written(links(classes.select("fp"), words, limit, 2, hot).distinct(), "proposed")
-    met = edges.select(F.col("a").alias("fp")).unionByName(edges.select(F.col("b").alias("fp"))).distinct()
-    chosen = written(classes.join(met, "fp", "left_semi").where("first_id is not null").select("fp", F.col("first_id").alias("_id")), "chosen")
-    sets = written(shingle_sets(few.join(chosen, "_id"), ["_id", "fp"], "_body", width).dropDuplicates(["fp"]), "sets")
-    edges = written(similar(edges, sets, least), "links")
-    roots = components(edges)
-    tree = roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
-    placed = classes.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least_id = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(placed.join(least_id, "root").select("fp", "component_id"), "named")
-    return marked.join(named, "fp").select(F.col("_id").alias(id_col), "component_id")
+    few = spread(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")))
+    marked = written(set_names(few, width), "marked")
+    met = dealt_sets(few, width, least).repartition("key").sortWithinPartitions("key", "c")
+    met = written(met.mapInArrow(_proposer(least, hot), "a bigint, b bigint, big boolean"), "met")
+    pairs = written(met.where("not big").select("a", "b").distinct(), "proposed")
+    big = met.where("big").select(F.col("a").alias("key"), F.col("b").alias("c"))
+    every = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).unionByName(big.select("c")).distinct()
+    first = marked.join(every, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id")).where("_id is not null")
+    chosen = written(first, "chosen")
+    sets = written(shingle_sets(few.join(chosen, "_id"), width), "sets")
+    edges = written(similar(written(possible(pairs, sets, least), "possible"), sets, least), "links")
+    if not big.isEmpty():
+        tree = written(_tree(edges), "tree")
+        rows = big.join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        split = rows.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y").select("key")
+        rows = rows.join(split, "key", "left_semi").join(sets.drop("shingles"), "c")
+        rows = rows.select("key", "c", "root", "n", "s0", "s1", "s2", "s3").repartition("key").sortWithinPartitions("key", "c")
+        more = written(rows.mapInArrow(_between(least), "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti"), "between")
+        edges = edges.unionByName(written(similar(more, sets, least), "more"))
+    placed = marked.join(_tree(edges), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    least_id = placed.groupBy("root").agg(F.min("_id").alias("component_id"))
+    return placed.join(least_id, "root").select(F.col("_id").alias(id_col), "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, limit: int = 4, hot: int = 50_000) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -191,6 +192,44 @@ def test_dense_groups_are_one_component(spark):
     assert simhash.components(edges).select("root").distinct().count() == 1
 
 
+def altered(words, n, rng):
+    out = list(words)
+    for at in rng.sample(range(len(words) // 6), n):
+        out[6 * at + 3] = f"new{rng.getrandbits(40)}"
+    return out
+
+
+def brute_similar(texts, least=0.8):
+    """Least id of each text's component, by all pairs."""
+    sets = {i: set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for i, t in texts}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both >= least * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return {i: top(i) for i in sets}
+
+
+def test_lone_pairs_at_the_limit_are_found(spark):
+    rng = random.Random(11)
+    texts = []
+    for k in range(300):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(rng.choice([9, 30, 100, 300]) + rng.randint(0, 40))]
+        # n changed words: 5 shingles each, up to a similarity of 0.8
+        n = (len(words) - 4) // 9 // 5
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(altered(words, n, rng) if n else words[:-1]))]
+    want = brute_similar(texts)
+    got = {r.doc_id: r.component_id for r in simhash.duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert sum(i != r for i, r in want.items()) > 290 and got == want
+
+
 def test_word_statistics(docs, rows):
     got = {r.doc_id: r for r in outliers.judge(docs).collect()}
     for r in rows:
