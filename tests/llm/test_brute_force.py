@@ -230,6 +230,19 @@ def test_lone_pairs_at_the_limit_are_found(spark):
     assert sum(i != r for i, r in want.items()) > 290 and got == want
 
 
+def template_group(rng, n):
+    words = [f"w{k}" for k in range(200)]
+    return [(k, " ".join(altered(words, rng.randint(2, 9), rng))) for k in range(n)]
+
+
+def test_near_copies_of_one_template(spark):
+    """Many links at one key fail the check; their texts' other partners there are looked for all the same."""
+    texts = template_group(random.Random(12), 500)
+    want = brute_similar(texts)
+    got = {r.doc_id: r.component_id for r in simhash.duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert 5 < len(set(want.values())) < 450 and got == want
+
+
 def test_word_statistics(docs, rows):
     got = {r.doc_id: r for r in outliers.judge(docs).collect()}
     for r in rows:
