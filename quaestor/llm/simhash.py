@@ -192,7 +192,7 @@ def links(classes: DataFrame, words: int = 1, limit: int = 4, block_limit: int =
     found if any of its 2 * words blocks differs in at most block_limit bits (or happens to share an anchor).
     """
     near = flip_table(1 + (block_limit + 1) // 2)
-    wide = flip_table(1 + (limit + 1) // 2) if words == 1 else near
+    wide = flip_table(1 + (limit + 1) // 2)  # the other block may differ in all of the bits
     cols = [f"w{i}" for i in range(words)]
     kinds = "k0 bigint, k1 bigint, " + ", ".join(f"{c} bigint" for c in cols)
 

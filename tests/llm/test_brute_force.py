@@ -243,6 +243,14 @@ def test_near_copies_of_one_template(spark):
     assert 5 < len(set(want.values())) < 450 and got == want
 
 
+def test_large_keys_lose_no_link(spark):
+    texts = template_group(random.Random(13), 150)
+    want = brute_similar(texts)
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    for hot in (3, 1):
+        assert {r.doc_id: r.component_id for r in simhash.duplicates(df, hot=hot).collect()} == want
+
+
 def test_word_statistics(docs, rows):
     got = {r.doc_id: r for r in outliers.judge(docs).collect()}
     for r in rows:
