@@ -50,14 +50,14 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def byte_batches(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
-    """Slices of a batch whose texts have about ``most`` bytes together (a longer text is a slice of its own).
+    """Slices of a batch whose texts have about ``most`` bytes together; a longer text is a slice of its own, without empty ones.
 
     Yields (first row, one past the last row).
     """
     lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     start, held = 0, 0
     for i, n in enumerate(lengths.tolist()):
-        if held and held + n > most:
+        if i > start and held + n > most:
             yield start, i
             start, held = i, 0
         held += n

@@ -117,6 +117,20 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     assert set(whole[0].view(np.int64).tolist()) == set(parts["key"].to_pylist())
 
 
+def test_long_text_after_empty_ones(spark):
+    rng = random.Random(14)
+    lone = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    long = "".join(rng.choices("abcdefgh ", k=5_000_000)) + lone + "".join(rng.choices("abcdefgh ", k=100_000))
+    texts = [(1, None), (2, ""), (3, long), (4, "head " + lone + " tail")]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in texts]), pa.array([t for _, t in texts])], names=["id", "text"])
+    assert {i for part in repeats._deal(400)(iter([batch])) for i in part.column("id").to_pylist()} == {3, 4}
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in repeats.remove_repeats(df).collect()}
+    assert [got[k].n_spans for k in (1, 2)] == [0, 0]
+    for k in (3, 4):
+        assert got[k].n_spans == 1 and 600 <= got[k].n_removed < 610
+
+
 def test_coder_round_trip():
     rng = np.random.default_rng(0)
     for n in (0, 1, 4095, 4096, 4097, 20_000):
