@@ -1,10 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval (operator 8).
 
 The terms are the words of the benchmark: no other term can add to the inner product of a passage with an item. Passages
-of PASSAGE words of all documents give document frequencies; words in over ``stop_share`` of the passages are stop words.
+of PASSAGE words of all documents give document frequencies; a term in most passages has a small weight, none is left out.
 
 1. Randomised SVD: the unit TF-IDF rows A of all passages, and the items' rows weighted to the same total energy, are
-   never gathered. Z = A'(A Omega) is summed per task, then per term; its QR gives the latent axes. The driver holds terms x axes numbers, bounded by ``block`` items at a time, whatever the corpus.
+   never gathered. Z = A'(A Omega) is summed per task, then per term; two rounds and a QR give the latent axes. The driver
+   holds terms x axes numbers, bounded by ``block`` items at a time, whatever the corpus.
 2. Cosine candidates: windows of 2 x STEP words, every STEP words, of every document against all items of the block, a
    matrix product in each task; the window's length along the item must also reach ``along`` of the item's. No cap on the candidates of a document or an item.
 3. Checks on the whole words of candidate documents around the window: longest common subsequence with the item at least
@@ -141,9 +142,9 @@ def _occurrences(docs: DataFrame, block: Block, weight: np.ndarray) -> DataFrame
 
 
 def _flat_lists(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
-    """(row, place, term, ids) of some hundreds of thousands of occurrences at a time."""
+    """(row, place, term, ids) of some tens of thousands of occurrences at a time."""
     sizes = np.diff(np.asarray(batch.column("terms").offsets))
-    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // 200_000, prepend=0))
+    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // 50_000, prepend=0))
     for a, b in zip(np.r_[0, cut], np.r_[cut, len(sizes)], strict=True):
         if b > a:
             part = batch.slice(a, b - a)
@@ -206,7 +207,7 @@ def _vectors(terms: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
 
 
 def latent_axes(found: DataFrame, block: Block, weight: np.ndarray, passages: int, axes: int) -> np.ndarray:
-    """terms x axes: right singular vectors of the passages and items, from the range of A'A on random vectors."""
+    """terms x axes: right singular vectors of the passages and items, by randomised subspace iteration."""
     n = len(weight)
     axes = min(axes, n)
     own = np.concatenate([np.full(len(ws), k) for k, (_, ws) in enumerate(block.items)])
@@ -215,10 +216,12 @@ def latent_axes(found: DataFrame, block: Block, weight: np.ndarray, passages: in
     row, term, value = _unit_rows(own[used], term[used], weight)
     share = passages / max(1, int(row.max(initial=0)) + 1)
     basis = np.random.default_rng(8).standard_normal((n, axes)).astype(np.float32)
-    image = _normal_product(found, weight, basis)
-    terms, rows = _gram(row, term, value, basis)
-    image[terms] += share * rows
-    return np.linalg.qr(image)[0].astype(np.float32)
+    for _ in range(2):
+        image = _normal_product(found, weight, basis)
+        terms, rows = _gram(row, term, value, basis)
+        image[terms] += share * rows
+        basis = np.linalg.qr(image)[0].astype(np.float32)
+    return basis
 
 
 def _candidates(found: DataFrame, image: np.ndarray, items: np.ndarray, least: np.ndarray, cosine: float) -> DataFrame:
@@ -279,7 +282,7 @@ def _checked(docs: DataFrame, candidates: DataFrame, block: Block, lcs: float, l
     return docs.join(lists.hint("merge"), "id").select("id", "text", "found").mapInArrow(run, "id bigint, item_id bigint, lcs double, answer double, at_word int")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", axes: int = 128, cosine: float = 0.5, along: float = 0.4, lcs: float = 0.8, loose: float = 0.6, least_words: int = 5, block: int = 512, stop_share: float = 0.03) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", axes: int = 160, cosine: float = 0.5, along: float = 0.4, lcs: float = 0.8, loose: float = 0.6, least_words: int = 5, block: int = 512) -> DataFrame:
     """One row per contaminated document and item: id, item_id, lcs, answer, at_word."""
     spark = docs.sparkSession
     texts = spread(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")))
@@ -292,12 +295,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             continue
         seen, passages = _frequencies(texts, own)
         weight = np.log((passages + 1) / (np.minimum(seen, passages) + 0.5))
-        rare = seen <= max(stop_share * passages, 100)  # in a small table no share tells a stop word
-        for _, ws in own.items:  # an item of stop words only keeps them
-            terms = np.array([own.terms[w] for w in ws])
-            if len(np.unique(terms[rare[terms]])) < 4:
-                rare[terms] = True
-        weight = np.where(rare, np.maximum(weight, 0.01), 0.0)
+        weight = np.maximum(weight, 0.01)  # at any size of the table a term of the benchmark counts
         found = written(_occurrences(texts, own, weight), "occurrences")
         basis = latent_axes(found, own, weight, passages, axes)
         image = (weight[:, None] * basis).astype(np.float32)

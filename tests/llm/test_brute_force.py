@@ -314,6 +314,22 @@ def test_paraphrase_with_its_answer(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)]
 
 
+def test_common_words_find_items_in_a_large_table(spark):
+    """Of an item with its rarest fifth replaced mostly words of 4 % of the passages are left."""
+    rng = random.Random(15)
+    common = [f"common{k}" for k in range(200)]
+    docs = [(k, " ".join(rng.sample(common, 8) + [f"w{rng.randrange(10**6)}" for _ in range(40)])) for k in range(4000)]
+    items, planted = [], []
+    for k in range(20):
+        words = rng.sample(common, 30) + [f"rare{k}x{j}" for j in range(10)]
+        rng.shuffle(words)
+        items.append((k, " ".join(words)))
+        gone = [w for w in words if w.startswith("rare")][:8]
+        planted.append((10_000 + k, " ".join(f"other{w}" if w in gone else w for w in words)))
+    got = leaks.find_leaks(spark.createDataFrame(docs + planted, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(10_000 + k, k) for k in range(20)}
+
+
 def test_language_of_undeclared_documents(spark, docs):
     hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 4 > 0, F.col("lang")))
     out = langid.identify(hidden, min_docs=5).select("doc_id", F.col("lang").alias("told")).join(docs.where("doc_id % 4 = 0 and n_chars > 50"), "doc_id")
