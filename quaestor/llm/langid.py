@@ -7,16 +7,16 @@ posterior(l) ~ prior(l | host) * P(text | l) * P(declared | l) * P(address suffi
 * prior(l | host): counts by grouped aggregation, smoothed towards the host's domain, that towards the whole table.
 * P(declared | l), P(suffix | l): counts of what rows of a clear text language declare, add-one smoothed.
 
-The driver holds the gram table only: at most ``most_langs`` x 2^14 numbers, whatever the input. Scoring is a map pass;
+The driver holds the gram table only: 2^14 numbers a declared language, whatever the input. Scoring is a map pass;
 fusion is native expressions over one small row per document, joined to the host table by host (a hot host is a
 skew-splittable or broadcast join).
 
-Defined results: languages are the codes that at least ``min_docs`` rows declare, most frequent first; missing evidence
+Defined results: languages are all codes that at least ``min_docs`` rows declare, most frequent first; missing evidence
 (null or empty declaration, host, suffix) counts for nothing; a text without a gram has only the other evidence. Not kept
 are a text without a letter, one whose best posterior is under ``least``, and one of 50 grams or more that fits its best
-language worse than chance. If no language is declared often enough, lang and prob are null and every text with a letter is
-kept. Ties go to the language
-that is more frequent, then first in the alphabet.
+language worse than chance; but a text with a letter that declares a code of fewer than ``rare`` rows has that code and is kept
+where it would not be. If no language is declared often enough, lang and prob are null and every text with a letter is
+kept. Ties go to the language that is more frequent, then first in the alphabet.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import byte_batches, spread, utf8_parts, written
 
 BUCKETS = 1 << 14
+#: Languages whose grams a task holds at a time.
+HELD = 256
 #: Bytes as classes: ASCII letters lower-cased, bytes of other characters themselves, all else one space.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], dtype=np.uint32)
 
@@ -46,27 +48,40 @@ def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return bucket.astype(np.int64), counts, text
 
 
-def _languages(rows: DataFrame, min_docs: int, most: int) -> list[str]:
-    found = rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    return [r.declared for r in found.orderBy(F.desc("n"), "declared").limit(most).collect()]
+def _languages(rows: DataFrame) -> list[tuple[str, int]]:
+    """All declared codes with their rows, most frequent first."""
+    found = rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
+    return [(r.declared, r.n) for r in found.orderBy(F.desc("n"), "declared").collect()]
 
 
 def _gram_counts(rows: DataFrame, langs: list[str]) -> np.ndarray:
     """Counts (language, bucket) over all rows that declare one of langs."""
     place = {x: i for i, x in enumerate(langs)}
 
+    def packed(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        at = {k: np.flatnonzero(v) for k, v in total.items()}
+        lang = np.repeat(np.array(list(total), np.int32), [len(x) for x in at.values()])
+        bucket = np.concatenate([*at.values(), np.zeros(0, np.int64)]).astype(np.int32)
+        n = np.concatenate([*(total[k][x] for k, x in at.items()), np.zeros(0, np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(n)], names=["lang", "bucket", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(langs) * BUCKETS, np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
             own = np.array([place.get(x, -1) for x in batch.column("declared").to_pylist()], dtype=np.int64)
             for a, b in byte_batches(batch, "text"):
                 data, off = utf8_parts(batch.column("text").slice(a, b - a))
                 bucket, counts, text = grams(data, off)
-                lang = own[a:b][text]
-                counts &= lang >= 0
-                total += np.bincount(lang[counts] * BUCKETS + bucket[counts], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at // BUCKETS, pa.int32()), pa.array(at % BUCKETS, pa.int32()), pa.array(total[at])], names=["lang", "bucket", "n"])
+                met, lang = np.unique(own[a:b], return_inverse=True)
+                lang = lang[text]
+                sums = np.bincount(lang[counts] * BUCKETS + bucket[counts], minlength=len(met) * BUCKETS).reshape(-1, BUCKETS)
+                for k, row in zip(met.tolist(), sums, strict=True):
+                    if k >= 0:
+                        total[k] = total[k] + row if k in total else row.copy()
+                if len(total) > HELD:
+                    yield packed(total)
+                    total = {}
+        yield packed(total)
 
     summed = rows.select("declared", "text").mapInArrow(run, "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     out = np.zeros((len(langs), BUCKETS), np.int64)
@@ -106,7 +121,7 @@ def _log(values: Column) -> Column:
     return F.transform(values, lambda x: F.log(x))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang", host_col: str = "source", min_docs: int = 20, most_langs: int = 64, weight: float = 40.0, least: float = 0.5, trust: float = 10.0) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang", host_col: str = "source", min_docs: int = 1, rare: int = 20, weight: float = 40.0, least: float = 0.5, trust: float = 10.0) -> DataFrame:
     """One row per document: id, lang, prob, declared, n_grams, kept."""
     host = F.nullif(F.lower(F.col(host_col).cast("string")), F.lit(""))
     rows = docs.select(
@@ -118,7 +133,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         F.nullif(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit("")).alias("suffix"),
     )
     rows = spread(rows)
-    langs = _languages(rows, min_docs, most_langs)
+    codes = _languages(rows)
+    langs = [x for x, n in codes if n >= min_docs]
+    few = {x for x, n in codes if n < rare}
     counts = _gram_counts(rows, langs)
     table = np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + BUCKETS)) if langs else np.zeros((0, BUCKETS))
     scored = written(_scored(rows, table), "scored")
@@ -167,5 +184,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     at = F.array_position("score", F.col("top")).cast("int")
     lang = F.element_at(F.array(*[F.lit(x) for x in langs]), at)
     unlike = (F.col("n_grams") >= 50) & (F.element_at("ll", at) < float(np.log(1 / BUCKETS)))
-    kept = (F.col("n_letters") > 0) & (F.col("prob") >= least) & ~unlike
-    return near.withColumn("prob", F.round(prob, 6)).select(*out, lang.alias("lang"), "prob", "declared", "n_grams", kept.alias("kept"))
+    told = (F.col("prob") >= least) & ~unlike
+    trusted = ~told & F.coalesce(F.col("declared").isin(*few), F.lit(False)) if few else F.lit(False)
+    kept = (F.col("n_letters") > 0) & (told | trusted)
+    return near.withColumn("prob", F.round(prob, 6)).select(*out, F.when(trusted, F.col("declared")).otherwise(lang).alias("lang"), "prob", "declared", "n_grams", kept.alias("kept"))

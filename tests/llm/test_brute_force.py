@@ -336,6 +336,21 @@ def test_language_of_undeclared_documents(spark, docs):
     assert out.where("told = lang").count() >= 0.97 * out.count()
 
 
+def test_every_declared_language_is_known(spark):
+    rng = random.Random(16)
+    rows = []
+    for k in range(70):
+        syllables = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") + rng.choice("aeiouy") for _ in range(2)) for _ in range(30)]
+        for j in range(5 if k < 2 else 19 if k < 5 else 21):
+            text = " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(40))
+            rows.append((100 * k + j, text, None if j == 0 and k >= 2 else f"q{k:02d}", f"host{j % 3}"))
+    got = langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert {r.doc_id: (r.lang, r.kept) for r in got} == {i: (f"q{i // 100:02d}", True) for i, *_ in rows}
+    # a code that no table is made for stays with its rows
+    got = langid.identify(spark.createDataFrame([r for r in rows if r[0] < 500], "doc_id bigint, text string, lang string, source string"), min_docs=10).collect()
+    assert all(r.kept for r in got if r.declared in ("q00", "q01"))
+
+
 def test_markup_and_suffix_evidence(spark):
     rows = [(k, f"palabra casa {k} perro gato y una flor", "es", "a.example.es") for k in range(40)] + [(k, f"word house {k} dog cat and one flower", "en", "b.example.uk") for k in range(40, 80)]
     rows += [(100, "123", "en", "b.example.uk"), (101, "x", None, "new.example.es"), (102, "x", "es-MX", None)]
