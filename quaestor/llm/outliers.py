@@ -16,6 +16,7 @@ separate documents.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -33,8 +34,10 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 DIMS = ["x0", "x1", "x2", "x3", "x4"]
 #: Groups up to which their estimates (some 400 bytes each) are broadcast.
 SMALL = 20_000
-#: Scatter below which a coordinate is not estimated (most texts have no symbol and no repeated line).
-FLOORS = np.array([0.6, 0.05, 0.8, 0.8, 0.6])
+#: Scatter below which a coordinate is not estimated (most texts have no symbol and no repeated line) but set to this.
+FLOORS = np.array([0.1, 0.02, 0.8, 0.8, 0.6])
+#: Units in which the starts measure how far a text is from the medians.
+UNITS = np.array([0.6, 0.05, 0.8, 0.8, 0.6])
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -114,9 +117,32 @@ def _moments(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums, *cross)
 
 
-def _fit(moments: DataFrame, keys: list[str]) -> DataFrame:
+def chi_square(x: float, p: int) -> float:
+    """Distribution function of a chi-square variable of p degrees of freedom."""
+    term = total = 2 / p
+    n = 1
+    while term > 1e-16 * total:
+        term *= x / 2 / (p / 2 + n)
+        total += term
+        n += 1
+    return total * math.exp(p / 2 * math.log(x / 2) - x / 2 - math.lgamma(p / 2))
+
+
+def consistency(share: float, p: int) -> float:
+    """Factor that makes the scatter of the nearest ``share`` of p normal coordinates that of all."""
+    if p == 0 or share >= 1:
+        return 1.0
+    low, high = 1e-9, 1e3
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, p) < share else (low, mid)
+    return share / chi_square(high, p + 2)
+
+
+def _fit(moments: DataFrame, keys: list[str], share: float) -> DataFrame:
     """Centre, inverse scatter and log determinant per row of moments."""
     p = len(DIMS)
+    factor = [consistency(share, k) for k in range(p + 1)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -127,7 +153,9 @@ def _fit(moments: DataFrame, keys: list[str]) -> DataFrame:
                 for i in range(p):
                     for j in range(i, p):
                         cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] / r["n"] - centre[i] * centre[j]
-                cov = np.round(cov, 9) + np.diag(FLOORS**2)
+                cov = np.round(cov, 9)
+                cov *= factor[int((np.diag(cov) >= FLOORS**2).sum())]
+                cov += np.diag(np.maximum(FLOORS**2 - np.diag(cov), 0.0))
                 out.append({k: r[k] for k in keys} | {"centre": np.round(centre, 9).tolist(), "inverse": np.linalg.inv(cov).ravel().tolist(), "logdet": round(float(np.linalg.slogdet(cov)[1]), 6), "n": r["n"]})
             yield pd.DataFrame(out, columns=[*keys, "centre", "inverse", "logdet", "n"])
 
@@ -139,8 +167,8 @@ def mcd(points: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     """MCD per group ``g`` of points (g, x0..): centre, inverse, logdet, n.
 
     Two deterministic starts per group (medians with scaled deviations; spatial signs around the medians), ``steps``
-    C-steps of each, the lower determinant wins. The scatter has FLOORS added, as in a regularised MCD, so a
-    coordinate that is constant in a group doesn't make it singular.
+    C-steps of each, the lower determinant wins. The scatter is corrected for consistency; a coordinate whose own is below
+    FLOORS is raised to it, so one that is constant in a group doesn't make the scatter singular.
     """
     wide = points.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.col(d).alias("v")) for i, d in enumerate(DIMS)])).alias("e")).select("g", "e.dim", "e.v")
     grid = 512.0
@@ -150,30 +178,30 @@ def mcd(points: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     # a row per group: sent to all tasks where that is small, so that a hot group isn't dealt by its name
     small = F.broadcast if medians.count() <= SMALL else (lambda df: df)
     away = points.join(small(medians), "g")
-    unit = [(F.col(d) - F.col(f"m{i}")) / F.lit(float(FLOORS[i])) for i, d in enumerate(DIMS)]
+    unit = [(F.col(d) - F.col(f"m{i}")) / F.lit(float(UNITS[i])) for i, d in enumerate(DIMS)]
     length = F.sqrt(sum((u * u for u in unit[1:]), unit[0] * unit[0]))
-    # start 0: nearest to the medians in units of the floors; start 1: drawn in to unit length first
+    # start 0: nearest to the medians in UNITS; start 1: drawn in to unit length first
     first = away.select("g", F.explode(F.array(F.lit(0), F.lit(1))).alias("start"), *DIMS, *[f"m{i}" for i in range(len(DIMS))], length.alias("_far"))
     pull = F.when((F.col("start") == 1) & (F.col("_far") > 1), 1 / F.col("_far")).otherwise(F.lit(1.0))
     near = first.withColumn("bin", F.floor(F.least(F.col("_far"), F.lit(1e6)) * 64).cast("int"))
     half = binned_quantile(near.where("start = 0").withColumnRenamed("g", "hg"), ["hg"], "bin", 0.5, "cut")
     kept = near.join(small(half), F.col("g") == F.col("hg")).where((F.col("start") == 1) | (F.col("bin") <= F.col("cut")))
     pulled = kept.select("g", "start", *[(F.col(f"m{i}") + (F.col(d) - F.col(f"m{i}")) * pull).alias(d) for i, d in enumerate(DIMS)])
-    model = written(_fit(_moments(pulled, ["g", "start"]), ["g", "start"]), "mcd")
+    model = written(_fit(_moments(pulled, ["g", "start"]), ["g", "start"], share), "mcd")
     for _ in range(steps):
         far = points.join(small(model.select("g", "start", "centre", "inverse")), "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * 64).cast("int"))
         cut = binned_quantile(far, ["g", "start"], "bin", share, "cut")
         kept = far.drop("centre", "inverse").join(small(cut), ["g", "start"]).where("bin <= cut")
-        model = written(_fit(_moments(kept, ["g", "start"]), ["g", "start"]), "mcd")
+        model = written(_fit(_moments(kept, ["g", "start"]), ["g", "start"], share), "mcd")
     best = F.min_by(F.struct("centre", "inverse", "logdet", "n"), F.struct("logdet", "start")).alias("m")
     return model.groupBy("g").agg(best).select("g", "m.*")
 
 
-def judge(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", min_words: int = 50, repeat_share: int = 50, cutoff: float = 55.0, min_group: int = 200) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", min_words: int = 50, repeat_share: int = 50, cutoff: float = 25.74, min_group: int = 200) -> DataFrame:
     """One row per document: id, STATS, base_failed, distance (squared, null where no estimate applies), kept.
 
-    ``cutoff`` is on the squared distance; for five coordinates 55 lies beyond the 0.99999999 point of a chi-square
-    variable, so that the heavy but regular tails of clean text stay.
+    ``cutoff`` is on the squared distance: the 0.9999 point of a chi-square variable of five degrees of freedom. Each
+    statistic alone can pass it.
     """
     few = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("_lang"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"), F.col(text_col).alias("_body"))
     stats = with_stats(few, ["_id", "_lang", "_source"], "_body")

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import inspect
 import itertools
 import random
 import re
@@ -280,6 +281,26 @@ def test_word_statistics(docs, rows):
         assert not (g.base_failed and g.kept)
 
 
+def test_each_statistic_alone_rejects(spark):
+    rng = np.random.default_rng(17)
+    x = np.zeros((600, 5))
+    x[:, 0], x[:, 1] = rng.normal(5.6, 0.8, 600), rng.normal(1.6, 0.04, 600)
+    x[rng.random(600) < 0.05, 4] = np.log1p(5)
+    points = spark.createDataFrame([("g", *map(float, r)) for r in x], "g string, " + ", ".join(f"{d} double" for d in outliers.DIMS))
+    model = outliers.mcd(points).first()
+    centre, inverse = np.array(model.centre), np.array(model.inverse).reshape(5, 5)
+    cutoff = inspect.signature(outliers.judge).parameters["cutoff"].default
+
+    def far(points):
+        return np.einsum("ij,jk,ik->i", points - centre, inverse, points - centre)
+
+    assert (far(x) <= cutoff).mean() > 0.99
+    for dim, value in ((0, np.log(100_000)), (1, np.log(12)), (2, np.log1p(200)), (3, np.log1p(95)), (4, np.log1p(50))):
+        one = centre.copy()
+        one[dim] = value
+        assert far(one[None, :])[0] > cutoff, dim
+
+
 def test_outliers_leave_good_documents(spark, data, docs):
     labels = spark.read.parquet(f"{data}/labels.parquet")
     out = outliers.judge(docs).where("not base_failed").join(labels, "doc_id")
