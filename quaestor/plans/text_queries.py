@@ -134,7 +134,7 @@ on_documents(
               when doc_id % 7 > 0 then ' Par. ' || (doc_id % 90) || '.' else '' end
       || case when doc_id % 8 = 0 then ' Disponível em: http://x/a.pdf' else '' end""",
 )
-on_documents("fn_state_of_case", lambda: T.state_of_case(F.concat(F.left(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(10)), F.when(doc_id % 3 == 0, " Vs. Perú.").when(doc_id % 3 == 1, " Vs. País 9").otherwise(""))), "case when doc_id % 3 = 0 then 'Perú' end")
+on_documents("fn_state_of_case", lambda: T.state_of_case(F.concat(F.replace(text, F.lit("\n"), F.lit(" ")), F.when(doc_id % 3 == 0, " Vs. Perú.").when(doc_id % 3 == 1, " Vs. País 9").otherwise(""))), "case when doc_id % 3 = 0 then 'Perú' end")
 CORE = r"'Gomes ' || regexp_split_to_array(text, '\s+')[1] || ' e outros'"
 on_documents("fn_core_name", lambda: T.core_name(name), CORE)
 query("fn_name_terms", f"select doc_id, array_to_string(list_filter(regexp_split_to_array({CORE}, '[^0-9A-Za-zÀ-ÿ]+'), lambda w: length(w) > 1 and not list_contains({STOP}, {FOLD.format('w')}))[1:4], ' ') as value from documents")(

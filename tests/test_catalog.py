@@ -55,3 +55,10 @@ def test_query_matches_sql(spark, duck, data, name):
         assert got == sorted((tuple(plain(r[i]) for i in at) for r in want.fetchall()), key=repr)
     else:
         assert got
+
+
+def test_state_of_case_reads_whole_texts(spark, tmp_path):
+    texts = [(1, "Caso " + "nome " * 50 + "Vs. Chile"), (2, "Caso curto"), (3, "palavra\n" * 5000)]
+    spark.createDataFrame([(3 * i + 2, t) for i, t in texts], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.value for r in own()[0]["fn_state_of_case"](spark, str(tmp_path)).collect()}
+    assert got == {5: "Chile", 8: None, 11: None}
