@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +20,15 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one set here (local runs and tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, a local session gets one here; a cluster has to name it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is unset; it has to name a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -31,12 +37,49 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
+#: Tables written within each open ``scratch`` block.
+_SCRATCH: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("scratch", default=None)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write go as soon as it is done; the table itself goes with ``discard``, or with the ``scratch``
+    block around unless it is ``lasting``.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    if (held := _SCRATCH.get()) is not None and not lasting:
+        held.append(out)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` whose readers are all written themselves."""
+    for df in tables:
+        if path := df.__dict__.pop("_written_to", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """What is written within goes at the end, so nothing read from it may be left unwritten."""
+    token = _SCRATCH.set([])
+    try:
+        yield
+    finally:
+        discard(*_SCRATCH.get())
+        _SCRATCH.reset(token)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

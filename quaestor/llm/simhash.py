@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, spread, written
+from .common import discard, mix64, spread, written
 
 BLOCK = 32
 _U = np.uint64
@@ -253,8 +253,9 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = mark
+        seen, before = mark, now
         now = written(smaller(larger(now)), "stars")
+        discard(before)
 
 
 def size_classes(least: float, top: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,7 +269,7 @@ def size_classes(least: float, top: int = 1 << 40) -> tuple[np.ndarray, np.ndarr
         sizes.append(max(sizes[-1] + 1, int(sizes[-1] / least + 1e-9)))
     sizes = np.array(sizes, np.int64)
     differ = (2 * sizes * ((1 - least) / (1 + least)) + 1e-9).astype(np.int64)
-    return sizes, differ, differ + differ // 3 + 2
+    return sizes, differ, differ + differ // 8 + 4
 
 
 def segment_keys(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -313,6 +314,9 @@ def parity(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(_U)
 
 
+BITS = ["s0", "s1", "s2", "s3"]
+
+
 def set_name(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -322,13 +326,19 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def set_names(docs: DataFrame, width: int) -> DataFrame:
-    """(_id, c) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves."""
+    """(_id, c, n, s0..s3) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves;
+    n is their number, s0.. their parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(map(set_name, _sets_of(batch, width)), pa.int64())], names=["_id", "c"])
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                sets = _sets_of(part, width)
+                bits = np.stack([parity(x) for x in sets]).view(np.int64)
+                cols = [part.column("_id"), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)], names=["_id", "c", "n", *BITS])
 
-    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint")
+    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
 
 
 def dealt_sets(docs: DataFrame, width: int, least: float) -> DataFrame:
@@ -437,29 +447,25 @@ def _between(least: float):
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(c, shingles, n, s0..s3) of docs (c, _body): the sorted different shingle hashes as bytes, their number, parity bits."""
+    """(c, shingles) of docs (c, _body): 32 bits of each different shingle's hash, sorted, as bytes.
+
+    Two sets of n shingles have n * n / 2^32 of them alike by chance: none in a page, a few thousandths of a per cent in a book.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                sets = _sets_of(part, width)
-                own = [i for i, (c, x) in enumerate(zip(part.column("c").to_pylist(), sets, strict=True)) if set_name(x) == c]  # rows of an equal id may have other texts
-                if not own:
-                    continue
-                part, sets = part.take(pa.array(own)), [sets[i] for i in own]
-                bits = np.stack([parity(x) for x in sets]).view(np.int64)
-                cols = [part.column("c"), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)], names=["c", "shingles", "n", "s0", "s1", "s2", "s3"])
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                found = [(c, x) for c, x in zip(part.column("c").to_pylist(), _sets_of(part, width), strict=True) if set_name(x) == c]  # rows of an equal id may have other texts
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([np.unique(x.astype(np.uint32)).tobytes() for _, x in found], pa.binary())], names=["c", "shingles"])
 
-    return docs.select("c", "_body").mapInArrow(run, "c bigint, shingles binary, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    return docs.select("c", "_body").mapInArrow(run, "c bigint, shingles binary")
 
 
-def possible(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+def possible(edges: DataFrame, marked: DataFrame, least: float) -> DataFrame:
     """The edges (a, b) that the parity bits allow to be similar: no similar one is left out, and sets needn't be moved for the others."""
-    bits = ["s0", "s1", "s2", "s3"]
-    ends = [sets.select(F.col("c").alias(e), *[F.col(x).alias(f"{e}_{x}") for x in ["n", *bits]]) for e in ("a", "b")]
-    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in bits[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    ends = [marked.select(F.col("c").alias(e), *[F.col(x).alias(f"{e}_{x}") for x in ["n", *BITS]]) for e in ("a", "b")]
+    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in BITS[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
     met = edges.join(ends[0], "a").join(ends[1], "b")
     return met.where(differ <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9)).select("a", "b")
 
@@ -471,7 +477,7 @@ def similar(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -487,33 +493,53 @@ def _tree(edges: DataFrame) -> DataFrame:
     return roots.select(F.col("node").alias("c"), "root").unionByName(roots.select(F.col("root").alias("c"), "root").distinct())
 
 
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("c")).unionByName(edges.select(F.col("b").alias("c"))).distinct()
+
+
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 24) -> DataFrame:
     """(id, component_id): components of the links between texts whose sets of shingles have a Jaccard similarity of ``least``.
 
-    Complete: every such pair shares a key (segment_keys). Keys of up to ``hot`` sets propose all their pairs. A larger key
-    first proposes two stars; once those links are checked, every pair of its sets that are not yet in one component and
-    that the parity bits allow is checked too. Wordless texts are linked to each other only.
+    Complete: every such pair shares a key (segment_keys). Keys of up to ``hot`` sets propose all their pairs; a larger key
+    proposes two stars. What the parity bits rule out is dropped. Sets are compared exactly, first each with its least
+    partner; then, among sets that are not yet in one component, all other pairs, those of the larger keys included.
+    Wordless texts are linked to each other only. A null id is a document like any other, but names no component of ids.
     """
     few = spread(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")))
     marked = written(set_names(few, width), "marked")
+    kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ["n", *BITS]]), "kinds")
     met = dealt_sets(few, width, least).repartition("key").sortWithinPartitions("key", "c")
     met = written(met.mapInArrow(_proposer(least, hot), "a bigint, b bigint, big boolean"), "met")
-    pairs = written(met.where("not big").select("a", "b").distinct(), "proposed")
+    near = written(possible(met.where("not big").select("a", "b").distinct(), kinds, least), "near")
     big = met.where("big").select(F.col("a").alias("key"), F.col("b").alias("c"))
-    every = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).unionByName(big.select("c")).distinct()
-    first = marked.join(every, "c", "left_semi").groupBy("c").agg(F.min("_id").alias("_id")).where("_id is not null")
-    chosen = written(first, "chosen")
-    sets = written(shingle_sets(few.join(chosen, "_id"), width), "sets")
-    edges = written(similar(written(possible(pairs, sets, least), "possible"), sets, least), "links")
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    partner = both.groupBy("a").agg(F.min("b").alias("b"))
+    first = written(partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "first")
+
+    def compared(edges: DataFrame) -> DataFrame:
+        """The similar ones of edges; only the texts at their ends are gathered."""
+        chosen = written(_ends(edges).join(kinds, "c").where("_id is not null").select("c", "_id"), "chosen")
+        sets = written(shingle_sets(few.join(chosen, "_id"), width).dropDuplicates(["c"]), "sets")
+        out = written(similar(edges, sets, least), "links")
+        discard(chosen, sets)
+        return out
+
+    edges = compared(first)
+    tree = written(_tree(edges), "tree")
+    ends = [tree.select(F.col("c").alias(e), F.col("root").alias(f"{e}_root")) for e in ("a", "b")]
+    apart = near.join(first, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    rest = apart.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
     if not big.isEmpty():
-        tree = written(_tree(edges), "tree")
         rows = big.join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
         split = rows.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y").select("key")
-        rows = rows.join(split, "key", "left_semi").join(sets.drop("shingles"), "c")
-        rows = rows.select("key", "c", "root", "n", "s0", "s1", "s2", "s3").repartition("key").sortWithinPartitions("key", "c")
-        more = written(rows.mapInArrow(_between(least), "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti"), "between")
-        edges = edges.unionByName(written(similar(more, sets, least), "more"))
-    placed = marked.join(_tree(edges), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        rows = rows.join(split, "key", "left_semi").join(kinds.drop("_id"), "c")
+        rows = rows.select("key", "c", "root", "n", *BITS).repartition("key").sortWithinPartitions("key", "c")
+        rest = rest.unionByName(rows.mapInArrow(_between(least), "a bigint, b bigint")).distinct().join(first, ["a", "b"], "left_anti")
+    rest = written(rest, "rest")
+    discard(met, near, first)
+    if not rest.isEmpty():
+        tree = written(_tree(edges.unionByName(compared(rest))), "tree")
+    placed = marked.select("_id", "c").join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
     least_id = placed.groupBy("root").agg(F.min("_id").alias("component_id"))
     return placed.join(least_id, "root").select(F.col("_id").alias(id_col), "component_id")
 
