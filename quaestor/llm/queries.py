@@ -28,8 +28,8 @@ def op2_sentencepiece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of every document that a 400-byte string standing elsewhere covers, and a digest of the rest."""
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept_text")
+    """Bytes of every document that a 400-byte string standing elsewhere covers, a digest of the rest, and the rest as text."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).withColumnRenamed("kept_text", "text")
 
 
 def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

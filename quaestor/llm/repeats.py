@@ -3,20 +3,24 @@
 Every byte covered by a string of ``length`` bytes that also starts anywhere else is removed. Exact at any input size:
 
 1. Cells. Each window of ``length`` bytes picks its least 32-byte gram (leftmost of ties). The consecutive windows that
-   pick one gram are a cell; a cell's context is the bytes its windows cover. Equal windows pick equal grams, so two
-   occurrences of a string lie in cells with equal gram hash: cells are grouped by that hash, contexts by a 128-bit hash.
-2. A context that stands twice or more is repeated as a whole: counts say so, no text is moved, and any number of copies
-   costs one partially aggregated row. It enters the index once.
-3. Where a gram has several different contexts, one copy of each is fetched and the contexts are indexed, some megabytes
-   at a time: suffix order, run-length Burrows-Wheeler transform, the two text positions at each run's end as samples and
-   their common length. Matching statistics are streamed over the text from the samples alone (a position that is no run
-   end has its predecessor's match, one shorter), and windows whose statistic reaches ``length`` are marked.
-4. A gram with more than ``hot`` different contexts is not gathered: its different contexts are cut to strips of STRIP
-   starts, counted like contexts in step 2; strips that share a key but differ are counted window by window. Counts are
-   weighted by the copies of each context.
-
-Defined results: null text is empty; a text shorter than ``length`` keeps all; rows with equal ids are separate rows in
-step 1 but share their spans, so ids must be unique; a null id is its own document without partners to be cut.
+   pick one gram are a cell; a cell's context is the bytes its windows cover. Equal windows pick equal grams at equal
+   distances, so two occurrences of a string lie in cells of equal gram hash. Grams that stand once are dropped; equal
+   contexts of a gram become one row with their number before anything is moved, however many copies there are.
+2. Index. The contexts of some grams, half a megabyte at a time, go to a run-length index: suffix order, run-compressed
+   Burrows-Wheeler transform, the two text positions at each run's end as samples and their common length. Matching statistics
+   are streamed over the text from the samples alone (a position that is no run end has its predecessor's match, one
+   shorter); an entry that stands for several copies matches itself to its end. Windows whose statistic reaches ``length``
+   are marked, and every member of a context gets the context's marks. All removals come from here.
+3. A gram with more than ``hot`` different contexts is split by its surroundings: a strip is the windows whose starts lie
+   in one row of STRIP distances from the gram, and is keyed by all the bytes these windows share. Equal windows lie in
+   strips of one key. What the strip has besides, at most STRIP - 1 bytes on either side, is indexed as above with the
+   shared bytes as one symbol. A key of more than ``part`` different strips is split again, into single windows: those of
+   one key are then equal, and their number says whether they are repeated.
+
+Texts are gathered as sorted rows that a task streams, one text at a time; no list of a document or gram is built.
+
+Defined results: null text is empty; a text shorter than ``length`` keeps all; rows are told apart by id and text, so rows
+of an equal or null id don't mix (rows equal in both are copies of each other).
 """
 
 from __future__ import annotations
@@ -32,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_batches, mix64, spread, utf8_parts, written
+from .common import byte_batches, discard, mix64, scratch, spread, utf8_parts, written
 
 GRAM = 32
-PIECE = 1 << 22  # a longer text is cut into pieces of so many window starts
+PIECE = 1 << 20  # a longer text is cut into pieces of so many window starts
 STRIP = 16
-INDEX_BYTES = 1 << 21
-CELL = "key bigint, c0 bigint, c1 bigint, id bigint, start bigint, len int, anchor int"
+INDEX_BYTES = 1 << 19
+CELL = "key bigint, c bigint, id bigint, h bigint, start bigint, len int, anchor int"
 _U = np.uint64
 
 
@@ -90,22 +94,16 @@ def cells(data: np.ndarray, begins: np.ndarray, stops: np.ndarray, length: int)
     return hashes[at[first]], at[first], first, last
 
 
-def _cell_batch(key, ids, starts, lens, anchors, digests) -> pa.RecordBatch:
-    halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-    cols = [pa.array(np.asarray(key).view(np.int64)), pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), ids, pa.array(starts), pa.array(np.asarray(lens).astype(np.int32)), pa.array(np.asarray(anchors).astype(np.int32))]
-    return pa.RecordBatch.from_arrays(cols, names=["key", "c0", "c1", "id", "start", "len", "anchor"])
-
-
 def _pieces(batch: pa.RecordBatch, length: int):
     """(row of each text, its first byte in the row's text, bytes, begins, stops): texts of about a megabyte together."""
     for a, b in byte_batches(batch, "text"):
         data, off = utf8_parts(batch.column("text").slice(a, b - a))
         if len(data) <= PIECE + length:
             yield np.arange(a, b), np.zeros(b - a, np.int64), data, off[:-1], off[1:]
-        else:  # one long text
+        else:  # one long text, after empty ones
             for s in range(0, len(data), PIECE):
                 part = data[s : s + PIECE + length - 1]
-                yield np.array([a]), np.array([s]), part, np.array([0]), np.array([len(part)])
+                yield np.array([b - 1]), np.array([s]), part, np.array([0]), np.array([len(part)])
 
 
 def _deal(length: int):
@@ -116,12 +114,15 @@ def _deal(length: int):
                 if not len(key):
                     continue
                 raw = data.tobytes()
-                digest = xxhash.xxh3_128_digest
-                digests = [digest(raw[s : e + length]) for s, e in zip(first.tolist(), last.tolist(), strict=True)]
+                digest = xxhash.xxh3_64_intdigest
+                digests = np.array([digest(raw[s : e + length]) for s, e in zip(first.tolist(), last.tolist(), strict=True)], np.uint64)
                 own = np.searchsorted(begins, first, side="right") - 1
                 while (bad := stops[own] <= first).any():  # empty texts share a begin
                     own[bad] += 1
-                yield _cell_batch(key, batch.column("id").take(pa.array(rows[own])), first - begins[own] + shift[own], last - first + length, anchor - first, digests)
+                who = pa.array(rows[own])
+                cols = [pa.array(key.view(np.int64)), pa.array(digests.view(np.int64)), batch.column("id").take(who), batch.column("h").take(who), pa.array(first - begins[own] + shift[own])]
+                cols += [pa.array(x.astype(np.int32)) for x in (last - first + length, anchor - first)]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "c", "id", "h", "start", "len", "anchor"])
 
     return run
 
@@ -184,7 +185,7 @@ class RunLengthIndex:
     """Run-length BWT of a text, with the text positions at both sides of each run boundary and their common length."""
 
     def __init__(self, text: np.ndarray):
-        order = suffix_order(text)
+        self.order = order = suffix_order(text)
         last = text[order - 1]  # the symbol before each suffix; before the first one, the last
         head = np.flatnonzero(last[1:] != last[:-1]) + 1
         wrap = np.flatnonzero(order == 0)
@@ -205,16 +206,20 @@ class RunLengthIndex:
         return np.maximum(reach - np.arange(self.size), 0)
 
 
-def repeated_spans(contexts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
-    """Per context the spans of bytes covered by a string of ``length`` bytes that starts elsewhere in any of them."""
+def repeated_spans(contexts: list[bytes], copies: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """Per context the spans of bytes covered by a string of ``length`` bytes that starts elsewhere.
+
+    ``copies`` is how many times each context stands in the corpus; the index holds it once.
+    """
     sizes = np.array([len(c) for c in contexts])
     begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes + 1)])
     text = np.frombuffer(b"\xff".join(contexts) + b"\xff", dtype=np.uint8)  # 0xff is in no UTF-8 text
-    hit = RunLengthIndex(text).matching_statistics() >= length
     own = np.repeat(np.arange(len(contexts)), sizes + 1)
-    hit &= np.arange(len(text)) + length <= (begin[:-1] + sizes)[own]
+    rest = (begin[:-1] + sizes)[own] - np.arange(len(text))  # bytes to the context's end
+    match = RunLengthIndex(text).matching_statistics()
+    match = np.where(np.array(copies)[own] > 1, np.maximum(match, rest), match)
     out: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    at = np.flatnonzero(hit)
+    at = np.flatnonzero((match >= length) & (rest >= length))
     if len(at):
         cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(own[at]) > 0))
         for s, e in zip(at[np.r_[0, cut + 1]].tolist(), at[np.r_[cut, len(at) - 1]].tolist(), strict=True):
@@ -223,139 +228,214 @@ def repeated_spans(contexts: list[bytes], length: int) -> list[list[tuple[int, i
     return out
 
 
+BODY = "key bigint, c bigint, n bigint, body binary, k bigint, a int, lead binary, tail binary"
+
+
 def _fetch(length: int):
-    """Contexts of grams for the index as (key, id, start, body); those of hot grams cut to strips of STRIP window starts.
+    """mapInArrow function over texts and contexts (id, h, text, key, c, n, start, len, anchor, hot), a text before its contexts.
 
-    A strip is keyed by the bytes that all of its windows share; c0, c1 is the hash of its bytes, windows are the hashes
-    of its windows, 16 bytes each. Strips lie at fixed distances from the gram, so equal windows lie in strips of one key.
+    Gives the contexts as (key, c, n, body), those of hot grams as strips (key, c, n, k, a, lead, tail): k is the hash of the
+    bytes that all windows of the strip share, a the strip's first window in the context.
     """
+    names = [x.split()[0] for x in BODY.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def strips(raw: bytes, start: int, size: int, anchor: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+        gram, last = start + anchor, start + size - length
+        for q in range((gram - last) // STRIP, anchor // STRIP + 1):
+            right = gram - q * STRIP  # the strip's last start; all of its windows reach from here to ...
+            left = right - STRIP + 1
+            a, b = max(start, left), min(last, right)
+            k = struct.unpack("<q", xxhash.xxh3_64_digest(raw[right : left + length], q))[0]
+            yield k, a - start, raw[a:right], raw[left + length : b + length]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        names = ["key", "id", "start", "body", "c0", "c1", "n", "windows"]
-        digest = xxhash.xxh3_128_digest
+        own, text, raw = None, None, b""
+        rows: list[tuple] = []
+        size = 0
         for batch in batches:
-            for name, text, found in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("cells"), strict=True):
-                raw = (text.as_py() or "").encode()
-                rows = []
-                for c in found.as_py():
-                    start, stop = c["start"], c["start"] + c["len"]
-                    if not c["hot"]:
-                        rows.append((c["key"], name, start, raw[start:stop], None, None, c["n"], None))
-                        continue
-                    gram, first, last = start + c["anchor"], start, stop - length
-                    for q in range((gram - last) // STRIP, (gram - first) // STRIP + 1):
-                        a, b = max(first, gram - q * STRIP - STRIP + 1), min(last, gram - q * STRIP)
-                        shared = raw[gram - q * STRIP : gram - q * STRIP - STRIP + 1 + length]
-                        key = struct.unpack("<q", xxhash.xxh64_digest(shared, q))[0]
-                        rows.append((key, name, a, None, *struct.unpack("<qq", digest(raw[a : b + length])), c["n"], b"".join([digest(raw[w : w + length]) for w in range(a, b + 1)])))
-                for k in range(0, len(rows), 5_000):
-                    cols = list(zip(*rows[k : k + 5_000], strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+            ids, texts = zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), strict=True), batch.column("text")
+            cells = zip(*(batch.column(x).to_pylist() for x in ("key", "c", "n", "start", "len", "anchor", "hot")), strict=True)
+            for i, (who, (key, c, n, start, length_, anchor, hot)) in enumerate(zip(ids, cells, strict=True)):
+                if key is None:
+                    if who != own:  # rows of an equal id and text are alike
+                        own, text, raw = who, texts[i], None
+                    continue
+                if raw is None:
+                    raw = text.as_py().encode()
+                if hot:
+                    rows += [(key, c, n, None, *x) for x in strips(raw, start, length_, anchor)]
+                else:
+                    rows.append((key, c, n, raw[start : start + length_], None, None, None, None))
+                size += length_
+                if size > 1 << 21 or len(rows) >= 8192:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return run
 
 
+def _batches_of(batches: Iterator[pa.RecordBatch], names: list[str], size_of) -> Iterator[list[tuple]]:
+    """Rows of batches sorted by their first column, some INDEX_BYTES at a time; the rows of a key stay together."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        for row in zip(*(batch.column(x).to_pylist() for x in names), strict=True):
+            if size >= INDEX_BYTES and row[0] != held[-1][0]:
+                yield held
+                held, size = [], 0
+            held.append(row)
+            size += size_of(row)
+    if held:
+        yield held
+
+
 def _index(length: int):
+    """mapInArrow function over contexts (key, c, n, body) by key: their repeated spans (key, c, a, b)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows):
-            spans = repeated_spans([r[2] for r in rows], length)
-            flat = [(r[0], r[1] + a, r[1] + b) for r, own in zip(rows, spans, strict=True) for a, b in own]
-            cols = list(zip(*flat, strict=True)) if flat else [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "a", "b"])
+        for rows in _batches_of(batches, ["key", "c", "n", "body"], lambda r: len(r[3])):
+            spans = repeated_spans([r[3] for r in rows], [r[2] for r in rows], length)
+            flat = [(r[0], r[1], a, b) for r, own in zip(rows, spans, strict=True) for a, b in own]
+            cols = list(zip(*flat, strict=True)) if flat else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["key", "c", "a", "b"])
+
+    return run
 
-        held, size = [], 0
-        for batch in batches:
-            for key, i, s, body in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "start", "body")), strict=True):
-                if size >= INDEX_BYTES and key != held[-1][3]:
-                    yield flush(held)
-                    held, size = [], 0
-                held.append((i, s, body, key))
-                size += len(body)
-        if held:
-            yield flush(held)
+
+def _index_strips(length: int):
+    """mapInArrow function over strips (k, lead, tail, n) by k: the repeated windows x to y of each, as (k, lead, tail, x, y).
+
+    The shared bytes are one symbol: 0xfe, which is in no UTF-8 text, and the number of the key.
+    """
+    names = ["k", "lead", "tail", "x", "y"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _batches_of(batches, ["k", "lead", "tail", "n"], lambda r: 2 * STRIP):
+            number = {k: bytes([0xFE, *(i >> s & 0x7F for s in (21, 14, 7, 0))]) for i, k in enumerate(dict.fromkeys(r[0] for r in rows))}
+            width = STRIP - 1 + 5
+            spans = repeated_spans([r[1] + number[r[0]] + r[2] for r in rows], [r[3] for r in rows], width)
+            flat = [(*r[:3], a, b - width) for r, own in zip(rows, spans, strict=True) for a, b in own]
+            cols = list(zip(*flat, strict=True)) if flat else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names=names)
 
     return run
 
 
-def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 250) -> DataFrame:
-    """(id, spans): the repeated spans [a, b) in the UTF-8 bytes of each text that has any; they may overlap."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+def _marked_strips(strips: DataFrame, length: int, part: int) -> DataFrame:
+    """(key, c, a, b): repeated spans of the contexts that were split to strips."""
+    kinds = written(strips.groupBy("k", "lead", "tail").agg(F.sum("n").alias("n")), "kinds")
+    large = written(kinds.groupBy("k").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > part).select("k"), "large")
+    fits = kinds.join(large.hint("merge"), "k", "left_anti").select("k", "lead", "tail", "n")
+    marks = fits.repartition("k").sortWithinPartitions("k").mapInArrow(_index_strips(length), "k bigint, lead binary, tail binary, x int, y int")
+    if not large.isEmpty():
+        # window x has the last bytes of the lead from x on, and as much of the tail as is wanting to STRIP - 1
+        at = F.explode(F.sequence(F.lit(0), F.octet_length("lead") + F.octet_length("tail") - (STRIP - 1)))
+        windows = kinds.join(large.hint("merge"), "k", "left_semi").select("k", "lead", "tail", "n", at.alias("x"))
+        before = F.col("lead").substr(F.col("x") + 1, F.lit(STRIP))
+        after = F.col("tail").substr(F.lit(1), F.lit(STRIP - 1) - F.octet_length("lead") + F.col("x"))
+        windows = windows.withColumn("w", F.xxhash64("k", F.octet_length("lead") - F.col("x"), F.hex(before), F.hex(after)))
+        twice = written(windows.groupBy("k", "w").agg(F.sum("n").alias("n")).where("n > 1").select("k", "w"), "twice")
+        marks = marks.unionByName(windows.join(twice.hint("merge"), ["k", "w"]).select("k", "lead", "tail", "x", F.col("x").alias("y")))
+    found = strips.join(marks.hint("merge"), ["k", "lead", "tail"])
+    return found.select("key", "c", (F.col("a") + F.col("x")).alias("a"), (F.col("a") + F.col("y") + length).alias("b"))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple:
+    """(id, h, text): what tells rows apart, and the text."""
+    text = F.col(text_col).cast("string")
+    return F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text")
+
+
+def spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int = 250, part: int = 20_000) -> DataFrame:
+    """(id, h, a, b): the repeated spans [a, b) in the UTF-8 bytes of the rows of docs; they may overlap.
+
+    id is 0 where it is null, h the text's xxhash64.
+    """
+    texts = docs.select(*_keyed(docs, id_col, text_col))
     found = written(spread(texts).mapInArrow(_deal(length), CELL), "cells")
-    # grams that stand once are most of all; joins by sort and merge at every size, so that the plan doesn't change with it
-    twice = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    found = written(found.join(twice.hint("merge"), "key", "left_semi"), "live")
-    contexts = written(found.groupBy("key", "c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "len", "anchor")).alias("rep")), "contexts")
-    # contexts that stand twice or more: every member is repeated as a whole
-    again = contexts.where("n > 1").select("key", "c0", "c1")
-    whole = found.join(again.hint("merge"), ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b"))
-    # several contexts of one gram: one copy of each goes to the index, or in windows to a count
-    per_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key", (F.col("m") > hot).alias("hot"))
-    few = contexts.join(per_key.hint("merge"), "key").select("key", "n", "hot", "rep.*")
-    lists = few.groupBy("id").agg(F.collect_list(F.struct("key", "start", "len", "anchor", "n", "hot")).alias("cells"))
-    fetched = texts.join(lists.hint("merge"), "id").select("id", "text", "cells").mapInArrow(_fetch(length), "key bigint, id bigint, start bigint, body binary, c0 bigint, c1 bigint, n bigint, windows binary")
-    fetched = written(fetched, "fetched")
-    bodies = fetched.where("body is not null").select("key", "id", "start", "body")
-    indexed = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "id bigint, a bigint, b bigint")
-    # hot grams: strips that stand twice or more as a whole; of strips that share a key but differ, their windows one by one
-    strips = fetched.where("body is null")
-    width = (F.octet_length("windows") / 16).cast("bigint")
-    kinds = written(strips.groupBy("key", "c0", "c1").agg(F.sum("n").alias("n")), "strips")
-    common = kinds.where("n > 1").select("key", "c0", "c1")
-    alike = strips.join(common.hint("merge"), ["key", "c0", "c1"]).select("id", F.col("start").alias("a"), (F.col("start") + width - 1 + length).alias("b"))
-    mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    at = F.explode(F.sequence(F.lit(0), (width - 1).cast("int")))
-    windows = strips.join(mixed.hint("merge"), "key", "left_semi").select("id", "start", "windows", "n", at.alias("k"))
-    windows = windows.select("id", (F.col("start") + F.col("k")).alias("a"), F.substring("windows", F.col("k") * 16 + 1, F.lit(16)).alias("h"), "n")
-    twice = windows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    counted = alike.unionByName(windows.join(twice.hint("merge"), "h").select("id", "a", (F.col("a") + length).alias("b")))
-    every = whole.unionByName(written(indexed, "marks")).unionByName(counted)
-    return every.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-
-
-def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Sorted maximal runs of bytes; touching spans are one run."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
+    # grams that stand once are most of all; counts are written, so that a join has two plain sides, of which a hot key's part can be split
+    twice = written(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "twice")
+    live = written(found.join(twice.hint("merge"), "key", "left_semi"), "live")
+    discard(found, twice)
+    contexts = written(live.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "start", "len", "anchor")).alias("rep")), "contexts")
+    crowded = written(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot).select("key", F.lit(True).alias("hot")), "crowded")
+    cells = contexts.join(crowded.hint("merge"), "key", "left").select("rep.id", "rep.h", F.lit(None).cast("string").alias("text"), "key", "c", "n", "rep.start", "rep.len", "rep.anchor", F.coalesce("hot", F.lit(False)).alias("hot"))
+    blank = {"key": "bigint", "c": "bigint", "n": "bigint", "start": "bigint", "len": "int", "anchor": "int", "hot": "boolean"}
+    rows = texts.where(F.octet_length("text") >= length).select("id", "h", "text", *[F.lit(None).cast(t).alias(x) for x, t in blank.items()]).unionByName(cells)
+    rows = rows.repartition("id", "h").sortWithinPartitions("id", "h", F.col("key").asc_nulls_first())
+    fetched = written(rows.mapInArrow(_fetch(length), BODY), "fetched")
+    discard(contexts, crowded)
+    bodies = fetched.where("body is not null").select("key", "c", "n", "body")
+    marks = written(bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_index(length), "key bigint, c bigint, a int, b int"), "marks")
+    strips = fetched.where("body is null").select("key", "c", "n", "k", "a", "lead", "tail")
+    every = marks
+    if not strips.isEmpty():
+        with scratch():
+            more = written(_marked_strips(strips, length, part), "more", lasting=True)
+        every = marks.unionByName(more)
+    else:
+        more = marks
+    discard(fetched)
+    every = live.join(every.hint("merge"), ["key", "c"]).select("id", "h", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
+    out = written(every.distinct(), "spans")
+    discard(live, marks, more)
     return out
 
 
-def cut(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
+def cut(raw: bytes, runs: list[list[int]]) -> bytes:
     """What is left of raw without the runs."""
     edges = [0, *itertools.chain.from_iterable(runs), len(raw)]
     return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 250, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 250, carry: list[str] | None = None, part: int = 20_000) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns ``carry``.
 
     kept_text is the remaining bytes as text; a character that was cut into is left out.
     """
-    carry = [c for c in (carry or []) if c != id_col]
-    found = spans(docs, id_col, text_col, length, hot).select(F.col("id").alias("_id"), "spans")
-    told = [F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)]
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *told)
-    keep = ["id", *[f"_c{k}" for k in range(len(carry))]]
+    carry = [c for c in (carry or []) if c not in (id_col, text_col)]
+    found = spans(docs, id_col, text_col, length, hot, part)
+    keep = ["_id", *[f"_c{k}" for k in range(len(carry))]]
+    texts = docs.select(*_keyed(docs, id_col, text_col), F.col(id_col).alias("_id"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)])
+    texts = texts.withColumns({"a": F.lit(None).cast("bigint"), "b": F.lit(None).cast("bigint")})
     names = [*keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows by id and h, spans by their start before the texts that they are of."""
+        own, runs = None, []
         for batch in batches:
-            for a, b in byte_batches(batch, "text", 1 << 22):
-                rows = []
-                for t, s in zip(batch.column("text").slice(a, b - a), batch.column("spans").slice(a, b - a), strict=True):
-                    raw = (t.as_py() or "").encode()
-                    runs = merged([(x["a"], x["b"]) for x in s.as_py() or []])
-                    kept = cut(raw, runs) if runs else raw
-                    rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
-                cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64()] * 3 + [pa.string()] * 2
-                yield pa.RecordBatch.from_arrays([batch.column(k).slice(a, b - a) for k in keep] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
-
-    joined = texts.join(found.hint("merge"), F.col("id") == F.col("_id"), "left").select(*keep, *(["text"] if "text" not in keep else []), "spans")
-    own = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keep)
-    out = joined.mapInArrow(run, f"{own}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
-    return out.select(F.col("id").alias(id_col), *[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *names[len(keep) :])
+            starts, ends = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            at, rows, size, texts = [], [], 0, batch.column("text")
+            for i, who in enumerate(zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), strict=True)):
+                if who != own:
+                    own, runs = who, []
+                if starts[i] is not None:
+                    if runs and starts[i] <= runs[-1][1]:  # touching spans are one run
+                        runs[-1][1] = max(runs[-1][1], ends[i])
+                    else:
+                        runs.append([starts[i], ends[i]])
+                    continue
+                raw = (texts[i].as_py() or "").encode()
+                kept = cut(raw, runs) if runs else raw
+                at.append(i)
+                rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
+                size += len(kept)
+                if size > 1 << 22 or i == batch.num_rows - 1:
+                    yield answer(batch, at, rows)
+                    at, rows, size = [], [], 0
+            if rows:
+                yield answer(batch, at, rows)
+
+    def answer(batch: pa.RecordBatch, at: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64()] * 3 + [pa.string()] * 2
+        told = batch.select(keep).take(pa.array(at, pa.int64()))
+        return pa.RecordBatch.from_arrays([*told.columns, *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], names=names)
+
+    rows = texts.unionByName(found, allowMissingColumns=True).repartition("id", "h").sortWithinPartitions("id", "h", F.col("a").asc_nulls_last())
+    told = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keep)
+    out = rows.mapInArrow(run, f"{told}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    return out.select(F.col("_id").alias(id_col), *[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *names[len(keep) :])

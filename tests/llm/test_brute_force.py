@@ -79,7 +79,28 @@ def brute_spans(raws, length):
         if len(places) > 1:
             for k, i in places:
                 spans[k].append((i, i + length))
-    return [repeats.merged(s) for s in spans]
+    return [merged(s) for s in spans]
+
+
+def merged(found):
+    out = []
+    for a, b in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def inverted(index):
+    """The text that a run-length transform is of, by walking it backwards from the last symbol."""
+    symbols = np.repeat(index.runs, np.diff(np.r_[index.run_starts, index.size]))
+    before = np.argsort(symbols, kind="stable")
+    at, out = int(np.flatnonzero(index.order == 0)[0]), []
+    for _ in range(index.size):
+        at = int(before[at])
+        out.append(int(symbols[at]))
+    return bytes(out)
 
 
 def test_run_length_index():
@@ -87,31 +108,58 @@ def test_run_length_index():
     for _ in range(60):
         length = rng.choice([3, 5, 8])
         contexts = list({bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 9))})
-        assert [repeats.merged(x) for x in repeats.repeated_spans(contexts, length)] == brute_spans(contexts, length)
+        copies = [rng.choice([1, 1, 2, 5]) for _ in contexts]
+        every = brute_spans([c for c, n in zip(contexts, copies, strict=True) for _ in range(n)], length)
+        first = np.cumsum([0, *copies])[:-1]
+        assert [merged(x) for x in repeats.repeated_spans(contexts, copies, length)] == [every[k] for k in first]
     text = np.frombuffer(b"banana" * 50 + b"\xff", np.uint8)
     index = repeats.RunLengthIndex(text)
+    assert inverted(index) == text.tobytes()
     assert len(index.runs) < 12 and bytes(np.repeat(index.runs, np.diff(np.r_[index.run_starts, len(text)]))).count(b"a") == 150
 
 
-@pytest.mark.parametrize("hot", [250, 1])
-def test_repeats(spark, rows, hot):
+@pytest.mark.parametrize(("hot", "part"), [(250, 20_000), (1, 20_000), (1, 1)])
+def test_repeats(spark, rows, hot, part):
     texts = [(r.doc_id, r.text) for r in rows] + [(10_000, "a" * 3000), (10_001, "abcdefg" * 700), (10_002, None), (10_003, ""), (10_004, "a" * 500), (10_005, "é" * 900)]
     raws = [(t or "").encode() for _, t in texts]
     want = {}
     for (i, _), raw, runs in zip(texts, raws, brute_spans(raws, 400), strict=True):
         kept = repeats.cut(raw, runs) if runs else raw
         want[i] = (len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest())
-    got = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), hot=hot).drop("kept_text")
+    got = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), hot=hot, part=part).drop("kept_text")
     assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want
 
 
+def passage_rows(n):
+    """A passage in many surroundings, some of them shared, under repeated and null ids."""
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    out = []
+    for k in range(n):
+        a, b = ("".join(rng.choice("xyz ") for _ in range(rng.choice([3, 40, 500]))) for _ in range(2))
+        out.append((None if k % 5 == 0 else k % 40, f"{a}{passage[rng.randint(0, 20) : rng.randint(640, 700)]}{b}"))
+    return out + out[:7] + [(3, None), (None, None), (3, "")]
+
+
+@pytest.mark.parametrize("part", [20_000, 60])
+def test_common_passage_at_production_parameters(spark, part):
+    texts = passage_rows(400)
+    raws = [(t or "").encode() for _, t in texts]
+    want = Counter()
+    for (i, _), raw, runs in zip(texts, raws, brute_spans(raws, 400), strict=True):
+        kept = repeats.cut(raw, runs)
+        want[i, len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()] += 1
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    assert Counter(tuple(r) for r in repeats.remove_repeats(df, part=part).drop("kept_text").collect()) == want
+
+
 def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     rng = random.Random(3)
     text = "".join(rng.choice("abcdef ") for _ in range(6000))
     text += text[1000:1700] + "x"
     whole = repeats.cells(np.frombuffer(text.encode(), np.uint8), np.array([0]), np.array([len(text)]), 400)
     monkeypatch.setattr(repeats, "PIECE", 1000)
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([7]), pa.array([text])], names=["id", "h", "text"])
     parts = pa.Table.from_batches(repeats._deal(400)(iter([batch])))
     windows = [set(range(s, s + n - 399)) for s, n in zip(parts["start"].to_pylist(), parts["len"].to_pylist(), strict=True)]
     assert sum(map(len, windows)) == len(text) - 399 and set.union(*windows) == set(range(len(text) - 399))
@@ -123,7 +171,7 @@ def test_long_text_after_empty_ones(spark):
     lone = "".join(rng.choice("abcdefgh ") for _ in range(600))
     long = "".join(rng.choices("abcdefgh ", k=5_000_000)) + lone + "".join(rng.choices("abcdefgh ", k=100_000))
     texts = [(1, None), (2, ""), (3, long), (4, "head " + lone + " tail")]
-    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in texts]), pa.array([t for _, t in texts])], names=["id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in texts])] * 2 + [pa.array([t for _, t in texts])], names=["id", "h", "text"])
     assert {i for part in repeats._deal(400)(iter([batch])) for i in part.column("id").to_pylist()} == {3, 4}
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
     got = {r.doc_id: r for r in repeats.remove_repeats(df).collect()}
