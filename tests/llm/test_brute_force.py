@@ -482,3 +482,27 @@ def test_pipeline(spark, data):
     last = P.STAGES[4][1](spark, docs, data)
     assert last.count() == docs.count() and {"doc_id", "n_tokens"} <= set(last.columns)
     assert P.run(spark, data).count() == docs.count()
+
+
+def test_paraphrase_recall(spark, data):
+    """Benchmark items with a tenth to a fifth of their words replaced, set in other text."""
+    rng = random.Random(31)
+    items = [(r.item_id, leaks.words_of(r.text)) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    docs, want = [], set()
+    for k, (i, words) in enumerate(items):
+        changed = list(words)
+        for at in rng.sample(range(len(words)), len(words) // rng.choice([5, 7, 10])):
+            changed[at] = f"other{rng.getrandbits(30)}".encode()
+        filler = [f"w{rng.randrange(500)}" for _ in range(200)]
+        docs.append((50_000 + k, " ".join(filler[:90] + [w.decode() for w in changed] + filler[90:])))
+        want.add((50_000 + k, i))
+    every = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(every, spark.read.parquet(f"{data}/benchmark.parquet")).collect()}
+    assert len(got & want) >= 0.95 * len(want)
+    assert not {d for d, _ in got - want if d >= 50_000} - {d for d, _ in want}
+
+
+def test_short_items_and_rows_of_equal_ids(spark):
+    docs = [(1, "the cat, sat down"), (2, "the cat lay; sat"), (3, "x " * 500 + "THE CAT SAT"), (4, "nothing here"), (4, "the cat sat"), (None, "the cat sat"), (5, None)]
+    got = leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(7, "the cat sat"), (8, "cat"), (9, None)], "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id, r.at_word) for r in got.collect()} == {(1, 7, 0), (3, 7, 500), (4, 7, 0), (None, 7, 0)}
