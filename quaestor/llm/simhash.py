@@ -308,13 +308,22 @@ def segment_keys(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.n
     return np.concatenate(rows), np.concatenate(keys) >> _U(16)
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    """256 bits, each flipped by the shingles that fall on it: sets differ in at least as many shingles as their bits."""
-    bits = np.bincount((mix64(shingles ^ _U(0x2545F4914F6CDD1D)) >> _U(56)).astype(np.int64), minlength=256) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").view(_U)
+def parity(shingles: np.ndarray) -> bytes:
+    """At least two bits a shingle, each flipped by the shingles that fall on it: sets differ in at least as many shingles as their bits.
+
+    Their number is a power of two; half as many are the two halves, one flipped by the other.
+    """
+    width = max(256, 1 << int(2 * max(len(shingles), 1) - 1).bit_length())
+    bits = np.bincount((mix64(shingles ^ _U(0x2545F4914F6CDD1D)) & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
 
-BITS = ["s0", "s1", "s2", "s3"]
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Parity bits, as 64-bit words, in the number that a smaller set has."""
+    while len(bits) > words:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
 
 
 def set_name(shingles: np.ndarray) -> int:
@@ -326,19 +335,18 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def set_names(docs: DataFrame, width: int) -> DataFrame:
-    """(_id, c, n, s0..s3) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves;
-    n is their number, s0.. their parity bits."""
+    """(_id, c, n, bits) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves;
+    n is their number, bits their parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 sets = _sets_of(part, width)
-                bits = np.stack([parity(x) for x in sets]).view(np.int64)
-                cols = [part.column("_id"), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)], names=["_id", "c", "n", *BITS])
+                cols = [part.column("_id"), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["_id", "c", "n", "bits"])
 
-    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint, n int, bits binary")
 
 
 def dealt_sets(docs: DataFrame, width: int, least: float) -> DataFrame:
@@ -373,7 +381,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndar
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = {k: np.asarray(batch.column(k)) for k in batch.schema.names}
+        cols = {k: np.asarray(batch.column(k)) if k != "bits" else np.array(batch.column(k).to_pylist(), object) for k in batch.schema.names}
         cut = int(np.searchsorted(cols["key"], cols["key"][-1]))  # the last run may go on in the next batch
         if held and (cut or held[-1]["key"][-1] != cols["key"][0]):
             yield whole([*held, {k: v[:cut] for k, v in cols.items()}])
@@ -417,31 +425,41 @@ def _proposer(least: float, hot: int):
     return run
 
 
-def _between(least: float):
-    """mapInArrow function over (key, c, root, n, s0..s3) by key, c: every pair of different roots that can be similar.
+def _between(least: float, few: bool):
+    """mapInArrow function over (key, c, root, n, bits) by key, c: every pair of different roots that can be similar.
 
-    The parity bits of a pair differ in no more bits than the sets in shingles, so no similar pair is left out.
+    The parity bits of a pair differ in no more bits than the sets in shingles, so no similar pair is left out. With ``few``
+    only as many pairs of a key as would make its roots one if all of them were similar.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols, edge in _runs(batches):
-            bits = np.stack([cols[f"s{i}"].view(_U) for i in range(4)], axis=1)
             a, b = [], []
             for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                n, root, own = cols["n"][s:e].astype(np.int64), cols["root"][s:e], bits[s:e]
-                order = np.argsort(root, kind="stable")
-                n, root, own, c = n[order], root[order], own[order], cols["c"][s:e][order]
+                order = s + np.argsort(cols["root"][s:e], kind="stable")
+                n, root, c = cols["n"][order].astype(np.int64), cols["root"][order], cols["c"][order]
+                own = [np.frombuffer(x, _U) for x in cols["bits"][order]]
+                words = min(map(len, own))  # a key's sets are of about one size
+                own = np.stack([folded(x, words) for x in own])
                 later = np.searchsorted(root, root, side="right")
+                joined = root.copy()
                 for i in range(len(n)):
                     j = int(later[i])
                     if j == len(n):
                         break
                     near = np.bitwise_count(own[j:] ^ own[i]).sum(axis=1) <= (n[j:] + n[i]) * ((1 - least) / (1 + least)) + 1e-9
-                    got = c[j:][near & (np.minimum(n[j:], n[i]) >= least * np.maximum(n[j:], n[i]) - 1e-9)]
-                    a.append(np.minimum(c[i], got))
-                    b.append(np.maximum(c[i], got))
-            if a and sum(map(len, a)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                    near &= np.minimum(n[j:], n[i]) >= least * np.maximum(n[j:], n[i]) - 1e-9
+                    got = j + np.flatnonzero(near & (joined[j:] != joined[i]) if few else near)
+                    if few and len(got):
+                        met, at = np.unique(joined[got], return_index=True)
+                        got = got[at]
+                        joined[np.isin(joined, met)] = joined[i]
+                    if len(got):
+                        a.append(np.minimum(c[i], c[got]))
+                        b.append(np.maximum(c[i], c[got]))
+            if a:
+                pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return run
 
@@ -462,12 +480,20 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("c", "_body").mapInArrow(run, "c bigint, shingles binary")
 
 
-def possible(edges: DataFrame, marked: DataFrame, least: float) -> DataFrame:
+def possible(edges: DataFrame, kinds: DataFrame, least: float) -> DataFrame:
     """The edges (a, b) that the parity bits allow to be similar: no similar one is left out, and sets needn't be moved for the others."""
-    ends = [marked.select(F.col("c").alias(e), *[F.col(x).alias(f"{e}_{x}") for x in ["n", *BITS]]) for e in ("a", "b")]
-    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in BITS[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
-    met = edges.join(ends[0], "a").join(ends[1], "b")
-    return met.where(differ <= (F.col("a_n") + F.col("b_n")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9)).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for m, n, x, y in zip(batch.column("a_n").to_pylist(), batch.column("b_n").to_pylist(), batch.column("a_bits").to_pylist(), batch.column("b_bits").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+                words = min(len(x), len(y))
+                good.append(int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= (m + n) * ((1 - least) / (1 + least)) + 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    ends = [kinds.select(F.col("c").alias(e), *[F.col(x).alias(f"{e}_{x}") for x in ("n", "bits")]) for e in ("a", "b")]
+    return edges.join(ends[0], "a").join(ends[1], "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def similar(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -497,17 +523,18 @@ def _ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("c")).unionByName(edges.select(F.col("b").alias("c"))).distinct()
 
 
-def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 24) -> DataFrame:
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 8) -> DataFrame:
     """(id, component_id): components of the links between texts whose sets of shingles have a Jaccard similarity of ``least``.
 
     Complete: every such pair shares a key (segment_keys). Keys of up to ``hot`` sets propose all their pairs; a larger key
     proposes two stars. What the parity bits rule out is dropped. Sets are compared exactly, first each with its least
-    partner; then, among sets that are not yet in one component, all other pairs, those of the larger keys included.
+    partner, then as many pairs of the larger keys as could join their sets; at last, among sets that are not yet in one
+    component, all other pairs, those of the larger keys included.
     Wordless texts are linked to each other only. A null id is a document like any other, but names no component of ids.
     """
     few = spread(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")))
     marked = written(set_names(few, width), "marked")
-    kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ["n", *BITS]]), "kinds")
+    kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ("n", "bits")]), "kinds")
     met = dealt_sets(few, width, least).repartition("key").sortWithinPartitions("key", "c")
     met = written(met.mapInArrow(_proposer(least, hot), "a bigint, b bigint, big boolean"), "met")
     near = written(possible(met.where("not big").select("a", "b").distinct(), kinds, least), "near")
@@ -524,19 +551,32 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         discard(chosen, sets)
         return out
 
-    edges = compared(first)
+    def of_large_keys(tree: DataFrame, few_pairs: bool) -> DataFrame:
+        """Pairs of sets of different trees that share a larger key."""
+        rows = written(big.join(tree, "c", "left").withColumn("root", F.coalesce("root", "c")), "rows")
+        # of keys that the same sets share one is enough
+        alike = [F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("total"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("mixed")]
+        split = rows.groupBy("key").agg(*alike, F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y")
+        split = written(split.groupBy("m", "total", "mixed").agg(F.min("key").alias("key")).select("key"), "split")
+        rows = rows.join(split, "key", "left_semi").join(kinds.drop("_id"), "c")
+        rows = rows.select("key", "c", "root", "n", "bits").repartition("key").sortWithinPartitions("key", "c")
+        return rows.mapInArrow(_between(least, few_pairs), "a bigint, b bigint").distinct()
+
+    done, edges = first, compared(first)
     tree = written(_tree(edges), "tree")
+    hot_keys = not big.isEmpty()
+    if hot_keys:
+        more = written(of_large_keys(tree, True).join(done, ["a", "b"], "left_anti"), "more")
+        if not more.isEmpty():
+            done, edges = done.unionByName(more), edges.unionByName(compared(more))
+            tree = written(_tree(edges), "tree")
     ends = [tree.select(F.col("c").alias(e), F.col("root").alias(f"{e}_root")) for e in ("a", "b")]
-    apart = near.join(first, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    apart = near.join(ends[0], "a", "left").join(ends[1], "b", "left")
     rest = apart.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
-    if not big.isEmpty():
-        rows = big.join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        split = rows.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y").select("key")
-        rows = rows.join(split, "key", "left_semi").join(kinds.drop("_id"), "c")
-        rows = rows.select("key", "c", "root", "n", *BITS).repartition("key").sortWithinPartitions("key", "c")
-        rest = rest.unionByName(rows.mapInArrow(_between(least), "a bigint, b bigint")).distinct().join(first, ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    discard(met, near, first)
+    if hot_keys:
+        rest = rest.unionByName(of_large_keys(tree, False)).distinct()
+    rest = written(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    discard(met, near)
     if not rest.isEmpty():
         tree = written(_tree(edges.unionByName(compared(rest))), "tree")
     placed = marked.select("_id", "c").join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
