@@ -40,6 +40,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 #: Tables written within each open ``scratch`` block.
 _SCRATCH: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("scratch", default=None)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of an Arrow batch; rows alone are no bound where texts are long.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers by bytes, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
 
 
 def written(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
@@ -49,6 +57,7 @@ def written(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     block around unless it is ``lasting``.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = work_path(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
@@ -88,6 +97,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out evenly if there are fewer input partitions than task slots."""
+    bound_batches(df.sparkSession)
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots // 2 else df
 

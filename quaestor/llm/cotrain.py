@@ -158,6 +158,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     picked = told.where("good = 1").orderBy(F.xxhash64("id"), "id").limit(half).unionByName(told.where("good = 0").orderBy(F.xxhash64("id"), "id").limit(half))
     rows = found.join(F.broadcast(picked), "id").select("id", "words", "shape", "meta", "good", F.pmod(F.xxhash64("id", F.lit(4)), F.lit(4)).alias("fold")).orderBy(F.xxhash64("id"), "id", "good").collect()
     known = {r.id for r in rows}
+    taken: tuple[set, set] = (set(), set())  # what each view has handed to the other
 
     def sparse(r, view: int):
         return (np.array(r.words, np.int64), np.array(r.shape)) if view == 0 else (np.array(r.meta, np.int64), np.zeros(0))
@@ -194,10 +195,11 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             fresh = []
             for label, order in ((1, F.desc("odds")), (0, F.asc("odds"))):
                 near = scored.select("id", odds.alias("odds")).where(F.col("odds") >= edge if label else F.col("odds") <= -edge)
-                top = near.orderBy(order, F.xxhash64("id"), "id").limit(grow + len(known)).collect()
-                fresh += [(r.id, label) for r in top if r.id is not None and r.id not in known][:grow]
+                top = near.orderBy(order, F.xxhash64("id"), "id").limit(grow + len(known | taken[v])).collect()
+                fresh += [(r.id, label) for r in top if r.id is not None and r.id not in known and r.id not in taken[v]][:grow]
             if fresh:
                 label_of = dict(fresh)
+                taken[v] |= label_of.keys()
                 got = found.where(F.col("id").isin(list(label_of))).orderBy(F.xxhash64("id"), "id").collect()
                 sets[1 - v] += [(sparse(r, 1 - v), label_of[r.id], 0.3) for r in got]
         models = fitted()
