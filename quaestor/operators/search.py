@@ -1,69 +1,87 @@
-"""Inverted index as DataFrames; BM25 and boolean search over it.
+"""Inverted index as tables; BM25 and boolean search over it.
 
-A query's leaves are found on the distinct words first, so the postings of a stop word are read only if the query asks for
-it; And, Or, Not are joins and unions of row keys; the score of a row is the sum over the positive leaves. Everything
-stays in the JVM.
+An index is written once: postings (term, row, tf, positions, dl), dealt by ranges of term and row so that no term is one
+task's, and sorted so that a leaf's filter reaches the scan and skips what holds other terms; a dictionary (term, df); and the
+corpus' size. A search reads the postings of its own terms only and never a text. A prefix or pattern is one filter too;
+a phrase joins its words' postings from the rarest on. And, Or, Not are joins and unions of row keys; the score of a row is
+the sum over the positive leaves. Everything stays in the JVM.
 """
 
 from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.files import scratch
 from . import querylang as Q
 
 WORD = r"([\p{L}\p{N}]+)"
 
 
+def _words(text_col: str):
+    return F.regexp_extract_all(T.fold(F.col(text_col)), F.lit(WORD), F.lit(1))
+
+
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, pos, term) of every folded word."""
-    words = F.regexp_extract_all(T.fold(F.col(text_col)), F.lit(WORD), F.lit(1))
-    return docs.select(F.col(id_col).alias("row"), F.posexplode(words).alias("pos", "term"))
+    """(row, dl, pos, term) of every folded word; dl is the words of the row."""
+    cut = docs.select(F.col(id_col).alias("row"), _words(text_col).alias("words"))
+    return cut.select("row", F.size("words").cast("bigint").alias("dl"), F.posexplode("words").alias("pos", "term"))
 
 
 def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(term, row, tf, positions); grouped per document, so no term's postings are ever gathered."""
-    return tokens(docs, id_col, text_col).groupBy("term", "row").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
+    """(term, row, tf, positions, dl); grouped per document, so no term's postings are ever gathered."""
+    return tokens(docs, id_col, text_col).groupBy("term", "row").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"), F.first("dl").alias("dl"))
 
 
 def lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    words = F.regexp_extract_all(T.fold(F.col(text_col)), F.lit(WORD), F.lit(1))
-    return docs.select(F.col(id_col).alias("row"), F.size(words).cast("bigint").alias("dl"))
+    return docs.select(F.col(id_col).alias("row"), F.size(_words(text_col)).cast("bigint").alias("dl"))
 
 
 class Index:
-    """Postings restricted to what a query needs, and document lengths."""
+    """A written index and what is asked of it."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-        self.docs = docs.select(F.col(id_col).alias("row"), F.regexp_extract_all(T.fold(F.col(text_col)), F.lit(WORD), F.lit(1)).alias("words"))
-        self.size = self.docs.select("row", F.size("words").cast("bigint").alias("dl"))
+        spark: SparkSession = docs.sparkSession
+        where = scratch(spark, "index")
+        found = postings(docs, id_col, text_col)
+        found.write.parquet(f"{where}/unsorted")  # ranges are sampled from what is written, not from the texts again
+        rows = spark.read.schema(found.schema).parquet(f"{where}/unsorted")
+        rows.repartitionByRange("term", "row").sortWithinPartitions("term", "row").write.option("parquet.block.size", 8 << 20).parquet(f"{where}/postings")
+        self.postings = spark.read.schema(found.schema).parquet(f"{where}/postings")
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/unsorted")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+        self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).write.parquet(f"{where}/dictionary")
+        self.dictionary = spark.read.parquet(f"{where}/dictionary")
+        self.documents = docs.count()  # a row without a word has no posting, but counts
+        self.avgdl = (self.dictionary.agg(F.sum("n")).first()[0] or 0) / max(1, self.documents)
+
+    def frequency(self, words: set[str]) -> dict[str, int]:
+        return {r.term: r.df for r in self.dictionary.where(F.col("term").isin(*words)).collect()} if words else {}
 
     def hits(self, leaf) -> DataFrame:
-        """(row, positions, f) of a leaf: where it begins, and how often."""
+        """(row, positions, f, dl) of a leaf: where it begins, and how often."""
+        if isinstance(leaf, Q.Term):
+            return self.postings.where(F.col("term") == leaf.word).select("row", "positions", F.col("tf").alias("f"), "dl")
         if isinstance(leaf, Q.Phrase):
-            first, rest = leaf.words[0], leaf.words[1:]
-
-            def begins(word, i):
-                ok = word == first
-                for k, w in enumerate(rest, 1):
-                    ok = ok & (F.get("words", i + k) == w)
-                return ok
-
-            found = F.filter(F.transform("words", lambda w, i: F.when(begins(w, i), i)), lambda p: p.isNotNull())
-            wanted = functools.reduce(lambda a, b: a & b, [F.array_contains("words", w) for w in leaf.words])
-        else:
-            def same(w):
-                if isinstance(leaf, Q.Prefix):
-                    return w.startswith(leaf.word)
-                return w.rlike(leaf.regex) if isinstance(leaf, Q.Pattern) else w == leaf.word
-
-            found = F.filter(F.transform("words", lambda w, i: F.when(same(w), i)), lambda p: p.isNotNull())
-            wanted = F.array_contains("words", leaf.word) if isinstance(leaf, Q.Term) else F.lit(True)
-        out = self.docs.where(wanted).select("row", found.alias("positions"))
-        return out.withColumn("f", F.size("positions").cast("bigint")).where("f > 0")
+            df = self.frequency(set(leaf.words))
+            order = sorted(range(len(leaf.words)), key=lambda k: df.get(leaf.words[k], 0))
+            out = None
+            for k in order:
+                own = self.postings.where(F.col("term") == leaf.words[k])
+                shift = F.lit(k)
+                at = F.filter(F.transform("positions", lambda p: p - shift), lambda p: p >= 0)
+                if out is None:
+                    out = own.select("row", at.alias("positions"), "dl")
+                else:
+                    met = out.join(own.select("row", at.alias("more")), "row")
+                    out = met.select("row", F.array_intersect("positions", "more").alias("positions"), "dl").where(F.size("positions") > 0)
+            return out.where(F.size("positions") > 0).select("row", F.array_sort("positions").alias("positions"), F.size("positions").cast("bigint").alias("f"), "dl")
+        wanted = F.col("term").startswith(leaf.word) if isinstance(leaf, Q.Prefix) else F.col("term").rlike(leaf.regex)
+        by = self.postings.where(wanted).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"), F.sum("tf").alias("f"), F.first("dl").alias("dl"))
+        return by.select("row", "positions", "f", "dl")
 
     def rows(self, tree) -> DataFrame:
         """Keys of the rows that a tree matches."""
@@ -97,26 +115,49 @@ class Index:
         met = F.filter("b", lambda q: F.exists("a", lambda p: close(p, q)))
         return both.select("row", met.alias("positions")).where(F.size("positions") > 0)
 
+    def holding(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, fold: bool) -> DataFrame:
+        """(item, row) where a row's text contains an item's, as written or folded; null texts contain and are contained in none.
+
+        A text that contains the item has its inner words whole, so the postings of the rarest one give the rows to look at.
+        An item of under three words has no inner word; those, if there are any, are looked for in every text.
+        """
+
+        def shape(name: str):
+            return T.fold(F.col(name)) if fold else F.col(name)
+
+        cut = items.select(F.col(item_col).alias("item"), shape(item_text_col).alias("needle"), _words(item_text_col).alias("words")).where("needle is not null")
+        texts = docs.select(F.col(id_col).alias("row"), shape(text_col).alias("body"))
+        inner = cut.where(F.size("words") > 2).select("item", "needle", F.explode(F.slice("words", 2, F.size("words") - 2)).alias("term"))
+        rarest = inner.join(self.dictionary.select("term", "df"), "term", "left").groupBy("item", "needle").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
+        found = rarest.join(self.postings.select("term", "row"), "term").join(texts, "row").where(F.contains("body", "needle")).select("item", "row")
+        short = cut.where(F.size("words") <= 2)
+        if short.isEmpty():
+            return found
+        return found.unionByName(short.join(texts, F.contains("body", "needle")).select("item", "row"))
+
+    def nothing(self) -> DataFrame:
+        return self.postings.select("row", F.lit(0.0).alias("score")).limit(0)
+
     def bm25(self, leaves: list) -> DataFrame:
         """(row, score): k1 1.2, b 0.75; less is better; a leaf in over half of the rows counts next to nothing."""
-        stats = self.size.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).first()
-        if not stats.n_docs or not leaves:
-            return self.docs.select("row", F.lit(0.0).alias("score")).limit(0)
+        if not self.documents or not leaves:
+            return self.nothing()
+        told = self.frequency({x.word for x in leaves if isinstance(x, Q.Term)})
         parts = []
         for leaf in leaves:
-            hit = self.hits(leaf).select("row", "f")
-            df = hit.count()
-            idf = F.log((F.lit(stats.n_docs) - df + 0.5) / (F.lit(df) + 0.5))
+            hit = self.hits(leaf).select("row", "f", "dl")
+            df = told.get(leaf.word, 0) if isinstance(leaf, Q.Term) else hit.count()
+            idf = F.log((F.lit(self.documents) - df + 0.5) / (F.lit(df) + 0.5))
             parts.append(hit.withColumn("idf", F.when(idf <= 0, 1e-6).otherwise(idf)))
-        every = functools.reduce(lambda a, b: a.unionByName(b), parts).join(self.size, "row")
-        score = F.sum(F.col("idf") * F.col("f") * 2.2 / (F.col("f") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.lit(stats.avgdl))))
+        every = functools.reduce(lambda a, b: a.unionByName(b), parts)
+        score = F.sum(F.col("idf") * F.col("f") * 2.2 / (F.col("f") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.lit(self.avgdl))))
         return every.groupBy("row").agg((-score).alias("score"))
 
     def search(self, query: str, dialect: str = "fts5", limit: int = 10, grouped: bool = True) -> DataFrame:
         """(row, score) of the best matches; ties by row."""
         tree = Q.parse(query, dialect, grouped)
         if tree is None:
-            return self.docs.select("row", F.lit(0.0).alias("score")).limit(0)
+            return self.nothing()
         return self.rows(tree).join(self.bm25(Q.positive(tree)), "row").orderBy("score", "row").limit(limit)
 
     def search_or_relax(self, query: str, dialect: str, limit: int = 10) -> tuple[DataFrame, str | None]:
@@ -128,6 +169,22 @@ class Index:
         return (self.search(wider, "cjf" if dialect != "bnp" else dialect, limit), wider) if wider else (found, None)
 
 
+_INDEXES: dict[tuple, Index] = {}
+
+
+def index_of(docs: DataFrame) -> Index:
+    """The index of a table read from files, written once a session and for each state of the files."""
+    spark, fs, state = docs.sparkSession, docs.sparkSession._jvm.org.apache.hadoop.fs, []
+    for f in sorted(docs.inputFiles()):
+        path = fs.Path(f)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        state.append((f, status.getLen(), status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, *state)
+    if key not in _INDEXES:
+        _INDEXES[key] = Index(docs)
+    return _INDEXES[key]
+
+
 def similar(vectors: DataFrame, to: int, n: int = 10) -> DataFrame:
     """(vec_id, cosine): the n nearest of a vector; its row is a broadcast of one vector."""
     own = vectors.where(F.col("vec_id") == to).select("embedding").first().embedding

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import querylang as Q
-from ..operators.search import Index, lengths, postings, similar, tokens
+from ..operators.search import Index, index_of, lengths, similar, tokens
 from .registry import Tables, query
 
 TOK = r"(select doc_id, unnest(l) as term, generate_subscripts(l, 1) - 1 as pos from (select doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') as l from documents))"
@@ -28,7 +28,7 @@ def has(word: str) -> str:
 
 
 def index(t: Tables) -> Index:
-    return Index(t.documents)
+    return index_of(t.documents)
 
 
 def ranked(df):
@@ -37,7 +37,7 @@ def ranked(df):
 
 query("fts_tokenize", f"select term, count(distinct doc_id) as docs, count(*) as n from {TOK} group by term")(lambda t: tokens(t.documents).groupBy("term").agg(F.countDistinct("row").alias("docs"), F.count(F.lit(1)).alias("n")))
 query("fts_index_build", f"select term, doc_id as \"row\", count(*) as tf, array_to_string(list(pos order by pos), ',') as positions from {TOK} group by term, doc_id")(
-    lambda t: postings(t.documents).select("term", "row", "tf", F.array_join("positions", ",").alias("positions"))
+    lambda t: index(t).postings.select("term", "row", "tf", F.array_join("positions", ",").alias("positions"))
 )
 query("fts_rebuild", f"select doc_id as \"row\", dl from {DL}")(lambda t: lengths(t.documents))
 query("fts_bm25", bm25_sql(["term = 'herea'", "term = 'onthe'", "term = 'the'"], limit=1000000))(lambda t: ranked(index(t).bm25([Q.Term("herea"), Q.Term("onthe"), Q.Term("the")])))
@@ -69,7 +69,7 @@ def _paragraph_hits(t: Tables, word: str):
 
 
 query("jn_fts_par_doc", f"select k.term, d.doc_id, d.lang, k.tf from (select term, doc_id, count(*) as tf from {TOK} where term in ('herea', 'onthe') group by 1, 2) k join documents d using (doc_id)")(
-    lambda t: postings(t.documents).where(F.col("term").isin("herea", "onthe")).join(t.documents, F.col("row") == F.col("doc_id")).select("term", "doc_id", "lang", "tf")
+    lambda t: index(t).postings.where(F.col("term").isin("herea", "onthe")).join(t.documents, F.col("row") == F.col("doc_id")).select("term", "doc_id", "lang", "tf")
 )
 query("fts_case_card", "select source, count(*) as docs, array_to_string(list_sort(list(distinct lang)), ',') as langs from documents where source ilike 'SRC1%' group by source")(
     lambda t: t.documents.where(F.ilike("source", F.lit("SRC1%"))).groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
@@ -78,8 +78,17 @@ query("fts_topic_map", r"select n, array_to_string(list(doc_id || ':' || c order
     lambda t: t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(\b[0-9]{2,4}\b)"), F.lit(1))).alias("n")).groupBy("n", "doc_id").agg(F.count(F.lit(1)).alias("c")).groupBy("n").agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("c"), "doc_id"))).alias("p")).select("n", F.array_join(F.transform("p", lambda x: F.concat(x["doc_id"], F.lit(":"), -x["c"])), " ").alias("docs"))
 )
 query("fts_reception", f"select item_id, case when hits > 0 then 'HA' when (select count(*) from {TOK} where term = 'the') > 0 then 'SEM' else 'NAO_APURADO' end as verdict from (select b.item_id, count(d.doc_id) as hits from benchmark b left join documents d on contains(d.text, b.text) group by b.item_id)")(
-    lambda t: t.benchmark.join(t.documents.select("doc_id", F.col("text").alias("body")), F.contains("body", "text"), "left").groupBy("item_id").agg(F.count("doc_id").alias("hits")).select("item_id", F.when(F.col("hits") > 0, "HA").when(F.lit(not index(t).rows(Q.Term("the")).isEmpty()), "SEM").otherwise("NAO_APURADO").alias("verdict"))
+    lambda t: _reception(t)
 )
+
+
+def _reception(t: Tables):
+    found = index(t).holding(t.documents, t.benchmark, "doc_id", "text", "item_id", "text", fold=False)
+    heard = F.lit(not index(t).rows(Q.Term("the")).isEmpty())
+    told = t.benchmark.select("item_id").join(found.select(F.col("item").alias("item_id")).distinct().withColumn("hit", F.lit(True)), "item_id", "left")
+    return told.select("item_id", F.when(F.col("hit"), "HA").when(heard, "SEM").otherwise("NAO_APURADO").alias("verdict"))
+
+
 query("fts_similar", "select b.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 6) as cosine from embeddings a join embeddings b on a.vec_id = 7 and b.vec_id <> 7 order by cosine desc, b.vec_id limit 10")(lambda t: similar(t.embeddings, 7))
 query("fts_semantic", "select b.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 6) as cosine from embeddings a join embeddings b on a.vec_id = 3 and b.vec_id <> 3 order by cosine desc, b.vec_id limit 400")(lambda t: similar(t.embeddings, 3, 400))
 query("fts_suggest_judge", "select distinct source from documents where contains(strip_accents(lower(source)), 'src1')")(lambda t: t.documents.where(F.contains(T.fold(F.col("source")), F.lit("src1"))).select("source").distinct())

@@ -26,3 +26,21 @@ def test_empty_query_and_no_hit(spark, data):
     assert index.search("-- ,").count() == 0
     found, wider = index.search_or_relax("the E zzzzz", "cjf", 3)
     assert wider == "the OU zzzzz" and found.count() == 3
+
+
+def test_a_search_reads_the_index_only(spark, data):
+    index = Index(spark.read.parquet(f"{data}/documents.parquet"))
+    plan = index.search('"of the" OR thinsh*')._jdf.queryExecution().executedPlan().toString()
+    assert "documents.parquet" not in plan and "PushedFilters: [IsNotNull(term), EqualTo(term" in plan
+
+
+def test_texts_that_hold_an_item(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "xone two threey"), (3, None), (4, "Twó"), (5, "")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "one two three"), (2, "ne two thr"), (3, "two"), (4, ""), (5, None), (6, "one absent three")], "item_id bigint, text string")
+    index = Index(docs)
+
+    def found(fold):
+        return {tuple(r) for r in index.holding(docs, items, "doc_id", "text", "item_id", "text", fold).collect()}
+
+    want = {(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2)} | {(4, k) for k in (1, 2, 4, 5)}
+    assert found(False) == want and found(True) == want | {(3, 4)}
