@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import relational as R
+from ..operators.search import index_of
 from .registry import Tables, before, query
 
 
@@ -66,7 +67,7 @@ query("flt_drop_parties", "select conv_id, turn, role, length(text) as n from co
 query("flt_exact_process", "select o_orderkey, o_custkey from orders where o_orderkey = 7")(lambda t: t.orders.where(F.col("o_orderkey") == 7).select("o_orderkey", "o_custkey"))
 query("flt_hollow", "select doc_id from documents where nullif(trim(text), '') is not null or nullif(source, '') is not null")(lambda t: t.documents.where(R.first_non_empty(F.trim("text"), F.col("source")).isNotNull()).select("doc_id"))
 query("flt_term_in_corpus", "select item_id, array_to_string(list_sort(list(distinct lang)), ',') as langs from benchmark join documents on contains(strip_accents(lower(documents.text)), strip_accents(lower(benchmark.text))) group by item_id")(
-    lambda t: t.benchmark.select("item_id", T.fold(F.col("text")).alias("term")).join(t.documents.select("lang", T.fold(F.col("text")).alias("body")), F.contains("body", "term")).groupBy("item_id").agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
+    lambda t: index_of(t.documents).holding(t.documents, t.benchmark, "doc_id", "text", "item_id", "text", fold=True).join(t.documents.select(F.col("doc_id").alias("row"), "lang"), "row").groupBy(F.col("item").alias("item_id")).agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
 )
 
 # --- projections ----------------------------------------------------------------------------------------------------
@@ -222,9 +223,8 @@ query("agg_ingest_report", "select case when d.n_chars < 100 then 'skipped' when
 query("agg_gloss_hist", "select k as languages, count(*) as n from (select source, count(distinct lang) as k from documents group by source) group by k")(
     lambda t: t.documents.groupBy("source").agg(F.countDistinct("lang").alias("languages")).groupBy("languages").agg(F.count(F.lit(1)).alias("n"))
 )
-query("agg_gaps", "select l_orderkey, array_to_string(list_filter(range(lo, hi + 1), lambda x: not list_contains(has, x)), ',') as missing from (select l_orderkey, min(l_linenumber) as lo, max(l_linenumber) as hi, list(cast(l_linenumber as bigint)) as has from lineitem where l_quantity > 20 group by l_orderkey)")(
-
-    lambda t: R.gaps(t.lineitem.where("l_quantity > 20"), "l_orderkey", "l_linenumber").select("l_orderkey", F.array_join("missing", ",").alias("missing"))
+query("agg_gaps", "select l_orderkey, array_to_string(list_filter(range(lo, hi + 1), lambda x: not list_contains(has, x)), ',') as missing from (select l_orderkey, min(l_linenumber) as lo, max(l_linenumber) as hi, list(cast(l_linenumber as bigint)) as has from lineitem group by l_orderkey)")(
+    lambda t: R.gaps(t.lineitem, "l_orderkey", "l_linenumber").select("l_orderkey", F.array_join("missing", ",").alias("missing"))
 )
 query("agg_missing_cnj", "select count_if(not regexp_matches(text, '[0-9]{3}')) as missing, count(*) as n from documents")(lambda t: t.documents.agg(F.count_if(~F.col("text").rlike("[0-9]{3}")).alias("missing"), F.count(F.lit(1)).alias("n")))
 query("agg_portal_totals", r"select page_id, len(regexp_extract_all(html, '<p>')) as paragraphs from pages")(lambda t: t.pages.select("page_id", F.size(F.regexp_extract_all("html", F.lit("(<p>)"), F.lit(1))).cast("bigint").alias("paragraphs")))

@@ -30,20 +30,20 @@ def columns() -> None:
     global text, url, html, doc_id, labelled, ruling, case, parties, paper, YEAR, iso, br, spanish, kind, name, title, raw, law, search, header
     text, url, html, doc_id = F.col("text"), F.col("url"), F.col("html"), F.col("doc_id")
     labelled = F.when(doc_id % 2 == 1, F.concat(F.lit("Acordam. EMENTA: "), text)).otherwise(text)
-    ruling = F.concat(F.lit("EMENTA PODER JUDICIARIO x EMENTA 0059104-96.2025 EMENTA: "), F.left(text, F.lit(300)), F.lit(" RELATÓRIO "), text)
+    ruling = F.concat(F.lit("EMENTA PODER JUDICIARIO x EMENTA 0059104-96.2025 EMENTA: "), F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(" RELATÓRIO "), text)
     case = F.concat(F.lit("APELANTE: A\nADVOGADO B\n"), F.when(doc_id % 2 == 1, "EMENTA\n").otherwise(""), text)
-    parties = F.concat(F.lit("Apelante: "), F.left(text, F.lit(12)), F.lit(" Apelado: B ADVOGADO C"))
+    parties = F.concat(F.lit("Apelante: "), text, F.lit(" Apelado: B ADVOGADO C"))
     paper = F.concat(url, F.lit("_ESP"), F.col("page_id") % 3, F.lit(".pdf"))
     YEAR = F.lit(1990) + doc_id % 40
     iso = F.format_string("%04d-%02d-%02d", YEAR, 1 + doc_id % 12, 1 + doc_id % 28)
     br = F.format_string("%02d/%02d/%04d", 1 + doc_id % 28, 1 + doc_id % 12, YEAR)
     spanish = F.concat(F.lit("San José, "), (1 + doc_id % 28).cast("string"), F.lit(" de "), F.element_at(F.array(*map(F.lit, T.MONTHS_ES)), (1 + doc_id % 12).cast("int")), F.lit(" de "), YEAR.cast("string"))
     kind = F.element_at(F.array(F.lit("CC"), F.lit("OC"), F.lit("SS"), F.lit("MP")), (1 + doc_id % 4).cast("int"))
-    name = F.concat(F.lit("Caso Gomes "), F.element_at(F.split(text, r"\s+"), 1), F.lit(" e outros Vs. Brasil"))
+    name = F.concat(F.lit("Caso Gomes "), F.regexp_replace(text, r"[\s.]+", " "), F.lit(" e outros Vs. Brasil"))
     title = F.concat(F.lit("Corte IDH. Caso Nome "), doc_id, F.lit(" Vs. Chile. Fondo y Reparaciones. Sentencia de 1 de mayo de 2001. Serie C No. 7"))
     raw = F.lpad(F.concat(doc_id.cast("string"), F.lit("20254058103")), 20, "0")
     law = F.when(doc_id % 6 == 0, F.concat(F.lit("Lei nº 8."), F.lpad(doc_id % 1000, 3, "0"), F.lit("/93"))).when(doc_id % 6 == 1, "LC 80").when(doc_id % 6 == 2, "Decreto-Lei 4.657").when(doc_id % 6 == 3, "Medida Provisória 2.164-41").when(doc_id % 6 == 4, "Decreto n. 03.048").otherwise("Portaria 5")
-    search = F.concat(F.array_join(F.slice(F.split(F.regexp_replace(text, "[^A-Za-z ]", " "), r"\s+"), 1, 4), " "), F.when(doc_id % 2 == 0, " adj5 Zeta").otherwise(" Zeta alfa"))
+    search = F.concat(F.regexp_replace(text, "[^A-Za-z ]", " "), F.when(doc_id % 2 == 0, " adj5 Zeta").otherwise(" Zeta alfa"))
     header = F.array(F.lit("PODER JUDICIÁRIO"), F.concat((1 + doc_id % 7).cast("string"), F.lit("ª TURMA")), F.lit("Sessão do dia: 07/08/2025"), F.concat(F.lit("GAB 5 - Des. "), F.lit("Fulano")))
 
 
@@ -72,11 +72,18 @@ on_pages("fn_full_text_html", lambda: T.full_text_html(html), "array_to_string(l
 on_pages("fn_br_to_lines", lambda: T.br_to_lines(html), "regexp_replace(" + TRIMMED.format(r"regexp_replace(replace(" + UNESC.format(r"regexp_replace(regexp_replace(html, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')") + r", chr(13), ''), '[ \t]+\n', chr(10), 'g')") + r", '\n{3,}', chr(10) || chr(10), 'g')")
 LABELLED = "case when doc_id % 2 = 1 then 'Acordam. EMENTA: ' || text else text end"
 on_documents("fn_ementa_section", lambda: T.ementa_section(labelled), f"case when regexp_matches({CLEAN.format(LABELLED)}, '(EMENTA|Ementa)') then trim(regexp_extract({CLEAN.format(LABELLED)}, '(?s)(?:EMENTA|Ementa)\\s*[:\\-]?\\s*(.+)$', 1)) else trim(left({CLEAN.format(LABELLED)}, 2000)) end")
-on_documents("fn_ementa_julia", lambda: T.ementa_report(ruling), "trim(left(text, 300))")
+on_documents("fn_ementa_julia", lambda: T.ementa_report(ruling), "trim(replace(text, chr(10), ' '))")
 CASE = "'APELANTE: A' || chr(10) || 'ADVOGADO B' || chr(10) || case when doc_id % 2 = 1 then 'EMENTA' || chr(10) else '' end || text"
 on_documents("fn_ementa_app", lambda: T.ementa_of_case(case), r"case when doc_id % 2 = 1 then regexp_replace(trim(text), '\n{3,}', chr(10) || chr(10), 'g') else regexp_replace(array_to_string(list_filter(string_split(text, chr(10)), lambda x: not regexp_matches(upper(x), 'APELANTE:|APELADO:|ADVOGADO|AUTOR:|REU:')), chr(10)), '^\s+|\s+$', '', 'g') end")
-on_documents("fn_parties_app", lambda: T.lines_with(F.concat(F.lit("APELANTE: A\n x \nADVOGADO B\nEMENTA\nAPELADO fora"), F.lit(""), F.left(text, F.lit(0))), ["APELANTE", "APELADO", "AUTOR", "REU", "ADVOGADO", "IMPETRANTE", "IMPETRADO"]), "'APELANTE: A' || chr(10) || 'ADVOGADO B'")
-query("fn_parties_lib", "select doc_id, trim(replace(left(text, 12), chr(10), ' ')) as appellant, 'B' as appellee from documents")(
+PARTY_WORDS = ["APELANTE", "APELADO", "AUTOR", "REU", "ADVOGADO", "IMPETRANTE", "IMPETRADO"]
+# every third line of the text names a party; a line with EMENTA ends the search in every other document
+PARTY_LINES = "list_transform(string_split(text, chr(10)), lambda x, i: case when i % 3 = 1 then 'Advogado ' || x when i = 5 and doc_id % 2 = 1 then 'Ementa do autor' else x end)"
+on_documents(
+    "fn_parties_app",
+    lambda: T.lines_with(F.array_join(F.transform(F.split(text, "\n"), lambda x, i: F.when(i % 3 == 0, F.concat(F.lit("Advogado "), x)).when((i == 4) & (doc_id % 2 == 1), "Ementa do autor").otherwise(x)), "\n"), PARTY_WORDS),
+    f"array_to_string(list_transform(list_filter(case when list_position(list_transform({PARTY_LINES}, lambda x: contains(upper(x), 'EMENTA')), true) > 0 then {PARTY_LINES}[1:list_position(list_transform({PARTY_LINES}, lambda x: contains(upper(x), 'EMENTA')), true)] else {PARTY_LINES} end, lambda x: regexp_matches(upper(x), '{'|'.join(PARTY_WORDS)}')), lambda x: trim(x)), chr(10))",
+)
+query("fn_parties_lib", "select doc_id, trim(replace(text, chr(10), ' ')) as appellant, 'B' as appellee from documents")(
     lambda t: t.documents.select("doc_id", F.trim(F.regexp_extract(F.replace(parties, F.lit("\n"), F.lit(" ")), r"(?i)APELANTE:\s*(.+?)(?=APELADO|ADVOGADO|$)", 1)).alias("appellant"), F.trim(F.regexp_extract(F.replace(parties, F.lit("\n"), F.lit(" ")), r"(?i)APELADO:\s*(.+?)(?=ADVOGADO|$)", 1)).alias("appellee"))
 )
 TOPIC_LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '' and not starts_with(x, 'Trata-se'))"
@@ -135,7 +142,7 @@ on_documents(
       || case when doc_id % 8 = 0 then ' Disponível em: http://x/a.pdf' else '' end""",
 )
 on_documents("fn_state_of_case", lambda: T.state_of_case(F.concat(F.replace(text, F.lit("\n"), F.lit(" ")), F.when(doc_id % 3 == 0, " Vs. Perú.").when(doc_id % 3 == 1, " Vs. País 9").otherwise(""))), "case when doc_id % 3 = 0 then 'Perú' end")
-CORE = r"'Gomes ' || regexp_split_to_array(text, '\s+')[1] || ' e outros'"
+CORE = r"'Gomes ' || regexp_replace(text, '[\s.]+', ' ', 'g') || ' e outros'"
 on_documents("fn_core_name", lambda: T.core_name(name), CORE)
 query("fn_name_terms", f"select doc_id, array_to_string(list_filter(regexp_split_to_array({CORE}, '[^0-9A-Za-zÀ-ÿ]+'), lambda w: length(w) > 1 and not list_contains({STOP}, {FOLD.format('w')}))[1:4], ' ') as value from documents")(
     lambda t: t.documents.select("doc_id", F.array_join(T.name_terms(name, STOP), " ").alias("value"))
@@ -148,7 +155,12 @@ on_documents("fn_cnj_digits", lambda: T.digits(T.cnj_format(raw)), RAW)
 on_documents("fn_is_cnj", lambda: T.is_cnj(F.when(doc_id % 2 == 0, T.cnj_format(raw)).otherwise(raw)), "doc_id % 2 = 0")
 on_documents("fn_process_number", lambda: T.process_number(F.when(doc_id % 3 == 0, F.concat(F.lit("AgInt no REsp 2.098."), F.lpad(doc_id % 1000, 3, "0"), F.lit("/RO"))).when(doc_id % 3 == 1, F.concat(F.lit("Tema "), doc_id)).otherwise("AREsp 12345")), "case doc_id % 3 when 0 then '2098' || lpad(cast(doc_id % 1000 as varchar), 3, '0') when 2 then '12345' end")
 on_documents("fn_law_norm", lambda: T.law_norm(law), "case doc_id % 6 when 0 then 'LEI-8' || lpad(cast(doc_id % 1000 as varchar), 3, '0') when 1 then 'LCP-80' when 2 then 'DEL-4657' when 3 then 'MPR-2164' when 4 then 'DEC-3048' end")
-query("fn_cache_key", None)(lambda t: t.documents.select("doc_id", T.search_key(search).alias("value"), F.sha2(F.to_json(F.struct(F.lit(10).alias("n"), T.search_key(search).alias("q"))), 256).alias("key")))
+query("fn_cache_key", r"""
+with s as (select doc_id, regexp_replace(text, '[^A-Za-z ]', ' ', 'g') || case when doc_id % 2 = 0 then ' adj5 Zeta' else ' Zeta alfa' end as q from documents),
+     w as (select doc_id, regexp_matches(q, '(?i)(^|\s)(e|ou|and|or|nao|not|adj[0-9]*|prox[0-9]*|com[0-9]*|mesmo[0-9]*)(\s|$)') as ordered,
+                  list_transform(list_filter(string_split(q, ' '), lambda x: x <> ''), lambda x: case when x in ('E', 'OU', 'NAO', 'AND', 'OR', 'NOT') then x else lower(x) end) as l from s),
+     v as (select doc_id, array_to_string(case when ordered then l else list_sort(list_distinct(l)) end, ' ') as value from w)
+select doc_id, value, sha256('{"n":10,"q":"' || value || '"}') as key from v""")(lambda t: t.documents.select("doc_id", T.search_key(search).alias("value"), F.sha2(F.to_json(F.struct(F.lit(10).alias("n"), T.search_key(search).alias("q"))), 256).alias("key")))
 query("fn_sanitize_query", r"""select doc_id, trim(regexp_replace(regexp_replace('auxílio-doença ' || text, '[#!+'';_|-]', ' ', 'g'), '\s+', ' ', 'g')) as query,
   array_to_string(list_sort(list_distinct(regexp_extract_all('auxílio-doença ' || text, '[#!+'';_|-]'))), '') as removed from documents""")(
     lambda t: t.documents.select("doc_id", T.sanitize_query(F.concat(F.lit("auxílio-doença "), text)).alias("s")).select("doc_id", "s.query", F.array_join("s.removed", "").alias("removed"))

@@ -17,10 +17,22 @@ def windowed_summary(events: DataFrame, late: str = "1 day", width: str = "1 day
 
 
 def drained(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Run a stream over what has landed and return its result as a table."""
-    run = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Run a stream over what has landed and return its result as a table, written beside the checkpoint.
+
+    Each micro-batch overwrites its own folder, so that one that is repeated after a failure adds nothing; in complete mode the
+    last is the result, in append mode all are.
+    """
+    spark, where = stream.sparkSession, f"{checkpoint}-{name}"
+    done: list[int] = []
+
+    def put(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{where}/batch={n}")
+        done.append(n)
+
+    stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*[f"{where}/batch={n}" for n in (done[-1:] if mode == "complete" else sorted(set(done)))])
 
 
 def ingest_new(stream: DataFrame, target: str, keys: list[str], checkpoint: str) -> None:

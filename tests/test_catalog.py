@@ -62,3 +62,17 @@ def test_state_of_case_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame([(3 * i + 2, t) for i, t in texts], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.value for r in own()[0]["fn_state_of_case"](spark, str(tmp_path)).collect()}
     assert got == {5: "Chile", 8: None, 11: None}
+
+
+def test_the_rest_works_without_the_pipeline_operators(tmp_path):
+    """In a copy without the two llm folders everything else is there, and names none of theirs."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(top, tmp_path / "copy", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); print(len(q), 'pipeline' in q, any(n.startswith('op') for n in q), 'fts_search' in o)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=os.environ | {"PYTHONPATH": str(tmp_path / "copy")}, capture_output=True, text=True, check=True)
+    assert out.stdout.split()[1:] == ["False", "False", "True"] and int(out.stdout.split()[0]) > 200
