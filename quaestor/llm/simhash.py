@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, mix64, spread, written
+from .urlfilter import filter_words, passes
 
 BLOCK = 32
+SIEVE = 1 << 24
 _U = np.uint64
 
 
@@ -546,9 +548,13 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def compared(edges: DataFrame) -> DataFrame:
         """The similar ones of edges; only the texts at their ends are gathered."""
         chosen = written(_ends(edges).join(kinds, "c").where("_id is not null").select("c", "_id"), "chosen")
-        sets = written(shingle_sets(few.join(chosen, "_id"), width).dropDuplicates(["c"]), "sets")
+        # texts that no edge names stay where they are: a filter of at most SIEVE bits drops nearly all of them before the shuffle
+        size = max(64, min(SIEVE, -(-chosen.count() * 12 // 64) * 64))
+        sieve = filter_words(chosen.select(F.col("_id").alias("key")), 0, size, 3)
+        named = few.where(passes(F.col("_id"), sieve, 0, size, 3))
+        sets = written(shingle_sets(named.join(chosen, "_id"), width).dropDuplicates(["c"]), "sets")
         out = written(similar(edges, sets, least), "links")
-        discard(chosen, sets)
+        discard(chosen, sieve, sets)
         return out
 
     def of_large_keys(tree: DataFrame, few_pairs: bool) -> DataFrame:

@@ -65,6 +65,24 @@ def _spots(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(level * 16 + i)), F.lit(bits).cast("bigint")) for i in range(hashes)]
 
 
+def filter_words(holds: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
+    """One row with the words, 64 bits each, of a Bloom filter of the column ``key``; bits are ORed before they are gathered."""
+    spot = F.explode(F.array(*_spots(F.col("key"), level, size, hashes)))
+    words = holds.select(spot.alias("at")).groupBy(F.expr("at div 64").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
+    every = holds.sparkSession.range(size // 64).join(words, "id", "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
+    dense = F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"])
+    return written(every.agg(dense.alias("words")), f"level{level}")
+
+
+def passes(key: Column, words: DataFrame, level: int, size: int, hashes: int) -> Column:
+    """Whether a key passes a filter of filter_words."""
+    test = F.lit(True)
+    for at in _spots(key, level, size, hashes):
+        word = F.get(words.scalar(), F.floor(at / 64).cast("int"))
+        test = test & (F.expr("0L") != word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))))
+    return test
+
+
 class Cascade:
     """Levels of (bits, hashes, one-row DataFrame with the filter's words)."""
 
@@ -90,19 +108,11 @@ class Cascade:
 
     @staticmethod
     def _filter(holds: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
-        spot = F.explode(F.array(*_spots(F.col("key"), level, size, hashes)))
-        words = holds.select(spot.alias("at")).groupBy(F.expr("at div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
-        filled = F.map_from_entries(F.collect_list(F.struct("word", "set")))
-        dense = F.transform(F.sequence(F.lit(0), F.lit(size // 64 - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
-        return written(words.agg(filled.alias("m")).select(dense.alias("words")), f"level{level}")
+        return filter_words(holds, level, size, hashes)
 
     def _passes(self, key: Column, level: int) -> Column:
         size, hashes, words = self.levels[level]
-        test = F.lit(True)
-        for at in _spots(key, level, size, hashes):
-            word = F.get(words.scalar(), F.floor(at / 64).cast("int"))
-            test = test & (F.expr("0L") != word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))))
-        return test
+        return passes(key, words, level, size, hashes)
 
     def holds(self, key: Column) -> Column:
         """Whether a key of the universe, or a listed key, is listed."""
