@@ -199,7 +199,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
                 fresh += [(r.id, label) for r in top if r.id is not None and r.id not in known and r.id not in taken[v]][:grow]
             if fresh:
                 label_of = dict(fresh)
-                taken[v] |= label_of.keys()
+                taken[v].update(label_of)
                 got = found.where(F.col("id").isin(list(label_of))).orderBy(F.xxhash64("id"), "id").collect()
                 sets[1 - v] += [(sparse(r, 1 - v), label_of[r.id], 0.3) for r in got]
         models = fitted()
