@@ -65,17 +65,22 @@ def _spots(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(level * 16 + i)), F.lit(bits).cast("bigint")) for i in range(hashes)]
 
 
-def filter_words(holds: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
+def filter_row(holds: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
     """One row with the words, 64 bits each, of a Bloom filter of the column ``key``; bits are ORed before they are gathered."""
     spot = F.explode(F.array(*_spots(F.col("key"), level, size, hashes)))
     words = holds.select(spot.alias("at")).groupBy(F.expr("at div 64").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
     every = holds.sparkSession.range(size // 64).join(words, "id", "left").select("id", F.coalesce("set", F.lit(0).cast("bigint")).alias("set"))
     dense = F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"])
-    return written(every.agg(dense.alias("words")), f"level{level}")
+    return every.agg(dense.alias("words"))
+
+
+def filter_words(holds: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
+    """filter_row as a written table."""
+    return written(filter_row(holds, level, size, hashes), f"level{level}")
 
 
 def passes(key: Column, words: DataFrame, level: int, size: int, hashes: int) -> Column:
-    """Whether a key passes a filter of filter_words."""
+    """Whether a key passes a filter of filter_row or filter_words."""
     test = F.lit(True)
     for at in _spots(key, level, size, hashes):
         word = F.get(words.scalar(), F.floor(at / 64).cast("int"))
