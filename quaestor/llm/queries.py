@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, idcoder, langid, leaks, outliers, pieces, repeats, simhash, urlfilter, warc
+from . import classlm, cotrain, idcoder, langid, leaks, lexical, negatives, outliers, pieces, repeats, simhash, urlfilter, warc
 from .common import table
 
 
@@ -68,9 +68,25 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.listed_keys(spark), urlfilter.RULES)
 
 
+def op11_bit_sliced_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each anchor and positive: rows of other labels that score half to nineteen twentieths of the positive."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+def op12_brown_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and class-based log10 probability of every document; the model is fitted on four fifths of them."""
+    return classlm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
+def op13_windowed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item by their terms."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op4_cotrained_quality": op4_cotrained_quality, "op5_context_mixing_coder": op5_context_mixing_coder, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op8_latent_leaks": op8_latent_leaks, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade}
+    return {"op1_warc_segments": op1_warc_segments, "op2_sentencepiece_chunks": op2_sentencepiece_chunks, "op3_run_length_repeats": op3_run_length_repeats, "op4_cotrained_quality": op4_cotrained_quality, "op5_context_mixing_coder": op5_context_mixing_coder, "op6_simhash_anchors": op6_simhash_anchors, "op7_quality_outliers": op7_quality_outliers, "op8_latent_leaks": op8_latent_leaks, "op9_language_evidence": op9_language_evidence, "op10_bloom_cascade": op10_bloom_cascade, "op11_bit_sliced_negatives": op11_bit_sliced_negatives, "op12_brown_perplexity": op12_brown_perplexity, "op13_windowed_search": op13_windowed_search}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_segments": warc.oracle(), "op10_bloom_cascade": urlfilter.oracle()}
+    return {"op1_warc_segments": warc.oracle(), "op10_bloom_cascade": urlfilter.oracle(), "op11_bit_sliced_negatives": negatives.oracle(), "op13_windowed_search": lexical.oracle()}
