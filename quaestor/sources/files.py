@@ -22,8 +22,12 @@ _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir; a temporary one in local runs)."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="scratch-")
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir. Unset, a local session gets a temporary one; a cluster has to name it."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset; it has to name a folder that driver and executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="scratch-")
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
