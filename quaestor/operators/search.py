@@ -1,24 +1,28 @@
-"""Inverted index as tables; BM25 and boolean search over it.
+"""BM25, boolean, proximity and fuzzy search over a written index (operators/index.py).
 
-An index is written once: postings (term, row, tf, positions, dl), dealt by ranges of term and row so that no term is one
-task's, and sorted so that a leaf's filter reaches the scan and skips what holds other terms; a dictionary (term, df); and the
-corpus' size. A search reads the postings of its own terms only and never a text. A prefix or pattern is one filter too;
-a phrase joins its words' postings from the rarest on. And, Or, Not are joins and unions of row keys; the score of a row is
-the sum over the positive leaves. Everything stays in the JVM.
+A search reads the postings of its own terms only and never a text. A prefix or pattern is one filter; similar words come from an
+equi-join on deletion forms; a phrase joins its words' postings from the rarest on. And, Or, Not are joins and unions of row keys;
+the score of a row is the sum over the positive leaves, and over the fields by weight. The best few of a search on words are found in two
+steps: the bands of rows that can score most are read first, then those whose bound reaches the last place. Everything stays in the JVM.
 """
 
 from __future__ import annotations
 
+import copy
 import functools
+import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources.files import scratch
 from . import querylang as Q
+from .index import Segments, alike, near_forms, paragraph
 
 WORD = r"([\p{L}\p{N}]+)"
+#: Bands that are read first, and most bands that a filter lists; more are joined.
+FIRST, LISTED = 8, 4096
 
 
 def _words(text_col: str):
@@ -31,57 +35,98 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return cut.select("row", F.size("words").cast("bigint").alias("dl"), F.posexplode("words").alias("pos", "term"))
 
 
-def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(term, row, tf, positions, dl); grouped per document, so no term's postings are ever gathered."""
-    return tokens(docs, id_col, text_col).groupBy("term", "row").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"), F.first("dl").alias("dl"))
-
-
 def lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).alias("row"), F.size(_words(text_col)).cast("bigint").alias("dl"))
 
 
+def places() -> list[Column]:
+    """Order of results. Sums of equal parts may differ in their last digits: they are ties where nine digits agree."""
+    return [F.round("score", 9), F.col("row")]
+
+
+def _unwrapped(leaf) -> tuple[object, str | None, float]:
+    """(leaf, field, weight)"""
+    name, weight = None, 1.0
+    while isinstance(leaf, Q.Fielded | Q.Boost):
+        if isinstance(leaf, Q.Fielded):
+            name = name or leaf.field
+        else:
+            weight *= leaf.weight
+        leaf = leaf.leaf
+    return leaf, name, weight
+
+
+def _words_only(tree) -> bool:
+    if isinstance(tree, Q.And | Q.Or):
+        return all(map(_words_only, tree.parts))
+    if isinstance(tree, Q.Not):
+        return _words_only(tree.left)
+    return isinstance(_unwrapped(tree)[0], Q.Term) and not isinstance(tree, Q.Near)
+
+
 class Index:
-    """A written index and what is asked of it."""
+    """A written index and what is asked of it. ``weights``: what a field's score counts."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fields: dict[str, Column] | None = None, path: str | None = None, weights: dict[str, float] | None = None):
         spark: SparkSession = docs.sparkSession
-        where = scratch(spark, "index")
-        found = postings(docs, id_col, text_col)
-        found.write.parquet(f"{where}/unsorted")  # ranges are sampled from what is written, not from the texts again
-        rows = spark.read.schema(found.schema).parquet(f"{where}/unsorted")
-        rows.repartitionByRange("term", "row").sortWithinPartitions("term", "row").write.option("parquet.block.size", 8 << 20).parquet(f"{where}/postings")
-        self.postings = spark.read.schema(found.schema).parquet(f"{where}/postings")
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/unsorted")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-        self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).write.parquet(f"{where}/dictionary")
-        self.dictionary = spark.read.parquet(f"{where}/dictionary")
-        self.documents = docs.count()  # a row without a word has no posting, but counts
-        self.avgdl = (self.dictionary.agg(F.sum("n")).first()[0] or 0) / max(1, self.documents)
+        store = Segments(spark, path or scratch(spark, "index"))
+        store.put(docs, fields or {"text": F.col(text_col)}, id_col)
+        self._open(store, weights)
+
+    @classmethod
+    def of(cls, store: Segments, weights: dict[str, float] | None = None) -> Index:
+        out = cls.__new__(cls)
+        out._open(store, weights)
+        return out
+
+    def _open(self, store: Segments, weights: dict[str, float] | None) -> None:
+        self.store, self.postings, self.dictionary = store, store.postings(), store.dictionary()
+        self.sizes, self.fields = store.sizes, sorted(store.sizes)
+        self.weights = weights or {}
+        self.documents = max((n for n, _ in self.sizes.values()), default=0)
 
     def frequency(self, words: set[str]) -> dict[str, int]:
-        return {r.term: r.df for r in self.dictionary.where(F.col("term").isin(*words)).collect()} if words else {}
+        """Rows of each word, in any field."""
+        out: dict[str, int] = {}
+        for r in self.dictionary.where(F.col("term").isin(*words)).collect() if words else []:
+            out[r.term] = max(out.get(r.term, 0), r.df)
+        return out
+
+    def _leaf(self, wanted: Column, name: str | None) -> DataFrame:
+        held = self.postings.where(wanted)
+        return held.where(F.col("field") == name) if name else held
 
     def hits(self, leaf) -> DataFrame:
-        """(row, positions, f, dl) of a leaf: where it begins, and how often."""
+        """(row, field, positions, places, f, dl) of a leaf: where it begins, and how often."""
+        leaf, name, _ = _unwrapped(leaf)
         if isinstance(leaf, Q.Term):
-            return self.postings.where(F.col("term") == leaf.word).select("row", "positions", F.col("tf").alias("f"), "dl")
+            return self._leaf(F.col("term") == leaf.word, name).select("row", "field", "positions", "places", F.col("tf").alias("f"), "dl")
         if isinstance(leaf, Q.Phrase):
             df = self.frequency(set(leaf.words))
             order = sorted(range(len(leaf.words)), key=lambda k: df.get(leaf.words[k], 0))
             out = None
             for k in order:
-                own = self.postings.where(F.col("term") == leaf.words[k])
-                shift = F.lit(k)
+                own, shift = self._leaf(F.col("term") == leaf.words[k], name), F.lit(k)
+                # where the phrase would begin; the first word's place is kept beside
                 at = F.filter(F.transform("positions", lambda p: p - shift), lambda p: p >= 0)
-                if out is None:
-                    out = own.select("row", at.alias("positions"), "dl")
-                else:
-                    met = out.join(own.select("row", at.alias("more")), "row")
-                    out = met.select("row", F.array_intersect("positions", "more").alias("positions"), "dl").where(F.size("positions") > 0)
-            return out.where(F.size("positions") > 0).select("row", F.array_sort("positions").alias("positions"), F.size("positions").cast("bigint").alias("f"), "dl")
-        wanted = F.col("term").startswith(leaf.word) if isinstance(leaf, Q.Prefix) else F.col("term").rlike(leaf.regex)
-        by = self.postings.where(wanted).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"), F.sum("tf").alias("f"), F.first("dl").alias("dl"))
-        return by.select("row", "positions", "f", "dl")
+                told = own.select("row", "field", at.alias("more"), *([F.arrays_zip("positions", "places").alias("first")] if k == 0 else []), *(["dl"] if out is None else []))
+                out = told.withColumnRenamed("more", "positions") if out is None else out.join(told, ["row", "field"]).withColumn("positions", F.array_intersect("positions", "more")).drop("more").where(F.size("positions") > 0)
+            met = F.filter("first", lambda x: F.array_contains("positions", x["positions"]))
+            out = out.where(F.size("positions") > 0).withColumn("met", met)
+            return out.select("row", "field", F.transform("met", lambda x: x["positions"]).alias("positions"), F.transform("met", lambda x: x["places"]).alias("places"), F.size("met").cast("bigint").alias("f"), "dl")
+        if isinstance(leaf, Q.Fuzzy):
+            own = self._leaf(F.lit(True), name).join(self.similar_words(leaf.word, leaf.distance), "term", "left_semi")
+        else:
+            own = self._leaf(F.col("term").startswith(leaf.word) if isinstance(leaf, Q.Prefix) else F.col("term").rlike(leaf.regex), name)
+        at = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("positions", "places"))))
+        by = own.groupBy("row", "field").agg(at.alias("at"), F.sum("tf").alias("f"), F.first("dl").alias("dl"))
+        return by.select("row", "field", F.transform("at", lambda x: x["positions"]).alias("positions"), F.transform("at", lambda x: x["places"]).alias("places"), "f", "dl")
+
+    def similar_words(self, word: str, distance: int) -> DataFrame:
+        """(term) of the words within an edit distance: those that share a deletion form, checked."""
+        asked = self.store.spark.range(1).select(F.lit(word).alias("word"), F.lit(distance).alias("distance"))
+        forms = [r[0] for r in asked.select(F.explode(near_forms(F.col("word")))).collect()]  # a few dozen
+        return alike(asked, self.store.forms().where(F.col("form").isin(forms))).select("term")
 
     def rows(self, tree) -> DataFrame:
         """Keys of the rows that a tree matches."""
@@ -94,26 +139,45 @@ class Index:
         if isinstance(tree, Q.Xor):
             a, b = self.rows(tree.left), self.rows(tree.right)
             return a.join(b, "row", "left_anti").unionByName(b.join(a, "row", "left_anti"))
-        if isinstance(tree, Q.Near):
-            return self.near(tree).select("row")
-        return self.hits(tree).select("row")
+        found = self.near(tree) if isinstance(tree, Q.Near) else self.hits(tree)
+        return found.select("row").distinct() if len(self.fields) > 1 else found.select("row")
 
     def near(self, tree: Q.Near) -> DataFrame:
-        """Rows where the sides stand close; positions are the right side's, for chains."""
+        """(row, field, positions, places) where the sides stand close, in one field; positions are the right side's, for chains.
 
-        def side(x):
-            return self.near(x) if isinstance(x, Q.Near) else self.hits(x).select("row", "positions")
-
-        both = side(tree.left).withColumnRenamed("positions", "a").join(side(tree.right).withColumnRenamed("positions", "b"), "row")
+        With ``without`` they are those of the left side that have no right one close.
+        """
 
-        def close(p, q):
-            gap = q - p
+        def side(x, a: str, b: str) -> DataFrame:
+            if isinstance(x, Q.Or):  # a group: any of its leaves
+                every = functools.reduce(lambda p, q: p.unionByName(q), [side(p, "positions", "places") for p in x.parts])
+                every = every.groupBy("row", "field").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("positions", "places"))))).alias("at"))
+                return every.select("row", "field", F.transform("at", lambda v: v["positions"]).alias(a), F.transform("at", lambda v: v["places"]).alias(b))
+            found = self.near(x) if isinstance(x, Q.Near) else self.hits(x)
+            return found.select("row", "field", F.col("positions").alias(a), F.col("places").alias(b))
+
+        left, right = side(tree.left, "a", "pa"), side(tree.right, "b", "pb")
+
+        def close(p: Column, q: Column) -> Column:
+            """Of struct(position, place), left and right."""
+            if tree.scope == "sentence":
+                return p["place"] == q["place"]
+            if tree.scope == "paragraph":
+                return paragraph(p["place"]) == paragraph(q["place"])
+            gap = q["pos"] - p["pos"]
             return (gap > 0) & (gap <= tree.distance) if tree.ordered else (gap != 0) & (F.abs(gap) <= tree.distance)
 
-        if tree.scope != "words":
-            return both.select("row", F.col("b").alias("positions"))  # rows are the sentences or paragraphs asked for
-        met = F.filter("b", lambda q: F.exists("a", lambda p: close(p, q)))
-        return both.select("row", met.alias("positions")).where(F.size("positions") > 0)
+        def zipped(a: str, b: str) -> Column:
+            return F.arrays_zip(F.col(a).alias("pos"), F.col(b).alias("place"))
+
+        if tree.without:
+            both = left.join(right, ["row", "field"], "left")
+            met = F.filter(zipped("a", "pa"), lambda p: ~F.exists(F.coalesce(zipped("b", "pb"), F.array().cast("array<struct<pos:int,place:bigint>>")), lambda q: close(p, q)))
+        else:
+            both = left.join(right, ["row", "field"])
+            met = F.filter(zipped("b", "pb"), lambda q: F.exists(zipped("a", "pa"), lambda p: close(p, q)))
+        both = both.withColumn("met", met).where(F.size("met") > 0)
+        return both.select("row", "field", F.transform("met", lambda x: x["pos"]).alias("positions"), F.transform("met", lambda x: x["place"]).alias("places"))
 
     def holding(self, docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, fold: bool) -> DataFrame:
         """(item, row) where a row's text contains an item's, as written or folded; null texts contain and are contained in none.
@@ -128,8 +192,8 @@ class Index:
         cut = items.select(F.col(item_col).alias("item"), shape(item_text_col).alias("needle"), _words(item_text_col).alias("words")).where("needle is not null")
         texts = docs.select(F.col(id_col).alias("row"), shape(text_col).alias("body"))
         inner = cut.where(F.size("words") > 2).select("item", "needle", F.explode(F.slice("words", 2, F.size("words") - 2)).alias("term"))
-        rarest = inner.join(self.dictionary.select("term", "df"), "term", "left").groupBy("item", "needle").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
-        found = rarest.join(self.postings.select("term", "row"), "term").join(texts, "row").where(F.contains("body", "needle")).select("item", "row")
+        rarest = inner.join(self.dictionary.where(F.col("field") == self.fields[0]).select("term", "df"), "term", "left").groupBy("item", "needle").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
+        found = rarest.join(self.postings.where(F.col("field") == self.fields[0]).select("term", "row"), "term").join(texts, "row").where(F.contains("body", "needle")).select("item", "row")
         short = cut.where(F.size("words") <= 2)
         if short.isEmpty():
             return found
@@ -138,27 +202,104 @@ class Index:
     def nothing(self) -> DataFrame:
         return self.postings.select("row", F.lit(0.0).alias("score")).limit(0)
 
-    def bm25(self, leaves: list) -> DataFrame:
-        """(row, score): k1 1.2, b 0.75; less is better; a leaf in over half of the rows counts next to nothing."""
+    def _idf(self, df: int) -> float:
+        """A leaf in over half of the rows counts next to nothing."""
+        found = math.log((self.documents - df + 0.5) / (df + 0.5))
+        return found if found > 0 else 1e-6
+
+    def _part(self, idf: Column | float, name: str, weight: float, f: str = "f") -> Column:
+        """What a leaf adds in a field: k1 1.2, b 0.75."""
+        rows, words = self.sizes[name]
+        return F.lit(weight * self.weights.get(name, 1.0)) * idf * F.col(f) * 2.2 / (F.col(f) + 1.2 * (0.25 + 0.75 * F.col("dl") / F.lit(words / max(1, rows) or 1.0)))
+
+    def _frequencies(self, leaves: list) -> list[dict[str, int]]:
+        """Rows of each leaf by field, in the whole index."""
+        words = {x.word for x, _, _ in map(_unwrapped, leaves) if isinstance(x, Q.Term)}
+        told = {(r.term, r.field): r.df for r in self.dictionary.where(F.col("term").isin(*words)).collect()} if words else {}
+        out = []
+        for leaf in leaves:
+            x, _, _ = _unwrapped(leaf)
+            if isinstance(x, Q.Term):
+                out.append({n: told.get((x.word, n), 0) for n in self.fields})
+            else:
+                out.append({r.field: r["count"] for r in self.hits(leaf).groupBy("field").count().collect()})
+        return out
+
+    def bm25(self, leaves: list, told: list[dict[str, int]] | None = None) -> DataFrame:
+        """(row, score) summed over leaves and fields; less is better. ``told``: rows of each leaf by field, where they are known."""
         if not self.documents or not leaves:
             return self.nothing()
-        told = self.frequency({x.word for x in leaves if isinstance(x, Q.Term)})
         parts = []
-        for leaf in leaves:
-            hit = self.hits(leaf).select("row", "f", "dl")
-            df = told.get(leaf.word, 0) if isinstance(leaf, Q.Term) else hit.count()
-            idf = F.log((F.lit(self.documents) - df + 0.5) / (F.lit(df) + 0.5))
-            parts.append(hit.withColumn("idf", F.when(idf <= 0, 1e-6).otherwise(idf)))
-        every = functools.reduce(lambda a, b: a.unionByName(b), parts)
-        score = F.sum(F.col("idf") * F.col("f") * 2.2 / (F.col("f") + 1.2 * (0.25 + 0.75 * F.col("dl") / F.lit(self.avgdl))))
-        return every.groupBy("row").agg((-score).alias("score"))
-
-    def search(self, query: str, dialect: str = "fts5", limit: int = 10, grouped: bool = True) -> DataFrame:
-        """(row, score) of the best matches; ties by row."""
-        tree = Q.parse(query, dialect, grouped)
-        if tree is None:
+        for leaf, df in zip(leaves, told or self._frequencies(leaves), strict=True):
+            _, name, weight = _unwrapped(leaf)
+            hit = self.hits(leaf).select("row", "field", "f", "dl")
+            for field in [name] if name else self.fields:
+                if df.get(field):
+                    parts.append(hit.where(F.col("field") == field).select("row", self._part(self._idf(df[field]), field, weight).alias("part")))
+        if not parts:
+            return self.nothing()
+        return functools.reduce(lambda a, b: a.unionByName(b), parts).groupBy("row").agg((-F.sum("part")).alias("score"))
+
+    def _only(self, bands: Column | DataFrame) -> Index:
+        """The same index, of some bands."""
+        out = copy.copy(self)
+        out.postings = self.postings.where(bands) if isinstance(bands, Column) else self.postings.join(bands.select("band"), "band", "left_semi")
+        return out
+
+    def most(self, tree, told: dict) -> DataFrame:
+        """(band, most) of the bands where a tree of words can match: what a row there can score at most."""
+        if isinstance(tree, Q.And):
+            def both(a, b):
+                return a.join(b.withColumnRenamed("most", "more"), "band").select("band", (F.col("most") + F.col("more")).alias("most"))
+            return functools.reduce(both, [self.most(p, told) for p in tree.parts])
+        if isinstance(tree, Q.Or):
+            every = functools.reduce(lambda a, b: a.unionByName(b), [self.most(p, told) for p in tree.parts])
+            return every.groupBy("band").agg(F.sum("most").alias("most"))
+        if isinstance(tree, Q.Not):
+            return self.most(tree.left, told)
+        x, name, weight = _unwrapped(tree)
+        held = self._bounds.where(F.col("term") == x.word)
+        # the largest tf beside the least length; a field of which the leaf isn't asked adds nothing
+        parts = [F.when(F.col("field") == n, self._part(self._idf(told[x.word, n]), n, weight, "tf")) for n in ([name] if name else self.fields) if told.get((x.word, n))]
+        return held.select("band", F.coalesce(*parts, F.lit(None).cast("double")).alias("most")).where("most is not null").groupBy("band").agg(F.sum("most").alias("most"))
+
+    def best(self, tree, limit: int) -> DataFrame:
+        """(row, score) of the ``limit`` best rows of a tree of words: equal to scoring all rows, by reading the bands that can reach them."""
+        leaves = Q.positive(tree)
+        told = self._frequencies(leaves)
+        by = {(_unwrapped(x)[0].word, n): df for x, one in zip(leaves, told, strict=True) for n, df in one.items()}
+        self._bounds = self.store.bounds(sorted({w for w, _ in by}))
+        bands = self.most(tree, by)
+        first = [r.band for r in bands.orderBy(F.desc("most"), "band").limit(FIRST).collect()]
+        if not first:
+            return self.nothing()
+
+        def scored(part: Index) -> DataFrame:
+            return part.rows(tree).join(part.bm25(leaves, told), "row").orderBy(*places()).limit(limit)
+
+        seed = scored(self._only(F.col("band").isin(first)))
+        found = [tuple(r) for r in seed.collect()]  # at most ``limit`` rows
+        rest = bands.where(~F.col("band").isin(first))
+        if len(found) == limit:
+            rest = rest.where(F.col("most") >= -found[-1][1] - 1e-8)
+        listed = [r.band for r in rest.select("band").limit(LISTED + 1).collect()]
+        self.read_bands = first + listed
+        held = self.store.spark.createDataFrame(found, seed.schema)
+        if not listed:
+            return held.orderBy(*places()).limit(limit)
+        more = self._only(F.col("band").isin(listed) if len(listed) <= LISTED else rest)
+        return held.unionByName(scored(more)).orderBy(*places()).limit(limit)
+
+    def search(self, query: str, dialect: str = "fts5", limit: int = 10, grouped: bool = True, bounded: bool = True, among: DataFrame | None = None, names: dict[str, str] | None = None) -> DataFrame:
+        """(row, score) of the best matches; ties by row. ``among``: (row) to choose from; ``names``: fields as the query spells them."""
+        tree = Q.renamed(Q.parse(query, dialect, grouped), names or {})
+        if tree is None or not self.documents:
             return self.nothing()
-        return self.rows(tree).join(self.bm25(Q.positive(tree)), "row").orderBy("score", "row").limit(limit)
+        if bounded and among is None and _words_only(tree):
+            return self.best(tree, limit)
+        found = self.rows(tree)
+        found = found if among is None else found.join(among.select("row"), "row", "left_semi")
+        return found.join(self.bm25(Q.positive(tree)), "row").orderBy(*places()).limit(limit)
 
     def search_or_relax(self, query: str, dialect: str, limit: int = 10) -> tuple[DataFrame, str | None]:
         """search(); if nothing is found the relaxed query's result, and that query."""
@@ -172,16 +313,16 @@ class Index:
 _INDEXES: dict[tuple, Index] = {}
 
 
-def index_of(docs: DataFrame) -> Index:
+def index_of(docs: DataFrame, id_col: str = "doc_id", fields: dict[str, Column] | None = None, weights: dict[str, float] | None = None) -> Index:
     """The index of a table read from files, written once a session and for each state of the files."""
     spark, fs, state = docs.sparkSession, docs.sparkSession._jvm.org.apache.hadoop.fs, []
     for f in sorted(docs.inputFiles()):
         path = fs.Path(f)
         status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
         state.append((f, status.getLen(), status.getModificationTime()))
-    key = (spark.sparkContext.applicationId, *state)
+    key = (spark.sparkContext.applicationId, id_col, str(fields), str(weights), *state)
     if key not in _INDEXES:
-        _INDEXES[key] = Index(docs)
+        _INDEXES[key] = Index(docs, id_col, fields=fields, weights=weights)
     return _INDEXES[key]
 
 

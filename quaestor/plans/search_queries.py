@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import querylang as Q
-from ..operators.search import Index, index_of, lengths, similar, tokens
+from ..operators.search import Index, index_of, lengths, similar, tokens  # noqa: F401
 from .registry import Tables, query
 
 TOK = r"(select doc_id, unnest(l) as term, generate_subscripts(l, 1) - 1 as pos from (select doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') as l from documents))"
@@ -46,15 +46,12 @@ query("fts_search", bm25_sql(["term = 'the'", "term = 'tion'"], f"{has('the')} a
 query("fts_expand", bm25_sql(["term = 'the'", "term = 'die'", "term = 'tion'"], f"({has('the')} or {has('die')}) and {has('tion')}"))(lambda t: ranked(index(t).search(Q.expand("the tion", {"the": ["die"]})[0])))
 query("fts_prefix", f"select \"row\" from (select distinct doc_id as \"row\" from {TOK} where starts_with(term, 'thinsh')) q")(lambda t: index(t).rows(Q.parse("thinsh*")))
 query("fts_phrase", f"select distinct a.doc_id as \"row\" from {TOK} a join {TOK} b on a.doc_id = b.doc_id and b.pos = a.pos + 1 where a.term = 'of' and b.term = 'the'")(lambda t: index(t).rows(Q.parse('"of the"')))
-query("fts_dialect_cjf_ops", f"select distinct a.doc_id as \"row\" from {TOK} a join {TOK} b on a.doc_id = b.doc_id and b.pos - a.pos between 1 and 3 where a.term = 'the' and b.term = 'and'")(lambda t: index(t).rows(Q.parse("the ADJ3 and", "cjf")))
 query("fts_dialect_julia", f"select distinct a.doc_id as \"row\" from {TOK} a join {TOK} b on a.doc_id = b.doc_id and abs(b.pos - a.pos) between 1 and 2 where a.term = 'the' and b.term = 'and'")(lambda t: index(t).rows(Q.parse("the adj2 and", "julia")))
 query("fts_dialect_lucene", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('the')} and not {has('tion')}")(lambda t: index(t).rows(Q.parse(Q.to_lucene("the não tion")[0], "lucene")))
 query("fts_dialect_stm", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('eau')} and not {has('tion')}")(lambda t: index(t).rows(Q.parse(Q.to_stm("eau nao tion")[0], "stm")))
 query("fts_dialect_bnp", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('the')} and not {has('of')}")(lambda t: index(t).rows(Q.parse("+the -of eau", "bnp")))
 query("fts_dialect_brs_cjf", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('die')} or {has('les')}")(lambda t: index(t).rows(Q.parse(Q.stj_to_cjf("die ou les"), "cjf")))
 query("fts_dialect_explicit_and", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('die')} and {has('und')}")(lambda t: index(t).rows(Q.parse(Q.explicit_and("die und"), "cjf")))
-query("fts_dialect_sjur", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('les')} and not {has('eau')}")(lambda t: index(t).rows(Q.parse("les NAO eau", "sjur")))
-query("fts_dialect_stf", bm25_sql(["term = 'les'", "term = 'des'"], f"{has('les')} and {has('des')}"))(lambda t: ranked(index(t).search(Q.to_stf("les des"), "stf")))
 query("fts_sanitize", f"select q.\"row\" from (select doc_id as \"row\" from documents) q where {has('les')} and {has('des')}")(lambda t: index(t).rows(Q.parse(Q.to_fts5("les, (des) -- AND"))))
 query("fts_relax_or", bm25_sql(["term = 'die'", "term = 'zzzz'"]))(lambda t: ranked(index(t).search_or_relax("die E zzzz", "cjf")[0]))
 query("fts_relax_plus", bm25_sql(["term = 'die'", "term = 'zzzz'"]))(lambda t: ranked(index(t).search_or_relax("+die +zzzz", "bnp")[0]))

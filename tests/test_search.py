@@ -44,3 +44,111 @@ def test_texts_that_hold_an_item(spark):
 
     want = {(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2)} | {(4, k) for k in (1, 2, 4, 5)}
     assert found(False) == want and found(True) == want | {(3, 4)}
+
+
+@pytest.fixture
+def small_bands(monkeypatch):
+    from quaestor.operators import index
+
+    monkeypatch.setattr(index, "BAND", 3)
+
+
+def put(spark, store, rows, key="doc_id"):
+    from pyspark.sql import functions as F
+
+    store.put(spark.createDataFrame(rows, f"{key} bigint, text string"), {"text": F.col("text")}, key)
+
+
+def found(index, words):
+    return {r.row: round(r.score, 9) for r in index.bm25([Q.Term(w) for w in words]).collect()}
+
+
+def test_an_updated_index_equals_one_built_anew(spark, tmp_path, small_bands):
+    import random
+
+    from quaestor.operators.index import Segments
+
+    rng = random.Random(4)
+    words = ["um", "dois", "três", "quatro", "cinco", "seis"]
+    state = {k: " ".join(rng.choices(words, k=rng.randrange(0, 9))) for k in range(60)}
+    store = Segments(spark, str(tmp_path / "index"), most=3)
+    put(spark, store, list(state.items()))
+    for step in range(5):
+        new = {k: " ".join(rng.choices([*words, f"novo{step}"], k=6)) for k in rng.sample(range(80), 12)}
+        state |= new
+        put(spark, store, list(new.items()))
+        put(spark, store, list(new.items()))  # the same again changes nothing
+        gone = rng.sample(sorted(state), 3)
+        store.delete(spark.createDataFrame([(k,) for k in gone], "row bigint"))
+        state = {k: v for k, v in state.items() if k not in gone}
+    fresh = Index(spark.createDataFrame(list(state.items()), "doc_id bigint, text string"))
+    again = Index.of(Segments(spark, str(tmp_path / "index")))
+    assert again.sizes == fresh.sizes and len(again.store.held["segments"]) <= 4
+    assert {tuple(r) for r in again.dictionary.collect()} == {tuple(r) for r in fresh.dictionary.collect()}
+    assert found(again, [*words[1:], "novo4", "novo1"]) == found(fresh, [*words[1:], "novo4", "novo1"])
+    for q in ("dois tres", "novo4 OR quatro", "dois NOT novo3"):
+        assert [tuple(r) for r in again.search(q, limit=7).collect()] == [tuple(r) for r in fresh.search(q, limit=7, bounded=False).collect()]
+
+
+def test_an_update_leaves_the_rest_and_refuses_a_late_writer(spark, tmp_path):
+    from quaestor.operators.index import Segments
+    from quaestor.sources.snapshots import Conflict
+
+    path = str(tmp_path / "index")
+    store = Segments(spark, path)
+    put(spark, store, [(1, "antigo texto"), (2, "outro"), (3, None), (4, "")])
+    first, late = store.held["segments"][0], Segments(spark, path)
+    put(spark, store, [(1, "novo texto")])
+    assert store.held["segments"][0] == first
+    held = Index.of(store)
+    assert held.sizes == {"text": [4, 3]} and found(held, ["antigo"]) == {} and set(found(held, ["texto"])) == {1} and set(found(held, ["outro"])) == {2}
+    with pytest.raises(Conflict):
+        put(spark, late, [(2, "perdido")])
+    with pytest.raises(ValueError):
+        put(spark, Segments(spark, path), [(5, "a"), (5, "b")])
+    assert Index.of(Segments(spark, path)).sizes == {"text": [4, 3]}
+    assert Index.of(Segments(spark, path)).search("perdido").count() == 0
+
+
+def test_the_best_few_are_found_in_part_of_the_bands(spark, small_bands):
+    rows = [(k, "comum " * (1 + k % 3) + ("raro raro" if k in (13, 200) else "outro " * (k % 5))) for k in range(400)]
+    index = Index(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    for q in ("raro comum", "raro OR outro", "(raro OR outro) comum", "comum NOT raro", "raro[text] OR comum"):
+        every = index.search(q, "fts5" if "[" not in q else "cjf", 5, bounded=False)
+        assert [tuple(r) for r in index.search(q, "fts5" if "[" not in q else "cjf", 5).collect()] == [tuple(r) for r in every.collect()]
+    index.search("raro OR comum", limit=2)
+    bands = index.postings.select("band").distinct().count()
+    read = index.postings.where(index.postings.band.isin(index.read_bands) & index.postings.term.isin("raro", "comum")).count()
+    assert bands == 50 and len(index.read_bands) < 20 and read < index.postings.where("term in ('raro', 'comum')").count() / 2
+
+
+def test_similar_words_are_those_within_the_distance(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quaestor.operators.index import alike
+
+    rng = random.Random(9)
+    terms = {"".join(rng.choices("abc", k=rng.randrange(1, 14))) for _ in range(900)} | {"", "ação", "acao"}
+    words = rng.sample(sorted(terms), 40) + ["zzz", "abcabcabcabcx"]
+    dictionary = spark.createDataFrame([(t,) for t in sorted(terms)], "term string")
+    asked = spark.createDataFrame([(w, k % 3) for k, w in enumerate(words)], "word string, distance int")
+    got = alike(asked, dictionary)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    want = asked.crossJoin(dictionary).where(F.levenshtein("word", "term") <= F.col("distance")).select("word", "term")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and want.count() > 100
+
+
+def test_sentences_paragraphs_and_groups(spark):
+    docs = spark.createDataFrame([(1, "Dano moral. Pensão e dependente! Fim\nNovo dano"), (2, "Pensão. Dependente aqui"), (3, "pensão\ndependente"), (4, "nada")], "doc_id bigint, text string")
+    index = Index(docs)
+
+    def rows(q):
+        return sorted(r.row for r in index.rows(Q.parse(q, "cjf")).collect())
+
+    assert rows("pensão COM dependente") == [1] and rows("pensão MESMO dependente") == [1, 2]
+    assert rows("pensão NAO COM dependente") == [2, 3] and rows("pensão NAO MESMO dependente") == [3]
+    assert rows("(pensão OU fim) COM dependente") == [1] and rows("(dano OU moral) ADJ1 pensão") == [1]
+    assert rows('"dano moral" MESMO fim') == [1] and rows('"dano moral" COM fim') == [] and rows("dano COM novo") == [1]
