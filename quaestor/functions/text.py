@@ -121,46 +121,77 @@ def replace_broken(c: Column) -> Column:
     return F.translate(c, "�\x00", "a")
 
 
-#: The signs that markdown sets around a run of text, the longer before those that they are made of.
-MARKS = ["**", "*", "__", "_"]
+#: Marks around a run of text, and links; each leaves its first group. In this order, as one is made of the other.
+INLINE = [r"\*\*([^*]+)\*\*", r"\*([^*]+)\*", r"__([^_]+)__", r"_([^_]+)_", r"\[([^\]]+)\]\([^)]+\)"]
 #: Typographic signs and their plain forms.
 TYPOGRAPHY = ("•–—“”‘’", "---\"\"''")
+RULE = "-" * 50
 
 
 def markdown_strip(c: Column) -> Column:
     """Plain text of markdown: headings stand alone, lists have dashes, code blocks go, marks around text go, links keep their text."""
+    for pattern in INLINE:
+        c = F.regexp_replace(c, pattern, "$1")
+    # every second piece between fences is code; a fence that nothing closes is text
+    pieces = F.split(c, "```")
+    open_ended = F.size(pieces) % 2 == 0
+    text = F.filter(pieces, lambda x, i: (i % 2 == 0) | (open_ended & (i == F.size(pieces) - 1)))
+    kept = F.when(open_ended, F.concat(F.array_join(F.slice(text, 1, F.size(text) - 1), ""), F.lit("```"), F.element_at(text, -1))).otherwise(F.array_join(text, ""))
 
-    def around(c: Column, mark: str) -> Column:
-        """Text between two marks, without them."""
-        own = "".join(f"[{x}]" for x in mark)
-        return F.regexp_replace(c, f"{own}([^{mark[0]}]+){own}", "$1")
+    def line(x: Column) -> Column:
+        own = F.regexp_extract(x, r"^#{1,3}\s+(.+)$", 1)
+        bare = F.regexp_replace(x, r"^>\s*", "")
+        item = F.regexp_extract(bare, r"^[-*]\s+(.*)$", 1)
+        return F.when(own != "", F.concat(F.lit("\n"), own, F.lit("\n"))).when(bare.rlike(r"^[-*]{3,}$"), F.lit(f"\n{RULE}\n")).when(item != "", F.concat(F.lit("- "), item)).otherwise(bare)
 
-    def lines(c: Column, start: str, to: str) -> Column:
-        return F.regexp_replace(c, f"(?m)^{start}", to)
+    lines = F.array_join(F.transform(F.split(kept, "\n"), line), "\n")
+    single = F.regexp_replace(lines, "`([^`]+)`", "$1")
+    return trimmed(F.translate(few_blank_lines(single), *TYPOGRAPHY))
 
-    c = lines(c, r"#{1,3}\s+(.+)$", "\n$1\n")
-    for mark in MARKS:
-        c = around(c, mark)
-    c = F.regexp_replace(c, r"\[([^\]]+)\]\([^)]+\)", "$1")
-    c = lines(c, r">\s*", "")
-    c = around(F.regexp_replace(c, "`{3}[^`]*`{3}", ""), "`")
-    c = lines(c, "[-*]{3,}$", f"\n{'-' * 50}\n")
-    c = lines(c, r"[-*]\s+", "- ")
-    blank = F.regexp_replace(c, "\n{3,}", "\n\n")
-    return F.regexp_replace(F.translate(blank, *TYPOGRAPHY), r"^\s+|\s+$", "")
+
+def few_blank_lines(c: Column) -> Column:
+    return F.regexp_replace(c, r"\n{3,}", "\n\n")
+
+
+def trimmed(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
 def risk_label(c: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in RISK_LABELS.items() for x in kv]), c), F.lit("Nao avaliado"))
 
 
+#: Control characters of the old word-processor format, and what stands for them.
+CONTROLS = ("\r\x0b\x0c\x07\x1e\xa0\x1f", "\n\n\n\t- ")
+#: A field begins, its result begins, it ends.
+FIELD = ("\x13", "\x14", "\x15")
+
+
 def word_controls(c: Column) -> Column:
-    """Control characters of the old word-processor format as text; nested fields resolved from the inside, five deep."""
-    for _ in range(5):
-        c = F.regexp_replace(F.regexp_replace(c, "\x13[^\x13\x14\x15]*\x14([^\x13\x14\x15]*)\x15", "$1"), "\x13[^\x13\x14\x15]*\x15", "")
-    c = F.translate(c, "\r\x0b\x0c\x07\x1e\xa0\x1f", "\n\n\n\t- ")
-    c = F.regexp_replace(F.regexp_replace(c, "[\x01-\x08\x0e-\x1f]", ""), r"[ \t]+\n", "\n")
-    return F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    """Control characters of the old word-processor format as text; of fields only the results stay, however deep they are nested.
+
+    Pieces between field signs are read once with a stack: text shows where every field around it has come to its result. A text whose
+    signs don't pair keeps all its pieces.
+    """
+    begin, result, end = FIELD
+    pieces = F.regexp_extract_all(c, F.lit(f"([{begin}{result}{end}]|[^{begin}{result}{end}]+)"), F.lit(1))
+    start = F.struct(F.lit("").alias("out"), F.array().cast("array<boolean>").alias("shown"))
+
+    def step(acc: Column, x: Column) -> Column:
+        depth = F.size(acc["shown"])
+        above = F.slice(acc["shown"], 1, F.greatest(depth - 1, F.lit(0)))
+        shown = F.when(x == begin, F.concat(acc["shown"], F.array(F.lit(False)))).when((x == result) & (depth > 0), F.concat(above, F.array(F.lit(True)))).when(x == end, above).otherwise(acc["shown"])
+        text = ~x.isin(*FIELD) & F.forall(acc["shown"], lambda s: s)
+        return F.struct(F.when(text, F.concat(acc["out"], x)).otherwise(acc["out"]).alias("out"), shown.alias("shown"))
+
+    def count(sign: str) -> Column:
+        return F.length(c) - F.length(F.replace(c, F.lit(sign), F.lit("")))
+
+    fields = F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    read = F.when(count(begin) == 0, c).when(count(begin) == count(end), fields).otherwise(c)
+    plain = F.regexp_replace(F.translate(read, *CONTROLS), r"[\x00-\x08\x0e-\x1f]", "")
+    return trimmed(few_blank_lines(F.regexp_replace(plain, r"[ \t]+\n", "\n")))
 
 
 def url_strip(c: Column) -> Column:
@@ -289,12 +320,13 @@ def process_number(c: Column) -> Column:
 
 #: Spellings of a law's type, letters only, and the index's prefix for it.
 LAW_PREFIXES = {
+    "DECRETO LEI": "DEL",
     "DECRETOLEI": "DEL",
     "DEL": "DEL",
-    "LEICOMPLEMENTAR": "LCP",
+    "LEI COMPLEMENTAR": "LCP",
     "LCP": "LCP",
     "LC": "LCP",
-    "MEDIDAPROVISORIA": "MPR",
+    "MEDIDA PROVISORIA": "MPR",
     "MPV": "MPR",
     "MPR": "MPR",
     "MP": "MPR",
@@ -302,17 +334,22 @@ LAW_PREFIXES = {
     "DEC": "DEC",
     "LEI": "LEI",
 }
+# Spellings of "number" before one.
+NUMBER_SIGNS = ["Nº", "N°", "NO", "N", "Nº.", "N°.", "NO.", "N."]
 
 
 def law_norm(c: Column) -> Column:
     """A law's type and number as the index spells them; null if not understood.
 
-    What stands before the first digit is the type, but for a sign of number; the digits and points from there are the number.
+    Before the first digit stand the words of the type, parted by blanks or hyphens, and perhaps a sign of number; the digits and points
+    from there are the number. Words that are joined by other signs, or run on, are none that is known.
     """
     first = F.regexp_instr(c, F.lit("[0-9]"))
-    kind = F.regexp_replace(F.upper(fold(F.substring(c, F.lit(1), first - 1))), "[^A-Z]", "")
+    words = F.filter(F.split(F.upper(fold(F.substring(c, F.lit(1), first - 1))), r"[\s-]+"), lambda w: w != "")
+    signed = F.coalesce(F.try_element_at(words, F.lit(-1)).isin(NUMBER_SIGNS), F.lit(False))
+    kind = F.array_join(F.when(signed & (F.size(words) > 1), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words), " ")
     spelled = F.create_map(*[F.lit(x) for pair in LAW_PREFIXES.items() for x in pair])
-    prefix = F.coalesce(F.try_element_at(spelled, kind), F.try_element_at(spelled, F.regexp_replace(kind, "NO?$", "")))
+    prefix = F.try_element_at(spelled, F.rtrim(kind, F.lit(".")))
     number = F.ltrim(F.replace(F.regexp_extract(c, "([0-9][0-9.]*)", 1), F.lit("."), F.lit("")), F.lit("0"))
     return F.when((first > 0) & (number != ""), F.concat(prefix, F.lit("-"), number))
 

@@ -75,7 +75,10 @@ def binary_texts(files: DataFrame, how: str) -> DataFrame:
 
 
 def word97_text(raw: bytes) -> str:
-    """Text of an OLE2 word-processor file by its piece table (single-byte and UTF-16 pieces). ValueError if it is none."""
+    """Main text of an OLE2 word-processor file by its piece table (single-byte and UTF-16 pieces); notes and headers follow it and stay out.
+
+    ValueError for other files, and for versions whose header is laid out otherwise.
+    """
     if raw[:8] != b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1":
         raise ValueError("not an OLE2 file")
     size = 1 << struct.unpack_from("<H", raw, 30)[0]
@@ -112,7 +115,14 @@ def word97_text(raw: bytes) -> str:
         return b"".join(map(sector, chain(start, fat)))[:length]
 
     main = stream("WordDocument")
+    # public format: signature, version, flags, characters of the main text, place and size of the piece table
+    signature, version = struct.unpack_from("<HH", main, 0)
+    if signature != 0xA5EC:
+        raise ValueError("the document stream has another signature")
+    if version < 0xC0:
+        raise ValueError(f"version {version} is older than the format that is read")
     flags = struct.unpack_from("<H", main, 10)[0]
+    length = struct.unpack_from("<i", main, 0x4C)[0]
     clx_at, clx_size = struct.unpack_from("<II", main, 0x01A2)
     clx = stream("1Table" if flags & 0x0200 else "0Table")[clx_at : clx_at + clx_size]
     at = 0
@@ -125,7 +135,9 @@ def word97_text(raw: bytes) -> str:
     out = []
     for k in range(n):
         place = struct.unpack_from("<I", clx, at + 5 + 4 * (n + 1) + 8 * k + 2)[0]
-        count = ends[k + 1] - ends[k]
+        count = min(ends[k + 1], length) - ends[k]
+        if count <= 0:
+            continue
         if place & 0x40000000:
             start = (place & 0x3FFFFFFF) // 2
             out.append(main[start : start + count].decode("cp1252", "replace"))
@@ -228,11 +240,14 @@ def xml_results(total: Column, rows: Column, fields: list[str], root: str = "res
     return F.concat_ws("\n", F.concat(F.lit(f'<{root} total="'), total.cast("string"), F.lit('">')), F.array_join(F.transform(rows, one), "\n"), F.lit(f"</{root}>"))
 
 
-def make_word97(text: str, wide: bool = False) -> bytes:
-    """A minimal OLE2 word-processor file of one piece, for round trips."""
+def make_word97(text: str, wide: bool = False, notes: str = "", version: int = 0xC1) -> bytes:
+    """A minimal OLE2 word-processor file of one piece, for round trips; ``notes`` follow the main text."""
+    length, text = len(text), text + notes
     body = text.encode("utf-16-le" if wide else "cp1252")
     main = bytearray(0x200)
+    struct.pack_into("<HH", main, 0, 0xA5EC, version)
     struct.pack_into("<H", main, 10, 0x0200)
+    struct.pack_into("<i", main, 0x4C, length)
     place = len(main) if wide else len(main) * 2 | 0x40000000
     main += body
     pieces = struct.pack("<BI", 2, 16 + 4) + struct.pack("<II", 0, len(text)) + struct.pack("<HIH", 0, place, 0)

@@ -67,3 +67,37 @@ def test_documents(spark):
         S.word97_text(b"not one")
     assert ("p", "", "x y") in html_blocks("<div><p>x <b>y</b><script>no</script></p></div>")
     assert html_blocks(None) == [] and html_blocks("<p>open") == [("p", "", "open")]
+
+
+def test_law_types_are_whole_words(spark):
+    def v(text):
+        return spark.range(1).select(T.law_norm(F.lit(text))).first()[0]
+
+    assert [v(x) for x in ("L.E.I. 5", "LEINO 5", "MPN 5", "N 5", "")] == [None] * 5
+    assert [v(x) for x in ("Lei 8.742/93", "lei n. 8.742", "LEI-008742", "Decreto-Lei nº 4.657", "medida  provisória no 2.164", "LC 80", "Lei Complementar N° 80")] == ["LEI-8742", "LEI-8742", "LEI-8742", "DEL-4657", "MPR-2164", "LCP-80", "LCP-80"]
+
+
+def test_word_fields_keep_their_results(spark):
+    def v(text):
+        return spark.range(1).select(T.word_controls(F.lit(text))).first()[0]
+
+    assert v("a \x13LINK \x13 inner \x14one\x15\x14 shown \x13x\x14two\x15\x15 b") == "a  shown two b"
+    assert v("\x13" * 9 + "deep" + "\x15" * 9 + "left") == "left"
+    assert v("\x13 never closed") == "never closed" and v("a\x07b\r\r\r\rc\x1e") == "a\tb\n\nc-"
+
+
+def test_markdown_lines_and_fences(spark):
+    def v(text):
+        return spark.range(1).select(T.markdown_strip(F.lit(text))).first()[0]
+
+    assert v("# A\ntext\n```\n# code\n- x\n```\n> quoted\n- one\n---\n`c` **b** [l](u)") == "A\n\ntext\n\nquoted\n- one\n\n" + "-" * 50 + "\n\nc b l"
+    assert v("open ``` fence") == "open ``` fence" and v("") == ""
+
+
+def test_word97_main_text_only():
+    assert S.word97_text(S.make_word97("corpo ação", notes="nota de rodapé")) == "corpo ação"
+    assert S.word97_text(S.make_word97("corpo", wide=True, notes="nota")) == "corpo"
+    with pytest.raises(ValueError, match="older"):
+        S.word97_text(S.make_word97("x", version=105))
+    with pytest.raises(ValueError):
+        S.word97_text(b"{\\rtf1}")
