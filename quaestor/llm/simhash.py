@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import discard, mix64, spread, written
 from .urlfilter import filter_words, passes
@@ -532,9 +533,13 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     proposes two stars. What the parity bits rule out is dropped. Sets are compared exactly, first each with its least
     partner, then as many pairs of the larger keys as could join their sets; at last, among sets that are not yet in one
     component, all other pairs, those of the larger keys included.
-    Wordless texts are linked to each other only. A null id is a document like any other, but names no component of ids.
+    Wordless texts are linked to each other only. A null id is a document like any other, but names no component of ids: one without
+    an id is null.
     """
-    few = spread(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")))
+    # rows are told apart by id and text, so that those without an id are compared as well; a key of the caller's tells them apart itself
+    own = not isinstance(docs.schema[id_col].dataType, StructType)
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")) if own else F.col(id_col)
+    few = spread(docs.select(key.alias("_id"), F.col(text_col).alias("_body")))
     marked = written(set_names(few, width), "marked")
     kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ("n", "bits")]), "kinds")
     met = dealt_sets(few, width, least).repartition("key").sortWithinPartitions("key", "c")
@@ -586,8 +591,9 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not rest.isEmpty():
         tree = written(_tree(edges.unionByName(compared(rest))), "tree")
     placed = marked.select("_id", "c").join(tree, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    least_id = placed.groupBy("root").agg(F.min("_id").alias("component_id"))
-    return placed.join(least_id, "root").select(F.col("_id").alias(id_col), "component_id")
+    named = F.col("_id.id") if own else F.col("_id")
+    least_id = placed.groupBy("root").agg(F.min(named).alias("component_id"))
+    return placed.join(least_id, "root").select(named.alias(id_col), "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, limit: int = 4, hot: int = 50_000) -> DataFrame:

@@ -506,3 +506,24 @@ def test_short_items_and_rows_of_equal_ids(spark):
     docs = [(1, "the cat, sat down"), (2, "the cat lay; sat"), (3, "x " * 500 + "THE CAT SAT"), (4, "nothing here"), (4, "the cat sat"), (None, "the cat sat"), (5, None)]
     got = leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(7, "the cat sat"), (8, "cat"), (9, None)], "item_id bigint, text string"))
     assert {(r.doc_id, r.item_id, r.at_word) for r in got.collect()} == {(1, 7, 0), (3, 7, 500), (4, 7, 0), (None, 7, 0)}
+
+
+def test_texts_without_an_id_link_their_neighbours(spark):
+    """a - n - c: a and c are alike only through n, whose id is missing."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    for k in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        tail = [f"x{k}{j}" for j in range(10)]
+        a, n, c = words, words[:90] + tail, [f"y{k}{j}" for j in range(10)] + words[10:90] + tail
+        rows += [(3 * k, " ".join(a)), (None, " ".join(n)), (3 * k + 2, " ".join(c))]
+
+        def jaccard(x, y):
+            x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x, y))
+            return len(x & y) / len(x | y)
+
+        linked = jaccard(a, n) >= 0.8 and jaccard(n, c) >= 0.8 and jaccard(a, c) < 0.8
+        want[3 * k + 2] = 3 * k if linked else None
+    got = {r.doc_id: r.component_id for r in simhash.duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if r.doc_id is not None}
+    assert all(v is not None for v in want.values()), "the chains aren't chains"
+    assert all(got[c] == a for c, a in want.items())
