@@ -2,7 +2,8 @@
 
 What is clustered are units: the ``own_words`` most frequent words of the training texts are units of their own, all other words,
 also those that training never saw, belong to the unit of their form (ending, length, digits). So every word has a class, a task finds it without
-a join, and what the tasks hold is bounded by parameters, not by the corpus. Counts are of all training texts.
+a join, and what the tasks hold is bounded by parameters, not by the corpus. Counts are of all training texts; those of the ``held_words`` most
+frequent words are sent to the tasks, those of all others are joined.
 
 Exchange: with all other units where they are, moving a unit to another class changes the mutual information of neighbouring classes by what
 its counts before and after each class tell. Each round sums those counts from the table of neighbouring units, finds every unit's best class
@@ -16,6 +17,7 @@ after, and ends with, an end token that is a unit and class of its own.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +34,8 @@ from .common import discard, scratch, spread, written
 LONGEST = 128
 #: Different words, and pairs of units, that a task counts before it hands them on.
 HELD_WORDS, HELD_PAIRS = 1 << 19, 1 << 22
+#: Other words whose form a task remembers.
+REMEMBERED = 1 << 18
 END = 0
 
 
@@ -40,23 +44,38 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def form(word: bytes) -> bytes:
-    """What words of one unit share: ending, length and whether a digit is in it."""
-    return word[-3:] + bytes([min(len(word), 24) // 3, any(48 <= c <= 57 for c in word)])
+_DIGIT = re.compile(rb"[0-9]")
 
 
-class Units(dict):
-    """Number of a word: 0 the end (the empty word), then the own words, then the forms."""
+def form(word: bytes) -> int:
+    """A hash of what words of one unit share: ending, length and whether a digit is in it."""
+    return zlib.crc32(word[-3:], (min(len(word), 24) // 3) * 2 + (_DIGIT.search(word) is not None))
 
-    def __init__(self, own: dict[bytes, int], forms: int):
-        super().__init__(own)
-        self.first, self.forms = len(own), forms
+
+class Numbers(dict):
+    """Number of a word: 0 the end (the empty word), then the words whose counts are held, then the forms of all others."""
+
+    def __init__(self, held: dict[bytes, int], forms: int):
+        super().__init__(held)
+        self.first, self.forms = len(held), forms
 
     def __reduce__(self) -> tuple:
-        return Units, (dict(self), self.forms)
+        return Numbers, ({w: n for w, n in self.items() if n < self.first}, self.forms)
 
     def __missing__(self, word: bytes) -> int:
-        return self.first + zlib.crc32(form(word)) % self.forms
+        found = self.first + form(word) % self.forms
+        if len(self) < self.first + REMEMBERED and len(word) <= LONGEST:
+            self[word] = found
+        return found
+
+    def of(self, found: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+
+
+def units_of(held: int, own: int, forms: int, words: list[bytes]) -> np.ndarray:
+    """Unit of each number: the end and the ``own`` most frequent words their own, other held words and the forms by form."""
+    rest = [own + 1 + form(w) % forms for w in words[own + 1 :]]
+    return np.concatenate([np.arange(own + 1), np.array(rest, np.int64), own + 1 + np.arange(forms)])
 
 
 def _binary(column: pa.Array) -> Iterator[bytes | None]:
@@ -81,37 +100,23 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch], sent, total: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, n): unit a before unit b, the end before the first."""
-    units = sent.value
+    """(a, b, n): unit a before unit b, the end before the first; once for each run of HELD_PAIRS words."""
+    numbers, unit = sent.value
     parts: list[np.ndarray] = []
-    keys = counts = np.zeros(0, np.int64)
     waiting = 0
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        new, n = np.unique(np.concatenate(parts), return_counts=True)
-        every, weight = np.concatenate([keys, new]), np.concatenate([counts, n])
-        order = np.argsort(every, kind="stable")
-        every, weight = every[order], weight[order]
-        first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-        return every[first], np.add.reduceat(weight, first)
-
     def out() -> pa.RecordBatch:
-        return pa.record_batch([pa.array(keys // total, pa.int32()), pa.array(keys % total, pa.int32()), pa.array(counts)], names=["a", "b", "n"])
+        keys, n = np.unique(np.concatenate(parts or [np.zeros(0, np.int64)]), return_counts=True)
+        return pa.record_batch([pa.array(keys // total, pa.int32()), pa.array(keys % total, pa.int32()), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
     for batch in batches:
         for text in _binary(batch.column(0)):
-            own = np.fromiter(map(units.__getitem__, words(text)), np.int64)
-            line = np.concatenate([[END], own, [END]])
+            line = np.concatenate([[END], unit[numbers.of(words(text))], [END]])
             parts.append(line[:-1] * total + line[1:])
             waiting += len(line)
-            if waiting > HELD_PAIRS // 2:
-                keys, counts = merged()
+            if waiting > HELD_PAIRS:
+                yield out()
                 parts, waiting = [], 0
-                if len(keys) > HELD_PAIRS:
-                    yield out()
-                    keys = counts = np.zeros(0, np.int64)
-    if parts:
-        keys, counts = merged()
     yield out()
 
 
@@ -161,68 +166,65 @@ def _moves(batches: Iterator[pd.DataFrame], sent) -> Iterator[pd.DataFrame]:
     k = len(table)
     for batch in batches:
         units = batch["unit"].to_numpy()
-        before, after, loops = np.zeros((len(units), k)), np.zeros((len(units), k)), batch["loops"].to_numpy()
-        for i, (p, s) in enumerate(zip(batch["before"], batch["after"])):
-            for x in p if p is not None else ():
-                before[i, x["c"]] = x["n"]
-            for x in s if s is not None else ():
-                after[i, x["c"]] = x["n"]
-        to, gain = best_moves(units, before, after, loops, classes[units], table)
+        sides, loops = np.zeros((2, len(units), k)), batch["loops"].to_numpy()
+        for i, found in enumerate(batch["found"]):
+            for x in found:
+                sides[x["side"], i, x["c"]] = x["n"]
+        to, gain = best_moves(units, sides[0], sides[1], loops, classes[units], table)
         yield pd.DataFrame({"unit": units, "to": to, "gain": gain})
 
 
-def _table(pairs: DataFrame, classes: np.ndarray, k: int) -> tuple[DataFrame, np.ndarray]:
-    """Pairs with their classes, and the table of class transitions."""
-    spark = pairs.sparkSession
-    told = spark.createDataFrame(pd.DataFrame({"u": np.arange(len(classes), dtype=np.int32), "c": classes.astype(np.int32)}), "u int, c int")
-    left, right = told.select(F.col("u").alias("a"), F.col("c").alias("ca")), told.select(F.col("u").alias("b"), F.col("c").alias("cb"))
-    # bounded: a row for each unit
-    named = pairs.join(F.broadcast(left), "a").join(F.broadcast(right), "b")
-    table = np.zeros((k, k))
-    for r in named.groupBy("ca", "cb").agg(F.sum("n").alias("n")).toLocalIterator():
-        table[r.ca, r.cb] = r.n
-    return named, table
+def both_sides(pairs: DataFrame) -> DataFrame:
+    """(unit, side, other, n): each pair seen from either unit, side 0 what stands before it; dealt by unit, so that a round adds up where it reads."""
+    ends = F.array(F.struct(F.col("b").alias("unit"), F.lit(0).alias("side"), F.col("a").alias("other")), F.struct(F.col("a").alias("unit"), F.lit(1).alias("side"), F.col("b").alias("other")))
+    seen = pairs.select(F.explode(ends).alias("e"), "n").select("e.unit", "e.side", "e.other", "n")
+    return seen.repartition("unit").sortWithinPartitions("unit", "side", "other")
 
 
-def exchange(pairs: DataFrame, sizes: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(class of each unit, table of transitions, likelihood of each round) from a written table of (a, b, n).
+def exchange(sides: DataFrame, sizes: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of each unit, table of transitions, likelihood of each round) from a written table of ``both_sides``.
 
     sizes: tokens of each unit. At first the k - 1 most frequent units have a class each and the others follow by their number.
     """
-    sc = pairs.sparkSession.sparkContext
+    spark = sides.sparkSession
     classes = np.zeros(len(sizes), np.int64)
     order = np.argsort(-sizes[1:], kind="stable") + 1
     classes[order] = np.arange(len(order)) % max(1, k - 1) + 1
-    best, told = (classes, None, -np.inf), []
+    best, told = (classes, np.zeros((k, k)), -np.inf), []
     for n in range(rounds + 1):
-        named, table = _table(pairs, classes, k)
+        # bounded: a row for each unit
+        class_of = F.broadcast(spark.createDataFrame(pd.DataFrame({"other": np.arange(len(classes), dtype=np.int32), "c": classes.astype(np.int32)}), "other int, c int"))
+        loops = F.sum(F.when((F.col("unit") == F.col("other")) & (F.col("side") == 0), F.col("n")).otherwise(0))
+        sums = written(sides.join(class_of, "other").groupBy("unit", "side", "c").agg(F.sum("n").alias("n"), loops.alias("loops")), "sums")
+        own = class_of.select(F.col("other").alias("unit"), F.col("c").alias("own"))
+        table = np.zeros((k, k))
+        for r in sums.where("side = 1").join(F.broadcast(own), "unit").groupBy("own", "c").agg(F.sum("n").alias("n")).collect():  # k * k rows at most
+            table[r.own, r.c] = r.n
         told.append(likelihood(table))
         if told[-1] > best[2]:
             best = (classes, table, told[-1])
-        if n == rounds:
-            break
-        before = named.groupBy(F.col("b").alias("unit"), F.col("ca").alias("c")).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("loops"))
-        after = named.groupBy(F.col("a").alias("unit"), F.col("cb").alias("c")).agg(F.sum("n").alias("n"))
-        # a unit has at most k rows of either kind
-        before = before.groupBy("unit").agg(F.collect_list(F.struct("c", "n")).alias("before"), F.sum("loops").alias("loops"))
-        after = after.groupBy("unit").agg(F.collect_list(F.struct("c", "n")).alias("after"))
-        turn = (F.col("unit") != END) & (F.pmod(F.xxhash64("unit", F.lit(n)), F.lit(2)) == 0)
-        sent = sc.broadcast((classes, table))
-        rows = before.join(after, "unit", "full").where(turn).select("unit", F.coalesce("loops", F.lit(0)).alias("loops"), "before", "after")
-        moves = rows.mapInPandas(lambda it: _moves(it, sent), "unit int, to int, gain double").where("gain > 1e-6").toPandas()
-        sent.destroy()
-        if moves.empty and n:
+        moves = pd.DataFrame()
+        if n < rounds:
+            turn = (F.col("unit") != END) & (F.pmod(F.xxhash64("unit", F.lit(n)), F.lit(2)) == 0)
+            sent = spark.sparkContext.broadcast((classes, table))
+            # a unit has at most 2 * k rows
+            rows = sums.where(turn).groupBy("unit").agg(F.sum("loops").alias("loops"), F.collect_list(F.struct("side", "c", "n")).alias("found"))
+            moves = rows.mapInPandas(lambda it, s=sent: _moves(it, s), "unit int, to int, gain double").where("gain > 1e-6").toPandas()
+            sent.destroy()
+        discard(sums)
+        if n == rounds or moves.empty and n:
             break
         classes = classes.copy()
-        classes[moves["unit"].to_numpy()] = moves["to"].to_numpy()
+        if len(moves):
+            classes[moves["unit"].to_numpy()] = moves["to"].to_numpy()
     return best[0], best[1], told
 
 
 class Model:
-    """What scoring needs: bounded by the parameters."""
+    """What scoring needs: bounded by the parameters. counts: of each held word, by number; unit: of each number; classes: of each unit."""
 
-    def __init__(self, own: dict[bytes, int], forms: int, classes: np.ndarray, table: np.ndarray, once: np.ndarray, counts: dict[bytes, int], total: int, distinct: int):
-        self.own, self.forms, self.classes, self.counts, self.total, self.distinct = own, forms, classes, counts, total, distinct
+    def __init__(self, numbers: Numbers, unit: np.ndarray, counts: np.ndarray, classes: np.ndarray, table: np.ndarray, once: np.ndarray, total: int, distinct: int):
+        self.numbers, self.unit, self.classes, self.counts, self.total, self.distinct = numbers, unit, classes, counts, total, distinct
         k, size = len(table), table.sum(0)
         kinds = (table > 0).sum(1)
         share = (size + 0.5) / (size.sum() + 0.5 * k)
@@ -232,12 +234,13 @@ class Model:
         new = (once + 0.5) / (size + 1)
         #: log10 of what is left for a word never seen, and of what a known word's count is multiplied by.
         self.unseen, self.scale = np.log10(new), np.log10((1 - new) / np.maximum(size, 1))
-        self.unseen[0], self.scale[0] = 0.0, 0.0  # the end is certain in its class
-
-    @property
-    def base_rest(self) -> float:
-        """log10 of the base's denominator."""
-        return float(np.log10(self.total + 0.5 * (self.distinct + 1)))
+        self.class_of = classes[unit]
+        #: log10 of a held word's numerators, base and model; the end is certain in its class.
+        self.base_log = np.log10(counts + 0.5)
+        self.word_log = np.log10(np.maximum(counts, 1)) + self.scale[self.class_of[: len(counts)]]
+        self.word_log[END] = 0.0
+        #: log10 of the base's denominator.
+        self.base_rest = float(np.log10(total + 0.5 * (distinct + 1)))
 
 
 SCORED = "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, model double, tail array<struct<word:binary,c:int,n:bigint>>"
@@ -248,63 +251,55 @@ def _score(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     m: Model = sent.value
-    units = Units(m.own, m.forms)
-    logs = {w: float(np.log10(n)) for w, n in m.counts.items()}
-    base_logs = {w: float(np.log10(n + 0.5)) for w, n in m.counts.items()}
-    ends = m.counts.get(b"", 0)
+    held = len(m.counts)
     key = TaskContext.get().partitionId() << 40
-    tail_type = pa.list_(pa.struct([("word", pa.binary()), ("c", pa.int32()), ("n", pa.int64())]))
     for batch in batches:
-        out: list[list] = [[] for _ in range(8)]
-        for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _binary(batch.column(2))):
+        sums: list[tuple] = []
+        tail_words, tail_numbers, tail_n, ends = [], [], [], [0]
+        for text in _binary(batch.column(2)):
             found = words(text)
-            line = np.concatenate([[END], np.fromiter(map(units.__getitem__, found), np.int64), [END]])
-            cls = m.classes[line]
-            times = Counter(found)
-            times[b""] = 1
-            model = float(m.transitions[cls[:-1], cls[1:]].sum())
-            base, known, tail = 0.0, 0, []
-            for w, n in times.items():
-                if w in logs:
-                    base += n * base_logs[w]
-                    known += n
-                    model += n * (logs[w] + float(m.scale[m.classes[units[w]]])) if w else 0.0
-                elif w:
-                    tail.append({"word": w, "c": int(m.classes[units[w]]), "n": n})
-            if not ends:
-                base += float(np.log10(0.5))
-            tokens = len(found) + 1
-            for col, x in zip(out, (key, doc, held, tokens, known, base - tokens * m.base_rest, model, tail)):
-                col.append(x)
-            key += 1
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail_type)
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds)], names=[x.split()[0] for x in SCORED.split(", ")])
-
-
-def fit(train: DataFrame, text_col: str = "text", own_words: int = 16_384, forms: int = 4_096, classes: int = 64, rounds: int = 8) -> tuple[Model, DataFrame]:
+            line = np.concatenate([[END], m.numbers.of(found), [END]])
+            cls = m.class_of[line]
+            known = line[1:][line[1:] < held]
+            sums.append((len(found) + 1, int((m.counts[known] > 0).sum()), m.base_log[known].sum() - (len(found) + 1) * m.base_rest, m.transitions[cls[:-1], cls[1:]].sum() + m.word_log[known].sum()))
+            if len(known) <= len(found):
+                rare = Counter([found[i] for i in np.flatnonzero(line[1:-1] >= held).tolist()])
+                tail_words += rare
+                tail_numbers += map(m.numbers.__getitem__, rare)
+                tail_n += rare.values()
+            ends.append(len(tail_words))
+        rows = pa.StructArray.from_arrays([pa.array(tail_words, pa.binary()), pa.array(m.class_of[np.array(tail_numbers, np.int64)], pa.int32()), pa.array(tail_n, pa.int64())], names=["word", "c", "n"])
+        tokens, n_known, base, model = (list(x) for x in zip(*sums)) if sums else ([], [], [], [])
+        columns = [pa.array(np.arange(key, key + len(sums))), batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)]
+        key += len(sums)
+        yield pa.record_batch(columns, names=[x.split()[0] for x in SCORED.split(", ")[:8]])
+
+
+def fit(train: DataFrame, text_col: str = "text", own_words: int = 16_384, held_words: int = 131_072, forms: int = 4_096, classes: int = 64, rounds: int = 8) -> tuple[Model, DataFrame]:
     """The model, and the written table of (word, n) of all training words, the end as the empty word."""
     spark = train.sparkSession
     texts = train.select(F.col(text_col).alias("text"))
     counts = texts.mapInArrow(_word_counts, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = written(counts, "words", lasting=True)
     size = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    top = counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0)).orderBy(F.desc("n"), "word").limit(own_words)
-    ends = counts.where(F.length("word") == 0).first()
-    told = {bytes(r.word): r.n for r in top.collect()}
-    own = {b"": END} | {w: i + 1 for i, w in enumerate(sorted(told, key=lambda w: (-told[w], w)))}
-    total = len(own) + forms
-    sent = spark.sparkContext.broadcast(Units(own, forms))
+    top = counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0)).orderBy(F.desc("n"), "word").limit(max(own_words, held_words)).toPandas()
+    end = counts.where(F.length("word") == 0).first()
+    ranked = sorted(zip(map(bytes, top["word"]), top["n"].tolist()), key=lambda x: (-x[1], x[0]))
+    known = [b"", *(w for w, _ in ranked)]
+    own = min(own_words, len(ranked))
+    numbers, unit = Numbers({w: i for i, w in enumerate(known)}, forms), units_of(len(known), own, forms, known)
+    total = own + 1 + forms
+    sent = spark.sparkContext.broadcast((numbers, unit))
     pairs = texts.mapInArrow(lambda it: _pair_counts(it, sent, total), "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    pairs = written(pairs, "pairs")
+    sides = written(both_sides(pairs), "sides")
     sizes = np.zeros(total, np.int64)
-    for r in pairs.groupBy("b").agg(F.sum("n").alias("n")).toLocalIterator():
-        sizes[r.b] = r.n
-    found, table, _ = exchange(pairs, sizes, classes, rounds)
+    for r in sides.where("side = 0").groupBy("unit").agg(F.sum("n").alias("n")).toLocalIterator():
+        sizes[r.unit] = r.n
+    found, table, _ = exchange(sides, sizes, classes, rounds)
     once = _once(counts, sent, found, classes)
     sent.destroy()
-    if table is None:
-        table = np.zeros((classes, classes))
-    return Model(own, forms, found, table, once, told | ({b"": ends.n} if ends else {}), size.total or 0, size.distinct), counts
+    held = np.array([end.n if end else 0, *(n for _, n in ranked)], np.int64)
+    return Model(numbers, unit, held, found, table, once, size.total or 0, size.distinct), counts
 
 
 def _once(counts: DataFrame, sent, classes: np.ndarray, k: int) -> np.ndarray:
@@ -313,10 +308,10 @@ def _once(counts: DataFrame, sent, classes: np.ndarray, k: int) -> np.ndarray:
     held = spark.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, unit = sent.value
         n = np.zeros(k, np.int64)
         for batch in batches:
-            for w in batch.column(0).to_pylist():
-                n[held.value[sent.value[w]]] += 1
+            n += np.bincount(held.value[unit[numbers.of(batch.column(0).to_pylist())]], minlength=k)
         yield pa.record_batch([pa.array(np.arange(k), pa.int32()), pa.array(n)], names=["c", "n"])
 
     out = np.zeros(k)
@@ -329,7 +324,7 @@ def _once(counts: DataFrame, sent, classes: np.ndarray, k: int) -> np.ndarray:
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", **parameters: int) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, the model fitted on rows not held out.
 
-    ``parameters``: own_words, forms, classes, rounds of ``fit``.
+    ``parameters``: own_words, held_words, forms, classes, rounds of ``fit``.
 
     Defined results: a null or empty text is its end token only. Rows are judged each, also equal ones and those of a null or equal id;
     a null ``held_out`` counts as false. An empty table gives no row; if nothing is left to train on, all counts are 0, the base has one outcome

@@ -118,7 +118,7 @@ def held_out(doc):
 
 
 def test_base_scores_equal_plain_counts(spark, odd):
-    got = {(r.doc_id, r.n_tokens): r for r in classlm.score(odd, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, own_words=20, forms=16, classes=6, rounds=2).collect()}
+    got = {(r.doc_id, r.n_tokens): r for r in classlm.score(odd, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, own_words=20, held_words=45, forms=16, classes=6, rounds=2).collect()}
     texts = [(i, [*WORD.findall((t or "").translate(UPPER)), ""]) for i, t in odd.select("doc_id", "text").collect()]
     counts = Counter(w for i, ws in texts if not held_out(i) for w in ws)
     total, distinct = counts.total(), len(counts)
@@ -139,11 +139,10 @@ def test_model_scores_equal_a_restatement(spark, data, monkeypatch):
         return kept["m"], counts
 
     monkeypatch.setattr(classlm, "fit", keep)
-    got = {r.doc_id: r for r in classlm.score(docs, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, own_words=500, forms=64, classes=12, rounds=6).collect()}
+    got = {r.doc_id: r for r in classlm.score(docs, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, own_words=500, held_words=1500, forms=64, classes=12, rounds=6).collect()}
     m = kept["m"]
-    units = classlm.Units(m.own, m.forms)
     texts = {r.doc_id: [w.encode() for w in WORD.findall(r.text.translate(UPPER))] for r in docs.collect()}
-    line = {i: [0, *(int(m.classes[units[w]]) for w in ws), 0] for i, ws in texts.items()}
+    line = {i: [0, *(int(m.class_of[m.numbers[w]]) for w in ws), 0] for i, ws in texts.items()}
     counts = Counter(w for i, ws in texts.items() if not held_out(i) for w in [*ws, b""])
     k = 12
     pairs = Counter((a, b) for i, cs in line.items() if not held_out(i) for a, b in zip(cs, cs[1:]))
@@ -152,7 +151,7 @@ def test_model_scores_equal_a_restatement(spark, data, monkeypatch):
         out_of[a] += n
         into[b] += n
         kinds[a] += 1
-    once = Counter(int(m.classes[units[w]]) for w, n in counts.items() if n == 1)
+    once = Counter(int(m.class_of[m.numbers[w]]) for w, n in counts.items() if n == 1)
 
     def step(a, b):
         trust = out_of[a] / max(1, out_of[a] + kinds[a])
@@ -170,7 +169,7 @@ def test_model_scores_equal_a_restatement(spark, data, monkeypatch):
         assert got[i].score == pytest.approx(want, rel=1e-9)
     # all words, and a word never seen of each class, after any class
     for a in range(k):
-        every = sum(step(a, int(m.classes[units[w]])) * emitted(w, int(m.classes[units[w]])) for w in counts) + sum(step(a, c) * emitted(b"\xff never", c) for c in range(1, k))
+        every = sum(step(a, int(m.class_of[m.numbers[w]])) * emitted(w, int(m.class_of[m.numbers[w]])) for w in counts) + sum(step(a, c) * emitted(b"\xff never", c) for c in range(1, k))
         assert every == pytest.approx(1, abs=1e-6) or any(into[c] == 0 for c in range(k))
     unseen = [got[i] for i in texts if held_out(i)]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
@@ -203,9 +202,9 @@ def test_moves_gain_what_the_likelihood_gains():
 
 
 def test_no_training_text(spark, odd):
-    rows = classlm.score(odd, F.lit(True), own_words=5, forms=4, classes=3, rounds=1).collect()
+    rows = classlm.score(odd, F.lit(True), own_words=5, held_words=9, forms=4, classes=3, rounds=1).collect()
     assert len(rows) == odd.count() and all(r.train_tokens == 0 and r.base_score == pytest.approx(0, abs=1e-6) and r.n_known == 0 for r in rows)
-    assert classlm.score(odd.limit(0), F.lit(False), own_words=5, forms=4, classes=3, rounds=1).count() == 0
+    assert classlm.score(odd.limit(0), F.lit(False), own_words=5, held_words=9, forms=4, classes=3, rounds=1).count() == 0
 
 
 def test_queries_are_registered():
