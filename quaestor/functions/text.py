@@ -360,7 +360,36 @@ def search_key(c: Column) -> Column:
     plain = F.translate(c, ACCENTED + ACCENTED.upper(), PLAIN + PLAIN.upper())
     words = F.filter(F.split(F.regexp_replace(plain, r"[^0-9A-Za-z\s*$+\-]", " "), r"\s+"), lambda w: w != "")
     words = F.transform(words, lambda w: F.when(w.isin("E", "OU", "NAO", "AND", "OR", "NOT"), w).otherwise(F.lower(w)))
-    return F.when(F.trim(c) == "", c).otherwise(F.array_join(F.when(ordered, words).otherwise(F.array_sort(F.array_distinct(words))), " "))
+    return F.when(c.rlike(r"^\s*$"), c).otherwise(F.array_join(F.when(ordered, words).otherwise(F.array_sort(F.array_distinct(words))), " "))
+
+
+#: Fields of a request that hold an expression of search.
+SEARCH_FIELDS = ["query", "busca", "buscaGeral", "termo", "termos", "livre", "texto"]
+
+
+def canonical_request(c: Column) -> Column:
+    """A JSON text in canonical form: fields sorted at any depth, no blanks, searches by ``search_key``; null if it isn't JSON.
+
+    As a VARIANT its objects are kept sorted. In the text that this prints a quote within a value is always escaped, so the name
+    of a field between bare quotes is a name, and the text is cut before each.
+    """
+    names = "|".join(SEARCH_FIELDS)
+    pieces = F.split(F.to_json(F.try_parse_json(c)), f'(?="(?:{names})":")')
+
+    def piece(x: Column) -> Column:
+        head = F.regexp_extract(x, f'^("(?:{names})":)"', 1)
+        raw = F.regexp_extract(x, f'^"(?:{names})":("(?:[^"\\\\]|\\\\.)*+")', 1)
+        value = F.try_variant_get(F.try_parse_json(F.nullif(raw, F.lit(""))), "$", "string")
+        key = F.to_json(F.to_variant_object(F.struct(search_key(value).alias("v"))))
+        printed = F.substring(key, F.lit(6), F.length(key) - 6)
+        return F.when((head != "") & value.isNotNull(), F.concat(head, printed, F.substring(x, F.length(head) + F.length(raw) + 1, F.length(x)))).otherwise(x)
+
+    return F.array_join(F.transform(pieces, piece), "")
+
+
+def request_key(c: Column) -> Column:
+    """Key of a request in a cache: equal for requests that ask the same."""
+    return F.sha2(canonical_request(c), 256)
 
 
 def sanitize_query(c: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import text as T
 from .querylang import fold
 
 # Spellings of the courts' regions and of document types.
@@ -35,3 +39,9 @@ def date_range(first: str | None, last: str | None) -> tuple[str | None, str | N
     if first and last and first > last:
         raise ValueError(f"{first} is after {last}")
     return first, last
+
+
+def understood(rows: DataFrame, asked: str, names: dict[str, str], out: str) -> DataFrame:
+    """Rows with the canonical name of what is asked, as ``out``, and whether it is refused: a request that isn't known has no answer, not an empty one."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return rows.withColumn(out, F.try_element_at(known, F.trim(T.fold(F.col(asked))))).withColumn("refused", F.col(out).isNull())

@@ -58,9 +58,6 @@ def columns() -> None:
 
 
 query("flt_organ_prefix_boundary", "select doc_id from documents where 1 + doc_id % 12 = 1")(lambda t: t.documents.where(T.fold_ordinal(organ).rlike(r"(?<![0-9a-z])1a cjm")).select("doc_id"))
-query("flt_verify_pushdown", "select count(*) as rows, count(*) filter (where lang <> 'fr') as wrong from documents where lang = 'fr'")(
-    lambda t: t.documents.where("lang = 'fr'").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lang") != "fr").alias("wrong"))
-)
 query("flt_drop_parties", "select conv_id, turn, role, length(text) as n from conversations")(
     lambda t: t.conversations.select(F.struct("conv_id", "turn", "role", "text", F.length("text").cast("bigint").alias("n")).alias("s")).select(F.col("s").dropFields("text").alias("s")).select("s.*")
 )
@@ -303,7 +300,6 @@ query("upd_cache_put", "select k, v from (select event_id as k, event_type as v
 query("upd_cache_purge", "select count(*) filter (where event_id + 600 < 700) as removed, count(*) filter (where event_id + 600 >= 700) as kept from events")(lambda t: t.events.agg(F.count_if(F.col("event_id") + 600 < 700).alias("removed"), F.count_if(F.col("event_id") + 600 >= 700).alias("kept")))
 
 # --- results that are never silently empty ----------------------------------------------------------------------------
-query("chk_total_vs_rows", "select lang, count(*) as told, count(*) as rows, false as broken from documents group by lang")(lambda t: t.documents.groupBy("lang").agg(F.count(F.lit(1)).alias("told"), F.count("doc_id").alias("rows")).withColumn("broken", (F.col("told") > 0) & (F.col("rows") == 0)))
 query("chk_zero_control", "select count_if(lang = 'pt') as hits, count_if(lang = 'en') > 0 as control, case when count_if(lang = 'pt') > 0 then 'HA' when count_if(lang = 'en') > 0 then 'SEM' else 'NAO_APURADO' end as verdict from documents")(
     lambda t: t.documents.agg(F.count_if(F.col("lang") == "pt").alias("hits"), (F.count_if(F.col("lang") == "en") > 0).alias("control")).withColumn("verdict", F.when(F.col("hits") > 0, "HA").when(F.col("control"), "SEM").otherwise("NAO_APURADO"))
 )

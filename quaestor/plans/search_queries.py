@@ -90,5 +90,3 @@ query("fts_similar", "select b.vec_id, round(list_cosine_similarity(cast(a.embed
 query("fts_semantic", "select b.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 6) as cosine from embeddings a join embeddings b on a.vec_id = 3 and b.vec_id <> 3 order by cosine desc, b.vec_id limit 400")(lambda t: similar(t.embeddings, 3, 400))
 query("fts_suggest_judge", "select distinct source from documents where contains(strip_accents(lower(source)), 'src1')")(lambda t: t.documents.where(F.contains(T.fold(F.col("source")), F.lit("src1"))).select("source").distinct())
 query("fts_get_document", "select doc_id, text from documents where doc_id = 42")(lambda t: t.documents.where(F.col("doc_id") == 42).select("doc_id", "text"))
-GLOSSARY = {"direitos humanos": ["derechos humanos", "human rights"], "saúde": ["salud", "health"], "tortura": ["tortura"]}
-query("jn_glossary", "select b.item_id, b.text || ' ( saúde OR salud OR health )' as value from benchmark b")(lambda t: t.benchmark.select("item_id", F.concat("text", F.lit(" " + Q.expand("saúde", GLOSSARY)[0])).alias("value")))

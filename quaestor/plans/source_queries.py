@@ -107,14 +107,6 @@ query("snk_search_reports", "select lang, string_agg('## ' || doc_id || chr(10)
 )
 cases = lambda t: t.orders.select(F.col("o_orderkey").cast("string").alias("caso"), F.col("o_orderstatus").alias("estado"), F.col("o_orderpriority").alias("risco"))
 query("snk_folder_move", "select cast(o_orderkey as varchar) as caso, case when o_orderkey = 1 then 'X' else o_orderstatus end as estado from orders")(lambda t: S.move_case(cases(t), "1", "X").select("caso", "estado"))
-query("snk_meta_json", "select o_orderkey, '{\"numero\":' || o_orderkey || ',\"risco\":\"' || o_orderstatus || '\"}' as meta from orders")(lambda t: t.orders.select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("numero"), F.col("o_orderstatus").alias("risco"))).alias("meta")))
-query("snk_update_risk", "select o_orderkey, coalesce(nullif(case when o_orderkey % 2 = 0 then 'verde' else '' end, ''), o_orderpriority) as risk from orders")(
-    lambda t: t.orders.alias("o").join(t.orders.select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 2 == 0, "verde").otherwise("").alias("new")), F.col("o_orderkey") == F.col("k"), "left").select("o_orderkey", F.coalesce(F.nullif("new", F.lit("")), "o_orderpriority").alias("risk"))
-)
-query("snk_save_analysis", "select doc_id, case when length(trim(text)) > 0 then text else 'old' end as analysis from documents")(lambda t: t.documents.select("doc_id", F.when(F.length(F.trim("text")) > 0, F.col("text")).otherwise("old").alias("analysis")))
-query("snk_archive", "select o_orderkey, 'arquivo' as estado from orders where o_orderstatus = 'F'")(lambda t: t.orders.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("arquivo").alias("estado")))
-query("snk_purge_state", "select o_orderkey from orders where o_orderstatus <> 'F'")(lambda t: t.orders.where("o_orderstatus <> 'F'").select("o_orderkey"))
-
 # --- result pages ----------------------------------------------------------------------------------------------------
 query("src_html_catalogue", r"""select page_id, unnest(regexp_extract_all(html, '(?is)<li[^>]*>\s*<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) as url from pages""")(lambda t: t.pages.select("page_id", F.explode(H.catalogue(F.col("html"))).alias("c")).select("page_id", "c.url"))
 query("src_html_form", "select page_id, 'last' as q, 'x' as s from pages")(lambda t: t.pages.select("page_id", H.form_fields(FORM).alias("m")).select("page_id", F.col("m")["q"].alias("q"), F.col("m")["s"].alias("s")))
@@ -122,29 +114,8 @@ query("src_html_cards_label", "select page_id, unnest(['relator', 'orgao_julgado
 query("src_html_jsf_table", "select page_id, unnest([0, 1]) as pos, unnest(['numero', 'ementa']) as field, unnest(['A' || page_id, 'b c']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).select("page_id", "c.*"))
 query("src_html_jsf_regional", "select page_id, 'A' || page_id as numero from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).where("c.field = 'numero'").select("page_id", F.col("c.value").alias("numero")))
 query("src_html_panels")(lambda t: H.blocks(t.pages))
-query("src_html_statem")(lambda t: H.blocks(t.pages).where("tag = 'p'").groupBy("id").agg(F.count(F.lit(1)).alias("paragraphs"), F.min_by("body", "pos").alias("first")))
 query("src_html_single_doc", "select page_id as id, html_title as title from (select page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as html_title from pages)")(lambda t: H.blocks(t.pages).where("tag = 'title'").groupBy("id").agg(F.min_by("body", "pos").alias("title")))
 query("src_html_sumula", "select doc_id, case when doc_id % 3 = 0 then 'cancelled' when doc_id % 3 = 1 then 'revoked' else 'current' end as status from documents")(lambda t: t.documents.select("doc_id", H.status_of(F.when(F.col("doc_id") % 3 == 0, "Súmula CANCELADA").when(F.col("doc_id") % 3 == 1, "foi revogada").otherwise(F.lit("vigente"))).alias("status")))
-query("src_html_bulletin", "select conv_id, turn, last_value(case when role = 'system' then text end ignore nulls) over (partition by conv_id order by turn) as organ from conversations")(
-    lambda t: t.conversations.select("conv_id", "turn", F.last(F.when(F.col("role") == "system", F.col("text")), ignorenulls=True).over(S_window()).alias("organ"))
-)
-
-
-def S_window():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-
-
-query("src_html_tjrj", "select conv_id, turn, lag(role) over (partition by conv_id order by turn) as before from conversations")(lambda t: t.conversations.select("conv_id", "turn", F.lag("role").over(_ordered()).alias("before")))
-
-
-def _ordered():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("conv_id").orderBy("turn")
-
-
 # --- nested JSON answers --------------------------------------------------------------------------------------------------
 query("src_elastic_json", "select doc_id, 2 as fields, source as tribunal from documents")(
     lambda t: t.documents.select("doc_id", F.map_filter(F.from_json(F.get_json_object(ELASTIC, "$._source"), "map<string,string>"), lambda k, v: F.coalesce(v, F.lit("")) != "").alias("m")).select("doc_id", F.size("m").alias("fields"), F.col("m")["TRIBUNAL"].alias("tribunal"))
@@ -207,26 +178,6 @@ def _pdfs(t: Tables) -> DataFrame:
 
 query("src_pdf_text", "select n_nationkey || '.pdf' as path, n_name || chr(10) || case when n_nationkey % 2 = 0 then 'dois' || chr(10) else '' end || 'três (x)' as body from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", "body"))
 query("src_pdf_text_with_gaps", "select n_nationkey || '.pdf' as path, case when n_nationkey % 2 = 1 then '2' else '' end as gaps, cast(null as varchar) as error from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", F.array_join("gaps", ",").alias("gaps"), "error"))
-query("src_html_ejuris", "select page_id, coalesce(case when page_id % 3 = 0 then 'Câmara ' || page_id end, 'Câmara ' || (page_id - page_id % 3)) as organ from pages")(
-    lambda t: t.pages.select("page_id", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Câmara "), "page_id")).alias("o"), F.expr("page_id div 300").alias("batch")).select("page_id", F.last("o", ignorenulls=True).over(_pages()).alias("organ"))
-)
-
-
-def _pages():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("batch").orderBy("page_id")
-
-
 # --- checked parameters ------------------------------------------------------------------------------------------------
 query("fn_normalise_params", "select n_nationkey from nation where n_nationkey in (1, 4)")(lambda t: t.nation.where(F.concat(F.lit("TRF"), "n_nationkey").isin(P.normalise("trf1, 4, 1ª REGIAO".replace("ª", "a"), P.COURTS))).select("n_nationkey"))
 query("flt_text_types_guard", "select doc_id from documents where lang = 'en'")(lambda t: t.documents.where(F.when(F.col("lang") == "en", "CC").otherwise("SS").isin(P.with_text(P.normalise("sentença", P.KINDS)))).select("doc_id"))
-query("chk_unknown_is_error", "select 'tjx' as asked, true as refused")(lambda t: t.spark.createDataFrame([("tjx", _refused("tjx"))], "asked string, refused boolean"))
-
-
-def _refused(value: str) -> bool:
-    try:
-        P.normalise(value, P.COURTS)
-    except ValueError:
-        return True
-    return False

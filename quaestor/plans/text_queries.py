@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -155,12 +156,27 @@ on_documents("fn_cnj_digits", lambda: T.digits(T.cnj_format(raw)), RAW)
 on_documents("fn_is_cnj", lambda: T.is_cnj(F.when(doc_id % 2 == 0, T.cnj_format(raw)).otherwise(raw)), "doc_id % 2 = 0")
 on_documents("fn_process_number", lambda: T.process_number(F.when(doc_id % 3 == 0, F.concat(F.lit("AgInt no REsp 2.098."), F.lpad(doc_id % 1000, 3, "0"), F.lit("/RO"))).when(doc_id % 3 == 1, F.concat(F.lit("Tema "), doc_id)).otherwise("AREsp 12345")), "case doc_id % 3 when 0 then '2098' || lpad(cast(doc_id % 1000 as varchar), 3, '0') when 2 then '12345' end")
 on_documents("fn_law_norm", lambda: T.law_norm(law), "case doc_id % 6 when 0 then 'LEI-8' || lpad(cast(doc_id % 1000 as varchar), 3, '0') when 1 then 'LCP-80' when 2 then 'DEL-4657' when 3 then 'MPR-2164' when 4 then 'DEC-3048' end")
-query("fn_cache_key", r"""
-with s as (select doc_id, regexp_replace(text, '[^A-Za-z ]', ' ', 'g') || case when doc_id % 2 = 0 then ' adj5 Zeta' else ' Zeta alfa' end as q from documents),
-     w as (select doc_id, regexp_matches(q, '(?i)(^|\s)(e|ou|and|or|nao|not|adj[0-9]*|prox[0-9]*|com[0-9]*|mesmo[0-9]*)(\s|$)') as ordered,
-                  list_transform(list_filter(string_split(q, ' '), lambda x: x <> ''), lambda x: case when x in ('E', 'OU', 'NAO', 'AND', 'OR', 'NOT') then x else lower(x) end) as l from s),
-     v as (select doc_id, array_to_string(case when ordered then l else list_sort(list_distinct(l)) end, ' ') as value from w)
-select doc_id, value, sha256('{"n":10,"q":"' || value || '"}') as key from v""")(lambda t: t.documents.select("doc_id", T.search_key(search).alias("value"), F.sha2(F.to_json(F.struct(F.lit(10).alias("n"), T.search_key(search).alias("q"))), 256).alias("key")))
+#: SQL of search_key over a column q; accents go first, then all but plain signs.
+SEARCH_KEY = r"""o as (select *, regexp_matches(q, '(?i)["()]|(^|\s)(e|ou|and|or|nao|não|not|adj[0-9]*|prox[0-9]*|com[0-9]*|mesmo[0-9]*)(\s|$)|(^|\s)-\S') as ordered from s),
+     w as (select *, list_transform(list_filter(string_split(regexp_replace(regexp_replace(strip_accents(q), '[^0-9A-Za-z\s*$+-]', ' ', 'g'), '\s+', ' ', 'g'), ' '), lambda x: x <> ''), lambda x: case when x in ('E', 'OU', 'NAO', 'AND', 'OR', 'NOT') then x else lower(x) end) as l from o),
+     v as (select *, array_to_string(case when ordered then l else list_sort(list_distinct(l)) end, ' ') as value from w)"""
+
+
+def _requests(t):
+    """A nested request of each document, its fields in one of two orders, the text as it is or in capitals."""
+    text, n = F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.translate("text", string.ascii_lowercase, string.ascii_uppercase)).alias("buscaGeral"), F.col("doc_id").alias("tamanho")
+    noise = F.lit('a "query":"B  a" é').alias("nota")
+    one = F.to_json(F.struct(F.lit("bnp").alias("mcp"), F.struct(text, F.array(F.struct(n, noise)).alias("lista")).alias("filtro"), F.lit("Zeta  ALFA, é").alias("query")))
+    two = F.to_json(F.struct(F.lit("é; alfa zeta").alias("query"), F.struct(F.array(F.struct(noise, n)).alias("lista"), text).alias("filtro"), F.lit("bnp").alias("mcp")))
+    return t.documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, one).otherwise(two).alias("request"))
+
+
+query(
+    "fn_cache_key",
+    rf"""with s as (select doc_id, case when doc_id % 2 = 0 then text else translate(text, '{string.ascii_lowercase}', '{string.ascii_uppercase}') end as q from documents), {SEARCH_KEY}
+select doc_id, sha256('{{"filtro":{{"buscaGeral":"' || value || '","lista":[{{"nota":"a \"query\":\"B  a\" é","tamanho":' || doc_id || '}}]}},"mcp":"bnp","query":"alfa e zeta"}}') as key from v""",
+)(lambda t: _requests(t).select("doc_id", T.request_key(F.col("request")).alias("key")))
+query("fn_search_key", f"with s as (select doc_id, text as q from documents), {SEARCH_KEY} select doc_id, value from v")(lambda t: t.documents.select("doc_id", T.search_key(text).alias("value")))
 query("fn_sanitize_query", r"""select doc_id, trim(regexp_replace(regexp_replace('auxílio-doença ' || text, '[#!+'';_|-]', ' ', 'g'), '\s+', ' ', 'g')) as query,
   array_to_string(list_sort(list_distinct(regexp_extract_all('auxílio-doença ' || text, '[#!+'';_|-]'))), '') as removed from documents""")(
     lambda t: t.documents.select("doc_id", T.sanitize_query(F.concat(F.lit("auxílio-doença "), text)).alias("s")).select("doc_id", "s.query", F.array_join("s.removed", "").alias("removed"))
