@@ -11,6 +11,7 @@ from ..operators import params as P
 from ..operators.glossary import matches
 from ..sources.files import scratch
 from ..sources.snapshots import Store
+from ..streaming import cache, logs
 from .registry import Tables, query
 
 # --- checks -----------------------------------------------------------------------------------------------------------------
@@ -99,3 +100,27 @@ def _meta(t: Tables) -> DataFrame:
     path = scratch(t.spark, "meta")
     t.orders.select(F.col("o_orderkey").alias("numero"), F.col("o_orderpriority").alias("risco"), F.col("o_orderstatus").alias("estado")).write.partitionBy("estado").json(path)
     return t.spark.read.schema("numero bigint, risco string, estado string").json(path)
+
+
+# --- a cache with state -----------------------------------------------------------------------------------------------------------
+TTL = 172_800
+
+
+def _cached(t: Tables) -> DataFrame:
+    """Purchases and signups put an entry of their user, all other events read it."""
+    path = scratch(t.spark, "cache-events")
+    put = F.col("event_type").isin("purchase", "signup")
+    t.events.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"), F.when(put, "put").otherwise("get").alias("op"), F.when(put, F.concat("event_type", F.lit(":"), "event_id")).alias("body"), F.when(put, F.lit(TTL)).alias("ttl_s")).write.parquet(path)
+    events = t.spark.readStream.schema("key string, id bigint, at timestamp, op string, body string, ttl_s int").parquet(path)
+    with cache.keyed_state(t.spark):
+        answers = logs.drained(cache.answered(events), "str_ttl_cache", "append", scratch(t.spark, "checkpoint"))
+    return answers.where("what <> 'purged'").select("key", "id", "what", "body", "hits")
+
+
+query(
+    "str_ttl_cache",
+    f"""with e as (select cast(user_id as varchar) as key, event_id as id, ts, event_type in ('purchase', 'signup') as put, event_type || ':' || event_id as body from events),
+g as (select *, last_value(case when put then ts end ignore nulls) over w as since, last_value(case when put then body end ignore nulls) over w as held, count_if(put) over w as turn from e window w as (partition by key order by ts, id rows between unbounded preceding and 1 preceding)),
+h as (select *, coalesce(since + interval {TTL} second >= ts, false) as hit from g where not put)
+select key, id, case when hit then 'hit' else 'miss' end as what, case when hit then held end as body, case when hit then count(*) over (partition by key, turn order by ts, id rows unbounded preceding) else 0 end as hits from h""",
+)(_cached)

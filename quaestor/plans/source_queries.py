@@ -153,7 +153,6 @@ query("str_log_summary", "select cast(ts as date) as day, event_type, count(*) a
     lambda t: L.drained(L.windowed_summary(L.event_stream(t.spark, _landed(t), EVENTS), late="3650 days"), "str_log_summary", "complete", S.scratch(t.spark, "checkpoint"))
 )
 query("str_hits_counter", "select user_id, count(*) as hits from events group by user_id")(lambda t: L.drained(L.event_stream(t.spark, _landed(t), EVENTS).groupBy("user_id").agg(F.count(F.lit(1)).alias("hits")), "str_hits_counter", "complete", S.scratch(t.spark, "checkpoint")))
-query("str_ttl_cache", "select event_id from events where event_id + 600 >= 900")(lambda t: L.live(t.events.select("event_id", F.col("event_id").alias("fetched_at"), F.lit(600).alias("ttl_s")), F.lit(900)).select("event_id"))
 
 
 def _resumed(t: Tables) -> DataFrame:
