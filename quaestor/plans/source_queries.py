@@ -22,13 +22,12 @@ def _docx(t: Tables, tables: bool) -> DataFrame:
 @before
 def columns() -> None:
     """Stand-in inputs of the queries below, made anew for each session."""
-    global MAGIC, BLOCKS, FORM, CARD, JSF, ELASTIC, LIST, NUMBERED
+    global MAGIC, BLOCKS, FORM, CARD, JSF, LIST, NUMBERED
     MAGIC = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("D0CF11E0A1B11AE10000"))).when(F.col("doc_id") % 3 == 1, F.encode(F.lit("{\\rtf1 x"), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
     BLOCKS = F.concat(F.lit("[titulo removido] CAP I\n1. Primeiro\nsegue\n\n2. "), F.replace("text", F.lit("\n"), F.lit(" ")))
     FORM = F.concat(F.lit('<input name="q" value="'), "page_id", F.lit('"/><input name="s" value="x"/><input name="q" value="last"/>'))
     CARD = F.concat(F.lit("<dl><dt>Relatora:</dt><dd>Ana "), "page_id", F.lit("</dd><dt>Órgão julgador</dt><dd>1&amp;2</dd></dl>"))
     JSF = F.concat(F.lit('<td id="tabelaDocumentos:0:numero">A'), "page_id", F.lit('</td><td id="tabelaDocumentos:1:ementa"> b  c </td>'))
-    ELASTIC = F.to_json(F.struct(F.col("doc_id").alias("_id"), F.struct(F.col("lang").alias("CLASSE"), F.lit("").alias("RELATOR"), F.col("source").alias("TRIBUNAL")).alias("_source")))
     LIST = F.concat(F.lit("PODER\n1 - 0800307-06.2025.4.05.8103 - APELAÇÃO CÍVEL\nAPELANTE: A\nEMENTA\nTexto um "), "doc_id", F.lit("\n\n segue\n2 - 0007508-25.2015.4.05.8300 - REMESSA\nEMENTA\nTexto dois\n"))
     NUMBERED = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n\n")
 
@@ -117,17 +116,6 @@ query("src_html_panels")(lambda t: H.blocks(t.pages))
 query("src_html_single_doc", "select page_id as id, html_title as title from (select page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as html_title from pages)")(lambda t: H.blocks(t.pages).where("tag = 'title'").groupBy("id").agg(F.min_by("body", "pos").alias("title")))
 query("src_html_sumula", "select doc_id, case when doc_id % 3 = 0 then 'cancelled' when doc_id % 3 = 1 then 'revoked' else 'current' end as status from documents")(lambda t: t.documents.select("doc_id", H.status_of(F.when(F.col("doc_id") % 3 == 0, "Súmula CANCELADA").when(F.col("doc_id") % 3 == 1, "foi revogada").otherwise(F.lit("vigente"))).alias("status")))
 # --- nested JSON answers --------------------------------------------------------------------------------------------------
-query("src_elastic_json", "select doc_id, 2 as fields, source as tribunal from documents")(
-    lambda t: t.documents.select("doc_id", F.map_filter(F.from_json(F.get_json_object(ELASTIC, "$._source"), "map<string,string>"), lambda k, v: F.coalesce(v, F.lit("")) != "").alias("m")).select("doc_id", F.size("m").alias("fields"), F.col("m")["TRIBUNAL"].alias("tribunal"))
-)
-query("src_stf_json", "select doc_id, coalesce(nullif(case when doc_id % 2 = 0 then '' else lang end, ''), source) as content from documents")(
-    lambda t: t.documents.select("doc_id", F.from_json(F.to_json(F.struct(F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang")).alias("a"), F.col("source").alias("b"))), "a string, b string").alias("r")).select("doc_id", F.coalesce(F.nullif("r.a", F.lit("")), "r.b").alias("content"))
-)
-query("src_bnp_json", "select doc_id, concat_ws(chr(10) || chr(10), 'QUESTÃO: ' || lang, case when doc_id % 2 = 0 then 'TESE: ' || source end) as content from documents")(lambda t: t.documents.select("doc_id", F.concat_ws("\n\n", F.concat(F.lit("QUESTÃO: "), "lang"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("TESE: "), "source"))).alias("content")))
-query("src_sjur_json", "select conv_id, string_agg(role || ' (' || turn || ')', '; ' order by turn) as judges from conversations group by conv_id")(
-    lambda t: t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("j")).select("conv_id", F.array_join(F.transform("j", lambda x: F.concat(x["role"], F.lit(" ("), x["turn"], F.lit(")"))), "; ").alias("judges"))
-)
-query("src_sentencas_json", "select event_id, event_type as kind, cast(json_extract(props, '$.k') as bigint) as cursor from events")(lambda t: t.events.select("event_id", F.col("event_type").alias("kind"), F.from_json("props", "k bigint", {"mode": "FAILFAST"})["k"].alias("cursor")))
 query("src_julia_json", "select doc_id, coalesce(nullif(case when doc_id % 3 = 0 then '' else text end, ''), nullif(lang, ''), '') as body from documents")(lambda t: t.documents.select("doc_id", F.coalesce(F.nullif(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), F.lit("")), F.nullif("lang", F.lit("")), F.lit("")).alias("body")))
 
 # --- segmentation -------------------------------------------------------------------------------------------------------
