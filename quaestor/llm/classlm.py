@@ -2,7 +2,7 @@
 
 What is clustered are units: the ``own_words`` most frequent words of the training texts are units of their own, all other words,
 also those that training never saw, belong to the unit of their form (ending, length, digits). So every word has a class, a task finds it without
-a join, and what the tasks hold is bounded by parameters, not by the corpus. Counts are of all training texts; those of the ``held_words`` most
+a join, and what the tasks hold is bounded by parameters, not by the corpus. Counts are of all training texts; those of up to ``held_words`` of the most
 frequent words are sent to the tasks, those of all others are joined.
 
 Exchange: with all other units where they are, moving a unit to another class changes the mutual information of neighbouring classes by what
@@ -275,6 +275,16 @@ def _score(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(columns, names=[x.split()[0] for x in SCORED.split(", ")[:8]])
 
 
+def cut_off(counts: DataFrame, most: int) -> int:
+    """The count above which there are at most ``most`` words: no task sends more of them than there are."""
+    seen = 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        seen += r.words
+        if seen > most:
+            return r.n
+    return 0
+
+
 def fit(train: DataFrame, text_col: str = "text", own_words: int = 16_384, held_words: int = 131_072, forms: int = 4_096, classes: int = 64, rounds: int = 8) -> tuple[Model, DataFrame]:
     """The model, and the written table of (word, n) of all training words, the end as the empty word."""
     spark = train.sparkSession
@@ -282,7 +292,8 @@ def fit(train: DataFrame, text_col: str = "text", own_words: int = 16_384, held_
     counts = texts.mapInArrow(_word_counts, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = written(counts, "words", lasting=True)
     size = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    top = counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0)).orderBy(F.desc("n"), "word").limit(max(own_words, held_words)).toPandas()
+    short = counts.where((F.length("word") <= LONGEST) & (F.length("word") > 0))
+    top = short.where(F.col("n") > cut_off(short, max(own_words, held_words))).toPandas()
     end = counts.where(F.length("word") == 0).first()
     ranked = sorted(zip(map(bytes, top["word"]), top["n"].tolist()), key=lambda x: (-x[1], x[0]))
     known = [b"", *(w for w, _ in ranked)]

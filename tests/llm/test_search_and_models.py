@@ -209,3 +209,8 @@ def test_no_training_text(spark, odd):
 
 def test_queries_are_registered():
     assert {"op11_bit_sliced_negatives", "op12_brown_perplexity", "op13_windowed_search"} <= set(queries.queries())
+
+
+def test_words_above_the_cut_off_are_at_most_as_many(spark):
+    counts = spark.createDataFrame([(f"w{k}", n) for k, n in enumerate([9, 7, 7, 7, 3, 1, 1])], "word string, n bigint")
+    assert [classlm.cut_off(counts, m) for m in (0, 1, 3, 4, 5, 6, 7, 9)] == [9, 7, 7, 3, 1, 1, 0, 0]
