@@ -31,3 +31,21 @@ def cards(index: Index, versions: DataFrame, query: str, preferred: str, order:
     best = placed.join(shown, ["work", "part"], "left").groupBy("place", "work", "part", "found", "score").agg(F.min_by(F.struct("lang", "text"), F.struct("rank", "version")).alias("v"))
     lang = F.coalesce("v.lang", "found")
     return best.select("place", "work", "part", "found", lang.alias("lang"), F.col("v.text").alias("text"), "score", (lang != preferred).alias("translate"), F.coalesce(T.suspect(F.col("v.text")), F.lit(False)).alias("suspect"))
+
+
+def case_card(cases: DataFrame, articles: DataFrame, reparations: DataFrame, versions: DataFrame, asked: str) -> DataFrame:
+    """(case, others, articles, reparations, langs) of the case of the shortest name that holds what is asked; the other candidates are told.
+
+    cases (case), articles (case, article), reparations (case, place, text), versions (case, lang). No row if no case is found. Only the chosen
+    case's rows are gathered; names fold as far as ASCII goes.
+    """
+    named = cases.where(F.contains(F.lower("case"), F.lit(asked.strip().lower()))).select("case").distinct()
+    order = Window.orderBy(F.length("case"), "case")  # the candidates of one request
+    ranked = named.withColumn("n", F.row_number().over(order))
+    others = ranked.agg(F.array_sort(F.collect_list(F.when(F.col("n") > 1, F.struct("n", "case")))).alias("o")).select(F.transform("o", lambda x: x["case"]).alias("others"))
+    chosen = ranked.where("n = 1").select("case")
+    numbered = articles.join(F.broadcast(chosen), "case").select("article").distinct().agg(F.array_sort(F.collect_list(F.struct(F.coalesce(F.col("article").try_cast("bigint"), F.lit(0)).alias("k"), "article"))).alias("a")).select(F.transform("a", lambda x: x["article"]).alias("articles"))
+    listed = reparations.join(F.broadcast(chosen), "case").agg(F.array_sort(F.collect_list(F.struct("place", "text"))).alias("r")).select(F.transform("r", lambda x: x["text"]).alias("reparations"))
+    langs = versions.join(F.broadcast(chosen), "case").agg(F.array_sort(F.collect_set("lang")).alias("langs"))
+    # one row each
+    return chosen.crossJoin(F.broadcast(others)).crossJoin(F.broadcast(numbered)).crossJoin(F.broadcast(listed)).crossJoin(F.broadcast(langs))

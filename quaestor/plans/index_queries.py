@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import querylang as Q
-from ..operators.cards import cards
+from ..operators.cards import cards, case_card
 from ..operators.index import Segments
 from ..operators.search import Index, index_of
 from ..sources.files import scratch
@@ -133,3 +133,33 @@ def _cards(t: Tables) -> DataFrame:
     articles = versions.where(F.col("text").rlike(r"\b[0-9]{2,4}\b")).select("work")
     found = cards(index_of(t.documents), versions, "de OR of", "fr", ORDER, T.fold(F.col("source")).isin("src1", "src2", "src3") & (F.col("n_chars") >= 200), articles)
     return found.select("place", "work", "found", "lang", F.round("score", 6).alias("score"), F.md5("text").alias("digest"), "translate", "suspect")
+
+
+query(
+    "fts_case_card",
+    r"""with c as (select distinct source as c from documents where contains(lower(source), 'src1')), r as (select c, row_number() over (order by length(c), c) as n from c), ch as (select c from r where n = 1),
+d as (select * from documents where source = (select c from ch))
+select (select c from ch) as "case", (select list(c order by n) from r where n > 1) as others, (select list(a order by cast(a as bigint), a) from (select distinct unnest(regexp_extract_all(text, '\b[0-9]{2,4}\b')) as a from d)) as articles,
+  (select list(split_part(text, chr(10), 1) order by doc_id) from d where length(text) < 2000) as reparations, (select list_sort(list(distinct lang)) from d) as langs""".replace("\\\\", "\\"),
+)(lambda t: _card(t))
+
+
+def _card(t: Tables) -> DataFrame:
+    docs = t.documents.withColumn("case", F.col("source"))
+    articles = docs.select("case", F.explode(F.regexp_extract_all("text", F.lit(r"(\b[0-9]{2,4}\b)"), F.lit(1))).alias("article"))
+    reparations = docs.where(F.length("text") < 2000).select("case", F.col("doc_id").alias("place"), F.get(F.split("text", "\n"), F.lit(0)).alias("text"))
+    return case_card(docs, articles, reparations, docs, "SRC1")
+
+
+query(
+    "prj_json_to_analysis",
+    """select event_id, case when event_id % 7 > 0 then cast(json_extract(props, '$.k') as bigint) end as k, case when event_id % 7 = 0 then 'falha' else coalesce(json_extract_string(props, '$.alerta'), 'amarelo') end as alerta, event_id % 7 = 0 as failed from events""",
+)(lambda t: _analyses(t))
+
+
+def _analyses(t: Tables) -> DataFrame:
+    """Answers of an agent, some cut short: a broken one is a row that says so, never one with defaults."""
+    said = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("Resposta: "), F.left("props", F.length("props") - 1))).otherwise(F.col("props"))
+    read = t.events.select("event_id", F.from_json(said, "k bigint, alerta string, _corrupt_record string", {"mode": "PERMISSIVE"}).alias("p"))
+    failed = F.col("p._corrupt_record").isNotNull()
+    return read.select("event_id", "p.k", F.when(failed, "falha").otherwise(F.coalesce("p.alerta", F.lit("amarelo"))).alias("alerta"), failed.alias("failed"))

@@ -91,3 +91,49 @@ query(
 def _ruled() -> Column:
     told = F.when(doc() % 2 == 0, markup(" - Julgamento: 01/02/2020 - QUARTA CÂMARA ", F.upper("source"))).otherwise("")
     return markup("<table><tr><td>Relação de 1 até 10</td></tr><tr><td>Des(a). FULANA ", F.col("lang"), told, '</td></tr><tr><td><div class="divEmenta" id="divementa_1"><textarea>Ementa: ', escaped(F.col("text")), "</textarea></div></td></tr></table>")
+
+
+query(
+    "src_html_panels",
+    f"""select doc_id, case when doc_id % 3 > 0 then 1000 + doc_id % 1000 end as total, 'id' || doc_id as id, '700-' || doc_id as number, case when doc_id % 2 = 0 then 'APELAÇÃO' end as class, 'Min. ' || lang as reporter, 'Crime; ' || source as subjects, nullif({COLLAPSED}, '') as summary from documents""",
+)(lambda t: t.documents.select("doc_id", _panel().alias("html")).select("doc_id", P.panels_total(F.col("html")).alias("total"), F.explode(P.panels(F.col("html"))).alias("p")).select("doc_id", "total", "p.id", "p.number", "p.class", "p.reporter", "p.subjects", "p.summary"))
+
+
+def _panel() -> Column:
+    field = lambda name, value: markup('<span class="x" data-id="', name, '">', value, "</span>")
+    total = F.when(doc() % 3 > 0, markup("<p>Exibindo <b>1</b> a 10 de <b>1.", F.lpad((doc() % 1000).cast("string"), 3, "0"), "</b></p>")).otherwise("")
+    body = markup(field("id", markup("id", doc())), field("numero_processo", markup(" 700-", doc())), F.when(doc() % 2 == 0, field("classe", F.lit("APELAÇÃO"))).otherwise(""), field("ministro_relator", markup("Min. <i>", F.col("lang"), "</i>")), "<dl><dt>Assuntos:</dt><dd>Crime; ", F.col("source"), "</dd></dl>", field("ementa", markup("EMENTA : ", escaped(F.col("text")))))
+    return markup(total, '<div class="panel panel-default"><div>', body, '</div></div><div class="panel"><span data-id="outro">x</span></div>')
+
+
+query(
+    "src_html_sumula",
+    f"""select doc_id, 'Súmula ' || doc_id as number, 'DIREITO ' || upper(lang) as subject, case when doc_id % 4 < 2 then {COLLAPSED} else 'Verbete ' || doc_id || ' curto' end as text, case when doc_id % 4 = 1 then 'Superior Tribunal de Justiça' when doc_id % 4 = 0 then 'PRIMEIRA SEÇÃO' else 'TERCEIRA SEÇÃO' end as organ,
+  case when doc_id % 4 = 0 then 'CANCELADA' when doc_id % 4 = 3 then 'REVOGADA' end as status, case when doc_id % 4 = 0 then 'nota ' || doc_id when doc_id % 4 = 3 then 'pela lei ' || source end as note from documents where doc_id % 4 > 1 or {COLLAPSED} <> ''""",
+)(lambda t: t.documents.where((doc() % 4 > 1) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")).select("doc_id", F.explode(P.digests(_digest())).alias("d")).select("doc_id", F.concat(F.lit("Súmula "), "d.number").alias("number"), "d.subject", "d.text", "d.organ", "d.status", "d.note"))
+
+
+def _digest() -> Column:
+    head = markup('<div class="gridSumula"><span class="numeroSumula">', doc(), "</span>")
+    subject = markup('<section class="blocoVerbete"><div class="ramoSumula">DIREITO ', F.upper("lang"), "</div>")
+    whole = markup('<div class="clsVerbete">', escaped(F.col("text")), "</div>")
+    marked = markup(head, '<b class="clsINDE">cancelada</b>', subject, whole, '<div class="clsOrgaoJulgador">PRIMEIRA SEÇÃO</div><div class="clsCOM">nota ', doc(), "</div></section></div>")
+    plain = markup(head, subject, whole, "</section></div>")
+    loose = markup(head, subject, "<p>Verbete <b>", doc(), "</b> curto (TERCEIRA SEÇÃO, julgado em 01/02/2020, DJe de 03/03/2020)</p>")
+    return F.when(doc() % 4 == 0, marked).when(doc() % 4 == 1, plain).when(doc() % 4 == 2, markup(loose, "</section></div>")).otherwise(markup(loose, "<p>Súmula revogada: pela lei ", F.col("source"), "</p></section></div>"))
+
+
+query(
+    "src_html_jsf_regional",
+    f"""select doc_id, case when doc_id % 3 = 0 then lpad(cast(doc_id as varchar), 7, '0') || '-39.2023.4.01.3200' else 'AC ' || doc_id end as numero, case when doc_id % 2 = 0 then 'APELAÇÃO CÍVEL' end as classe, 'Des. ' || lang as relator, nullif(trim(regexp_replace(regexp_replace(text, '[<>&]|\\]\\]', ' ', 'g'), '\\s+', ' ', 'g')), '') as origem from documents""",
+)(
+    lambda t: t.documents.select("doc_id", F.explode(P.regional_rows(_regional())).alias("m")).select("doc_id", *[F.col("m")[n].alias(n) for n in ("numero", "classe", "relator", "origem")])
+)
+
+
+def _regional() -> Column:
+    cell = lambda label, value: markup('<td><span class="label_pontilhada">', label, "</span></td><td>", value, "</td>")
+    number = F.when(doc() % 3 == 0, markup("<b>", doc(), "</b><br/> ", F.lpad(doc().cast("string"), 7, "0"), "-39.2023.4.01.3200")).otherwise(markup("AC ", doc(), "<br>outro"))
+    body = F.regexp_replace("text", r"[<>&]|\]\]", " ")
+    row = markup('<tr id="tabelaDocumentos:0:linha">', cell("Número", number), F.when(doc() % 2 == 0, cell("Classe", F.lit("APELAÇÃO <i>CÍVEL</i>"))).otherwise(cell("Classe", F.lit(" "))), cell("Relator(a)", markup("Des. ", F.col("lang"))), cell("Origem", body), cell("Número", F.lit("segundo")), '</tr><tr id="tabelaDocumentos:1:linha">', cell("Classe", F.lit("sem número")), "</tr>")
+    return F.when(doc() % 2 == 0, markup("<update><![CDATA[", row, "]]></update>")).otherwise(escaped(row))

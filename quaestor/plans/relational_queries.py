@@ -85,9 +85,6 @@ query("prj_batches", "select floor((row_number() over (order by o_orderkey) - 1)
 query("prj_case_markdown", "select o_orderkey, '# Processo ' || o_orderkey || chr(10) || case when o_orderstatus = 'F' then '## Partes' || chr(10) || o_custkey || chr(10) else '' end || '## Ementa' || chr(10) || o_orderpriority as body from orders")(
     lambda t: t.orders.select("o_orderkey", F.concat(F.lit("# Processo "), "o_orderkey", F.lit("\n"), F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("## Partes\n"), "o_custkey", F.lit("\n"))).otherwise(""), F.lit("## Ementa\n"), "o_orderpriority").alias("body"))
 )
-query("prj_json_to_analysis", "select event_id, cast(json_extract(props, '$.k') as bigint) as k, coalesce(json_extract_string(props, '$.alerta'), 'amarelo') as alerta from events")(
-    lambda t: t.events.select("event_id", F.from_json("props", "k bigint, alerta string").alias("p")).select("event_id", "p.k", F.coalesce("p.alerta", F.lit("amarelo")).alias("alerta"))
-)
 query("prj_pieces_text", "select conv_id, string_agg('== ' || role || ' ==' || chr(10) || coalesce(nullif(text, ''), '[SEM TEXTO: ' || turn || ']'), chr(10) order by turn) as body from conversations group by conv_id")(
     lambda t: t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("p")).select("conv_id", F.array_join(F.transform("p", lambda x: F.concat(F.lit("== "), x["role"], F.lit(" ==\n"), F.coalesce(F.nullif(x["text"], F.lit("")), F.concat(F.lit("[SEM TEXTO: "), x["turn"], F.lit("]"))))), "\n").alias("body"))
 )

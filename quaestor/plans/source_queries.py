@@ -111,10 +111,7 @@ query("src_html_catalogue", r"""select page_id, unnest(regexp_extract_all(html,
 query("src_html_form", "select page_id, 'last' as q, 'x' as s from pages")(lambda t: t.pages.select("page_id", H.form_fields(FORM).alias("m")).select("page_id", F.col("m")["q"].alias("q"), F.col("m")["s"].alias("s")))
 query("src_html_cards_label", "select page_id, unnest(['relator', 'orgao_julgador']) as label, unnest(['Ana ' || page_id, '1&2']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.label_values(CARD)).alias("c")).select("page_id", "c.*"))
 query("src_html_jsf_table", "select page_id, unnest([0, 1]) as pos, unnest(['numero', 'ementa']) as field, unnest(['A' || page_id, 'b c']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).select("page_id", "c.*"))
-query("src_html_jsf_regional", "select page_id, 'A' || page_id as numero from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).where("c.field = 'numero'").select("page_id", F.col("c.value").alias("numero")))
-query("src_html_panels")(lambda t: H.blocks(t.pages))
 query("src_html_single_doc", "select page_id as id, html_title as title from (select page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as html_title from pages)")(lambda t: H.blocks(t.pages).where("tag = 'title'").groupBy("id").agg(F.min_by("body", "pos").alias("title")))
-query("src_html_sumula", "select doc_id, case when doc_id % 3 = 0 then 'cancelled' when doc_id % 3 = 1 then 'revoked' else 'current' end as status from documents")(lambda t: t.documents.select("doc_id", H.status_of(F.when(F.col("doc_id") % 3 == 0, "Súmula CANCELADA").when(F.col("doc_id") % 3 == 1, "foi revogada").otherwise(F.lit("vigente"))).alias("status")))
 # --- nested JSON answers --------------------------------------------------------------------------------------------------
 query("src_julia_json", "select doc_id, coalesce(nullif(case when doc_id % 3 = 0 then '' else text end, ''), nullif(lang, ''), '') as body from documents")(lambda t: t.documents.select("doc_id", F.coalesce(F.nullif(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), F.lit("")), F.nullif("lang", F.lit("")), F.lit("")).alias("body")))
 

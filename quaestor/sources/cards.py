@@ -165,3 +165,91 @@ def ruled_rows(html: Column) -> Column:
         return F.struct(F.nullif(judge, F.lit("")).alias("judge"), F.nullif(decided, F.lit("")).alias("decided"), F.initcap(organ).alias("organ"), summary.alias("summary"))
 
     return F.transform(F.filter(told, lambda x: x["row"].rlike(r'class="divEmenta"')), record)
+
+
+# --- panels, digests, tables of labels ------------------------------------------------------------------------------------
+def _shown(x: Column, pattern: str) -> Column:
+    """Text of the first group of a pattern, without tags; null if there is none."""
+    return F.nullif(T.collapse(T.unescape(F.regexp_replace(F.regexp_extract(x, pattern, 1), r"<[^>]*>", " "))), F.lit(""))
+
+
+def panels(html: Column) -> Column:
+    """array<struct(id, number, class, reporter, subjects, decided, summary)> of panels whose fields carry their names as data-id.
+
+    A panel without a number's field is none of a decision.
+    """
+    def of(x: Column, name: str) -> Column:
+        return _shown(x, rf'(?s)<span[^>]*data-id="{name}"[^>]*>(.*?)</span>')
+
+    def one(x: Column) -> Column:
+        subjects = _shown(x, r"(?s)<dt[^>]*>\s*Assuntos:?\s*</dt>\s*<dd[^>]*>(.*?)</dd>")
+        summary = F.regexp_replace(of(x, "ementa"), r"^EMENTA\s*:\s*", "")
+        return F.struct(of(x, "id").alias("id"), of(x, "numero_processo").alias("number"), of(x, "classe").alias("class"), of(x, "ministro_relator").alias("reporter"), subjects.alias("subjects"), of(x, "data_julgamento").alias("decided"), summary.alias("summary"))
+
+    return F.transform(F.filter(blocks(html, "panel"), lambda x: F.contains(x, F.lit('data-id="numero_processo"'))), one)
+
+
+def panels_total(html: Column) -> Column:
+    """The count that a page of panels tells; null where it tells none, which may be a zero or a refusal."""
+    flat = T.collapse(F.regexp_replace(html, r"<[^>]*>", " "))
+    return F.nullif(F.replace(F.regexp_extract(flat, r"(?i)(\d+)\s*(?:-|a|até)\s*(\d+)\s+de\s+(\d[\d.]*)", 3), F.lit("."), F.lit("")), F.lit("")).cast("bigint")
+
+
+# What a digest's note says of a digest that isn't in force.
+OUT_OF_FORCE = ["CANCELADA", "REVOGADA", "SUPERADA"]
+
+
+def digests(html: Column) -> Column:
+    """array<struct(number, subject, text, organ, status, note)> of a page of digests.
+
+    The status stands beside the number, or in a note within the text; what comes before such a note is the text. A text that the
+    portal serves without marks ends before its last bracket, which tells the organ.
+    """
+    note_mark = rf"(?iu)SÚMULA\s+({'|'.join(OUT_OF_FORCE)})\s*:\s*"
+
+    def one(x: Column) -> Column:
+        block = F.regexp_extract(x, r'(?s)class="blocoVerbete"[^>]*>(.*?)</section>', 1)
+        subject = _shown(block, r'(?s)class="ramoSumula"[^>]*>(.*?)</div>')
+        marked_note = _shown(block, r'(?s)class="clsCOM"[^>]*>(.*?)</div>')
+        bare = F.regexp_replace(block, r'(?s)<div class="(?:ramoSumula|clsCOM)"[^>]*>.*?</div>', " ")
+        flat = T.collapse(T.unescape(F.regexp_replace(bare, r"<[^>]*>", " ")))
+        at = F.regexp_instr(flat, F.lit(note_mark))
+        inline = F.upper(F.regexp_extract(flat, note_mark, 1))
+        current = F.when(at > 0, F.trim(F.substring(flat, F.lit(1), at - 1))).otherwise(flat)
+        said = F.when(at > 0, F.trim(F.regexp_replace(F.substring(flat, at, F.length(flat)), f"^{note_mark}", "")))
+        text = F.coalesce(_shown(bare, r'(?s)class="clsVerbete"[^>]*>(.*?)</div>'), F.trim(F.regexp_replace(current, r"\s*\([^()]*\)\.?\s*$", "")))
+        organ = F.coalesce(_shown(bare, r'(?s)class="clsOrgaoJulgador"[^>]*>(.*?)</'), F.nullif(F.regexp_extract(current, r"\((?:SÚMULA \d+,\s*)?([^(),]*(?:SEÇÃO|CORTE ESPECIAL)[^(),]*),[^()]*\)\.?\s*$", 1), F.lit("")), F.lit("Superior Tribunal de Justiça"))
+        status = F.coalesce(F.upper(_shown(x, r'(?s)class="clsINDE"[^>]*>(.*?)</')), F.nullif(inline, F.lit("")))
+        return F.struct(_shown(x, r'(?s)class="numeroSumula"[^>]*>(.*?)</').alias("number"), subject.alias("subject"), text.alias("text"), organ.alias("organ"), status.alias("status"), F.coalesce(marked_note, F.nullif(said, F.lit(""))).alias("note"))
+
+    return F.transform(blocks(html, "gridSumula"), one)
+
+
+# Labels of the regional portal's table and the fields they are.
+REGIONAL = {"Tipo": "tipo", "Número": "numero", "Classe": "classe", "Relator(a)": "relator", "Origem": "origem", "Órgão julgador": "orgao_julgador", "Data": "data_julgamento"}
+
+
+def regional_rows(html: Column) -> Column:
+    """array<map<string, string>> of the regional portal's table, by row; of a cell's lines the number in the national form, or else the first, is the number.
+
+    An answer may come as escaped text within CDATA sections. A row without number is none.
+    """
+    plain = T.unescape(html)
+    parts = F.regexp_extract_all(plain, F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1))
+    body = F.when(F.size(parts) > 0, F.array_join(parts, "")).otherwise(plain)
+    rows = F.filter(F.split(body, r'(?=<tr[^>]*id="tabelaDocumentos:\d+:linha")'), lambda x: x.startswith("<tr"))
+
+    def row(x: Column) -> Column:
+        cell = r'(?s)label_pontilhada[^>]*>([^<]*)</span>.*?<td[^>]*>(.*?)</td>'
+        pairs = F.arrays_zip(F.regexp_extract_all(x, F.lit(cell), F.lit(1)).alias("k"), F.regexp_extract_all(x, F.lit(cell), F.lit(2)).alias("v"))
+
+        def pair(y: Column) -> Column:
+            lines = F.filter(F.transform(F.split(F.regexp_replace(F.regexp_replace(y["v"], r"<br\s*/?>", "\n"), r"<[^>]+>", " "), "\n"), T.collapse), lambda z: z != "")
+            name = F.try_element_at(F.create_map(*[F.lit(z) for kv in REGIONAL.items() for z in kv]), T.collapse(y["k"]))
+            national = F.get(F.filter(lines, lambda z: z.rlike(r"^\d{7}-\d{2}\.\d{4}\.")), F.lit(0))
+            return F.struct(name.alias("k"), F.when(name == "numero", F.coalesce(national, F.get(lines, F.lit(0)))).otherwise(F.nullif(F.array_join(lines, " "), F.lit(""))).alias("v"))
+
+        known = F.filter(F.transform(pairs, pair), lambda y: y["k"].isNotNull() & y["v"].isNotNull())
+        return F.aggregate(known, F.create_map().cast("map<string,string>"), lambda m, y: F.when(F.map_contains_key(m, y["k"]), m).otherwise(F.map_concat(m, F.create_map(y["k"], y["v"]))))
+
+    return F.filter(F.transform(rows, row), lambda m: m["numero"].isNotNull())
