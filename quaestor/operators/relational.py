@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.files import scratch
 
 RISKS = ["vermelho", "amarelo", "verde"]
 
@@ -122,5 +123,17 @@ def after_cursor(rows: DataFrame, cursor: str, last, size: int) -> DataFrame:
 
 def interleave(rows: DataFrame, side: str, order: list, n: int) -> DataFrame:
     """Two lists told apart by a boolean column dealt in turns, true first."""
-    rn = F.row_number().over(Window.partitionBy(side).orderBy(*order)) - 1
-    return rows.withColumn("place", F.when(F.col(side), 2 * rn).otherwise(2 * rn + 1)).orderBy("place").limit(n)
+    rn = F.row_number().over(Window.partitionBy(side).orderBy(*order))
+    # no more than n of a side can be shown: a task keeps n before they are dealt
+    first = rows.withColumn("_rn", rn).where(F.col("_rn") <= n)
+    return first.withColumn("place", F.when(F.col(side), 2 * F.col("_rn") - 2).otherwise(2 * F.col("_rn") - 1)).drop("_rn").orderBy("place").limit(n)
+
+
+def positions(keys: DataFrame, order: str, out: str = "pos") -> DataFrame:
+    """Places 0, 1, ... of the values of one column: the place within a range, after the ranges before. Deal only what is needed: a key."""
+    path = scratch(keys.sparkSession, "positions")
+    keys.select(order).repartitionByRange(order).select(order, F.spark_partition_id().alias("_p")).write.parquet(path)  # the deal is sampled: it is read twice, not made twice
+    placed = keys.sparkSession.read.parquet(path).withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
+    # a row for each range
+    before = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).select("_p", "_before")
+    return placed.join(before, "_p").select(order, (F.col("_before") + F.col("_r") - 1).alias(out))

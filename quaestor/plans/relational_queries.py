@@ -91,10 +91,8 @@ query("prj_pieces_text", "select conv_id, string_agg('== ' || role || ' ==' || c
 
 
 def _batches(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Batch numbers in key order: rank within range partitions plus the rows of the partitions before."""
-    placed = df.repartitionByRange(key).select("*", F.spark_partition_id().alias("_p")).withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
-    before = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).select("_p", "_before")
-    return placed.join(before, "_p").select(F.floor((F.col("_before") + F.col("_r") - 1) / size).alias("batch"), key)
+    """Batch numbers in key order."""
+    return R.positions(df, key).select(F.floor(F.col("pos") / size).alias("batch"), key)
 
 
 # --- joins ---------------------------------------------------------------------------------------------------------
@@ -133,8 +131,12 @@ select ldoc, rdoc, case when ldoc is not null and rdoc is not null then 'ambas'
 
 
 def routes(t: Tables) -> DataFrame:
-    docs = t.documents.withColumn("pos", F.row_number().over(Window.partitionBy(F.col("doc_id") % 2).orderBy("doc_id")) - 1).withColumn("key", R.route_key(F.col("text"), F.left("text", F.lit(1))))
-    sides = [docs.where(F.col("doc_id") % 2 == k).select("doc_id", "pos", "key", "source", F.left("text", F.lit(50)).alias("head")) for k in (1, 0)]
+    """Odd documents as one route's results, even ones as the other's, each in its order. Keys are made first: no text is moved."""
+    few = t.documents.select("doc_id", R.route_key(F.col("text"), F.left("text", F.lit(1))).alias("key"), "source", F.left("text", F.lit(50)).alias("head"))
+    sides = []
+    for k in (1, 0):
+        own = few.where(F.col("doc_id") % 2 == k)
+        sides.append(own.join(R.positions(t.documents.where(F.col("doc_id") % 2 == k), "doc_id"), "doc_id").select("doc_id", F.col("pos").cast("int").alias("pos"), "key", "source", "head"))
     return R.two_routes(*sides)
 
 
