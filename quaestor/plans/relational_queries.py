@@ -223,7 +223,6 @@ query("agg_gaps", "select l_orderkey, array_to_string(list_filter(range(lo, hi +
     lambda t: R.gaps(t.lineitem, "l_orderkey", "l_linenumber").select("l_orderkey", F.array_join("missing", ",").alias("missing"))
 )
 query("agg_missing_cnj", "select count_if(not regexp_matches(text, '[0-9]{3}')) as missing, count(*) as n from documents")(lambda t: t.documents.agg(F.count_if(~F.col("text").rlike("[0-9]{3}")).alias("missing"), F.count(F.lit(1)).alias("n")))
-query("agg_portal_totals", r"select page_id, len(regexp_extract_all(html, '<p>')) as paragraphs from pages")(lambda t: t.pages.select("page_id", F.size(F.regexp_extract_all("html", F.lit("(<p>)"), F.lit(1))).cast("bigint").alias("paragraphs")))
 
 # --- windows -----------------------------------------------------------------------------------------------------------
 query("win_segment_content", r"select doc_id, generate_subscripts(l, 1) as n, unnest(l) as body from (select doc_id, string_split(regexp_replace(text, '([.] )', '.' || chr(1), 'g'), chr(1)) as l from documents)")(
@@ -287,15 +286,9 @@ query("set_dedup_tokens", r"select doc_id, array_to_string(list_sort(list_distin
 query("upd_document", "select coalesce(n.k, o.k) as k, coalesce(n.v, o.v) as v from (select o_orderkey as k, o_orderpriority as v from orders where o_orderkey % 2 = 0) o full join (select o_orderkey as k, case when o_orderkey % 3 = 0 then 'new' end as v from orders where o_orderkey % 5 = 0) n on o.k is not distinct from n.k")(
     lambda t: R.upsert(t.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("v")), t.orders.where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 == 0, "new").alias("v")), ["k"])
 )
-query("upd_topic", "select lang as k, max(case when doc_id >= 0 then source end) as v from documents group by lang")(lambda t: R.upsert(t.documents.groupBy(F.col("lang").alias("k")).agg(F.min("source").alias("v")), t.documents.groupBy(F.col("lang").alias("k")).agg(F.max("source").alias("v")), ["k"]))
-query("upd_glossary", "select n_nationkey, coalesce(case when n_nationkey % 2 = 0 then 'oficial' end, 'curadoria') as fonte from nation")(lambda t: t.nation.select("n_nationkey", F.coalesce(F.when(F.col("n_nationkey") % 2 == 0, "oficial"), F.lit("curadoria")).alias("fonte")))
 query("upd_backfill_state", "select doc_id, coalesce(case when doc_id % 2 = 0 then 'Peru' end, case when doc_id % 3 = 0 then 'Chile' end) as state from documents")(
     lambda t: t.documents.select("doc_id", F.coalesce(F.when(F.col("doc_id") % 2 == 0, "Peru"), T.state_of_case(F.when(F.col("doc_id") % 3 == 0, "A Vs. Chile").otherwise("A"))).alias("state"))
 )
-query("upd_schema_migrate", "select doc_id, lang, false as suspeito from documents")(lambda t: (d if "suspeito" in (d := t.documents.select("doc_id", "lang")).columns else d.withColumn("suspeito", F.lit(False))))
-query("upd_cache_put", "select k, v from (select event_id as k, event_type as v from events where event_id % 10 <> 0 union all select event_id, 'fresh' from events where event_id % 10 = 0 and event_type <> '') where k + 600 >= 700")(
-    lambda t: t.events.where("event_id % 10 <> 0").select(F.col("event_id").alias("k"), F.col("event_type").alias("v")).unionByName(t.events.where("event_id % 10 = 0 and event_type <> ''").select(F.col("event_id").alias("k"), F.lit("fresh").alias("v"))).where("k + 600 >= 700")
-)
 query("upd_cache_purge", "select count(*) filter (where event_id + 600 < 700) as removed, count(*) filter (where event_id + 600 >= 700) as kept from events")(lambda t: t.events.agg(F.count_if(F.col("event_id") + 600 < 700).alias("removed"), F.count_if(F.col("event_id") + 600 >= 700).alias("kept")))
 
 # --- results that are never silently empty ----------------------------------------------------------------------------
@@ -310,6 +303,3 @@ query("chk_coverage", "select array_to_string(list_sort(list_filter(['de','en','
 query("chk_lang_notice", "select count_if(lang <> 'es') / count(*) as share, case when count_if(lang = 'es') = 0 then 'critico' else 'aviso' end as level from documents")(
     lambda t: t.documents.agg((F.count_if(F.col("lang") != "es") / F.count(F.lit(1))).alias("share"), F.when(F.count_if(F.col("lang") == "es") == 0, "critico").otherwise("aviso").alias("level"))
 )
-query("chk_portal_error", "select page_id, regexp_extract(html, '<title>([^<]*)', 1) as message from pages where regexp_matches(html, '(?i)<title>[^<]*(erro|error)')")(
-    lambda t: t.pages.where(F.col("html").rlike("(?i)<title>[^<]*(erro|error)")).select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("message"))
-)

@@ -253,3 +253,26 @@ def regional_rows(html: Column) -> Column:
         return F.aggregate(known, F.create_map().cast("map<string,string>"), lambda m, y: F.when(F.map_contains_key(m, y["k"]), m).otherwise(F.map_concat(m, F.create_map(y["k"], y["v"]))))
 
     return F.filter(F.transform(rows, row), lambda m: m["numero"].isNotNull())
+
+
+# --- totals and errors ------------------------------------------------------------------------------------------------------
+def court_totals(html: Column, courts: list[str]) -> Column:
+    """map of court to the number of documents that a results page tells; courts that it doesn't name are missing, the last of a name counts."""
+    cell = r"(?s)<td[^>]*>(\w+)</td>\s*<td[^>]*>.*?(\d+)\s*Documento"
+    plain = T.unescape(html)
+    pairs = F.arrays_zip(F.regexp_extract_all(plain, F.lit(cell), F.lit(1)).alias("k"), F.regexp_extract_all(plain, F.lit(cell), F.lit(2)).alias("v"))
+    known = F.filter(pairs, lambda x: x["k"].isin(courts))
+    return F.aggregate(known, F.create_map().cast("map<string,bigint>"), lambda m, x: F.map_concat(F.map_filter(m, lambda k, _: k != x["k"]), F.create_map(x["k"], x["v"].cast("bigint"))))
+
+
+def portal_error(html: Column) -> Column:
+    """The message of a page that tells of an error; null if it tells of none."""
+    found = F.regexp_extract(html, r'ui-messages-error-detail">([^<]*)<', 1)
+    said = T.collapse(F.replace(T.unescape(found), F.lit("\\n"), F.lit(" ")))
+    return F.when(html.rlike(r'ui-messages-error-detail">[^<]*<'), F.coalesce(F.nullif(said, F.lit("")), F.lit("erro não detalhado pelo portal")))
+
+
+def answered(html: Column) -> Column:
+    """The page, if it is an answer; reading one that tells of an error fails the job with its message: no documents is something else."""
+    error = portal_error(html)
+    return F.when(error.isNull(), html).otherwise(F.raise_error(F.concat(F.lit("the portal told of an error: "), error)).cast("string"))
