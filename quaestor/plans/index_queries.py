@@ -139,8 +139,9 @@ query(
     "fts_case_card",
     r"""with c as (select distinct source as c from documents where contains(lower(source), 'src1')), r as (select c, row_number() over (order by length(c), c) as n from c), ch as (select c from r where n = 1),
 d as (select * from documents where source = (select c from ch))
-select (select c from ch) as "case", (select list(c order by n) from r where n > 1) as others, (select list(a order by cast(a as bigint), a) from (select distinct unnest(regexp_extract_all(text, '\b[0-9]{2,4}\b')) as a from d)) as articles,
-  (select list(split_part(text, chr(10), 1) order by doc_id) from d where length(text) < 2000) as reparations, (select list_sort(list(distinct lang)) from d) as langs""".replace("\\\\", "\\"),
+select (select c from ch) as "case", coalesce((select list(c order by n) from r where n > 1), []) as others,
+  coalesce((select list(a order by cast(a as bigint), a) from (select distinct unnest(regexp_extract_all(text, '\b[0-9]{2,4}\b')) as a from d)), []) as articles,
+  coalesce((select list(split_part(text, chr(10), 1) order by doc_id) from d where length(text) < 2000), []) as reparations, (select list_sort(list(distinct lang)) from d) as langs""",
 )(lambda t: _card(t))
 
 
