@@ -14,11 +14,6 @@ from ..streaming import logs as L
 from .registry import Tables, before, query
 
 
-def _docx(t: Tables, tables: bool) -> DataFrame:
-    make = F.udf(lambda a, b: S.make_docx([a, "", "  " + b + " "], [a, b] if tables else []), "binary")
-    return t.nation.select(F.concat(F.col("n_nationkey"), F.lit(".docx")).alias("path"), make("n_name", F.lit("corpo")).alias("content"))
-
-
 @before
 def columns() -> None:
     """Stand-in inputs of the queries below, made anew for each session."""
@@ -32,10 +27,6 @@ def columns() -> None:
     NUMBERED = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n\n")
 
 
-query("src_docx_paragraphs", "select n_nationkey || '.docx' as path, 0 as part, n_name as body from nation union all select n_nationkey || '.docx', 1, 'corpo' from nation")(lambda t: S.binary_texts(_docx(t, False), "docx"))
-query("src_docx_with_tables", "select n_nationkey || '.docx' as path, unnest([0, 1, 2, 3]) as part, unnest([n_name, 'corpo', n_name, 'corpo']) as body from nation")(lambda t: S.binary_texts(_docx(t, True), "docx_tables"))
-
-
 def _texts(t: Tables) -> str:
     path = S.scratch(t.spark, "texts")
     t.documents.repartition(4, "doc_id").select(F.concat_ws(" ", F.lit("doc"), "doc_id", F.sha2("text", 256)).alias("value")).write.option("compression", "none").text(path)
@@ -49,24 +40,6 @@ query("src_multipart_pdf", "select doc_id, '%PDF-1.4 ' || doc_id || ' %%EOF' as
 )
 
 
-def _folders(t: Tables) -> str:
-    path = S.scratch(t.spark, "cases")
-    rows = t.nation.select(F.when(F.col("n_regionkey") < 2, "pendentes").otherwise("feitos").alias("estado"), F.concat(F.lit("caso"), "n_nationkey").alias("caso"), F.to_json(F.struct(F.col("n_name").alias("numero"), F.lit("T").alias("tipo"), F.lit("verde").alias("risco"), F.col("n_nationkey").alias("ordem"))).alias("value"), "n_nationkey")
-    store = t.spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(t.spark._jsc.hadoopConfiguration())
-    for r in rows.collect():  # a few files that only this query reads
-        for name, body in (("meta.json", r.value if r.n_nationkey % 5 else "{broken"), ("analise.md", "ok")):
-            if name == "meta.json" or r.n_nationkey % 2 == 0:
-                out = store.create(t.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{r.estado}/{r.caso}/{name}"))
-                out.write(bytearray(body.encode()))
-                out.close()
-    return path
-
-
-query("src_folder_table", "select case when n_regionkey < 2 then 'pendentes' else 'feitos' end as estado, 'caso' || n_nationkey as caso, case when n_nationkey % 5 > 0 then n_name end as numero, case when n_nationkey % 5 > 0 then n_nationkey end as ordem, n_nationkey % 2 = 0 as has_analysis from nation")(
-    lambda t: S.case_folders(t.spark, _folders(t)).select("estado", "caso", "numero", "ordem", "has_analysis")
-)
-
-
 def _log(t: Tables) -> str:
     path = S.scratch(t.spark, "log")
     line = F.when(F.col("event_id") % 50 == 0, F.lit("{not json")).otherwise(F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), F.col("event_type").alias("busca"), F.col("event_id").alias("n"))))
@@ -81,29 +54,15 @@ query("src_jsonl_log", "select count_if(event_id % 50 = 0) as broken, count_if(e
 query("snk_query_log", "select event_type as busca, count(*) as n from events where event_id % 50 <> 0 group by event_type")(lambda t: S.jsonl_log(t.spark, _log(t), LOG_SCHEMA).where("valid").groupBy("busca").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _metadata(t: Tables) -> dict[str, DataFrame]:
-    path = S.scratch(t.spark, "metadata")
-    S.join_tables({"nation": t.nation.select("n_nationkey", "n_name"), "region": t.region.select("r_regionkey", "r_name")}, {"nation": ["n_nationkey"], "region": ["r_regionkey"]}).coalesce(1).write.text(path)
-    return S.split_tables(t.spark, path, {"nation": "n_nationkey int, n_name string", "region": "r_regionkey int, r_name string"})
-
-
-query("src_metadata_jsonl", "select n_nationkey as id, n_name as name from nation union all select r_regionkey, r_name from region")(lambda t: (m := _metadata(t))["nation"].toDF("id", "name").unionByName(m["region"].toDF("id", "name")))
-query("snk_metadata_jsonl", "select n_nationkey, n_name from nation")(lambda t: _metadata(t)["nation"])
 query("src_paragraph_txt", "select doc_id, unnest([1, 2]) as number, unnest(['Primeiro' || chr(10) || 'segue', replace(text, chr(10), ' ')]) as body, unnest(['CAP I', '']) as titles from documents")(
     lambda t: t.documents.select("doc_id", F.explode(S.paragraph_blocks(BLOCKS)).alias("b")).select("doc_id", "b.number", "b.body", F.array_join("b.titles", "|").alias("titles"))
 )
 query("snk_paragraph_txt", "select doc_id, '[titulo removido] CAP I' || chr(10) || '1. Primeiro' || chr(10) || 'segue' || chr(10) || chr(10) || '2. ' || replace(text, chr(10), ' ') as body from documents")(
     lambda t: t.documents.select("doc_id", S.paragraph_blocks(BLOCKS).alias("b")).select("doc_id", S.paragraph_file(F.col("b.number"), F.col("b.body"), F.col("b.titles")).alias("body"))
 )
-query("snk_xml_results", "select source, '<resultados total=\"' || count(*) || '\">' as head, count(*) as n from documents group by source")(
-    lambda t: t.documents.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct(F.col("doc_id").cast("string").alias("numero"), F.left("text", F.lit(80)).alias("conteudo")))).alias("r")).select("source", F.get(F.split(S.xml_results(F.col("n"), F.col("r"), ["numero", "conteudo"]), "\n"), F.lit(0)).alias("head"), "n")
-)
 query("snk_markdown_report", "select '# Relatorio' || chr(10) || string_agg('- ' || o_orderstatus || ': ' || n, chr(10) order by o_orderstatus) as report from (select o_orderstatus, count(*) as n from orders group by 1)")(
     lambda t: t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).agg(F.array_sort(F.collect_list(F.concat(F.lit("- "), "o_orderstatus", F.lit(": "), "n"))).alias("l")).select(F.concat(F.lit("# Relatorio\n"), F.array_join("l", "\n")).alias("report"))
 )
-query("snk_search_reports", "select lang, string_agg('## ' || doc_id || chr(10) || left(text, 40), chr(10) order by doc_id) as report from (select *, row_number() over (partition by lang order by doc_id) as rn from documents) where rn <= 3 group by lang")(
-    lambda t: t.documents.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("doc_id", F.left("text", F.lit(40)).alias("h")))), 1, 3).alias("l")).select("lang", F.array_join(F.transform("l", lambda x: F.concat(F.lit("## "), x["doc_id"], F.lit("\n"), x["h"])), "\n").alias("report"))
-)
 cases = lambda t: t.orders.select(F.col("o_orderkey").cast("string").alias("caso"), F.col("o_orderstatus").alias("estado"), F.col("o_orderpriority").alias("risco"))
 query("snk_folder_move", "select cast(o_orderkey as varchar) as caso, case when o_orderkey = 1 then 'X' else o_orderstatus end as estado from orders")(lambda t: S.move_case(cases(t), "1", "X").select("caso", "estado"))
 # --- result pages ----------------------------------------------------------------------------------------------------
@@ -149,19 +108,6 @@ def _resumed(t: Tables) -> DataFrame:
 
 query("str_resumable_crawl", "select distinct event_id, event_type from events")(_resumed)
 
-# --- binary documents ---------------------------------------------------------------------------------------------------
-query("src_word97", "select n_nationkey, n_name || ' ação' as body from nation")(
-    lambda t: t.nation.select("n_nationkey", F.udf(lambda x: S.word97_text(S.make_word97(x + " ação", wide=len(x) % 2 == 0)), "string")("n_name").alias("body"))
-)
-
-
-def _pdfs(t: Tables) -> DataFrame:
-    make = F.udf(lambda a, k: S.make_pdf([a, "" if k % 2 else "dois", "três (x)"]), "binary")
-    return t.nation.select(F.concat(F.col("n_nationkey"), F.lit(".pdf")).alias("path"), make("n_name", "n_nationkey").alias("content"))
-
-
-query("src_pdf_text", "select n_nationkey || '.pdf' as path, n_name || chr(10) || case when n_nationkey % 2 = 0 then 'dois' || chr(10) else '' end || 'três (x)' as body from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", "body"))
-query("src_pdf_text_with_gaps", "select n_nationkey || '.pdf' as path, case when n_nationkey % 2 = 1 then '2' else '' end as gaps, cast(null as varchar) as error from nation")(lambda t: S.pages_with_gaps(_pdfs(t)).select("path", F.array_join("gaps", ",").alias("gaps"), "error"))
 # --- checked parameters ------------------------------------------------------------------------------------------------
 query("fn_normalise_params", "select n_nationkey from nation where n_nationkey in (1, 4)")(lambda t: t.nation.where(F.concat(F.lit("TRF"), "n_nationkey").isin(P.normalise("trf1, 4, 1ª REGIAO".replace("ª", "a"), P.COURTS))).select("n_nationkey"))
 query("flt_text_types_guard", "select doc_id from documents where lang = 'en'")(lambda t: t.documents.where(F.when(F.col("lang") == "en", "CC").otherwise("SS").isin(P.with_text(P.normalise("sentença", P.KINDS)))).select("doc_id"))

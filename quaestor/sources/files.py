@@ -10,13 +10,14 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
-from xml.etree import ElementTree
+from xml.parsers import expat
+from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..functions import text as T
+from pyspark.sql.types import StringType, StructField, StructType
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -31,18 +32,68 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def docx_paragraphs(raw: bytes, tables: bool = False) -> list[str]:
-    """Stripped paragraphs that aren't empty; with ``tables`` every table cell's after them."""
-    with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        body = ElementTree.fromstring(z.read("word/document.xml")).find(f"{_W}body")
+@F.pandas_udf(StructType([StructField("xml", StringType()), StructField("error", StringType())]))
+def _document_xml(content: pd.Series) -> pd.DataFrame:
+    """The XML of a word-processor archive, inflated and checked; numbered references as characters, those of signs of markup as named ones."""
+
+    def sign(m: re.Match) -> str:
+        return escape(chr(int(m[2], 16 if m[1] else 10)))
+
+    def one(raw: bytes | None) -> tuple[str | None, str | None]:
+        try:
+            with zipfile.ZipFile(io.BytesIO(raw or b"")) as z:
+                xml = z.read("word/document.xml")
+            expat.ParserCreate().Parse(xml, True)
+            return re.sub(r"&#(x?)([0-9a-fA-F]+);", sign, xml.decode("utf-8")), None
+        except (zipfile.BadZipFile, zlib.error, KeyError, ValueError, expat.ExpatError) as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    return pd.DataFrame([one(c) for c in content], columns=["xml", "error"])
+
+
+def _tables_apart(xml: Column) -> Column:
+    """array<struct(depth, piece)>: the XML cut where tables open and close, with the tables that each piece lies in."""
+    start = F.struct(F.lit(0).alias("open"), F.array().cast("array<struct<depth:int,piece:string>>").alias("out"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        depth = acc["open"] + piece.rlike("^<w:tbl[ >]").cast("int")
+        return F.struct((depth - piece.endswith("</w:tbl>").cast("int")).alias("open"), F.array_append(acc["out"], F.struct(depth.alias("depth"), piece.alias("piece"))).alias("out"))
+
+    return F.aggregate(F.split(xml, "(?=<w:tbl[ >])|(?<=</w:tbl>)"), start, step, lambda acc: acc["out"])
+
+
+def _inside(xml: Column, tag: str) -> Column:
+    """What stands in each element of a tag; empty elements have nothing."""
+    return F.regexp_extract_all(xml, F.lit(f"(?s)<w:{tag}(?: [^>]*)?(?<!/)>(.*?)</w:{tag}>"), F.lit(1))
+
 
-    def words(p) -> str:
-        return "".join(x.text or "" if x.tag == f"{_W}t" else "\n" for x in p.iter() if x.tag in (f"{_W}t", f"{_W}br")).strip()
+def _shown(paragraph: Column) -> Column:
+    """Text of a paragraph's runs, a break as the end of a line, without white space around."""
+    runs = F.regexp_extract_all(paragraph, F.lit("<w:t(?: [^>]*)?(?<!/)>[^<]*|<w:br(?: [^>]*)?/>"), F.lit(0))
+    text = F.array_join(F.transform(runs, lambda r: F.when(r.startswith("<w:br"), "\n").otherwise(F.regexp_replace(r, "^<[^>]*>", ""))), "")
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
-    out = [words(p) for p in body.findall(f"{_W}p")]
+
+def docx_texts(files: DataFrame, tables: bool = False) -> DataFrame:
+    """(path, part, body) of a frame with path and content: paragraphs that aren't empty, in order; with ``tables`` the cells of their tables after them.
+
+    Python inflates the archive; paragraphs and cells are native expressions. A table in a cell is left out, and so is the text of a box.
+    A file that can't be read gives part -1 and the reason; one without text gives no row.
+    """
+    rows = files.select("path", _document_xml("content").alias("d")).select("path", "d.error", _tables_apart(F.col("d.xml")).alias("pieces"))
+
+    def at(depth: int) -> Column:
+        return F.array_join(F.transform(F.filter("pieces", lambda x: x["depth"] == depth), lambda x: x["piece"]), "")
+
+    texts = F.transform(_inside(at(0), "p"), _shown)
     if tables:
-        out += ["\n".join(words(p) for p in cell.iter(f"{_W}p")).strip() for cell in body.iter(f"{_W}tc")]
-    return [x for x in out if x]
+        cells = F.transform(_inside(at(1), "tc"), lambda c: F.regexp_replace(F.array_join(F.transform(_inside(c, "p"), _shown), "\n"), r"(?U)^\s+|\s+$", ""))
+        texts = F.concat(texts, cells)
+    parts = F.transform(F.filter(texts, lambda x: x != ""), lambda x, i: F.struct(i.alias("part"), x.alias("body")))
+    parts = F.when(F.col("error").isNotNull(), F.array(F.struct(F.lit(-1).alias("part"), F.col("error").alias("body")))).otherwise(parts)
+    return rows.select("path", F.explode(parts).alias("x")).select("path", "x.part", "x.body")
 
 
 def make_docx(paragraphs: list[str], cells: list[str] = ()) -> bytes:
@@ -58,22 +109,6 @@ def make_docx(paragraphs: list[str], cells: list[str] = ()) -> bytes:
     return out.getvalue()
 
 
-def binary_texts(files: DataFrame, how: str) -> DataFrame:
-    """(path, part, body) of a binaryFile frame; how: docx or docx_tables. A file that can't be read gives part -1 and the reason."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    rows += [(path, i, t) for i, t in enumerate(docx_paragraphs(bytes(content), how == "docx_tables"))]
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
-                    rows.append((path, -1, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "part", "body"])
-
-    return files.select("path", "content").mapInPandas(run, "path string, part int, body string")
-
-
 def word97_text(raw: bytes) -> str:
     """Main text of an OLE2 word-processor file by its piece table (single-byte and UTF-16 pieces); notes and headers follow it and stay out.
 
@@ -146,6 +181,22 @@ def word97_text(raw: bytes) -> str:
     return "".join(out)
 
 
+def word97_texts(files: DataFrame) -> DataFrame:
+    """(path, body, error) of a frame with path and content: main texts of old word-processor files, or the reason why there is none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    rows.append((path, word97_text(bytes(content or b"")), None))
+                except (ValueError, struct.error) as e:  # another format, or cut off
+                    rows.append((path, None, str(e)))
+            yield pd.DataFrame(rows, columns=["path", "body", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, body string, error string")
+
+
 def doc_kind(content: Column) -> Column:
     """Format by the first bytes: word97, rtf, binary (a NUL early on) or text."""
     head = F.hex(F.substring(content, 1, 8))
@@ -161,7 +212,7 @@ def cut_pdf(content: Column) -> Column:
 
 def whole_texts(spark: SparkSession, path: str, suffixes: tuple[str, ...] = ("txt", "md")) -> DataFrame:
     """(path, body) of the plain-text files of a folder, one row each."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    return spark.read.option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
 def paragraph_blocks(body: Column) -> Column:
@@ -197,30 +248,51 @@ def split_tables(spark: SparkSession, path: str, schemas: dict[str, str], tag: s
 
 
 def join_tables(tables: dict[str, DataFrame], order: dict[str, list[str]], tag: str = "_tabela") -> DataFrame:
-    """Inverse of split_tables(): one ordered frame of lines."""
-    parts = []
-    for k, (name, df) in enumerate(tables.items()):
-        keys = F.struct(*[F.col(c) for c in order[name]])
-        parts.append(df.select(F.lit(k).alias("t"), F.to_json(keys).alias("k0"), F.row_number().over(_window(order[name])).alias("k"), F.to_json(F.struct(F.lit(name).alias(tag), *df.columns)).alias("value")).drop("k0"))
+    """Inverse of split_tables(): lines of one table after the other, each in its order. Written as text, part files in the order of
+    their names hold the lines in this order; ranges are sorted by many tasks."""
+    parts = [df.orderBy(*order[name]).select(F.to_json(F.struct(F.lit(name).alias(tag), *df.columns)).alias("value")) for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy("t", "k").select("value")
+    return out
+
 
+def write_files(rows: DataFrame, top: str) -> int:
+    """Write each row (path, content) as a file of its own below a folder that tasks share; the number of files.
 
-def _window(order: list[str]):
-    from pyspark.sql import Window
+    A task writes under another name and renames, so a task that is run again leaves whole files only. A path may stand once;
+    null content is an empty file. ValueError for a path that stands twice or leaves the folder.
+    """
+    if not rows.where(F.coalesce(F.col("path").rlike(r"^/|(^|/)\.\.(/|$)|^$"), F.lit(True))).isEmpty():
+        raise ValueError("a path is empty or leaves the folder")
+    if not rows.groupBy("path").count().where("count > 1").isEmpty():
+        raise ValueError("a path stands twice")
 
-    return Window.orderBy(*order)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = pafs.FileSystem.from_uri(top)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                target = f"{base}/{path}"
+                folder, _, name = target.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+                with store.open_output_stream(beside) as out:
+                    out.write(bytes(content or b""))
+                if store.get_file_info(target).type != pafs.FileType.NotFound:
+                    store.delete_file(target)
+                store.move(beside, target)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return rows.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def case_folders(spark: SparkSession, path: str) -> DataFrame:
-    """(estado, caso, meta fields, has_analysis) of a tree state/case/{meta.json, analise.md}; broken metadata is empty."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    parts = F.split("path", "/")
+    """(estado, caso, meta fields, ementa, has_analysis) of a tree state/case/{meta.json, ementa.md, analise.md}; broken metadata is empty."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    parts = F.transform(F.split("path", "/"), lambda x: F.url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))))  # the path is an address: signs are written by their codes
     rows = files.select(F.element_at(parts, -3).alias("estado"), F.element_at(parts, -2).alias("caso"), F.element_at(parts, -1).alias("file"), "value")
     meta = F.from_json(F.max(F.when(F.col("file") == "meta.json", F.col("value"))), "numero string, tipo string, risco string, ordem int")
-    return rows.groupBy("estado", "caso").agg(meta.alias("m"), F.max(F.col("file") == "analise.md").alias("has_analysis")).select("estado", "caso", "m.*", "has_analysis")
+    return rows.groupBy("estado", "caso").agg(meta.alias("m"), F.max(F.when(F.col("file") == "ementa.md", F.col("value"))).alias("ementa"), F.max(F.col("file") == "analise.md").alias("has_analysis")).select("estado", "caso", "m.*", "ementa", "has_analysis")
 
 
 def move_case(cases: DataFrame, case: str, to: str) -> DataFrame:
@@ -230,20 +302,13 @@ def move_case(cases: DataFrame, case: str, to: str) -> DataFrame:
     return cases.withColumn("estado", F.when(F.col("caso") == case, to).otherwise(F.col("estado")))
 
 
-def xml_results(total: Column, rows: Column, fields: list[str], root: str = "resultados") -> Column:
-    """One XML text of an array of structs; empty fields are left out."""
-
-    def one(r: Column, i: Column) -> Column:
-        lines = [F.when(F.coalesce(r[f], F.lit("")) != "", F.concat(F.lit(f"    <{f}>"), T.xml_escape(r[f]), F.lit(f"</{f}>"))) for f in fields]
-        return F.concat_ws("\n", F.concat(F.lit('  <resultado indice="'), (i + 1).cast("string"), F.lit('">')), *lines, F.lit("  </resultado>"))
-
-    return F.concat_ws("\n", F.concat(F.lit(f'<{root} total="'), total.cast("string"), F.lit('">')), F.array_join(F.transform(rows, one), "\n"), F.lit(f"</{root}>"))
-
-
 def make_word97(text: str, wide: bool = False, notes: str = "", version: int = 0xC1) -> bytes:
     """A minimal OLE2 word-processor file of one piece, for round trips; ``notes`` follow the main text."""
     length, text = len(text), text + notes
-    body = text.encode("utf-16-le" if wide else "cp1252")
+    try:
+        body = text.encode("utf-16-le" if wide else "cp1252")
+    except UnicodeEncodeError:
+        wide, body = True, text.encode("utf-16-le")
     main = bytearray(0x200)
     struct.pack_into("<HH", main, 0, 0xA5EC, version)
     struct.pack_into("<H", main, 10, 0x0200)
@@ -268,7 +333,7 @@ def make_word97(text: str, wide: bool = False, notes: str = "", version: int = 0
         return raw.ljust(64, b"\0") + struct.pack("<HBB", len(raw), kind, 1) + b"\xff" * 12 + b"\0" * 36 + struct.pack("<IIi", start, size, 0)
 
     data += entry("Root Entry", 5, 0xFFFFFFFE, 0) + entry("WordDocument", 2, starts[0], len(streams[0])) + entry("1Table", 2, starts[1], len(streams[1])) + b"\0" * 128
-    fat_sectors = -(-(len(fat) + 8) // 128)
+    fat_sectors = -(-len(fat) // 127)  # a table's sector has an entry too
     fat_at = len(fat)
     fat += [0xFFFFFFFD] * fat_sectors
     fat += [0xFFFFFFFF] * (fat_sectors * 128 - len(fat))
@@ -298,7 +363,7 @@ def pdf_pages(raw: bytes) -> list[str]:
         data = m[2]
         if b"FlateDecode" in m[1]:
             try:
-                data = zlib.decompress(data)
+                data = zlib.decompressobj().decompress(data)  # a checksum that ends in the sign of a line end may have lost it
             except zlib.error:
                 return ""
         out = []
