@@ -442,3 +442,23 @@ def title_parts(c: Column) -> Column:
     rest = F.regexp_extract(body, pattern, 2)
     stage = F.regexp_replace(F.trim(F.regexp_extract(rest, r"^(.+?)\s*(?:Sentencia|Resolución)\s", 1)), r"[.,]+$", "")
     return F.struct(F.nullif(F.regexp_extract(body, pattern, 1), F.lit("")).alias("name"), F.nullif(stage, F.lit("")).alias("stage"))
+
+
+def list_header(paragraphs: Column) -> Column:
+    """struct(turma, sessao, gabinete) of a list of cases: what its first five paragraphs tell, the last of them where several do."""
+    head = F.slice(paragraphs, 1, 5)
+
+    def last(pattern: str, upper: bool = True) -> Column:
+        told = F.transform(head, lambda p: trimmed(F.regexp_extract(F.upper(p) if upper else p, pattern, 1)))
+        return F.get(F.reverse(F.filter(told, lambda x: x != "")), F.lit(0))
+
+    return F.struct(
+        F.concat(last(r"(\d+)ª?\s*TURMA"), F.lit("ª Turma")).alias("turma"),
+        last(r"SESS[ÃA]O[^:]*:\s*(\d{2}/\d{2}/\d{4})").alias("sessao"),
+        last(r"(?i)GAB[^-]*-?\s*(DES\.?\s*[\p{L}\s]+)", upper=False).alias("gabinete"),
+    )
+
+
+def leading_number(c: Column) -> Column:
+    """The whole number that a text begins with; 0 for text that begins with none, or that is too large or null."""
+    return F.coalesce(F.regexp_extract(c, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint"), F.lit(0))

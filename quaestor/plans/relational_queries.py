@@ -149,10 +149,6 @@ query("win_unique_key", "select doc_id from documents qualify count(*) over (par
 query("jn_organ_dim", "select s_suppkey, n_name, r_name from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")(
     lambda t: t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "n_name", "r_name")
 )
-query("jn_anchor", "select n_nationkey, min(r_name) as anchor from nation join region on contains(strip_accents(lower(n_name || ' ' || r_name)), strip_accents(lower(r_name))) group by n_nationkey")(
-    lambda t: t.nation.join(F.broadcast(t.region), F.contains(T.fold(F.concat("n_name", F.lit(" "), "r_name")), T.fold(F.col("r_name")))).groupBy("n_nationkey").agg(F.min("r_name").alias("anchor"))
-)
-
 # --- aggregations ----------------------------------------------------------------------------------------------------
 query("agg_by_state_risk", f"select s.st as state, coalesce(count(o_orderkey), 0) as total, count(*) filter (where o_orderkey is not null and coalesce(nullif({RISK}, ''), 'sem_risco') = 'sem_risco') as no_risk from (values ('F'), ('O'), ('P'), ('X')) s(st) left join orders on o_orderstatus = s.st group by s.st")(
     lambda t: t.spark.sql("select explode(array('F', 'O', 'P', 'X')) as state").join(t.orders.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count(F.lit(1)).alias("total"), F.count_if(risk() == "").alias("no_risk")), "state", "left").select("state", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("no_risk", F.lit(0)).alias("no_risk"))
@@ -253,7 +249,6 @@ query("srt_shortest_name", "select n_regionkey, min_by(n_name, struct_pack(a :=
     lambda t: t.nation.groupBy("n_regionkey").agg(F.min_by("n_name", F.struct(F.length("n_name"), "n_name")).alias("name"), (F.count(F.lit(1)) - 1).alias("others"))
 )
 query("srt_citations", f"select n, count(*) as mentions from {CITED} group by n order by mentions desc, n limit 50")(lambda t: cited(t).groupBy("n").agg(F.count(F.lit(1)).alias("mentions")).orderBy(F.desc("mentions"), "n").limit(50))
-query("srt_article_numeric", "select p_partkey, coalesce(try_cast(p_brand as bigint), 0) as article from part")(lambda t: t.part.select("p_partkey", F.coalesce(F.col("p_brand").try_cast("bigint"), F.lit(0)).alias("article")))
 query("srt_date_recent", "select o_orderkey from orders order by o_orderdate desc, o_orderkey limit 100")(lambda t: t.orders.orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100).select("o_orderkey"))
 query("srt_modes", "select o_orderkey from orders order by o_totalprice, o_orderkey limit 100")(lambda t: t.orders.orderBy("o_totalprice", "o_orderkey").limit(100).select("o_orderkey"))
 query("srt_reading_order", "select conv_id, array_to_string(list(role order by case role when 'system' then 0 when 'user' then 1 else 2 end, turn), ',') as roles from conversations group by conv_id")(

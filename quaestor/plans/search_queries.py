@@ -68,9 +68,6 @@ def _paragraph_hits(t: Tables, word: str):
 query("jn_fts_par_doc", f"select k.term, d.doc_id, d.lang, k.tf from (select term, doc_id, count(*) as tf from {TOK} where term in ('herea', 'onthe') group by 1, 2) k join documents d using (doc_id)")(
     lambda t: index(t).postings.where(F.col("term").isin("herea", "onthe")).join(t.documents, F.col("row") == F.col("doc_id")).select("term", "doc_id", "lang", "tf")
 )
-query("fts_topic_map", r"select n, array_to_string(list(doc_id || ':' || c order by c desc, doc_id), ' ') as docs from (select n, doc_id, count(*) as c from (select doc_id, unnest(regexp_extract_all(text, '\b[0-9]{2,4}\b')) as n from documents) group by n, doc_id) group by n")(
-    lambda t: t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(\b[0-9]{2,4}\b)"), F.lit(1))).alias("n")).groupBy("n", "doc_id").agg(F.count(F.lit(1)).alias("c")).groupBy("n").agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("c"), "doc_id"))).alias("p")).select("n", F.array_join(F.transform("p", lambda x: F.concat(x["doc_id"], F.lit(":"), -x["c"])), " ").alias("docs"))
-)
 query("fts_reception", f"select item_id, case when hits > 0 then 'HA' when (select count(*) from {TOK} where term = 'the') > 0 then 'SEM' else 'NAO_APURADO' end as verdict from (select b.item_id, count(d.doc_id) as hits from benchmark b left join documents d on contains(d.text, b.text) group by b.item_id)")(
     lambda t: _reception(t)
 )

@@ -17,12 +17,11 @@ from .registry import Tables, before, query
 @before
 def columns() -> None:
     """Stand-in inputs of the queries below, made anew for each session."""
-    global MAGIC, BLOCKS, FORM, CARD, JSF, LIST, NUMBERED
+    global MAGIC, BLOCKS, FORM, CARD, LIST, NUMBERED
     MAGIC = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("D0CF11E0A1B11AE10000"))).when(F.col("doc_id") % 3 == 1, F.encode(F.lit("{\\rtf1 x"), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
     BLOCKS = F.concat(F.lit("[titulo removido] CAP I\n1. Primeiro\nsegue\n\n2. "), F.replace("text", F.lit("\n"), F.lit(" ")))
     FORM = F.concat(F.lit('<input name="q" value="'), "page_id", F.lit('"/><input name="s" value="x"/><input name="q" value="last"/>'))
     CARD = F.concat(F.lit("<dl><dt>Relatora:</dt><dd>Ana "), "page_id", F.lit("</dd><dt>Órgão julgador</dt><dd>1&amp;2</dd></dl>"))
-    JSF = F.concat(F.lit('<td id="tabelaDocumentos:0:numero">A'), "page_id", F.lit('</td><td id="tabelaDocumentos:1:ementa"> b  c </td>'))
     LIST = F.concat(F.lit("PODER\n1 - 0800307-06.2025.4.05.8103 - APELAÇÃO CÍVEL\nAPELANTE: A\nEMENTA\nTexto um "), "doc_id", F.lit("\n\n segue\n2 - 0007508-25.2015.4.05.8300 - REMESSA\nEMENTA\nTexto dois\n"))
     NUMBERED = F.array_join(F.transform(F.split("text", "\n"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n\n")
 
@@ -35,11 +34,6 @@ def _texts(t: Tables) -> str:
 
 query("src_text_dispatch", "select 'doc ' || doc_id || ' ' || sha256(text) as line from documents")(lambda t: S.whole_texts(t.spark, _texts(t)).select(F.explode(F.filter(F.split("body", "\n"), lambda x: x != "")).alias("line")))
 query("src_doc_dispatch", "select doc_id, case doc_id % 3 when 0 then 'word97' when 1 then 'rtf' else 'text' end as kind from documents")(lambda t: t.documents.select("doc_id", S.doc_kind(MAGIC).alias("kind")))
-query("src_multipart_pdf", "select doc_id, '%PDF-1.4 ' || doc_id || ' %%EOF' as body from documents")(
-    lambda t: t.documents.select("doc_id", F.decode(F.unhex(S.cut_pdf(F.encode(F.concat(F.lit("--b\r\nx\r\n%PDF-1.4 "), "doc_id", F.lit(" %%EOF\r\n--b--")), "UTF-8"))), "UTF-8").alias("body"))
-)
-
-
 def _log(t: Tables) -> str:
     path = S.scratch(t.spark, "log")
     line = F.when(F.col("event_id") % 50 == 0, F.lit("{not json")).otherwise(F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), F.col("event_type").alias("busca"), F.col("event_id").alias("n"))))
@@ -51,9 +45,6 @@ LOG_SCHEMA = "ts string, busca string, n bigint"
 query("src_jsonl_log", "select count_if(event_id % 50 = 0) as broken, count_if(event_id % 50 <> 0) as good, cast(sum(case when event_id % 50 <> 0 then event_id end) as bigint) as n from events")(
     lambda t: S.jsonl_log(t.spark, _log(t), LOG_SCHEMA).agg(F.count_if(~F.col("valid")).alias("broken"), F.count_if("valid").alias("good"), F.sum("n").alias("n"))
 )
-query("snk_query_log", "select event_type as busca, count(*) as n from events where event_id % 50 <> 0 group by event_type")(lambda t: S.jsonl_log(t.spark, _log(t), LOG_SCHEMA).where("valid").groupBy("busca").agg(F.count(F.lit(1)).alias("n")))
-
-
 query("src_paragraph_txt", "select doc_id, unnest([1, 2]) as number, unnest(['Primeiro' || chr(10) || 'segue', replace(text, chr(10), ' ')]) as body, unnest(['CAP I', '']) as titles from documents")(
     lambda t: t.documents.select("doc_id", F.explode(S.paragraph_blocks(BLOCKS)).alias("b")).select("doc_id", "b.number", "b.body", F.array_join("b.titles", "|").alias("titles"))
 )
@@ -69,8 +60,6 @@ query("snk_folder_move", "select cast(o_orderkey as varchar) as caso, case when
 query("src_html_catalogue", r"""select page_id, unnest(regexp_extract_all(html, '(?is)<li[^>]*>\s*<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) as url from pages""")(lambda t: t.pages.select("page_id", F.explode(H.catalogue(F.col("html"))).alias("c")).select("page_id", "c.url"))
 query("src_html_form", "select page_id, 'last' as q, 'x' as s from pages")(lambda t: t.pages.select("page_id", H.form_fields(FORM).alias("m")).select("page_id", F.col("m")["q"].alias("q"), F.col("m")["s"].alias("s")))
 query("src_html_cards_label", "select page_id, unnest(['relator', 'orgao_julgador']) as label, unnest(['Ana ' || page_id, '1&2']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.label_values(CARD)).alias("c")).select("page_id", "c.*"))
-query("src_html_jsf_table", "select page_id, unnest([0, 1]) as pos, unnest(['numero', 'ementa']) as field, unnest(['A' || page_id, 'b c']) as value from pages")(lambda t: t.pages.select("page_id", F.explode(H.jsf_rows(JSF)).alias("c")).select("page_id", "c.*"))
-query("src_html_single_doc", "select page_id as id, html_title as title from (select page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as html_title from pages)")(lambda t: H.blocks(t.pages).where("tag = 'title'").groupBy("id").agg(F.min_by("body", "pos").alias("title")))
 # --- nested JSON answers --------------------------------------------------------------------------------------------------
 query("src_julia_json", "select doc_id, coalesce(nullif(case when doc_id % 3 = 0 then '' else text end, ''), nullif(lang, ''), '') as body from documents")(lambda t: t.documents.select("doc_id", F.coalesce(F.nullif(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), F.lit("")), F.nullif("lang", F.lit("")), F.lit("")).alias("body")))
 

@@ -28,7 +28,7 @@ def on_pages(name: str, column: Callable[[], Column], sql: str) -> None:
 @before
 def columns() -> None:
     """Stand-in inputs of the queries below, made anew for each session."""
-    global text, url, html, doc_id, labelled, ruling, case, parties, paper, YEAR, iso, br, spanish, kind, name, title, raw, law, search, header
+    global text, url, html, doc_id, labelled, ruling, case, parties, paper, YEAR, iso, br, spanish, kind, name, title, raw, law, search
     text, url, html, doc_id = F.col("text"), F.col("url"), F.col("html"), F.col("doc_id")
     labelled = F.when(doc_id % 2 == 1, F.concat(F.lit("Acordam. EMENTA: "), text)).otherwise(text)
     ruling = F.concat(F.lit("EMENTA PODER JUDICIARIO x EMENTA 0059104-96.2025 EMENTA: "), F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(" RELATÓRIO "), text)
@@ -45,7 +45,6 @@ def columns() -> None:
     raw = F.lpad(F.concat(doc_id.cast("string"), F.lit("20254058103")), 20, "0")
     law = F.when(doc_id % 6 == 0, F.concat(F.lit("Lei nº 8."), F.lpad(doc_id % 1000, 3, "0"), F.lit("/93"))).when(doc_id % 6 == 1, "LC 80").when(doc_id % 6 == 2, "Decreto-Lei 4.657").when(doc_id % 6 == 3, "Medida Provisória 2.164-41").when(doc_id % 6 == 4, "Decreto n. 03.048").otherwise("Portaria 5")
     search = F.concat(F.regexp_replace(text, "[^A-Za-z ]", " "), F.when(doc_id % 2 == 0, " adj5 Zeta").otherwise(" Zeta alfa"))
-    header = F.array(F.lit("PODER JUDICIÁRIO"), F.concat((1 + doc_id % 7).cast("string"), F.lit("ª TURMA")), F.lit("Sessão do dia: 07/08/2025"), F.concat(F.lit("GAB 5 - Des. "), F.lit("Fulano")))
 
 
 S = {"F": FOLD.format("text")}
@@ -181,11 +180,3 @@ query("fn_sanitize_query", r"""select doc_id, trim(regexp_replace(regexp_replace
   array_to_string(list_sort(list_distinct(regexp_extract_all('auxílio-doença ' || text, '[#!+'';_|-]'))), '') as removed from documents""")(
     lambda t: t.documents.select("doc_id", T.sanitize_query(F.concat(F.lit("auxílio-doença "), text)).alias("s")).select("doc_id", "s.query", F.array_join("s.removed", "").alias("removed"))
 )
-query("fn_list_metadata", "select doc_id, (1 + doc_id % 7) || 'ª Turma' as turma, '07/08/2025' as sessao, 'Des. Fulano' as gabinete from documents")(
-    lambda t: t.documents.select(
-        "doc_id",
-        F.concat(F.element_at(F.filter(F.transform(header, lambda p: F.regexp_extract(F.upper(p), r"(\d+)ª?\s*TURMA", 1)), lambda x: x != ""), -1), F.lit("ª Turma")).alias("turma"),
-        F.element_at(F.filter(F.transform(header, lambda p: F.regexp_extract(F.upper(p), r"SESS[ÃA]O[^:]*:\s*(\d{2}/\d{2}/\d{4})", 1)), lambda x: x != ""), -1).alias("sessao"),
-        F.element_at(F.filter(F.transform(header, lambda p: F.trim(F.regexp_extract(p, r"(?i)GAB[^\-]*-?\s*(DES\.?\s*[\p{L}\s]+)", 1))), lambda x: x != ""), -1).alias("gabinete"),
-    )
-)

@@ -205,9 +205,12 @@ def doc_kind(content: Column) -> Column:
 
 
 def cut_pdf(content: Column) -> Column:
-    """From the first %PDF- to the last end mark, as hex digits; null if there is none."""
-    digits = F.hex(content)
-    return F.nullif(F.regexp_extract(digits, "^(?:..)*?(255044462D(?:..)*2525454F46)", 1), F.lit(""))
+    """The bytes from the first %PDF- to the last end mark after it; null if there is none. A byte is read as a character, so texts of any length are searched in one pass."""
+    text = F.decode(content, "ISO-8859-1")
+    start = F.instr(text, "%PDF-")
+    back = F.instr(F.reverse(text), "FOE%%")
+    length = F.length(text) - back + 2 - start
+    return F.when((start > 0) & (back > 0) & (length >= 10), F.encode(F.substring(text, start, length), "ISO-8859-1"))
 
 
 def whole_texts(spark: SparkSession, path: str, suffixes: tuple[str, ...] = ("txt", "md")) -> DataFrame:

@@ -84,15 +84,6 @@ def label_values(html: Column) -> Column:
     )
 
 
-def jsf_rows(html: Column, prefix: str = "tabelaDocumentos") -> Column:
-    """array<struct(pos, field, value)> of id="prefix:i:field" cells."""
-    pattern = rf'(?s)id="{prefix}:(\d+):(\w+)"[^>]*>(.*?)<'
-    return F.transform(
-        F.arrays_zip(*[F.regexp_extract_all(html, F.lit(pattern), F.lit(i)).alias(n) for i, n in enumerate(("pos", "field", "value"), 1)]),
-        lambda x: F.struct(x["pos"].cast("int").alias("pos"), x["field"].alias("field"), T.collapse(T.unescape(x["value"])).alias("value")),
-    )
-
-
 def catalogue(html: Column) -> Column:
     """array<struct(url, title)> of the links of a list."""
     pattern = r'(?is)<li[^>]*>\s*<a href="([^"]*)"[^>]*>([^<]*)</a>'
