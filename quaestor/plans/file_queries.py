@@ -116,14 +116,13 @@ def _xml(t: Tables) -> DataFrame:
     """The lists of all sources, written as XML texts and read back element by element."""
     path = S.scratch(t.spark, "xml")
     X.write_xml(X.xml_rows(t.documents.select("source", "doc_id", "lang", "text"), "source", "doc_id", ["doc_id", "lang", "text"]), "source", path)
-    read = t.spark.read.format("xml").option("rowTag", "resultado").option("ignoreSurroundingSpaces", False)
-    return read.schema("_indice bigint, doc_id bigint, lang string, text string, source string").load(path)
+    return X.read_xml(t.spark, path, "source", ["doc_id", "lang", "text"])
 
 
 query(
     "snk_xml_results",
     "select source, row_number() over (partition by source order by doc_id) as indice, doc_id, nullif(lang, '') as lang, nullif(text, '') as text from documents",
-)(lambda t: _xml(t).select("source", F.col("_indice").alias("indice"), "doc_id", "lang", "text"))
+)(lambda t: _xml(t).withColumn("doc_id", F.col("doc_id").cast("bigint")))
 
 
 def _reports(t: Tables) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -35,3 +35,19 @@ def xml_rows(rows: DataFrame, group: str, order: str, fields: list[str], root: s
 def write_xml(rows: DataFrame, group: str, path: str) -> None:
     """Rows of xml_rows() as one folder a group; its part files in the order of their names are the text."""
     rows.repartitionByRange(group, "place").sortWithinPartitions(group, "place").select(group, F.col("xml").alias("value")).write.partitionBy(group).text(path)
+
+
+def read_xml(spark: SparkSession, path: str, group: str, fields: list[str]) -> DataFrame:
+    """(group, indice, fields as text) of what write_xml() wrote: the text source cuts at the end of each element, fields left out are null.
+
+    The XML source isn't used: over whole texts it was measured to leave rows out.
+    """
+    elements = spark.read.option("lineSep", "  </resultado>\n").text(path).where(F.contains("value", F.lit('<resultado indice="')))
+
+    def field(name: str) -> Column:
+        value = F.nullif(F.regexp_extract("value", f"<{name}>([^<]*)</{name}>", 1), F.lit(""))
+        for code, sign in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+            value = F.replace(value, F.lit(code), F.lit(sign))
+        return value.alias(name)
+
+    return elements.select(group, F.regexp_extract("value", r'<resultado indice="(\d+)"', 1).cast("bigint").alias("indice"), *map(field, fields))
