@@ -70,6 +70,17 @@ def test_leading_numbers(spark, value, want):
     assert of(spark, value, T.leading_number) == want
 
 
+@pytest.mark.parametrize("line,want", [
+    ("er vergab alles des schpfschkeit in ststzu von 3", None),
+    ("gabine vides destino", None),
+    ("Gab. 5 modestia", None),
+    ("10ª Turma - GABINETE 33 - DESEMBARGADOR José Ávila", "DESEMBARGADOR José Ávila"),
+    ("Gab Des Fulano", "Des Fulano"),
+])
+def test_syllables_are_no_cabinet(spark, line, want):
+    assert of(spark, [line], T.list_header, "array<string>").gabinete == want
+
+
 def test_topics(spark):
     cites = spark.createDataFrame([("Violência", 1, 7)] * 3 + [("Violência", 1, 2), ("Violência", 1, None), ("Violência", 2, 9), ("Outro", 2, 1), ("Violência", 3, 5)], "topic string, doc bigint, paragraph int")
     got = [tuple(r) for r in O.topic_map(cites, "VIOLENCIA").collect()]
