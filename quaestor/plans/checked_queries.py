@@ -92,14 +92,16 @@ def _analysed(t: Tables) -> DataFrame:
     return store.read()
 
 
-query("snk_meta_json", "select o_orderkey as numero, o_orderpriority as risco, o_orderstatus as estado from orders")(lambda t: _meta(t))
+query("snk_meta_json", "select o_orderkey, cast(json_object('numero', o_orderkey, 'risco', o_orderpriority, 'estado', o_orderstatus) as varchar) as meta, o_orderkey as numero, o_orderpriority as risco, o_orderstatus as estado from orders")(lambda t: _meta(t))
 
 
 def _meta(t: Tables) -> DataFrame:
-    """Metadata as JSON lines in a folder for each state, and read back."""
+    """Metadata as JSON lines in a folder for each state, read back: the text of each line, and what it tells."""
     path = scratch(t.spark, "meta")
-    t.orders.select(F.col("o_orderkey").alias("numero"), F.col("o_orderpriority").alias("risco"), F.col("o_orderstatus").alias("estado")).write.partitionBy("estado").json(path)
-    return t.spark.read.schema("numero bigint, risco string, estado string").json(path)
+    told = F.struct(F.col("o_orderkey").alias("numero"), F.col("o_orderpriority").alias("risco"), F.col("o_orderstatus").alias("estado"))
+    t.orders.select(F.to_json(told, {"ignoreNullFields": "false"}).alias("value"), F.col("o_orderstatus").alias("folder")).write.partitionBy("folder").text(path)
+    lines = t.spark.read.schema("value string, folder string").text(path).select("value", F.from_json("value", "numero bigint, risco string, estado string").alias("m"))
+    return lines.select(F.col("m.numero").alias("o_orderkey"), F.col("value").alias("meta"), "m.*")
 
 
 # --- a cache with state -----------------------------------------------------------------------------------------------------------

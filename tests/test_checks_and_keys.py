@@ -107,3 +107,13 @@ def test_glossary_matches_are_leftmost_and_longest(spark):
     assert matches(docs, spark.createDataFrame([], "term string")).count() == 0
     assert matches(docs.unionByName(docs), spark.createDataFrame([("a b",)], "term string")).count() == 2 * sum(len(marked(t or "", ["a b"])) for t in texts.values())
     assert list(itertools.chain(*got.values()))
+
+
+def test_metadata_lines_come_back_as_text_and_as_fields(spark, tmp_path):
+    from quaestor.plans import catalog
+
+    rows = [(1, 'a "b" \\ é', "O"), (2, None, "F"), (3, "5-LOW", None), (4, "x\ny", "")]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.numero: r for r in catalog.queries()["snk_meta_json"](spark, str(tmp_path)).collect()}
+    assert {k: (r.o_orderkey, r.risco, r.estado) for k, r in got.items()} == {k: (k, risco, estado) for k, risco, estado in rows}
+    assert {k: json.loads(r.meta) for k, r in got.items()} == {k: {"numero": k, "risco": risco, "estado": estado} for k, risco, estado in rows}
