@@ -1,7 +1,7 @@
 """The written index: segments of postings, updated by row and committed by manifests.
 
-A segment holds, sorted by term, (term, field, band, row, tf, dl, positions, places): a place is the number of the sentence, with that of the
-paragraph in its upper half. Beside it lie its rows' lengths, a dictionary, and for each (term, band of rows) the largest tf and the
+A segment holds (term, field, band, row, tf, dl, positions, places), each file sorted by term, so that a search reads the pages of its
+terms: a place is the number of the sentence, with that of the paragraph in its upper half. Beside it lie its rows' lengths, a dictionary, and for each (term, band of rows) the largest tf and the
 least dl, from which a search bounds what a band can score before it reads it. Terms of fewer rows than there are bands have no bounds of
 their own: their postings are as short.
 
@@ -25,6 +25,8 @@ from ..sources.snapshots import Manifests
 WORD = r"([\p{L}\p{N}]+)"
 #: Ids of a band, as a power of two.
 BAND = 9
+#: Bytes of a task's files that are indexed at once: their postings are sorted in memory.
+PART = 32 << 20
 #: Letters of a word's beginning that its deletion neighbours are made from, and most deletions.
 HEAD, DELETIONS = 8, 2
 
@@ -71,6 +73,34 @@ def alike(words: DataFrame, dictionary: DataFrame, distance: str = "distance") -
     return met.where(F.levenshtein("word", "term") <= F.col(distance)).select("word", "term")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt out where their files make fewer tasks than there are cores, or tasks of more than PART bytes; otherwise as they are."""
+    spark = rows.sparkSession
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in rows.inputFiles()]
+    size = sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-size // PART))
+    return rows.repartition(2 * wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
+def postings_of(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """Postings of (row, f_<field>...); those without a term tell rows without a word.
+
+    A row's words are sorted and cut to runs of equal ones where it stands: nothing is grouped or shuffled to count them, so the work on a
+    row needs no more room than the row, and rows of an equal key stay apart.
+    """
+    kind = dict(rows.dtypes)["row"]
+    cut = rows.select("row", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), placed_words(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("words")) for n in fields])).alias("f"))
+    # what is exploded is made once, however often it is read after
+    by_word = F.sort_array(F.transform("f.words", lambda w, i: F.struct(w["term"].alias("term"), i.alias("pos"), w["place"].alias("place"))))
+    sorted_ = cut.select("row", "f.field", F.size("f.words").alias("dl"), F.explode(F.array(by_word)).alias("s"))
+    begins = F.filter(F.sequence(F.lit(0), F.col("dl") - 1), lambda i: (i == 0) | (F.get("s", i)["term"] != F.get("s", i - 1)["term"]))
+    runs = sorted_.select("row", "field", "dl", "s", F.explode(F.array(F.when(F.col("dl") > 0, begins).otherwise(F.array().cast("array<int>")))).alias("b"))
+    at = F.transform("b", lambda i, k: F.slice("s", i + 1, F.coalesce(F.get("b", k + 1), F.col("dl")) - i))
+    held = runs.select("row", "field", "dl", F.explode_outer(at).alias("at"))
+    tf = F.when(F.col("at").isNotNull(), F.size("at")).otherwise(0).cast("bigint")
+    return held.select(F.get("at", F.lit(0))["term"].alias("term"), "field", band(F.col("row"), kind).alias("band"), "row", tf.alias("tf"), F.col("dl").cast("bigint").alias("dl"), F.transform("at", lambda x: x["pos"]).alias("positions"), F.transform("at", lambda x: x["place"]).alias("places"))
+
+
 class Segments:
     """An index in a folder."""
 
@@ -106,31 +136,23 @@ class Segments:
         return tombs + [{"folder": name, "gen": gen, "rows": n}] if n else tombs
 
     def _segment(self, rows: DataFrame, fields: list[str], gen: int) -> dict:
-        """Write the segment of (row, f_<field>...). Texts are dealt by row, so that words need no shuffle to be counted in it."""
-        kind = dict(rows.dtypes)["row"]
-        # a key may stand on several rows: they are told apart until their words are counted
-        dealt = rows.withColumn("_n", F.monotonically_increasing_id()).repartition("_n")
-        cut = dealt.select("_n", "row", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), placed_words(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("words")) for n in fields])).alias("f"))
-        cut = cut.select("_n", "row", "f.field", F.size("f.words").cast("bigint").alias("dl"), F.explode_outer(F.transform("f.words", lambda w, i: F.struct(w["term"].alias("term"), i.alias("pos"), w["place"].alias("place")))).alias("w"))
-        counted = cut.groupBy("_n", "row", "field", F.col("w.term").alias("term")).agg(F.first("dl").alias("dl"), F.array_sort(F.collect_list(F.struct("w.pos", "w.place"))).alias("at"))
-        made = counted.select("term", "field", band(F.col("row"), kind).alias("band"), "row", F.when(F.col("term").isNull(), 0).otherwise(F.size("at")).cast("bigint").alias("tf"), "dl", F.transform("at", lambda x: x["pos"]).alias("positions"), F.transform("at", lambda x: x["place"]).alias("places"))
-        return self._lay(made, gen)
+        """Write the segment of (row, f_<field>...)."""
+        return self._lay(postings_of(dealt(rows), fields), gen)
 
     def _lay(self, postings: DataFrame, gen: int) -> dict:
-        """Write postings, those without a term telling rows without a word, as a segment."""
+        """Write postings, those without a term telling rows without a word, as a segment: each task sorts its own rows' by term, none are shuffled."""
         top = f"segments/{uuid.uuid4().hex}"
         at = f"{self.files.path}/{top}"
-        postings.write.parquet(f"{at}/loose")  # ranges are sampled from what is written, not from the texts again
-        loose = self.spark.read.schema(postings.schema).parquet(f"{at}/loose")
-        loose.where("term is not null").repartitionByRange("term", "field", "band", "row").sortWithinPartitions("term", "field", "band", "row").write.option("parquet.block.size", 8 << 20).parquet(f"{at}/postings")
-        sorted_ = self.spark.read.schema(postings.schema).parquet(f"{at}/postings")
+        kind = dict(postings.dtypes)["row"]
+        postings.sortWithinPartitions("term", "field", "band", "row").write.option("parquet.block.size", 8 << 20).parquet(f"{at}/postings")
+        laid = self.spark.read.schema(postings.schema).parquet(f"{at}/postings")
+        sorted_ = laid.where("term is not null")
         # one row for each row and field: from its first word, or from the missing one
-        loose.where("term is null or array_contains(positions, 0)").select("row", "field", "dl").write.parquet(f"{at}/docs")
+        laid.where("term is null or array_contains(positions, 0)").select("row", "field", "dl").write.parquet(f"{at}/docs")
         sorted_.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).sortWithinPartitions("term").write.parquet(f"{at}/dictionary")
-        bands = sorted_.agg(F.approx_count_distinct("band")).first()[0]
+        bands = self.spark.read.parquet(f"{at}/docs").agg(F.approx_count_distinct(band(F.col("row"), kind))).first()[0]
         often = self.spark.read.parquet(f"{at}/dictionary").where(F.col("df") >= bands).select("term", "field")
-        sorted_.join(often, ["term", "field"], "left_semi").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")).repartitionByRange("term").sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
-        self.files.drop(f"{top}/loose")
+        sorted_.join(often, ["term", "field"], "left_semi").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")).sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
         return {"folder": top, "gen": gen, "bands": bands, "schema": postings.schema.jsonValue()}
 
     def _commit(self, segments: list[dict], tombs: list[dict], fields: list[str]) -> int:
@@ -164,6 +186,7 @@ class Segments:
         for s in self.held["segments"]:
             reader = self.spark.read.schema(StructType.fromJson(s["schema"])) if name == "postings" else self.spark.read
             rows = reader.parquet(f"{self.files.path}/{s['folder']}/{name}")
+            rows = rows.where("term is not null") if name == "postings" else rows
             later = [t["folder"] for t in self.held["tombs"] if t["gen"] > s["gen"]]
             if later:
                 rows = rows.join(self.spark.read.parquet(*[f"{self.files.path}/{x}" for x in later]).distinct(), "row", "left_anti")
@@ -205,12 +228,3 @@ class Segments:
     def sizes(self) -> dict[str, list[int]]:
         """Rows and words of each field."""
         return self.held.get("sizes", {})
-
-    def forms(self) -> DataFrame:
-        """(form, term) of the dictionary, sorted by form; written once for each version."""
-        name = f"forms/{self.version:012d}"
-        at = f"{self.files.path}/{name}"
-        if not self.files._fs.exists(self.files._at(f"{name}/_SUCCESS")):
-            made = self.dictionary().select("term").distinct().select("term", F.explode(near_forms(F.col("term"))).alias("form"))
-            made.repartitionByRange("form").sortWithinPartitions("form").write.mode("overwrite").parquet(at)
-        return self.spark.read.parquet(at)

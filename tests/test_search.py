@@ -157,3 +157,15 @@ def test_sentences_paragraphs_and_groups(spark):
 def test_similar_words_count_bytes(spark):
     docs = spark.createDataFrame([(1, "onthe onte onße oßte onthé onth")], "doc_id bigint, text string")
     assert {r.term for r in Index(docs).similar_words("onthe", 2).collect()} == {"onthe", "onte", "onße", "onth"}  # oßte: two letters, three bytes
+
+
+def test_words_are_counted_where_their_row_stands(spark):
+    from quaestor.operators.index import postings_of
+
+    rows = [(1, "b a b. A\nb"), (1, "c"), (2, None), (3, "--"), (4, "x " * 3000 + "y")]
+    made = postings_of(spark.createDataFrame(rows, "row bigint, f_text string"), ["text"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan and "Sort" not in plan
+    got = sorted((r.row, r.term or "", r.tf, r.dl, r.positions, [(p >> 32, p & 0xFFFFFFFF) for p in r.places or []]) for r in made.where("row < 4").collect())
+    assert got == [(1, "a", 2, 5, [1, 3], [(0, 0), (0, 1)]), (1, "b", 3, 5, [0, 2, 4], [(0, 0), (0, 0), (1, 0)]), (1, "c", 1, 1, [0], [(0, 0)]), (2, "", 0, 0, None, []), (3, "", 0, 0, None, [])]
+    assert {(r.term, r.tf, r.dl, r.positions[-1]) for r in made.where("row = 4").collect()} == {("x", 3000, 3001, 2999), ("y", 1, 3001, 3000)}
