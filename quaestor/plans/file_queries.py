@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,11 +16,7 @@ LINES = "list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), l
 def _made(rows: DataFrame, make) -> DataFrame:
     """(path, content): a file of each row, by a function of the row's values."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"path": batch["path"], "content": [make(*r) for r in batch.drop(columns="path").itertuples(index=False)]})
-
-    return rows.mapInPandas(run, "path string, content binary")
+    return S.by_row(rows, lambda path, *values: (path, make(*values)), "path string, content binary")
 
 
 # --- word-processor archives ----------------------------------------------------------------------------------------
