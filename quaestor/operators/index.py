@@ -13,16 +13,26 @@ built anew.
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import text as T
+from ..sources.files import bound_batches
 from ..sources.snapshots import Manifests
 
-WORD = r"([\p{L}\p{N}]+)"
+#: A word, a line's end, or a sentence's.
+TOKEN = re.compile(r"[^\W_]+|\n|(?<=[.!?])[ \t\x0b\f\r]+")
+#: Bytes of bodies that are cut to words at once.
+SLICE = 1 << 20
 #: Ids of a band, as a power of two.
 BAND = 9
 #: Bytes of a task's files that are indexed at once: their postings are sorted in memory.
@@ -36,15 +46,6 @@ def band(row: Column, kind: str) -> Column:
     return F.shiftright(row, BAND) if kind in ("tinyint", "smallint", "int", "bigint") else F.pmod(F.xxhash64(row), F.lit(1 << 16))
 
 
-def placed_words(text: Column) -> Column:
-    """array<struct(place, term)> of the folded words. Lines are paragraphs; a sentence ends with . ! or ? before white space, or its paragraph."""
-
-    def words(p: Column, i: Column) -> Column:
-        return F.flatten(F.transform(F.split(p, r"(?<=[.!?])\s+"), lambda s, j: F.transform(F.regexp_extract_all(s, F.lit(WORD), F.lit(1)), lambda w: F.struct((F.shiftleft(i.cast("bigint"), 32) + j).alias("place"), w.alias("term")))))
-
-    return F.flatten(F.transform(F.split(T.fold(text), "\n"), words))
-
-
 def paragraph(place: Column) -> Column:
     return F.shiftright(place, 32)
 
@@ -82,23 +83,84 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(2 * wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose bodies have about SLICE bytes together; a longer body is a slice of its own."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column("body")).to_pylist()):
+        if i > start and held + n > SLICE:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    yield batch.slice(start)
+
+
+_MARKS: dict[str, frozenset[str]] = {}
+
+
+def marks(spark: SparkSession) -> frozenset[str]:
+    """Letters and digits that Python knows and the JVM's regular expressions, by an older Unicode, take for marks, as WORD does in queries."""
+    if "marks" not in _MARKS:
+        every = "".join(c for c in map(chr, range(128, 0x110000)) if c.isalnum())
+        left = spark.range(1).select(F.regexp_replace(F.lit(every), r"[\p{L}\p{N}]", "").alias("left")).first().left
+        _MARKS["marks"] = frozenset(left)
+    return _MARKS["marks"]
+
+
+def _counted(batch: pa.RecordBatch, marks: frozenset[str]) -> pa.RecordBatch:
+    """Postings of rows (row, field, body): each body's words, placed and cut to runs of equal ones. Lines are paragraphs; a
+    sentence ends with . ! or ? before white space, or its paragraph."""
+    bodies = [x if x.isascii() or marks.isdisjoint(x) else x.translate(dict.fromkeys(map(ord, marks), "-")) for x in batch.column("body").to_pylist()]
+    found = [TOKEN.findall(x) for x in bodies]
+    sizes = np.array([len(x) for x in found], np.int64)
+    own = np.repeat(np.arange(len(found)), sizes)
+    tokens = pa.array(list(itertools.chain.from_iterable(found)), pa.string()).dictionary_encode()
+    kinds = np.array([1 if t == "\n" else 2 if t[0] in " \t\x0b\f\r" else 0 for t in tokens.dictionary.to_pylist()] or [0], np.int8)
+    code = np.asarray(tokens.indices).astype(np.int64)
+    kind = kinds[code]
+    line, stop, at = np.cumsum(kind == 1), np.cumsum(kind == 2), np.arange(len(kind))
+    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    last = np.maximum.accumulate(np.where(kind == 1, at, begin))
+    par, sent = line - line[begin] + (kind[begin] == 1), stop - stop[last] + (kind[last] == 2)
+    word = kind == 0
+    own, code, place = own[word], code[word], (par << 32 | sent)[word]
+    dl = np.bincount(own, minlength=len(found))
+    pos = np.arange(len(own)) - np.repeat(np.cumsum(dl) - dl, dl)
+    key = own * len(kinds) + code
+    order = np.argsort(key, kind="stable")
+    edge = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0, True]) if len(key) else np.zeros(1, np.int64)
+    run, off = order[edge[:-1]], pa.array(edge, pa.int32())
+    bare = np.flatnonzero(dl == 0)  # rows without a word
+    of, none = np.r_[own[run], bare], len(bare)
+    cols = [
+        pa.concat_arrays([tokens.dictionary.take(pa.array(code[run])), pa.nulls(none, pa.string())]),
+        batch.column("field").take(pa.array(of)),
+        batch.column("row").take(pa.array(of)),
+        pa.array(np.r_[np.diff(edge), np.zeros(none, np.int64)]),
+        pa.array(dl[of]),
+        *[pa.concat_arrays([pa.ListArray.from_arrays(off, pa.array(v[order], kind)), pa.nulls(none, pa.list_(kind))]) for v, kind in ((pos, pa.int32()), (place, pa.int64()))],
+    ]
+    return pa.RecordBatch.from_arrays(cols, names=["term", "field", "row", "tf", "dl", "positions", "places"])
+
+
 def postings_of(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Postings of (row, f_<field>...); those without a term tell rows without a word.
 
-    A row's words are sorted and cut to runs of equal ones where it stands: nothing is grouped or shuffled to count them, so the work on a
-    row needs no more room than the row, and rows of an equal key stay apart.
+    A row's words are counted where it stands: nothing is grouped or shuffled to count them, so a task holds a slice of rows, or one row
+    that is longer, and rows of an equal key stay apart.
     """
-    kind = dict(rows.dtypes)["row"]
-    cut = rows.select("row", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), placed_words(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("words")) for n in fields])).alias("f"))
-    # what is exploded is made once, however often it is read after
-    by_word = F.sort_array(F.transform("f.words", lambda w, i: F.struct(w["term"].alias("term"), i.alias("pos"), w["place"].alias("place"))))
-    sorted_ = cut.select("row", "f.field", F.size("f.words").alias("dl"), F.explode(F.array(by_word)).alias("s"))
-    begins = F.filter(F.sequence(F.lit(0), F.col("dl") - 1), lambda i: (i == 0) | (F.get("s", i)["term"] != F.get("s", i - 1)["term"]))
-    runs = sorted_.select("row", "field", "dl", "s", F.explode(F.array(F.when(F.col("dl") > 0, begins).otherwise(F.array().cast("array<int>")))).alias("b"))
-    at = F.transform("b", lambda i, k: F.slice("s", i + 1, F.coalesce(F.get("b", k + 1), F.col("dl")) - i))
-    held = runs.select("row", "field", "dl", F.explode_outer(at).alias("at"))
-    tf = F.when(F.col("at").isNotNull(), F.size("at")).otherwise(0).cast("bigint")
-    return held.select(F.get("at", F.lit(0))["term"].alias("term"), "field", band(F.col("row"), kind).alias("band"), "row", tf.alias("tf"), F.col("dl").cast("bigint").alias("dl"), F.transform("at", lambda x: x["pos"]).alias("positions"), F.transform("at", lambda x: x["place"]).alias("places"))
+    kind = rows.schema["row"].dataType.simpleString()
+    bodies = F.array(*[F.struct(F.lit(n).alias("field"), T.fold(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("body")) for n in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                if part.num_rows:
+                    yield _counted(part, unknown)
+
+    unknown = marks(rows.sparkSession)
+    bound_batches(rows.sparkSession)
+    made = rows.select("row", F.explode(bodies).alias("f")).select("row", "f.field", "f.body").mapInArrow(run, f"term string, field string, row {kind}, tf bigint, dl bigint, positions array<int>, places array<bigint>")
+    return made.select("term", "field", band(F.col("row"), kind).alias("band"), "row", "tf", "dl", "positions", "places")
 
 
 class Segments:

@@ -169,3 +169,22 @@ def test_words_are_counted_where_their_row_stands(spark):
     got = sorted((r.row, r.term or "", r.tf, r.dl, r.positions, [(p >> 32, p & 0xFFFFFFFF) for p in r.places or []]) for r in made.where("row < 4").collect())
     assert got == [(1, "a", 2, 5, [1, 3], [(0, 0), (0, 1)]), (1, "b", 3, 5, [0, 2, 4], [(0, 0), (0, 0), (1, 0)]), (1, "c", 1, 1, [0], [(0, 0)]), (2, "", 0, 0, None, []), (3, "", 0, 0, None, [])]
     assert {(r.term, r.tf, r.dl, r.positions[-1]) for r in made.where("row = 4").collect()} == {("x", 3000, 3001, 2999), ("y", 1, 3001, 3000)}
+
+
+def test_words_are_cut_outside_interpreted_functions_and_as_queries_cut_them(spark):
+    from pyspark.sql import functions as F
+
+    from quaestor.functions import text as T
+    from quaestor.operators.index import postings_of
+
+    letters = ["".join(f"{chr(c)}a{chr(c)} " for c in range(a, a + 2048) if not 0xD800 <= c < 0xE000) for a in range(1, 0x20000, 2048)]
+    texts = [*letters, "", None, ". x", "a.\n\nb. c!? d\n", "a_b __ _c", "one.\t two.\x0b three.\xa0 four. \r\nfive", "İ ẞ Σας ΟΔΟΣ", "y " * 5000]
+    rows = spark.createDataFrame([(k, t, (t or "")[::-1]) for k, t in enumerate(texts)], "row bigint, f_a string, f_b string")
+    made = postings_of(rows, ["a", "b"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambda" not in plan
+    for name in ("a", "b"):
+        words = F.regexp_extract_all(T.fold(F.coalesce(F.col(f"f_{name}"), F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+        told = rows.select("row", F.posexplode(words).alias("pos", "term"))
+        ours = made.where(F.col("field") == name).select("row", F.explode("positions").alias("pos"), "term")
+        assert told.exceptAll(ours).isEmpty() and ours.exceptAll(told).isEmpty() and ours.count() > 1000
