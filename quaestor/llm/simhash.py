@@ -13,7 +13,8 @@ anchor, at most one link per class, never all pairs. Anchors with more than ``ho
 the other block, radius 1 + ceil(4/2); such a bucket can hold at most 529 x 5489 different fingerprints. Components
 come from alternating large-star and small-star rounds, each written to the shared folder.
 
-``duplicates``, the pipeline's route, finds all pairs of a Jaccard similarity by keys of shingle segments, not by anchors.
+``duplicates``, the pipeline's route, judges by Jaccard similarity: texts whose fingerprints meet at an anchor are compared
+first; fingerprints lose pairs at a similarity of 0.8, so keys of shingle segments find the links between texts still apart.
 
 Defined results: null or wordless text has fingerprint zero, and is linked like any other; ties in a bit's vote give 0.
 """
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import discard, mix64, spread, written
+from .common import discard, mix64, release, spread, written
 from .urlfilter import filter_words, passes
 
 BLOCK = 32
@@ -68,6 +69,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text_col: str, width: int, wo
     odd = [1] + [int(x) | 1 for x in np.random.default_rng(6).integers(1 << 40, 1 << 63, words - 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             out = []
             for x in batch.column("_text"):
@@ -167,6 +169,7 @@ def _linker(words: int, limit: int):
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         kept_k = np.zeros((0, 2), np.int64)
         kept_f = np.zeros((0, words), np.uint64)
         for batch in itertools.chain(batches, [None]):
@@ -338,24 +341,26 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def set_names(docs: DataFrame, width: int) -> DataFrame:
-    """(_id, c, n, bits) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves;
-    n is their number, bits their parity bits."""
+    """(_id, c, n, bits, fp) of docs (_id, _body): c names the set of different shingles, by 64 bits as the shingles themselves;
+    n is their number, bits their parity bits, fp their fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 sets = _sets_of(part, width)
-                cols = [part.column("_id"), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["_id", "c", "n", "bits"])
+                cols = [part.column("_id"), pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary()), pa.array(np.array([vote(x) for x in sets], _U).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, names=["_id", "c", "n", "bits", "fp"])
 
-    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint, n int, bits binary")
+    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, c bigint, n int, bits binary, fp bigint")
 
 
 def dealt_sets(docs: DataFrame, width: int, least: float) -> DataFrame:
     """(key, c, n) of the different sets of docs; a task deals a set once, however many copies it reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
@@ -403,6 +408,7 @@ def _proposer(least: float, hot: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for cols, edge in _runs(batches):
             c, n, size = cols["c"], cols["n"], np.diff(edge)
             a, b = [], []
@@ -436,6 +442,7 @@ def _between(least: float, few: bool):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for cols, edge in _runs(batches):
             a, b = [], []
             for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -474,6 +481,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
@@ -487,6 +495,7 @@ def possible(edges: DataFrame, kinds: DataFrame, least: float) -> DataFrame:
     """The edges (a, b) that the parity bits allow to be similar: no similar one is left out, and sets needn't be moved for the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             good = []
             for m, n, x, y in zip(batch.column("a_n").to_pylist(), batch.column("b_n").to_pylist(), batch.column("a_bits").to_pylist(), batch.column("b_bits").to_pylist(), strict=True):
@@ -503,6 +512,7 @@ def similar(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The edges (a, b) whose shingle sets, of sets (c, shingles), have a Jaccard similarity of ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             good = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
@@ -526,13 +536,26 @@ def _ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("c")).unionByName(edges.select(F.col("b").alias("c"))).distinct()
 
 
+def anchored(kinds: DataFrame, limit: int = 4) -> DataFrame:
+    """Pairs (a, b), a < b, of the sets kinds (c, n, fp): those of one fingerprint with the least of them, and the least ones of
+    fingerprints that differ in at most ``limit`` bits, by the links that anchors find."""
+    sets = kinds.where("n > 0").select("fp", "c")
+    heads = written(sets.groupBy("fp").agg(F.min("c").alias("head")), "heads")
+    alike = sets.join(heads, "fp").where("c != head").select(F.col("head").alias("a"), F.col("c").alias("b"))
+    met = written(links(heads.select(F.array("fp").alias("fp")), 1, limit, limit // 2).select(F.col("a")[0].alias("x"), F.col("b")[0].alias("y")).distinct(), "anchors")
+    ends = [heads.select(F.col("fp").alias(e), F.col("head").alias(f"{e}_head")) for e in ("x", "y")]
+    across = met.join(ends[0], "x").join(ends[1], "y").select(F.least("x_head", "y_head").alias("a"), F.greatest("x_head", "y_head").alias("b"))
+    return alike.unionByName(across).distinct()
+
+
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 8) -> DataFrame:
     """(id, component_id): components of the links between texts whose sets of shingles have a Jaccard similarity of ``least``.
 
-    Complete: every such pair shares a key (segment_keys). Keys of up to ``hot`` sets propose all their pairs; a larger key
-    proposes two stars. What the parity bits rule out is dropped. Sets are compared exactly, first each with its least
-    partner, then as many pairs of the larger keys as could join their sets; at last, among sets that are not yet in one
-    component, all other pairs, those of the larger keys included.
+    Sets whose fingerprints meet at an anchor are compared first. Complete: every such pair shares a key (segment_keys). Keys of
+    up to ``hot`` sets propose all their pairs; a larger key proposes two stars. What the parity bits rule out is dropped. Sets
+    that anchors have not joined are compared exactly, first each with its least partner, then as many pairs of the larger keys
+    as could join their sets; at last, among sets that are not yet in one component, all other pairs, those of the larger keys
+    included.
     Wordless texts are linked to each other only. A null id is a document like any other, but names no component of ids: one without
     an id is null.
     """
@@ -541,14 +564,11 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")) if own else F.col(id_col)
     few = spread(docs.select(key.alias("_id"), F.col(text_col).alias("_body")))
     marked = written(set_names(few, width), "marked")
-    kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ("n", "bits")]), "kinds")
+    kinds = written(marked.groupBy("c").agg(F.min("_id").alias("_id"), *[F.first(x).alias(x) for x in ("n", "bits", "fp")]), "kinds")
     met = dealt_sets(few, width, least).repartition("key").sortWithinPartitions("key", "c")
     met = written(met.mapInArrow(_proposer(least, hot), "a bigint, b bigint, big boolean"), "met")
     near = written(possible(met.where("not big").select("a", "b").distinct(), kinds, least), "near")
     big = met.where("big").select(F.col("a").alias("key"), F.col("b").alias("c"))
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    partner = both.groupBy("a").agg(F.min("b").alias("b"))
-    first = written(partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "first")
 
     def compared(edges: DataFrame) -> DataFrame:
         """The similar ones of edges; only the texts at their ends are gathered."""
@@ -569,21 +589,32 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         alike = [F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("total"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("mixed")]
         split = rows.groupBy("key").agg(*alike, F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x < _y")
         split = written(split.groupBy("m", "total", "mixed").agg(F.min("key").alias("key")).select("key"), "split")
-        rows = rows.join(split, "key", "left_semi").join(kinds.drop("_id"), "c")
+        rows = rows.join(split, "key", "left_semi").join(kinds.drop("_id", "fp"), "c")
         rows = rows.select("key", "c", "root", "n", "bits").repartition("key").sortWithinPartitions("key", "c")
         return rows.mapInArrow(_between(least, few_pairs), "a bigint, b bigint").distinct()
 
-    done, edges = first, compared(first)
+    def apart(edges: DataFrame, tree: DataFrame) -> DataFrame:
+        """The edges between different trees."""
+        ends = [tree.select(F.col("c").alias(e), F.col("root").alias(f"{e}_root")) for e in ("a", "b")]
+        return edges.join(ends[0], "a", "left").join(ends[1], "b", "left").where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
+
+    done = written(possible(anchored(kinds), kinds, least), "anchored")
+    edges = compared(done)
     tree = written(_tree(edges), "tree")
+    left = apart(near, tree)
+    partner = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
+    first = partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = written(first.join(done, ["a", "b"], "left_anti"), "first")
+    if not first.isEmpty():
+        done, edges = done.unionByName(first), edges.unionByName(compared(first))
+        tree = written(_tree(edges), "tree")
     hot_keys = not big.isEmpty()
     if hot_keys:
         more = written(of_large_keys(tree, True).join(done, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
             done, edges = done.unionByName(more), edges.unionByName(compared(more))
             tree = written(_tree(edges), "tree")
-    ends = [tree.select(F.col("c").alias(e), F.col("root").alias(f"{e}_root")) for e in ("a", "b")]
-    apart = near.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    rest = apart.where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
+    rest = apart(near, tree)
     if hot_keys:
         rest = rest.unionByName(of_large_keys(tree, False)).distinct()
     rest = written(rest.join(done, ["a", "b"], "left_anti"), "rest")

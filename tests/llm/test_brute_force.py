@@ -69,6 +69,15 @@ def test_pieces_equal_the_library():
         assert b" ".join(r[2] for r in table.look_up([t])[0]).decode() == lib.decode(want)
 
 
+def test_chunks_met_again_outlive_their_table(monkeypatch):
+    path = queries.tokenizer("piece_bpe_32k.model")
+    table = pieces.ChunkTable(path, most=50)
+    table.look_up([" ".join(f"w{k}" for k in range(60))])
+    monkeypatch.setattr(table, "_segmented", lambda chunks: pytest.fail("segmented again"))
+    table.look_up(["w3 w4"])
+    assert set(table.table) == {"w3", "w4"} and pieces.ChunkTable(path).most <= 60_000
+
+
 def brute_spans(raws, length):
     seen = {}
     for k, c in enumerate(raws):
@@ -314,6 +323,21 @@ def test_large_keys_lose_no_link(spark):
         assert {r.doc_id: r.component_id for r in simhash.duplicates(df, hot=hot).collect()} == want
 
 
+def test_similar_texts_meet_at_anchors_first(spark, monkeypatch):
+    """Close copies are joined by fingerprint anchors; keys of segments add the links that fingerprints lose."""
+    rng = random.Random(14)
+    texts = []
+    for k in range(40):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(400)]
+        texts += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(words[:-1])), (3 * k + 2, " ".join(altered(words, 8, rng)))]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    want = brute_similar(texts)
+    assert {r.doc_id: r.component_id for r in simhash.duplicates(df).collect()} == want
+    monkeypatch.setattr(simhash, "_proposer", lambda least, hot: lambda batches: iter(()))
+    alone = {r.doc_id: r.component_id for r in simhash.duplicates(df).collect()}
+    assert sum(alone[3 * k + 1] == 3 * k for k in range(40)) >= 36 and all(r in (i, want[i]) for i, r in alone.items())
+
+
 def test_word_statistics(docs, rows):
     got = {r.doc_id: r for r in outliers.judge(docs).collect()}
     for r in rows:
