@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_batches, spread, utf8_parts, written
+from .common import byte_batches, release, spread, utf8_parts, written
 
 BUCKETS = 1 << 14
 #: Languages whose grams a task holds at a time.
@@ -66,6 +66,7 @@ def _gram_counts(rows: DataFrame, langs: list[str]) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(n)], names=["lang", "bucket", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             own = np.array([place.get(x, -1) for x in batch.column("declared").to_pylist()], dtype=np.int64)
@@ -96,6 +97,7 @@ def _scored(rows: DataFrame, table: np.ndarray) -> DataFrame:
     keep = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for a, b in byte_batches(batch, "text"):
                 data, off = utf8_parts(batch.column("text").slice(a, b - a))

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, spread, written
+from .common import discard, release, spread, written
 
 PASSAGE = 48
 STEP = 24
@@ -103,6 +103,7 @@ def _occurrences(docs: DataFrame, block: Block) -> DataFrame:
     """(id, h, words, terms, places) of every document: its number of words, and the benchmark's terms with their places, four bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for first, texts in _parts(batch):
                 own, pos, term, words = block.flat(texts)
@@ -119,6 +120,7 @@ def _frequencies(found: DataFrame, n: int) -> tuple[np.ndarray, int]:
     """Passages that hold each of n terms; number of passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total = np.zeros(n, np.int64)
         for batch in batches:
             for own, place, term, _ in _flat_lists(batch):
@@ -201,6 +203,7 @@ def _normal_product(found: DataFrame, weight: np.ndarray, omega: np.ndarray, spl
     shape = omega.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total = np.zeros(shape, np.float32)
         for batch in batches:
             for own, place, term, _ in _flat_lists(batch):
@@ -261,6 +264,7 @@ def _candidates(found: DataFrame, block: Block, image: np.ndarray, items: np.nda
         return pa.RecordBatch.from_arrays([*rows.columns, pa.array(item.astype(np.int32)), pa.array(at.astype(np.int32))], names=["id", "h", "item", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for own, place, term, part in _flat_lists(batch):
                 if not len(own):
@@ -317,6 +321,7 @@ def _checked(docs: DataFrame, candidates: DataFrame, block: Block, lcs: float, l
         return best
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         """Over rows by id and h, a text before the candidates of it."""
         own, text, words = None, None, None
         for batch in batches:

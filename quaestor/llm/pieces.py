@@ -6,8 +6,8 @@ and the characters up to the next run, that the library segments independently o
 chunks, has the library segment each chunk that its table lacks, once, and joins ids and decoded text back by position.
 
 The table is each task's own: joining one table for the corpus would shuffle a row for every different chunk of every
-batch, or the texts themselves, to save what is a few per cent of lookups. It is bounded: beyond ``most`` chunks it is
-emptied. A lost task is repeated from its input alone; there is no shuffle at all.
+batch, or the texts themselves, to save what is a few per cent of lookups. It is bounded: beyond ``most`` chunks it makes
+way for a new one, to which the chunks that are met again move. A lost task is repeated from its input alone; there is no shuffle at all.
 
 Defined results: null text is empty; an empty text has the begin and end ids only and decodes to the empty string.
 """
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread
+from .common import release, spread
 
 MARK = "\u2581"
 _RUNS = re.compile(r" *[^ ]+| +")
@@ -32,7 +32,7 @@ _RUNS = re.compile(r" *[^ ]+| +")
 class ChunkTable:
     """chunk (without its first marker, markers as spaces) -> (number of ids, ids as little-endian uint32, decoded bytes)."""
 
-    def __init__(self, model: str, most: int = 300_000, longest: int = 256):
+    def __init__(self, model: str, most: int = 60_000, longest: int = 256):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -45,6 +45,7 @@ class ChunkTable:
         self.end = np.array([self.lib.eos_id()], "<u4").tobytes()
         self.most, self.longest = most, longest
         self.table: dict[str, tuple[int, bytes, bytes]] = {}
+        self.older: dict[str, tuple[int, bytes, bytes]] = {}
 
     def _segmented(self, chunks: list[str]) -> list[tuple[int, bytes, bytes]]:
         ids = self.lib.encode(chunks, num_threads=1)
@@ -63,10 +64,13 @@ class ChunkTable:
     def look_up(self, texts: list[str]) -> list[list[tuple[int, bytes, bytes]]]:
         """The rows of each text's chunks, in order."""
         if len(self.table) > self.most:
-            self.table.clear()
+            self.older, self.table = self.table, {}
         split = [self.chunks(t) if t else [] for t in texts]
-        table = self.table
+        table, older = self.table, self.older
         new = list({c for own in split for c in own if c not in table})
+        if older:
+            table.update((c, older[c]) for c in new if c in older)
+            new = [c for c in new if c not in older]
         fresh = dict(zip(new, self._segmented(new), strict=True)) if new else {}
         table.update((c, r) for c, r in fresh.items() if len(c) <= self.longest)
         long = {c: r for c, r in fresh.items() if len(c) > self.longest}
@@ -97,6 +101,7 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = ChunkTable(model)
         for batch in batches:
             at = 0
