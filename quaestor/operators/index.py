@@ -1,6 +1,6 @@
 """The written index: segments of postings, updated by row and committed by manifests.
 
-A segment holds (term, field, band, row, tf, dl, positions, places), each file sorted by term, so that a search reads the pages of its
+A segment holds (term, field, band, row, tf, dl, head, positions, places), in runs sorted by term, so that a search reads the pages of its
 terms: a place is the number of the sentence, with that of the paragraph in its upper half. Beside it lie its rows' lengths, a dictionary, and for each (term, band of rows) the largest tf and the
 least dl, from which a search bounds what a band can score before it reads it. Terms of fewer rows than there are bands have no bounds of
 their own: their postings are as short.
@@ -13,8 +13,6 @@ built anew.
 from __future__ import annotations
 
 import functools
-import itertools
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -29,14 +27,12 @@ from ..functions import text as T
 from ..sources.files import bound_batches
 from ..sources.snapshots import Manifests
 
-#: A word, a line's end, or a sentence's.
-TOKEN = re.compile(r"[^\W_]+|\n|(?<=[.!?])[ \t\x0b\f\r]+")
-#: Bytes of bodies that are cut to words at once.
-SLICE = 1 << 20
+#: Bytes of bodies that are cut to words and sorted by term at once, and postings that are handed over at once.
+RUN, ROWS = 4 << 20, 50_000
 #: Ids of a band, as a power of two.
 BAND = 9
-#: Bytes of a task's files that are indexed at once: their postings are sorted in memory.
-PART = 32 << 20
+#: Bytes of files for each task.
+PART = 128 << 20
 #: Letters of a word's beginning that its deletion neighbours are made from, and most deletions.
 HEAD, DELETIONS = 8, 2
 
@@ -83,15 +79,19 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(2 * wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch whose bodies have about SLICE bytes together; a longer body is a slice of its own."""
-    start, held = 0, 0
-    for i, n in enumerate(pc.binary_length(batch.column("body")).to_pylist()):
-        if i > start and held + n > SLICE:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    yield batch.slice(start)
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of batches whose bodies have about RUN bytes together; a longer body is a run of its own."""
+    kept, held = [], 0
+    for batch in batches:
+        start = 0
+        for i, n in enumerate(pc.binary_length(batch.column("body")).to_pylist()):
+            if held and held + n > RUN:
+                yield pa.concat_batches([*kept, batch.slice(start, i - start)])
+                kept, start, held = [], i, 0
+            held += n
+        kept.append(batch.slice(start))
+    if kept:
+        yield pa.concat_batches(kept)
 
 
 _MARKS: dict[str, frozenset[str]] = {}
@@ -106,61 +106,94 @@ def marks(spark: SparkSession) -> frozenset[str]:
     return _MARKS["marks"]
 
 
+def _tables(marks: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each code point what it is folded to, and its kind: 1 of a word, 2 a line's end, 3 white space in a line, 4 a sentence's last sign."""
+    if marks not in _KINDS:
+        points = np.arange(0x110000, dtype=np.uint32)
+        points[[ord(c) for c in T.ACCENTED]] = [ord(c) for c in T.PLAIN]
+        kinds = np.array([c.isalnum() and c not in marks for c in map(chr, range(0x110000))], np.uint8)[points]
+        for signs, kind in (("\n", 2), (" \t\x0b\f\r", 3), (".!?", 4)):
+            kinds[[ord(c) for c in signs]] = kind
+        _KINDS[marks] = points, kinds
+    return _KINDS[marks]
+
+
+_KINDS: dict[frozenset[str], tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _words(points: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Strings of code points, up to each end."""
+    if points.max(initial=0) < 0x80:
+        raw = points.astype(np.uint8)
+    else:
+        wide = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        ends = np.r_[0, np.cumsum(wide)][ends]
+        raw = points.tobytes().decode("utf-32-le").encode()
+    return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(raw))
+
+
 def _counted(batch: pa.RecordBatch, marks: frozenset[str]) -> pa.RecordBatch:
-    """Postings of rows (row, field, body): each body's words, placed and cut to runs of equal ones. Lines are paragraphs; a
-    sentence ends with . ! or ? before white space, or its paragraph."""
-    bodies = [x if x.isascii() or marks.isdisjoint(x) else x.translate(dict.fromkeys(map(ord, marks), "-")) for x in batch.column("body").to_pylist()]
-    found = [TOKEN.findall(x) for x in bodies]
-    sizes = np.array([len(x) for x in found], np.int64)
-    own = np.repeat(np.arange(len(found)), sizes)
-    tokens = pa.array(list(itertools.chain.from_iterable(found)), pa.string()).dictionary_encode()
-    kinds = np.array([1 if t == "\n" else 2 if t[0] in " \t\x0b\f\r" else 0 for t in tokens.dictionary.to_pylist()] or [0], np.int8)
-    code = np.asarray(tokens.indices).astype(np.int64)
-    kind = kinds[code]
-    line, stop, at = np.cumsum(kind == 1), np.cumsum(kind == 2), np.arange(len(kind))
-    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    last = np.maximum.accumulate(np.where(kind == 1, at, begin))
-    par, sent = line - line[begin] + (kind[begin] == 1), stop - stop[last] + (kind[last] == 2)
-    word = kind == 0
-    own, code, place = own[word], code[word], (par << 32 | sent)[word]
-    dl = np.bincount(own, minlength=len(found))
+    """Postings of rows (row, field, body) by term, those of rows without a word last: each body's words, placed and cut to runs of equal
+    ones. Bodies are in lower case already. Lines are paragraphs; a sentence ends with . ! or ? before white space, or its paragraph."""
+    folded, kinds = _tables(marks)
+    bodies = batch.column("body").to_pylist()
+    points = np.frombuffer("".join([x + "\0" for x in bodies]).encode("utf-32-le"), np.uint32)  # a zero after each body parts it from the next
+    first = np.cumsum([0, *[len(x) + 1 for x in bodies]])
+    kind = kinds[points]
+    inner = np.r_[False, kind == 1, False]
+    starts, ends = np.flatnonzero(inner[1:-1] & ~inner[:-2]), np.flatnonzero(inner[1:-1] & ~inner[2:]) + 1
+    lines, stops = np.flatnonzero(kind == 2), np.flatnonzero((kind[1:] == 3) & (kind[:-1] == 4)) + 1
+    own = np.searchsorted(first, starts, "right") - 1
+    # lines before a word in its body, and sentences that ended since its line or body began
+    line = np.searchsorted(lines, starts)
+    par = line - np.searchsorted(lines, first)[own]
+    since = np.maximum(first[own], np.r_[0, lines][line])
+    place = par << 32 | np.searchsorted(stops, starts) - np.searchsorted(stops, since)
+    tokens = _words(folded[points[inner[1:-1]]], np.cumsum(ends - starts)).dictionary_encode()
+    terms = tokens.dictionary.cast(pa.string())
+    rank = np.empty(len(terms), np.int64)
+    by = pc.array_sort_indices(terms)
+    rank[np.asarray(by)] = np.arange(len(terms))
+    terms, code = terms.take(by), rank[np.asarray(tokens.indices)]
+    dl = np.bincount(own, minlength=len(bodies))
     pos = np.arange(len(own)) - np.repeat(np.cumsum(dl) - dl, dl)
-    key = own * len(kinds) + code
+    key = code * len(bodies) + own
     order = np.argsort(key, kind="stable")
     edge = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0, True]) if len(key) else np.zeros(1, np.int64)
     run, off = order[edge[:-1]], pa.array(edge, pa.int32())
     bare = np.flatnonzero(dl == 0)  # rows without a word
     of, none = np.r_[own[run], bare], len(bare)
     cols = [
-        pa.concat_arrays([tokens.dictionary.take(pa.array(code[run])), pa.nulls(none, pa.string())]),
+        pa.concat_arrays([terms.take(pa.array(code[run])), pa.nulls(none, pa.string())]),
         batch.column("field").take(pa.array(of)),
         batch.column("row").take(pa.array(of)),
         pa.array(np.r_[np.diff(edge), np.zeros(none, np.int64)]),
         pa.array(dl[of]),
+        pa.array(np.r_[pos[run] == 0, np.ones(none, bool)]),
         *[pa.concat_arrays([pa.ListArray.from_arrays(off, pa.array(v[order], kind)), pa.nulls(none, pa.list_(kind))]) for v, kind in ((pos, pa.int32()), (place, pa.int64()))],
     ]
-    return pa.RecordBatch.from_arrays(cols, names=["term", "field", "row", "tf", "dl", "positions", "places"])
+    return pa.RecordBatch.from_arrays(cols, names=["term", "field", "row", "tf", "dl", "head", "positions", "places"])
 
 
 def postings_of(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Postings of (row, f_<field>...); those without a term tell rows without a word.
 
-    A row's words are counted where it stands: nothing is grouped or shuffled to count them, so a task holds a slice of rows, or one row
-    that is longer, and rows of an equal key stay apart.
+    A row's words are counted where it stands: nothing is grouped or shuffled to count them, so a task holds a run of rows, or one row
+    that is longer, and rows of an equal key stay apart. ``head`` marks one posting of each row and field. Each run is sorted by term.
     """
     kind = rows.schema["row"].dataType.simpleString()
-    bodies = F.array(*[F.struct(F.lit(n).alias("field"), T.fold(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("body")) for n in fields])
+    bodies = F.array(*[F.struct(F.lit(n).alias("field"), F.lower(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("body")) for n in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch):
-                if part.num_rows:
-                    yield _counted(part, unknown)
+        for part in _runs(batches):
+            made = _counted(part, unknown)
+            for a in range(0, made.num_rows, ROWS):
+                yield made.slice(a, ROWS)
 
     unknown = marks(rows.sparkSession)
     bound_batches(rows.sparkSession)
-    made = rows.select("row", F.explode(bodies).alias("f")).select("row", "f.field", "f.body").mapInArrow(run, f"term string, field string, row {kind}, tf bigint, dl bigint, positions array<int>, places array<bigint>")
-    return made.select("term", "field", band(F.col("row"), kind).alias("band"), "row", "tf", "dl", "positions", "places")
+    made = rows.select("row", F.explode(bodies).alias("f")).select("row", "f.field", "f.body").mapInArrow(run, f"term string, field string, row {kind}, tf bigint, dl bigint, head boolean, positions array<int>, places array<bigint>")
+    return made.select("term", "field", band(F.col("row"), kind).alias("band"), "row", "tf", "dl", "head", "positions", "places")
 
 
 class Segments:
@@ -202,15 +235,15 @@ class Segments:
         return self._lay(postings_of(dealt(rows), fields), gen)
 
     def _lay(self, postings: DataFrame, gen: int) -> dict:
-        """Write postings, those without a term telling rows without a word, as a segment: each task sorts its own rows' by term, none are shuffled."""
+        """Write postings, those without a term telling rows without a word, as a segment. They come in runs sorted by term; none are shuffled."""
         top = f"segments/{uuid.uuid4().hex}"
         at = f"{self.files.path}/{top}"
         kind = dict(postings.dtypes)["row"]
-        postings.sortWithinPartitions("term", "field", "band", "row").write.option("parquet.block.size", 8 << 20).parquet(f"{at}/postings")
+        postings.write.option("parquet.block.size", 8 << 20).parquet(f"{at}/postings")
         laid = self.spark.read.schema(postings.schema).parquet(f"{at}/postings")
         sorted_ = laid.where("term is not null")
         # one row for each row and field: from its first word, or from the missing one
-        laid.where("term is null or array_contains(positions, 0)").select("row", "field", "dl").write.parquet(f"{at}/docs")
+        laid.where("head").select("row", "field", "dl").write.parquet(f"{at}/docs")
         sorted_.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).sortWithinPartitions("term").write.parquet(f"{at}/dictionary")
         bands = self.spark.read.parquet(f"{at}/docs").agg(F.approx_count_distinct(band(F.col("row"), kind))).first()[0]
         often = self.spark.read.parquet(f"{at}/dictionary").where(F.col("df") >= bands).select("term", "field")
@@ -225,8 +258,9 @@ class Segments:
         if len(segments) > self.most:
             old = segments
             docs = self._live_docs()
-            empty = docs.where("dl = 0").select(F.lit(None).cast("string").alias("term"), "field", F.lit(0).cast("bigint").alias("band"), "row", F.lit(0).cast("bigint").alias("tf"), "dl", F.array().cast("array<int>").alias("positions"), F.array().cast("array<bigint>").alias("places"))
-            self.held = {"segments": [self._lay(self.postings().unionByName(empty), self.version + 1)], "tombs": [], "fields": fields}
+            empty = docs.where("dl = 0").select(F.lit(None).cast("string").alias("term"), "field", F.lit(0).cast("bigint").alias("band"), "row", F.lit(0).cast("bigint").alias("tf"), "dl", F.lit(True).alias("head"), F.array().cast("array<int>").alias("positions"), F.array().cast("array<bigint>").alias("places"))
+            every = self.postings().withColumn("head", F.get("positions", F.lit(0)) == 0).unionByName(empty)
+            self.held = {"segments": [self._lay(every.sortWithinPartitions("term", "field", "band", "row"), self.version + 1)], "tombs": [], "fields": fields}
         sizes = {r.field: [r.rows, r.words or 0] for r in self._live_docs().groupBy("field").agg(F.count(F.lit(1)).alias("rows"), F.sum("dl").alias("words")).collect()} if segments else {}
         self.held["sizes"] = sizes
         try:
@@ -248,7 +282,7 @@ class Segments:
         for s in self.held["segments"]:
             reader = self.spark.read.schema(StructType.fromJson(s["schema"])) if name == "postings" else self.spark.read
             rows = reader.parquet(f"{self.files.path}/{s['folder']}/{name}")
-            rows = rows.where("term is not null") if name == "postings" else rows
+            rows = rows.where("term is not null").drop("head") if name == "postings" else rows
             later = [t["folder"] for t in self.held["tombs"] if t["gen"] > s["gen"]]
             if later:
                 rows = rows.join(self.spark.read.parquet(*[f"{self.files.path}/{x}" for x in later]).distinct(), "row", "left_anti")

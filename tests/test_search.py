@@ -188,3 +188,19 @@ def test_words_are_cut_outside_interpreted_functions_and_as_queries_cut_them(spa
         told = rows.select("row", F.posexplode(words).alias("pos", "term"))
         ours = made.where(F.col("field") == name).select("row", F.explode("positions").alias("pos"), "term")
         assert told.exceptAll(ours).isEmpty() and ours.exceptAll(told).isEmpty() and ours.count() > 1000
+
+
+def test_postings_come_in_runs_by_term_and_a_segment_is_written_without_sorting(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quaestor.operators.index import Segments, postings_of
+
+    rows = spark.createDataFrame([(k, f"w{k * 7919 % 1000:03d} {'b' if k % 2 else 'a'} ç{k % 3}") for k in range(900)] + [(900, "--")], "row bigint, f_text string").coalesce(1)
+    made = [(r.term, r.row, r.head) for r in postings_of(rows, ["text"]).collect()]
+    words = [(t, k) for t, k, _ in made if t]
+    assert words == sorted(words) and made[-1] == (None, 900, True)
+    assert sorted(k for _, k, head in made if head) == list(range(901))
+    store = Segments(spark, str(tmp_path / "ix"))
+    store.put(rows.withColumnRenamed("f_text", "text"), {"text": F.col("text")}, "row")
+    assert store.sizes == {"text": [901, 2700]}
+    assert store.postings().columns == ["term", "field", "band", "row", "tf", "dl", "positions", "places"]
