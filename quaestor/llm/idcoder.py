@@ -12,7 +12,7 @@ side by side, one id of each block a step; the work per id is a few dozen vector
 
 Files. Documents are sorted by id over range partitions; a task writes one file of frames in the shared folder, its name
 holding the attempt, and reports its frames. Readers are dealt frames, not files. Tokenising uses a bounded table of
-white-space separated words per Python worker: this tokenizer's splits never cross white space; texts with characters for which the
+the parts of white-space separated words per Python worker: this tokenizer's splits never cross white space; texts with characters for which the
 library's lower-casing, composition or special tokens could act otherwise go to the library whole.
 
 Defined results: null text is empty; every document ends with ``end_id``; equal or null ids keep an unspecified order among
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,24 +38,27 @@ from .warc import _opened
 
 BLOCK = 4096
 FRAME = 1 << 23
+LOT = 12 << 20  # bytes of texts that are cut to words at once
 SLOTS = 8  # bits of a context table; small tables stay in the processor's caches
 TOTAL0 = 18  # bits of order-0 frequencies
 MAGIC = b"IDCM0001"
-_SAFE = re.compile("[^\t\n\r\x0b\x0c -~¡-¬®-±´-¸º»¿-įı-ɏ]|<\\|")
-#: The tokenizer's split, for the characters that _SAFE lets through.
-_PARTS = re.compile(r"[^\W\d_]+|\d|'s|'t|'re|'ve|'m|'ll|'d|(?:[^\w\s]|_)+")
+#: Characters, and a sign of special tokens, for which a text goes to the library whole.
+_SAFE = "[^\t\n\r\x0b\x0c -~¡-¬®-±´-¸º»¿-įı-ɏ]|<\\|"
+#: The tokenizer's split, for the characters that _SAFE lets through, and the ends of words in a list of them.
+_PARTS = re.compile(r"[^\W\d_]+|\d|'s|'t|'re|'ve|'m|'ll|'d|(?:[^\w\s]|_)+|\n")
 _LOW = (1 << 24) - 1
 _EDGE = 1 << 24
 
 
 class WordIds:
-    """Ids of a text by tables of its white-space separated words and of their parts, as little-endian uint16.
+    """Ids of texts, as little-endian uint16, by a table of the parts of words.
 
     The library splits a word into runs of letters, single digits and runs of other signs, and codes each by itself with a
-    token that ends a word last. New parts go to the library in one line; the ending tokens tell them apart.
+    token that ends a word last. Arrow cuts a batch of texts to words and finds the different ones; these are cut to parts, and parts
+    that are not in the table go to the library in one line; the ending tokens tell them apart.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -62,17 +66,17 @@ class WordIds:
         if size > 1 << 16:
             raise ValueError("ids beyond 16 bits")
         self.ends = np.array([(self.lib.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # words of the generation before; what is used again moves on
+        self.older: dict[str, bytes] = {}  # parts of the generation before; what is used again moves on
         self.most = most
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u2")
 
     def _learn(self, new: list[str]) -> None:
-        split = [_PARTS.findall(w) for w in new]
-        parts = list({p for own in split for p in own if p not in self.parts})
+        older = self.older
+        self.parts.update((p, older[p]) for p in new if p in older)
+        parts = [p for p in new if p not in older]
         for a in range(0, len(parts), 2000):
             some = parts[a : a + 2000]
             ids = self._ids(" ".join(some))
@@ -81,21 +85,54 @@ class WordIds:
                 raise ValueError("a part of a word without its ending token")
             raw = ids.tobytes()
             self.parts.update((p, raw[2 * s : 2 * e]) for p, s, e in zip(some, [0, *cut[:-1].tolist()], cut.tolist(), strict=True))
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """Ids of each of some different words."""
+        cut = pa.array(_PARTS.findall("\n".join(_strings(words)) + "\n"), pa.large_string()).dictionary_encode()
+        kinds = _strings(cut.dictionary)
+        if len(self.parts) > self.most:
+            self.older, self.parts = self.parts, {}
         known = self.parts
-        self.words.update((w, b"".join([known[p] for p in own])) for w, own in zip(new, split, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > self.most:
-            self.older, self.words, self.parts = self.words, {}, {}
-        words, older = self.words, self.older
-        split = [None if _SAFE.search(t) else t.lower().split() for t in texts]
-        new = {w for own in split if own for w in own if w not in words}
-        if known := [w for w in new if w in older]:
-            words.update((w, older[w]) for w in known)
-            new.difference_update(known)
+        new = [p for p in kinds if p not in known and p != "\n"]
         if new:
-            self._learn(list(new))
-        return [self._ids(t).tobytes() if own is None else b"".join([words[w] for w in own]) for t, own in zip(texts, split, strict=True)]
+            self._learn(new)
+        ids = pa.array([b"" if p == "\n" else known[p] for p in kinds], pa.large_binary()).take(cut.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[1 + np.flatnonzero(np.asarray(cut.indices) == kinds.index("\n"))]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.r_[0, ends]), ids.buffers()[2]])
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole = pc.match_substring_regex(texts, _SAFE)
+        cut = pc.ascii_split_whitespace(pc.utf8_lower(pc.if_else(whole, "", texts)).cast(pa.large_string()))
+        words = cut.values.dictionary_encode()
+        if not len(words):
+            raw, ends = b"", np.zeros(len(texts) + 1, np.int64)
+        else:
+            ids = self._of_words(words.dictionary).take(words.indices)
+            raw, ends = memoryview(ids.buffers()[2]), np.frombuffer(ids.buffers()[1], np.int64)[np.asarray(cut.offsets)]
+        out = [bytes(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(np.asarray(whole)).tolist():
+            out[i] = self._ids(texts[i].as_py()).tobytes()
+        return out
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """Words without white space as a list; faster than to_pylist."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())), "\0")[0].as_py().split("\0") if len(words) else []
+
+
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about LOT bytes, which have fewer different words than each by itself."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= LOT:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 _TABLES: dict[str, WordIds] = {}
@@ -362,17 +399,15 @@ def write_ids(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
             at += len(frame)
             names, sizes, held, size = [], [], [], 0
 
-        for batch in batches:
+        for part in _lots(batches):
             coder = coder or word_ids(path)
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                for name, raw in zip(part.column("id").to_pylist(), coder.encode(part.column("text").to_pylist()), strict=True):
-                    names.append(name)
-                    sizes.append(len(raw) // 2 + 1)
-                    held += [raw, end]
-                    size += sizes[-1]
-                    if size >= FRAME:
-                        flush()
+            for name, raw in zip(part.column("id").to_pylist(), coder.encode(part.column("text")), strict=True):
+                names.append(name)
+                sizes.append(len(raw) // 2 + 1)
+                held += [raw, end]
+                size += sizes[-1]
+                if size >= FRAME:
+                    flush()
         if names:
             flush()
         if sink:

@@ -55,3 +55,21 @@ def test_labels_of_one_class_keep_all(spark, odd):
 def test_no_declared_language(spark, odd):
     out = langid.identify(odd.withColumn("lang", F.lit(None).cast("string")))
     assert out.where("lang is not null").count() == 0 and out.where("kept").count() > 60
+
+
+def test_word_ids_are_the_librarys_whatever_the_batch_and_the_table():
+    """A batch of texts goes in as one Arrow array; a table of few parts is renewed again and again."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    own, lib = idcoder.WordIds(path, most=50), Tokenizer.from_file(path)
+    odd = ["", "  ", "don't we'll 's''s x've", "A_b __ 12 3.5,,;", "Été ÀÇ ß ÿŸ ǅ Ⱥ", "<|endoftext|> hi", "<| x", "tab\there\r\nline\x0b\x0cx", "日本 語", "İstanbul", "a\x00b", "a\xa0b a\x85b", "²³ ¼ µ ª º", "é", "x" * 5000, "\n\n"]
+    odd += [f"{chr(c)}a{chr(c)}{chr(c + 1)} {chr(c)}" for c in range(32, 0x250)]
+    for size in (1, 7, len(odd)):
+        for a in range(0, len(odd), size):
+            part = odd[a : a + size]
+            for text, raw in zip(part, own.encode(pa.array(part)), strict=True):
+                assert np.frombuffer(raw, "<u2").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+    assert own.encode(pa.array([], pa.string())) == []
