@@ -247,7 +247,8 @@ class Segments:
         sorted_.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).sortWithinPartitions("term").write.parquet(f"{at}/dictionary")
         bands = self.spark.read.parquet(f"{at}/docs").agg(F.approx_count_distinct(band(F.col("row"), kind))).first()[0]
         often = self.spark.read.parquet(f"{at}/dictionary").where(F.col("df") >= bands).select("term", "field")
-        sorted_.join(often, ["term", "field"], "left_semi").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")).sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
+        # at most 1 << BAND times the mean of a row's different words, however many rows there are
+        sorted_.join(F.broadcast(often), ["term", "field"], "left_semi").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")).sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
         return {"folder": top, "gen": gen, "bands": bands, "schema": postings.schema.jsonValue()}
 
     def _commit(self, segments: list[dict], tombs: list[dict], fields: list[str]) -> int:
