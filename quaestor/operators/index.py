@@ -33,6 +33,8 @@ RUN, ROWS = 4 << 20, 50_000
 BAND = 9
 #: Bytes of files for each task.
 PART = 128 << 20
+#: What the first posting of a term, field and band tells of a run's: rows and, where these are more, words, largest tf, least length.
+SUMS = ("df", "n", "most", "least")
 #: Letters of a word's beginning that its deletion neighbours are made from, and most deletions.
 HEAD, DELETIONS = 8, 2
 
@@ -133,7 +135,7 @@ def _words(points: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def _counted(batch: pa.RecordBatch, marks: frozenset[str]) -> pa.RecordBatch:
-    """Postings of rows (row, field, body) by term, those of rows without a word last: each body's words, placed and cut to runs of equal
+    """Postings of rows (row, band, field, body) by term, those of rows without a word last: each body's words, placed and cut to runs of equal
     ones. Bodies are in lower case already. Lines are paragraphs; a sentence ends with . ! or ? before white space, or its paragraph."""
     folded, kinds = _tables(marks)
     bodies = batch.column("body").to_pylist()
@@ -163,23 +165,40 @@ def _counted(batch: pa.RecordBatch, marks: frozenset[str]) -> pa.RecordBatch:
     run, off = order[edge[:-1]], pa.array(edge, pa.int32())
     bare = np.flatnonzero(dl == 0)  # rows without a word
     of, none = np.r_[own[run], bare], len(bare)
+    # the first posting of each (term, field, band) tells how many there are; where there are more, also their words, largest tf and least length
+    tf, lengths = np.diff(edge), dl[own[run]]
+    fields, bands = (np.asarray(pc.fill_null(batch.column(c).dictionary_encode().indices, -1), np.int64) for c in ("field", "band"))
+    cells, cell = np.unique(fields * (len(bodies) + 1) + bands, return_inverse=True)
+    group = code[run] * len(cells) + cell[own[run]]
+    told = np.argsort(group, kind="stable")
+    begin = np.flatnonzero(np.diff(group[told], prepend=-1))
+    df = np.diff(np.r_[begin, len(told)])
+    sums = [df, *[f.reduceat(v[told], begin) for f, v in ((np.add, tf), (np.maximum, tf), (np.minimum, lengths))]]
+
+    def summed(values: np.ndarray, least: int) -> pa.Array:
+        out, hidden = np.zeros(len(of), np.int64), np.ones(len(of), bool)
+        at = told[begin[df >= least]]
+        out[at], hidden[at] = values[df >= least], False
+        return pa.array(out, mask=hidden)
+
     cols = [
         pa.concat_arrays([terms.take(pa.array(code[run])), pa.nulls(none, pa.string())]),
-        batch.column("field").take(pa.array(of)),
-        batch.column("row").take(pa.array(of)),
-        pa.array(np.r_[np.diff(edge), np.zeros(none, np.int64)]),
+        *[batch.column(c).take(pa.array(of)) for c in ("field", "band", "row")],
+        pa.array(np.r_[tf, np.zeros(none, np.int64)]),
         pa.array(dl[of]),
         pa.array(np.r_[pos[run] == 0, np.ones(none, bool)]),
         *[pa.concat_arrays([pa.ListArray.from_arrays(off, pa.array(v[order], kind)), pa.nulls(none, pa.list_(kind))]) for v, kind in ((pos, pa.int32()), (place, pa.int64()))],
+        *[summed(v, 2 if k else 1) for k, v in enumerate(sums)],
     ]
-    return pa.RecordBatch.from_arrays(cols, names=["term", "field", "row", "tf", "dl", "head", "positions", "places"])
+    return pa.RecordBatch.from_arrays(cols, names=["term", "field", "band", "row", "tf", "dl", "head", "positions", "places", *SUMS])
 
 
 def postings_of(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Postings of (row, f_<field>...); those without a term tell rows without a word.
 
     A row's words are counted where it stands: nothing is grouped or shuffled to count them, so a task holds a run of rows, or one row
-    that is longer, and rows of an equal key stay apart. ``head`` marks one posting of each row and field. Each run is sorted by term.
+    that is longer, and rows of an equal key stay apart. ``head`` marks one posting of each row and field. Each run is sorted by term; SUMS
+    are of a run's postings of a term, field and band, and stand beside the first of them.
     """
     kind = rows.schema["row"].dataType.simpleString()
     bodies = F.array(*[F.struct(F.lit(n).alias("field"), F.lower(F.coalesce(F.col(f"f_{n}"), F.lit(""))).alias("body")) for n in fields])
@@ -192,8 +211,11 @@ def postings_of(rows: DataFrame, fields: list[str]) -> DataFrame:
 
     unknown = marks(rows.sparkSession)
     bound_batches(rows.sparkSession)
-    made = rows.select("row", F.explode(bodies).alias("f")).select("row", "f.field", "f.body").mapInArrow(run, f"term string, field string, row {kind}, tf bigint, dl bigint, head boolean, positions array<int>, places array<bigint>")
-    return made.select("term", "field", band(F.col("row"), kind).alias("band"), "row", "tf", "dl", "head", "positions", "places")
+    placed = band(F.col("row"), kind).alias("band")
+    number = dict(rows.select(placed).dtypes)["band"]
+    told = f"term string, field string, band {number}, row {kind}, tf bigint, dl bigint, head boolean, positions array<int>, places array<bigint>"
+    bodied = rows.select("row", placed, F.explode(bodies).alias("f")).select("row", "band", "f.field", "f.body")
+    return bodied.mapInArrow(run, ", ".join([told, *[f"{n} bigint" for n in SUMS]]))
 
 
 class Segments:
@@ -234,21 +256,26 @@ class Segments:
         """Write the segment of (row, f_<field>...)."""
         return self._lay(postings_of(dealt(rows), fields), gen)
 
-    def _lay(self, postings: DataFrame, gen: int) -> dict:
-        """Write postings, those without a term telling rows without a word, as a segment. They come in runs sorted by term; none are shuffled."""
+    def _lay(self, postings: DataFrame, gen: int, merged: bool = False) -> dict:
+        """Write postings, those without a term telling rows without a word, as a segment. They come in runs sorted by term; none are shuffled.
+        ``merged``: each posting stands for itself, so bounds are grouped."""
         top = f"segments/{uuid.uuid4().hex}"
         at = f"{self.files.path}/{top}"
         kind = dict(postings.dtypes)["row"]
         postings.write.option("parquet.block.size", 8 << 20).parquet(f"{at}/postings")
         laid = self.spark.read.schema(postings.schema).parquet(f"{at}/postings")
-        sorted_ = laid.where("term is not null")
+        run = laid.where("df is not null").select("term", "field", "band", "df", F.coalesce("n", "tf").alias("n"), F.coalesce("most", "tf").alias("tf"), F.coalesce("least", "dl").alias("dl"))
         # one row for each row and field: from its first word, or from the missing one
         laid.where("head").select("row", "field", "dl").write.parquet(f"{at}/docs")
-        sorted_.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")).sortWithinPartitions("term").write.parquet(f"{at}/dictionary")
-        bands = self.spark.read.parquet(f"{at}/docs").agg(F.approx_count_distinct(band(F.col("row"), kind))).first()[0]
+        run.groupBy("term", "field").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).sortWithinPartitions("term").write.parquet(f"{at}/dictionary")
+        # as many as full bands would be, at least: rows of few different keys don't make every word a frequent one
+        bands = self.spark.read.parquet(f"{at}/docs").agg(F.greatest(F.approx_count_distinct(band(F.col("row"), kind)), F.shiftright(F.count(F.lit(1)), BAND))).first()[0]
         often = self.spark.read.parquet(f"{at}/dictionary").where(F.col("df") >= bands).select("term", "field")
         # at most 1 << BAND times the mean of a row's different words, however many rows there are
-        sorted_.join(F.broadcast(often), ["term", "field"], "left_semi").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")).sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
+        held = run.join(F.broadcast(often), ["term", "field"], "left_semi").select("term", "field", "band", "tf", "dl")
+        # a run's bounds stay beside those of other runs, nothing is shuffled: who reads them takes the highest
+        held = held.groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")) if merged else held
+        held.sortWithinPartitions("term", "field").write.parquet(f"{at}/bounds")
         return {"folder": top, "gen": gen, "bands": bands, "schema": postings.schema.jsonValue()}
 
     def _commit(self, segments: list[dict], tombs: list[dict], fields: list[str]) -> int:
@@ -261,7 +288,9 @@ class Segments:
             docs = self._live_docs()
             empty = docs.where("dl = 0").select(F.lit(None).cast("string").alias("term"), "field", F.lit(0).cast("bigint").alias("band"), "row", F.lit(0).cast("bigint").alias("tf"), "dl", F.lit(True).alias("head"), F.array().cast("array<int>").alias("positions"), F.array().cast("array<bigint>").alias("places"))
             every = self.postings().withColumn("head", F.get("positions", F.lit(0)) == 0).unionByName(empty)
-            self.held = {"segments": [self._lay(every.sortWithinPartitions("term", "field", "band", "row"), self.version + 1)], "tombs": [], "fields": fields}
+            none = F.lit(None).cast("bigint")
+            every = every.withColumns({n: F.when(F.col("term").isNotNull(), F.lit(1).cast("bigint")) if n == "df" else none for n in SUMS})
+            self.held = {"segments": [self._lay(every.sortWithinPartitions("term", "field", "band", "row"), self.version + 1, merged=True)], "tombs": [], "fields": fields}
         sizes = {r.field: [r.rows, r.words or 0] for r in self._live_docs().groupBy("field").agg(F.count(F.lit(1)).alias("rows"), F.sum("dl").alias("words")).collect()} if segments else {}
         self.held["sizes"] = sizes
         try:
@@ -283,7 +312,7 @@ class Segments:
         for s in self.held["segments"]:
             reader = self.spark.read.schema(StructType.fromJson(s["schema"])) if name == "postings" else self.spark.read
             rows = reader.parquet(f"{self.files.path}/{s['folder']}/{name}")
-            rows = rows.where("term is not null").drop("head") if name == "postings" else rows
+            rows = rows.where("term is not null").drop("head", *SUMS) if name == "postings" else rows
             later = [t["folder"] for t in self.held["tombs"] if t["gen"] > s["gen"]]
             if later:
                 rows = rows.join(self.spark.read.parquet(*[f"{self.files.path}/{x}" for x in later]).distinct(), "row", "left_anti")

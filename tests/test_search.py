@@ -213,3 +213,38 @@ def test_words_of_one_sentence_are_met_by_what_their_units_share(spark):
         assert {r.row for r in found.collect()} == want, query
         if "COM" in query or "MESMO" in query:
             assert "exists(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_runs_tell_the_sums_that_dictionary_and_bounds_are_made_from(spark, tmp_path, small_bands):
+    from pyspark.sql import functions as F
+
+    from quaestor.operators.index import Segments, postings_of
+
+    texts = [(None if k == 5 else k // 2 * 2, f"{'comum ' * (1 + k % 4)}w{k % 9} {'x ' * (k % 5)}", None if k % 3 else "comum") for k in range(300)]
+    rows = spark.createDataFrame(texts, "row bigint, f_a string, f_b string").coalesce(2)
+    made = postings_of(rows, ["a", "b"])
+    by = [F.col("term"), F.col("field"), F.col("band")]
+    told = made.where("df is not null").groupBy(*by).agg(F.sum("df"), F.sum(F.coalesce("n", "tf")), F.max(F.coalesce("most", "tf")), F.min(F.coalesce("least", "dl")))
+    want = made.where("term is not null").groupBy(*by).agg(F.count(F.lit(1)), F.sum("tf"), F.max("tf"), F.min("dl"))
+    assert sorted(map(str, told.collect())) != [] and told.exceptAll(want.toDF(*told.columns)).isEmpty() and want.exceptAll(told.toDF(*want.columns)).isEmpty()
+    assert made.where("df is not null").count() < made.where("term is not null").count() / 2
+    store = Segments(spark, str(tmp_path / "ix"))
+    store.put(rows, {"a": F.col("f_a"), "b": F.col("f_b")}, "row")
+    plain = store.postings().groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n"))
+    assert store.dictionary().exceptAll(plain).isEmpty() and plain.exceptAll(store.dictionary()).isEmpty()
+    highest = store.postings().where("term in ('comum', 'x', 'w1')").groupBy("term", "field", "band").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl"))
+    bounds = store.bounds(["comum", "x", "w1"])
+    assert bounds.exceptAll(highest).isEmpty() and highest.exceptAll(bounds).isEmpty()
+
+
+def test_rows_of_one_key_do_not_make_every_word_a_frequent_one(spark, tmp_path, small_bands):
+    from pyspark.sql import functions as F
+
+    from quaestor.operators.index import Segments
+
+    for key in ("7", "null"):
+        store = Segments(spark, str(tmp_path / key))
+        store.put(spark.range(400).select(F.expr(f"cast({key} as bigint) as doc_id"), F.concat(F.lit("comum w"), "id").alias("text")), {"text": F.col("text")}, "doc_id")
+        at = f"{store.files.path}/{store.held['segments'][0]['folder']}/bounds"
+        assert {r.term for r in spark.read.parquet(at).collect()} == {"comum"}
+        assert store.bounds(["w3", "comum"]).count() == 2
