@@ -33,7 +33,9 @@ def columns() -> None:
     labelled = F.when(doc_id % 2 == 1, F.concat(F.lit("Acordam. EMENTA: "), text)).otherwise(text)
     ruling = F.concat(F.lit("EMENTA PODER JUDICIARIO x EMENTA 0059104-96.2025 EMENTA: "), F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(" RELATÓRIO "), text)
     case = F.concat(F.lit("APELANTE: A\nADVOGADO B\n"), F.when(doc_id % 2 == 1, "EMENTA\n").otherwise(""), text)
-    parties = F.concat(F.lit("Apelante: "), text, F.lit(" Apelado: B ADVOGADO C"))
+    # a name may hold the words that end it: they are broken by a backslash, as markup is escaped elsewhere
+    spelled = F.regexp_replace(F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\\"), F.lit("\\\\")), r"(?i)A(?=PELADO|DVOGADO)", r"$0\\")
+    parties = F.concat(F.coalesce(F.concat(F.lit("Apelante: "), spelled, F.lit(" ")), F.lit("")), F.lit("Apelado: B ADVOGADO C"))
     paper = F.concat(url, F.lit("_ESP"), F.col("page_id") % 3, F.lit(".pdf"))
     YEAR = F.lit(1990) + doc_id % 40
     iso = F.format_string("%04d-%02d-%02d", YEAR, 1 + doc_id % 12, 1 + doc_id % 28)
@@ -84,7 +86,7 @@ on_documents(
     f"array_to_string(list_transform(list_filter(case when list_position(list_transform({PARTY_LINES}, lambda x: contains(upper(x), 'EMENTA')), true) > 0 then {PARTY_LINES}[1:list_position(list_transform({PARTY_LINES}, lambda x: contains(upper(x), 'EMENTA')), true)] else {PARTY_LINES} end, lambda x: regexp_matches(upper(x), '{'|'.join(PARTY_WORDS)}')), lambda x: trim(x)), chr(10))",
 )
 query("fn_parties_lib", "select doc_id, trim(replace(text, chr(10), ' ')) as appellant, 'B' as appellee from documents")(
-    lambda t: t.documents.select("doc_id", F.trim(F.regexp_extract(F.replace(parties, F.lit("\n"), F.lit(" ")), r"(?i)APELANTE:\s*(.+?)(?=APELADO|ADVOGADO|$)", 1)).alias("appellant"), F.trim(F.regexp_extract(F.replace(parties, F.lit("\n"), F.lit(" ")), r"(?i)APELADO:\s*(.+?)(?=ADVOGADO|$)", 1)).alias("appellee"))
+    lambda t: t.documents.select("doc_id", F.regexp_replace(T.party(parties, "APELANTE", ["APELADO", "ADVOGADO"]), r"\\(\\?)", "$1").alias("appellant"), T.party(parties, "APELADO", ["ADVOGADO"]).alias("appellee"))
 )
 TOPIC_LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '' and not starts_with(x, 'Trata-se'))"
 on_documents("fn_topic", lambda: T.topic(text), f"case when len(string_split(left(coalesce({TOPIC_LINES}[1], ''), 80), '.')) > 2 then array_to_string(string_split(left(coalesce({TOPIC_LINES}[1], ''), 80), '.')[1:3], '.') || '.' else left(coalesce({TOPIC_LINES}[1], ''), 80) end")
