@@ -40,6 +40,11 @@ def strip_blanks(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def one_line(c: Column) -> Column:
+    """White space to single blanks; a vertical tab is none, as in SQL."""
+    return strip_blanks(F.regexp_replace(c, r"[ \t\n\f\r]+", " "))
+
+
 def alnum_key(c: Column) -> Column:
     return F.regexp_replace(fold(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
 

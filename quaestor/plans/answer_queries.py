@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..sources import answers as A
 from .portal_queries import escaped
 from .registry import query
@@ -32,13 +33,14 @@ query(
 
 
 def _federal(t):
-    body = F.trim(F.regexp_replace("text", r"\s+", " "))
+    body = T.one_line(F.col("text"))
     made = obj(
         PROCESSO_CITACAO=on(2, 0, F.concat(F.lit(" AC "), doc()), " "), PROCESSO=F.concat(F.lit("000"), doc()), EMENTA=F.concat(F.lit("EMENTA  "), body), DATA_DECISAO=on(3, 0, "2020-06-05T00:00:00", "sem data"),
         LINK_INTEIRO_TEOR=on(4, 0, F.concat(F.lit("http://a/"), doc()), ""), INTEIRO_TEOR=on(4, 1, "http://b", "texto"), PRECEDENTE_RELEVANTE=on(5, 0, "1", "0"), TRIBUNAL=F.when(F.col("lang") == "en", "stf").otherwise("trf5"), CLASSE="  ",
     )
     m = F.col("m")
-    return t.documents.select("doc_id", A.federal_record(made).alias("m")).select("doc_id", m["numero"].alias("numero"), m["ementa"].alias("ementa"), m["data_julgamento"].alias("data"), m["link_inteiro_teor"].alias("link"), m["precedente_relevante"].alias("relevante"), m["tribunal"].alias("tribunal"), m["aviso"].alias("aviso"), F.size("m").alias("fields"))
+    whole = doc().isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()  # SQL's count is null where one of them is
+    return t.documents.select("doc_id", whole.alias("whole"), A.federal_record(made).alias("m")).select("doc_id", m["numero"].alias("numero"), m["ementa"].alias("ementa"), m["data_julgamento"].alias("data"), m["link_inteiro_teor"].alias("link"), m["precedente_relevante"].alias("relevante"), m["tribunal"].alias("tribunal"), m["aviso"].alias("aviso"), F.when(F.col("whole"), F.size("m")).alias("fields"))
 
 
 query(

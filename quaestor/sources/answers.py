@@ -51,7 +51,7 @@ def federal_record(source: Column) -> Column:
     link = F.coalesce(filled(m["LINK_INTEIRO_TEOR"]), F.when(filled(m["INTEIRO_TEOR"]).startswith("http"), filled(m["INTEIRO_TEOR"])))
     court = F.upper(F.coalesce(filled(m["TRIBUNAL"]), F.lit("")))
     fields = {n: first_of(m, names) for n, names in FEDERAL.items()}
-    fields["ementa"] = F.nullif(F.regexp_replace(fields["ementa"], r"^EMENTA\s+", ""), F.lit(""))
+    fields["ementa"] = F.nullif(F.regexp_replace(fields["ementa"], r"^EMENTA(?:[ \t\n\f\r]+|\z)", ""), F.lit(""))
     fields["data_julgamento"] = F.date_format(T.date_of(F.left(fields["data_julgamento"], F.lit(10))), "dd/MM/yyyy")
     fields |= {"link_inteiro_teor": link, "precedente_relevante": F.when(m["PRECEDENTE_RELEVANTE"] == "1", "true"), "representativo_controversia": F.when(m["REPRESENTATIVO_CONTROVERSIA"] == "1", "true")}
     fields |= {"tribunal": court, "aviso": F.when(court == "STF", "sem data nem órgão")}

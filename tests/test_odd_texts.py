@@ -47,3 +47,8 @@ def test_a_party_ends_at_the_first_word_that_ends_it(spark):
 
     assert told("Apelante: A B Advogado: X apelado: C") == ("A B", "C")
     assert told("APELANTE: APELADO: B") == ("", "B") and told("APELANTE: A") == ("A", None) and told("outro") == (None, None)
+
+
+def test_federal_records_of_odd_texts(spark, odd):
+    got, want = both(spark, odd, "src_elastic_json")
+    assert len(got) == 12 * len(TEXTS) + 6 and got == want
