@@ -100,9 +100,9 @@ query(
 
 
 def _panel() -> Column:
-    field = lambda name, value: markup('<span class="x" data-id="', name, '">', value, "</span>")
+    field = lambda name, value: markup('<span class="x" data-id="', name, '">', F.coalesce(value, F.lit("")), "</span>")
     total = F.when(doc() % 3 > 0, markup("<p>Exibindo <b>1</b> a 10 de <b>1.", F.lpad((doc() % 1000).cast("string"), 3, "0"), "</b></p>")).otherwise("")
-    body = markup(field("id", markup("id", doc())), field("numero_processo", markup(" 700-", doc())), F.when(doc() % 2 == 0, field("classe", F.lit("APELAÇÃO"))).otherwise(""), field("ministro_relator", markup("Min. <i>", F.col("lang"), "</i>")), "<dl><dt>Assuntos:</dt><dd>Crime; ", F.col("source"), "</dd></dl>", field("ementa", markup("EMENTA : ", escaped(F.col("text")))))
+    body = markup(field("id", markup("id", doc())), field("numero_processo", markup(" 700-", doc())), F.when(doc() % 2 == 0, field("classe", F.lit("APELAÇÃO"))).otherwise(""), field("ministro_relator", markup("Min. <i>", F.col("lang"), "</i>")), "<dl><dt>Assuntos:</dt><dd>", F.coalesce(markup("Crime; ", F.col("source")), F.lit("")), "</dd></dl>", field("ementa", markup("EMENTA : ", escaped(F.col("text")))))
     return markup(total, '<div class="panel panel-default"><div>', body, '</div></div><div class="panel"><span data-id="outro">x</span></div>')
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,9 +170,9 @@ def ruled_rows(html: Column) -> Column:
 
 
 # --- panels, digests, tables of labels ------------------------------------------------------------------------------------
-def _shown(x: Column, pattern: str) -> Column:
+def _shown(x: Column, pattern: str, collapse: Callable[[Column], Column] = T.collapse) -> Column:
     """Text of the first group of a pattern, without tags; null if there is none."""
-    return F.nullif(T.collapse(T.unescape(F.regexp_replace(F.regexp_extract(x, pattern, 1), r"<[^>]*>", " "))), F.lit(""))
+    return F.nullif(collapse(T.unescape(F.regexp_replace(F.regexp_extract(x, pattern, 1), r"<[^>]*>", " "))), F.lit(""))
 
 
 def panels(html: Column) -> Column:
@@ -179,19 +181,20 @@ def panels(html: Column) -> Column:
     A panel without a number's field is none of a decision.
     """
     def of(x: Column, name: str) -> Column:
-        return _shown(x, rf'(?s)<span[^>]*data-id="{name}"[^>]*>(.*?)</span>')
+        return _shown(x, rf'(?s)<span[^>]*data-id="{name}"[^>]*>(.*?)</span>', T.one_line)
 
     def one(x: Column) -> Column:
         subjects = _shown(x, r"(?s)<dt[^>]*>\s*Assuntos:?\s*</dt>\s*<dd[^>]*>(.*?)</dd>")
-        summary = F.regexp_replace(of(x, "ementa"), r"^EMENTA\s*:\s*", "")
+        summary = F.nullif(T.strip_blanks(F.regexp_replace(of(x, "ementa"), r"^EMENTA *: *", "")), F.lit(""))
         return F.struct(of(x, "id").alias("id"), of(x, "numero_processo").alias("number"), of(x, "classe").alias("class"), of(x, "ministro_relator").alias("reporter"), subjects.alias("subjects"), of(x, "data_julgamento").alias("decided"), summary.alias("summary"))
 
     return F.transform(F.filter(blocks(html, "panel"), lambda x: F.contains(x, F.lit('data-id="numero_processo"'))), one)
 
 
 def panels_total(html: Column) -> Column:
-    """The count that a page of panels tells; null where it tells none, which may be a zero or a refusal."""
-    flat = T.collapse(F.regexp_replace(html, r"<[^>]*>", " "))
+    """The count that a page of panels tells outside their fields; null where it tells none, which may be a zero or a refusal."""
+    around = F.regexp_replace(html, r'(?s)<span[^>]*data-id="[^>]*>.*?</span>', " ")
+    flat = T.collapse(F.regexp_replace(around, r"<[^>]*>", " "))
     return F.nullif(F.replace(F.regexp_extract(flat, r"(?i)(\d+)\s*(?:-|a|até)\s*(\d+)\s+de\s+(\d[\d.]*)", 3), F.lit("."), F.lit("")), F.lit("")).cast("bigint")
 
 

@@ -52,3 +52,8 @@ def test_a_party_ends_at_the_first_word_that_ends_it(spark):
 def test_federal_records_of_odd_texts(spark, odd):
     got, want = both(spark, odd, "src_elastic_json")
     assert len(got) == 12 * len(TEXTS) + 6 and got == want
+
+
+def test_panels_of_odd_texts(spark, odd):
+    got, want = both(spark, odd, "src_html_panels")
+    assert len(got) == 12 * len(TEXTS) + 6 and got == want
